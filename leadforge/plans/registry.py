@@ -6,6 +6,7 @@ import importlib
 
 MODULES = [
     "leadforge.plans.q_pages",
+    "leadforge.plans.q_documents",
 ]
 
 
