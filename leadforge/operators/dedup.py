@@ -20,7 +20,7 @@ def first_by(df: DataFrame, keys: list[str], order: list[str], payload: list[str
     packed = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
                       *[F.col(c).alias(f"_p_{c}") for c in cols])
     agg = df.groupBy(*keys).agg(F.min(packed).alias("_first"))
-    return agg.select(*keys, *[F.col(f"_first._p_{c}").alias(c) for c in payload])
+    return agg.select(*keys, *[F.col(f"_first._p_{c}").alias(c) for c in payload if c not in keys])
 
 
 def drop_seen(df: DataFrame, history: DataFrame, key: str = "url") -> DataFrame:

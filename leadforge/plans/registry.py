@@ -7,6 +7,7 @@ import importlib
 MODULES = [
     "leadforge.plans.q_pages",
     "leadforge.plans.q_documents",
+    "leadforge.plans.q_directory",
 ]
 
 

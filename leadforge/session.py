@@ -43,3 +43,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def cut_lineage(df):
+    """Materialise ``df`` in the checkpoint folder (reliable checkpoint: it
+    survives the loss of the executors that computed it)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
