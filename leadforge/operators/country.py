@@ -133,10 +133,12 @@ def from_full_text() -> Column:
     return dictionary_country(F.lower(F.col("text")))
 
 
-def country_columns(dom: DataFrame, keep: list[str] | None = None, url_col: str = "url") -> DataFrame:
+def country_columns(dom: DataFrame, keep: list[str] | None = None, url_col: str = "url",
+                    extra: list[Column] | None = None) -> DataFrame:
     """Every method's answer as a column: ``flag_pattern, flag_sibling,
     selectors, url_country, json_ld, meta, full_text`` and the cascade result
-    ``country`` ('' when nothing is found or the page is missing)."""
+    ``country`` ('' when nothing is found or the page is missing).  ``extra``
+    columns are computed in the same projection (one pass over the page)."""
     keep = list(keep or [url_col])
     d = dom.select(*keep, *[c for c in ("text", "stext", "elems") if c not in keep],
                    select(FLAG_SPAN).alias("_flag_spans"))
@@ -150,6 +152,7 @@ def country_columns(dom: DataFrame, keep: list[str] | None = None, url_col: str
         from_json_ld().alias("json_ld"),
         from_meta().alias("meta"),
         from_full_text().alias("full_text"),
+        *(extra or []),
     )
     cascade = F.when(
         F.col("_fetched"),

@@ -113,6 +113,17 @@ def generated_urls(sites: DataFrame, site_col: str = "site_url") -> DataFrame:
     )
 
 
+def discovery_exprs() -> list[Column]:
+    """Page-local part of P5 as columns of the homepage row: ``_missing``,
+    ``_n_found`` (contact links before dedup) and ``_links`` (href, label)."""
+    contact = F.filter(region_link_array(), lambda l: _usable_href(l) & is_contact_link(l))
+    return [
+        F.col("elems").isNull().alias("_missing"),
+        F.size(contact).alias("_n_found"),
+        F.transform(contact, lambda l: F.struct(l["href"].alias("href"), page_label(l["link_text"]).alias("page_name"))).alias("_links"),
+    ]
+
+
 def discover_contact_pages(homes: DataFrame, site_col: str = "site_url") -> DataFrame:
     """P5 on parsed homepages ``homes(site_col, text, stext, elems)`` (DOM
     columns NULL when the homepage is missing).
@@ -120,13 +131,11 @@ def discover_contact_pages(homes: DataFrame, site_col: str = "site_url") -> Data
     Returns ``(site_col, rank, page_name, page_url)``, rank 1..5 (1..6 when the
     homepage is missing: the six generated URLs, untruncated).
     """
-    contact = F.filter(region_link_array(), lambda l: _usable_href(l) & is_contact_link(l))
-    cands = homes.select(
-        F.col(site_col),
-        F.col("elems").isNull().alias("_missing"),
-        F.size(contact).alias("_n_found"),
-        F.transform(contact, lambda l: F.struct(l["href"].alias("href"), page_label(l["link_text"]).alias("page_name"))).alias("_links"),
-    )
+    return discover_from(homes.select(F.col(site_col), *discovery_exprs()), site_col)
+
+
+def discover_from(cands: DataFrame, site_col: str = "site_url") -> DataFrame:
+    """P5 after the page-local part (``discovery_exprs`` columns)."""
     found = cands.select(site_col, F.posexplode("_links").alias("_ord", "_l")).select(
         site_col,
         F.col("_ord").alias("cand_ord"),

@@ -71,9 +71,8 @@ def _unobfuscate(m: Column) -> Column:
     )
 
 
-def page_candidates(dom: DataFrame, keep: list[str] | None = None, html_col: str = "html") -> DataFrame:
-    """Stage 1 on DOM rows that still carry ``html`` (``parse_pages(..., keep_html=True)``)."""
-    keep = list(keep or ["url"])
+def candidate_exprs(html_col: str = "html") -> list[Column]:
+    """Stage 1 as columns of a DOM row that still carries ``html``."""
     anchors = anchor_list()
     areas = select(CONTACT_AREA_SELECTORS)
     area_raw = F.flatten(F.transform(areas, lambda r: F.concat(
@@ -87,14 +86,19 @@ def page_candidates(dom: DataFrame, keep: list[str] | None = None, html_col: str
         ),
         _unobfuscate,
     )
-    return dom.select(
-        *keep,
+    return [
         F.col("elems").isNotNull().alias("fetched"),
         _mailto_parts(anchors).alias("mailto"),
         _text_matches(F.col("text")).alias("text_hits"),
         area_raw.alias("area_hits"),
         pattern_raw.alias("pattern_hits"),
-    )
+    ]
+
+
+def page_candidates(dom: DataFrame, keep: list[str] | None = None, html_col: str = "html") -> DataFrame:
+    """Stage 1 on DOM rows that still carry ``html`` (``parse_pages(..., keep_html=True)``)."""
+    keep = list(keep or ["url"])
+    return dom.select(*keep, *candidate_exprs(html_col))
 
 
 def _clean_all(arr: Column, custom: Column | None) -> Column:

@@ -43,3 +43,14 @@ def website_columns(dom: DataFrame, keep: list[str] | None = None) -> DataFrame:
         "website_url",
         F.when(F.col("button_valid"), F.col("button_href")).otherwise(F.col("fallback_href")),
     )
+
+
+def website_exprs() -> list[Column]:
+    """W1/W2 as columns for a shared page projection; combine with
+    ``website_url()`` afterwards."""
+    b = button_href()
+    return [b.alias("button_href"), is_valid_website(b).alias("button_valid"), fallback_href().alias("fallback_href")]
+
+
+def website_url() -> Column:
+    return F.when(F.col("button_valid"), F.col("button_href")).otherwise(F.col("fallback_href"))

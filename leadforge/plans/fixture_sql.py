@@ -92,13 +92,13 @@ site_em AS (
   UNION ALL SELECT k, email FROM sub_emails WHERE k % 10 = 8 AND page_rank <= 2)
 """
 
-# Site emails with a sector's custom business domains: machinery accepts gmail.com.
+# Site emails with a sector's custom business domains: machinery accepts yahoo.com.
 SITE_EM_SECTOR = """
 site_em_sector AS (
   SELECT d.sector, d.sector_ord, d.page_no, d.link_pos, d.company_url, d.name, se.email
   FROM d3 d JOIN site_em se ON se.k = d.k
   UNION ALL
-  SELECT d.sector, d.sector_ord, d.page_no, d.link_pos, d.company_url, d.name, 'abc@gmail.com'
+  SELECT d.sector, d.sector_ord, d.page_no, d.link_pos, d.company_url, d.name, 'abc@yahoo.com'
   FROM d3 d JOIN comp c ON c.k = d.k
   WHERE d.sector = 'machinery' AND c.k % 10 = 5 AND c.k % 20 <> 15 AND (c.k // 10) % 5 <> 4),
 e13 AS (

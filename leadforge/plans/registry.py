@@ -8,6 +8,7 @@ MODULES = [
     "leadforge.plans.q_pages",
     "leadforge.plans.q_documents",
     "leadforge.plans.q_directory",
+    "leadforge.plans.q_contacts",
 ]
 
 

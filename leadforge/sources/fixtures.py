@@ -240,7 +240,7 @@ def _home_content(k: Column) -> Column:
         F.when(v == 1, F.concat(F.lit("<p>Write to "), _addr("office", k), F.lit(" today.</p>")))
         .when(v == 2, F.concat(F.lit("<p>Write to office&#64;"), wl, F.lit(".com today.</p>")))
         .when(v == 4, F.concat(F.lit("<p>Write to joe.doe@"), wl, F.lit(".com today.</p>")))
-        .when(v == 5, F.lit("<p>Write to abc@gmail.com today.</p>"))
+        .when(v == 5, F.lit("<p>Write to abc@yahoo.com today.</p>"))
         .when(v == 6, F.lit("<p>Write to sales@group.com today.</p>"))
         .when(v == 7, F.concat(F.lit("<p> "), six, F.lit(" </p>")))
         .when(v == 8, F.concat(F.lit("<p> "), _addr("aa", k), F.lit(" "), _addr("bb", k), F.lit(" </p>")))
@@ -308,7 +308,7 @@ def fixture_sector_config(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = _sector_table(spark).join(present, "sector", "left_semi")
     kw = (
         F.when(F.col("sector") == "automobile", F.array(F.lit("motors"), F.lit("automotive")))
-        .when(F.col("sector") == "machinery", F.array(F.lit("cnc"), F.lit("machining"), F.lit("group.com")))
+        .when(F.col("sector") == "machinery", F.array(F.lit("cnc"), F.lit("machining"), F.lit("yahoo.com")))
         .when(F.col("sector") == "furniture", F.array().cast("array<string>"))
     )
     return cfg.select(
