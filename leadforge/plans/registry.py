@@ -9,6 +9,7 @@ MODULES = [
     "leadforge.plans.q_documents",
     "leadforge.plans.q_directory",
     "leadforge.plans.q_contacts",
+    "leadforge.plans.q_audit",
 ]
 
 
