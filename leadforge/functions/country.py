@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-from itertools import chain
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from leadforge import params
-from leadforge.functions.text import any_contains, first_pair_value, pystrip
+from leadforge.functions.text import any_contains, first_pair_value, pystrip, str_map
 
 
 def _normalise_map() -> Column:
     table = {name.lower(): name for name in params.COUNTRY_PROPER_NAMES}
     table.update(dict(params.COUNTRY_ALIASES))
-    return F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in table.items()))
+    return str_map(table)
 
 
 def normalize_country(text: Column) -> Column:

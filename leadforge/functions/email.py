@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from leadforge import params
-from leadforge.functions.text import any_contains, first_contained
+from leadforge.functions.text import any_contains, first_contained, str_array
 
 
 def strip_email(raw: Column) -> Column:
@@ -36,7 +36,7 @@ def is_business(email: Column, custom_domains: Column | None = None,
     dom = email_domain(email)
     custom = F.coalesce(F.array_contains(custom_domains, dom), F.lit(False)) if custom_domains is not None else F.lit(False)
     return F.when(~email.contains("@"), F.lit(False)).when(custom, F.lit(True)).otherwise(
-        F.coalesce(~dom.isin(*personal), F.lit(True))
+        F.coalesce(~F.array_contains(str_array(personal), dom), F.lit(True))
     )
 
 

@@ -25,21 +25,53 @@ def title_case(c: Column) -> Column:
     )
 
 
+def sql_str(v: str) -> str:
+    """A Spark SQL string literal."""
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+_LITERALS: dict = {}
+
+
+def _literal(sql: str) -> Column:
+    """Parse a literal expression once per SparkContext and reuse the Column
+    (large literal lists otherwise dominate plan-building time)."""
+    from pyspark import SparkContext
+
+    key = (id(SparkContext._active_spark_context), sql)
+    col = _LITERALS.get(key)
+    if col is None:
+        col = _LITERALS[key] = F.expr(sql)
+    return col
+
+
+def str_array(values: list[str]) -> Column:
+    """``array<string>`` literal built in one expression."""
+    if not values:
+        return F.array().cast("array<string>")
+    return _literal("array(" + ", ".join(sql_str(v) for v in values) + ")")
+
+
 def any_contains(c: Column, needles: list[str]) -> Column:
     """True if ``c`` contains any of ``needles`` (NULL-safe: NULL -> False)."""
-    arr = F.array(*[F.lit(n) for n in needles]) if needles else F.array().cast("array<string>")
-    return F.coalesce(F.exists(arr, lambda n: c.contains(n)), F.lit(False))
+    return F.coalesce(F.exists(str_array(needles), lambda n: c.contains(n)), F.lit(False))
 
 
 def first_contained(c: Column, needles: list[str]) -> Column:
     """The first of ``needles`` (in list order) that ``c`` contains, else NULL."""
-    arr = F.array(*[F.lit(n) for n in needles])
-    return F.get(F.filter(arr, lambda n: c.contains(n)), 0)
+    return F.get(F.filter(str_array(needles), lambda n: c.contains(n)), 0)
 
 
 def pairs(items: list[tuple[str, str]]) -> Column:
     """Ordered ``array<struct<key,value>>`` literal (first match is semantic)."""
-    return F.array(*[F.struct(F.lit(k).alias("key"), F.lit(v).alias("value")) for k, v in items])
+    body = ", ".join(f"named_struct('key', {sql_str(k)}, 'value', {sql_str(v)})" for k, v in items)
+    return _literal(f"array({body})")
+
+
+def str_map(items: dict[str, str]) -> Column:
+    """``map<string,string>`` literal in one expression."""
+    body = ", ".join(f"{sql_str(k)}, {sql_str(v)}" for k, v in items.items())
+    return _literal(f"map({body})")
 
 
 def first_pair_value(c: Column, items: list[tuple[str, str]]) -> Column:

@@ -7,12 +7,13 @@ from urllib.parse import urljoin as _urljoin
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from leadforge import params
 from leadforge.functions.text import any_contains
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _urljoin_udf(base: pd.Series, href: pd.Series) -> pd.Series:
     out = [None if b is None or h is None else _urljoin(b, h) for b, h in zip(base, href)]
     return pd.Series(out, dtype=object)

@@ -75,28 +75,30 @@ def flag_pattern(spans_col: str = "_flag_spans") -> Column:
 
 
 def flag_sibling(selectors: list[Selector] | None = None) -> Column:
-    """Each hit's first following sibling ``span``."""
+    """Each hit's first following sibling ``span`` (hits of the selectors
+    in order, each in document order)."""
     selectors = FLAG_SIBLING_SELECTORS if selectors is None else selectors
     elems = F.col("elems")
+    hits = F.concat(*[select(s) for s in selectors])
 
     def sibling_country(h: Column) -> Column:
         sib = F.get(F.filter(elems, lambda x: (x["parent"] == h["parent"]) & (x["id"] > h["id"]) & (x["tag"] == "span")), 0)
         return _normalised_span(sib)
 
-    return F.coalesce(*[_first(F.transform(select(s), sibling_country)) for s in selectors])
+    return _first(F.transform(hits, sibling_country))
 
 
 def by_selectors(selectors: list[Selector] | None = None) -> Column:
     """C4: per selector in priority order, per element in document order, the
     first dictionary key in the stripped lower-cased text (at most 500
-    characters) with a valid context."""
-    selectors = LOCATION_SELECTORS if selectors is None else selectors
-
-    def found(e: Column) -> Column:
-        t = F.lower(strip_text(e))
-        return F.when(F.length(t) <= params.COUNTRY_TEXT_MAX, dictionary_country(t))
+    characters) with a valid context.
 
-    return F.coalesce(*[_first(F.transform(select(s), found)) for s in selectors])
+    The candidate texts of all selectors are gathered into one array in
+    (selector, document) order and the dictionary runs once over it."""
+    selectors = LOCATION_SELECTORS if selectors is None else selectors
+    texts = F.concat(*[F.transform(select(s), lambda e: F.lower(strip_text(e))) for s in selectors])
+    found = F.transform(texts, lambda t: F.when(F.length(t) <= params.COUNTRY_TEXT_MAX, dictionary_country(t)))
+    return _first(found)
 
 
 def from_json_ld() -> Column:

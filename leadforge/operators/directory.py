@@ -117,6 +117,18 @@ def next_pages(listing_dom: DataFrame, pagination_selector: Selector | None = PA
 
 # -- D4 ------------------------------------------------------------------------------
 
+def _materialise_pair(jump: DataFrame, walks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    both = jump.select(F.lit(0).alias("_t"), "src", "dst", F.lit(None).cast("string").alias("sector"),
+                       F.lit(None).cast("int").alias("max_pages"), F.lit(None).cast("int").alias("step"),
+                       F.lit(None).cast("string").alias("node")).unionByName(
+        walks.select(F.lit(1).alias("_t"), F.lit(None).cast("string").alias("src"), F.lit(None).cast("string").alias("dst"),
+                     "sector", F.col("max_pages").cast("int").alias("max_pages"), F.col("step").cast("int").alias("step"),
+                     "node"))
+    both = cut_lineage(both)
+    return (both.filter(F.col("_t") == 0).select("src", "dst"),
+            both.filter(F.col("_t") == 1).select("sector", "max_pages", "step", "node"))
+
+
 def follow_pagination(starts: DataFrame, nexts: DataFrame, max_pages_bound: int) -> DataFrame:
     """Pages visited from each start.
 
@@ -149,10 +161,9 @@ def follow_pagination(starts: DataFrame, nexts: DataFrame, max_pages_bound: int)
         if j + 1 < rounds:
             a, b = jump.alias("a"), jump.alias("b")
             jump = a.join(b, F.col("a.dst") == F.col("b.src")).select(F.col("a.src").alias("src"), F.col("b.dst").alias("dst"))
-            # both tables appear twice in the next round's plan: cut lineage so
-            # the plan stays linear in the number of rounds
-            jump = cut_lineage(jump)
-            walks = cut_lineage(walks)
+            # both tables appear twice in the next round's plan: cut lineage
+            # (one checkpoint for both) so the plan stays linear in the rounds
+            jump, walks = _materialise_pair(jump, walks)
     return walks.filter(F.col("step") < F.col("max_pages")).select(
         "sector", (F.col("step") + 1).alias("page_no"), F.col("node").alias("url"))
 

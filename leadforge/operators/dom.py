@@ -229,21 +229,7 @@ def parse_pages(pages: DataFrame, keep: list[str] | None = None, keep_html: bool
                 cols.append(pa.array(elems, dom_types[2]))
                 yield pa.RecordBatch.from_arrays(cols, schema=arrow_schema)
 
-    return spread(pages.select(*keep, "html")).mapInArrow(run, schema)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give a small input enough partitions for the parse.
-
-    A big crawl already arrives in many file splits and is left alone (no
-    shuffle); a table that fits in fewer splits than the cluster has cores is
-    round-robin spread so the Python parse runs on every core.
-    """
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    return pages.select(*keep, "html").mapInArrow(run, schema)
 
 
 def elements(dom: DataFrame) -> DataFrame:

@@ -16,12 +16,16 @@ from leadforge.plans.fixture_sql import SITE_EM_SECTOR, with_base
 from leadforge.sources import fixtures as FX
 from leadforge.sources import sinks as S
 from leadforge.sources.pages import lookup_pages
+from leadforge.session import cut_lineage
 
 
 def fixture_run(spark: SparkSession, sf_dir: str, limit: int | None = None) -> pipeline.Run:
+    """The pipeline over the synthesised crawl.  The crawl is written once to
+    the checkpoint folder, like a stored crawl table, so the generator is not
+    re-run by every branch that looks pages up."""
     cfg = FX.fixture_sector_config(spark, sf_dir)
-    listings = FX.listing_pages(spark, sf_dir).select("url", "html")
-    pages = FX.profile_pages(spark, sf_dir).unionByName(FX.site_pages(spark, sf_dir))
+    listings = cut_lineage(FX.listing_pages(spark, sf_dir).select("url", "html"))
+    pages = cut_lineage(FX.profile_pages(spark, sf_dir).unionByName(FX.site_pages(spark, sf_dir)))
     return pipeline.run(cfg, listings, pages, limit=limit)
 
 

@@ -25,6 +25,10 @@ def local_session(cores: int | None = None, app: str = "leadforge") -> SparkSess
         .config("spark.driver.memory", os.environ.get("LEADFORGE_DRIVER_MEMORY", "16g"))
         # Pages are large rows: keep Arrow batches to the parse small.
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+        # HTML stages are CPU-bound per byte: aim for small shuffle partitions
+        # so a few MB of pages still spread over every core.
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

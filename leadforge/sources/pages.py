@@ -21,7 +21,34 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def read_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.schema(PAGES_SCHEMA).parquet(f"{sf_dir.rstrip('/')}/pages.parquet")
+    path = f"{sf_dir.rstrip('/')}/pages.parquet"
+    return spread_small(spark.read.schema(PAGES_SCHEMA).parquet(path), path)
+
+
+def _input_bytes(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(hpath).getLength())
+
+
+def spread_small(df: DataFrame, path: str) -> DataFrame:
+    """Round-robin a *small* crawl over every core before the Python parse.
+
+    A crawl larger than ``maxPartitionBytes x cores`` already scans as at least
+    that many splits and is left alone (no shuffle).  Below that size a file
+    may be a single row group (one task), and the shuffle costs little because
+    the input is small.  Only file metadata is read to decide.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = int(spark.conf.get("spark.sql.files.maxPartitionBytes", str(128 * 1024 * 1024)).rstrip("b") or 0) \
+        if spark.conf.get("spark.sql.files.maxPartitionBytes", "").isdigit() else 128 * 1024 * 1024
+    try:
+        size = _input_bytes(spark, path)
+    except Exception:  # noqa: BLE001 - unknown size: leave the scan as it is
+        return df
+    return df.repartition(cores) if size < split * cores else df
 
 
 def lookup_pages(urls: DataFrame, pages: DataFrame, url_col: str = "url") -> DataFrame:
