@@ -32,6 +32,15 @@ def _input_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(hpath).getLength())
 
 
+def _bytes(v: str) -> int:
+    """Spark byte-size string ('134217728b', '128m', '128MB') -> bytes."""
+    v = v.strip().lower().rstrip("b")
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    if v and v[-1] in units:
+        return int(float(v[:-1]) * units[v[-1]])
+    return int(v)
+
+
 def spread_small(df: DataFrame, path: str) -> DataFrame:
     """Round-robin a *small* crawl over every core before the Python parse.
 
@@ -42,8 +51,7 @@ def spread_small(df: DataFrame, path: str) -> DataFrame:
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    split = int(spark.conf.get("spark.sql.files.maxPartitionBytes", str(128 * 1024 * 1024)).rstrip("b") or 0) \
-        if spark.conf.get("spark.sql.files.maxPartitionBytes", "").isdigit() else 128 * 1024 * 1024
+    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
     try:
         size = _input_bytes(spark, path)
     except Exception:  # noqa: BLE001 - unknown size: leave the scan as it is
