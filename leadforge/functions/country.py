@@ -21,14 +21,16 @@ def normalize_country(text: Column) -> Column:
     return F.coalesce(_normalise_map()[key], F.lit(""))
 
 
-def context_ok(text: Column, negatives: list[str] | None = None) -> Column:
+def context_ok(text: Column, negatives: list[str] | None = None, lowered: bool = False) -> Column:
     """No negative phrase in the (lower-cased) text."""
     negatives = params.COUNTRY_NEGATIVE_PHRASES if negatives is None else negatives
-    return ~any_contains(F.lower(text), negatives)
+    return ~any_contains(text if lowered else F.lower(text), negatives)
 
 
 def dictionary_country(lower_text: Column, dictionary: list[tuple[str, str]] | None = None) -> Column:
     """First dictionary key contained in the lower-cased text, if the
-    context is valid; else NULL."""
+    context is valid; else NULL.  Pass a column reference or lambda variable:
+    the text is read once per key, so an expression here would be recomputed
+    for every key (no common-subexpression reuse inside lambdas)."""
     dictionary = params.COUNTRY_DICTIONARY if dictionary is None else dictionary
-    return F.when(context_ok(lower_text), first_pair_value(lower_text, dictionary))
+    return F.when(context_ok(lower_text, lowered=True), first_pair_value(lower_text, dictionary))

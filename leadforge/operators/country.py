@@ -130,9 +130,9 @@ def from_meta(names: list[str] | None = None) -> Column:
     return F.coalesce(*out)
 
 
-def from_full_text() -> Column:
-    """C9."""
-    return dictionary_country(F.lower(F.col("text")))
+def from_full_text(lower_col: str = "_lt") -> Column:
+    """C9 (needs the lower-cased page text as column ``lower_col``)."""
+    return dictionary_country(F.col(lower_col))
 
 
 def country_columns(dom: DataFrame, keep: list[str] | None = None, url_col: str = "url",
@@ -143,7 +143,7 @@ def country_columns(dom: DataFrame, keep: list[str] | None = None, url_col: str
     columns are computed in the same projection (one pass over the page)."""
     keep = list(keep or [url_col])
     d = dom.select(*keep, *[c for c in ("text", "stext", "elems") if c not in keep],
-                   select(FLAG_SPAN).alias("_flag_spans"))
+                   select(FLAG_SPAN).alias("_flag_spans"), F.lower(F.col("text")).alias("_lt"))
     cols = d.select(
         *keep,
         F.col("elems").isNotNull().alias("_fetched"),

@@ -16,7 +16,7 @@ from leadforge.sources.pages import lookup_pages, read_pages
 
 
 def _listing_dom(spark, sf_dir):
-    return parse_pages(FX.listing_pages(spark, sf_dir), keep=["sector", "page_no", "url"])
+    return parse_pages(FX.crawl(spark, sf_dir)[0], keep=["sector", "page_no", "url"])
 
 
 def selector_coverage(spark, sf_dir):
@@ -64,7 +64,7 @@ def selector_coverage_by_url(spark, sf_dir):
     cfg = FX.fixture_sector_config(spark, sf_dir)
     urls = cfg.select("url").unionByName(
         cfg.select(F.regexp_replace("url", r"\.html$", "/pg-0.html").alias("url")))
-    found = lookup_pages(urls, FX.listing_pages(spark, sf_dir).select("url", "html")).filter(F.col("html").isNotNull())
+    found = lookup_pages(urls, FX.crawl(spark, sf_dir)[0].select("url", "html")).filter(F.col("html").isNotNull())
     dom = parse_pages(found)
     r = Q.selector_results(dom)
     hit = r.filter(F.col("n") > 0).groupBy("url").agg(F.count("*").alias("n_selectors_hit"))

@@ -20,17 +20,15 @@ from leadforge.session import cut_lineage
 
 
 def fixture_run(spark: SparkSession, sf_dir: str, limit: int | None = None) -> pipeline.Run:
-    """The pipeline over the synthesised crawl.  The crawl is written once to
-    the checkpoint folder, like a stored crawl table, so the generator is not
-    re-run by every branch that looks pages up."""
+    """The pipeline over the synthesised crawl (``FX.crawl``: written once to
+    the checkpoint folder, like a stored crawl table)."""
     cfg = FX.fixture_sector_config(spark, sf_dir)
-    listings = cut_lineage(FX.listing_pages(spark, sf_dir).select("url", "html"))
-    pages = cut_lineage(FX.profile_pages(spark, sf_dir).unionByName(FX.site_pages(spark, sf_dir)))
-    return pipeline.run(cfg, listings, pages, limit=limit)
+    listings, profiles, sites = FX.crawl(spark, sf_dir)
+    return pipeline.run(cfg, listings.select("url", "html"), profiles.unionByName(sites), limit=limit)
 
 
 def _site_dom(spark, sf_dir, keep_html=True) -> DataFrame:
-    return parse_pages(FX.site_pages(spark, sf_dir), keep_html=keep_html)
+    return parse_pages(FX.crawl(spark, sf_dir)[2], keep_html=keep_html)
 
 
 def _site_cands(spark, sf_dir) -> DataFrame:
@@ -43,7 +41,7 @@ def _sites(spark, sf_dir) -> DataFrame:
 
 
 def _homes(spark, sf_dir) -> DataFrame:
-    return parse_pages(lookup_pages(_sites(spark, sf_dir), FX.site_pages(spark, sf_dir), "site_url"), keep=["site_url"])
+    return parse_pages(lookup_pages(_sites(spark, sf_dir), FX.crawl(spark, sf_dir)[2], "site_url"), keep=["site_url"])
 
 
 # -- E ---------------------------------------------------------------------------
@@ -116,7 +114,7 @@ def pages_to_check(spark, sf_dir):
 
 
 def _homepage_links(spark, sf_dir):
-    homes = parse_pages(FX.site_pages(spark, sf_dir))
+    homes = parse_pages(FX.crawl(spark, sf_dir)[2])
     homes = homes.join(_sites(spark, sf_dir).withColumnRenamed("site_url", "url"), "url", "left_semi")
     return P.region_links(homes)
 

@@ -17,15 +17,15 @@ from leadforge.sources import fixtures as FX
 
 
 def listing_dom(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_pages(FX.listing_pages(spark, sf_dir), keep=["sector", "page_no", "url"])
+    return parse_pages(FX.crawl(spark, sf_dir)[0], keep=["sector", "page_no", "url"])
 
 
 def profile_dom(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_pages(FX.profile_pages(spark, sf_dir))
+    return parse_pages(FX.crawl(spark, sf_dir)[1])
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return D.listing_features(parse_pages(FX.listing_pages(spark, sf_dir)))
+    return D.listing_features(parse_pages(FX.crawl(spark, sf_dir)[0]))
 
 
 def config(spark: SparkSession, sf_dir: str) -> DataFrame:

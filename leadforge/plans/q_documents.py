@@ -73,8 +73,8 @@ def dedup_document_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
 def country_full_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First dictionary key in the lower-cased text, unless a negative
     phrase occurs anywhere in it."""
-    d = _docs(spark, sf_dir)
-    return d.select("doc_id", dictionary_country(F.lower(F.col("text"))).alias("country"))
+    d = _docs(spark, sf_dir).select("doc_id", F.lower("text").alias("lt"))
+    return d.select("doc_id", dictionary_country(F.col("lt")).alias("country"))
 
 
 QUERIES = {

@@ -283,6 +283,26 @@ def site_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return home.unionByName(contact).unionByName(ueber).unionByName(team)
 
 
+_CRAWLS: dict = {}
+
+
+def crawl(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The synthesised crawl, written once per session to the checkpoint
+    folder (it plays the stored crawl table; generating it is not pipeline
+    work): ``(listings(sector, page_no, url, html), profiles(url, html),
+    sites(url, html))``."""
+    from leadforge.session import cut_lineage
+
+    key = (id(spark.sparkContext), sf_dir)
+    if key not in _CRAWLS:
+        _CRAWLS[key] = (
+            cut_lineage(listing_pages(spark, sf_dir)),
+            cut_lineage(profile_pages(spark, sf_dir)),
+            cut_lineage(site_pages(spark, sf_dir)),
+        )
+    return _CRAWLS[key]
+
+
 def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole synthesised crawl: ``(url, html)``."""
     lp = listing_pages(spark, sf_dir).select("url", "html")
