@@ -82,16 +82,22 @@ def run(config: DataFrame, listings: DataFrame, pages: DataFrame, limit: int | N
                               "area_hits", "pattern_hits")
     all_cands = home_cands.unionByName(page_cands.join(home_cands.select("page_url"), "page_url", "left_anti"))
 
+    # The keyword lists come from the sector config: one row per configured
+    # sector, a bounded table, so it is broadcast.
     keywords = config.select("sector", F.coalesce("business_domain_keywords", F.array().cast("array<string>"))
                              .alias("custom"))
+    # E12 depends only on the site and the sector's keyword list, so it runs
+    # once per (sector, site): a site shared by many companies is visited once.
+    site_keys = with_site.select("sector", F.col("website_url").alias("site_url")).distinct()
     visits = (
-        with_site.select("sector", "company_url", F.col("website_url").alias("site_url"))
-        .join(to_check, "site_url")
+        site_keys.join(to_check, "site_url")
         .join(all_cands, "page_url")
         .join(F.broadcast(keywords), "sector")
     )
-    emails = E.page_emails(visits, ["sector", "company_url", "rank"], custom_col="custom")
-    site = E.site_emails(emails, ["sector", "company_url"])
+    emails = E.page_emails(visits, ["sector", "site_url", "rank"], custom_col="custom")
+    per_site = E.site_emails(emails, ["sector", "site_url"])
+    site = with_site.select("sector", "company_url", F.col("website_url").alias("site_url")).join(
+        per_site, ["sector", "site_url"]).select("sector", "company_url", "email", "first_rank")
     site = cut_lineage(site)
 
     order = companies.select("sector", "company_url", "page_no", "link_pos")

@@ -59,9 +59,25 @@ def spread_small(df: DataFrame, path: str) -> DataFrame:
     return df.repartition(cores) if size < split * cores else df
 
 
-def lookup_pages(urls: DataFrame, pages: DataFrame, url_col: str = "url") -> DataFrame:
+# Wanted-URL lists up to this many rows are broadcast (about 100 bytes a URL:
+# ~100 MB at the limit); longer lists fall back to a shuffle join.
+BROADCAST_URL_ROWS = 1_000_000
+
+
+def lookup_pages(urls: DataFrame, pages: DataFrame, url_col: str = "url",
+                 broadcast_rows: int | None = BROADCAST_URL_ROWS) -> DataFrame:
     """Left equi-join of wanted URLs to the snapshot.  Unmatched URLs keep
-    a NULL ``html`` (the fetcher's ``None``); the snapshot side is reduced to
-    ``(url, html)`` so only the needed columns are read."""
+    a NULL ``html`` (the fetcher's ``None``).
+
+    The crawl is first reduced to the wanted pages with a semi-join.  When the
+    URL list is provably small (counted, at most ``broadcast_rows``) it is
+    broadcast, so the crawl is scanned in place and never shuffled; only the
+    matching pages move.  Otherwise it is a shuffle join (AQE and the runtime
+    bloom filter prune the crawl side before its exchange).
+    """
+    wanted = urls.select(F.col(url_col).alias("_page_url")).distinct()
+    if broadcast_rows is not None and wanted.count() <= broadcast_rows:
+        wanted = F.broadcast(wanted)
     snap = pages.select(F.col("url").alias("_page_url"), "html")
-    return urls.join(snap, urls[url_col] == snap["_page_url"], "left").drop("_page_url")
+    found = snap.join(wanted, "_page_url", "left_semi")
+    return urls.join(found, urls[url_col] == found["_page_url"], "left").drop("_page_url")
