@@ -152,9 +152,64 @@ def matches(s: Selector, e: Column) -> Column:
     return out
 
 
+# -- compilation to one SQL expression (fast plan building) -------------------------
+
+def _q(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _attr_sql(v: str, name: str) -> str:
+    if name == "class":
+        return f"(CASE WHEN size({v}.cls) > 0 THEN array_join({v}.cls, ' ') END)"
+    return f"{v}.attrs[{_q(name)}]"
+
+
+def _attr_test_sql(v: str, name: str, op: str, value: str | None) -> str:
+    if name == "class" and op == "has":
+        return f"(size({v}.cls) > 0)"
+    if op == "has":
+        return f"map_contains_key({v}.attrs, {_q(name)})"
+    a = _attr_sql(v, name)
+    if op == "=":
+        return f"coalesce({a} = {_q(value)}, false)"
+    if not value:
+        return "false"
+    fn = {"*=": "contains", "^=": "startswith", "$=": "endswith"}[op]
+    return f"coalesce({fn}({a}, {_q(value)}), false)"
+
+
+def pred_sql(s: Selector, v: str, depth: int = 0) -> str:
+    """SQL predicate: element expression ``v`` matches selector ``s``."""
+    if isinstance(s, tuple):
+        return "(" + " OR ".join(pred_sql(x, v, depth) for x in s) + ")"
+    conds: list[str] = []
+    if s.tag:
+        conds.append(f"{v}.tag = {_q(s.tag)}")
+    if s.id:
+        conds.append(f"coalesce({v}.attrs['id'] = {_q(s.id)}, false)")
+    for c in s.classes:
+        conds.append(f"array_contains({v}.cls, {_q(c)})")
+    for name, op, value in s.attrs:
+        conds.append(_attr_test_sql(v, name, op, value))
+    for n in s.nots:
+        conds.append(f"NOT {pred_sql(n, v, depth)}")
+    if s.contains is not None:
+        conds.append(f"contains(substr({TEXT_COL}, {v}.tf + 1, {v}.tt - {v}.tf), {_q(s.contains)})")
+    if s.after is not None:
+        prev = f"(get({ELEMS_COL}, {v}.prev - 1))"
+        conds.append(f"coalesce({v}.prev > 0 AND {pred_sql(s.after, prev, depth + 1)}, false)")
+    if s.inside is not None:
+        a = f"_anc{depth}"
+        conds.append(f"exists({v}.anc, {a} -> {pred_sql(s.inside, f'(get({ELEMS_COL}, {a} - 1))', depth + 1)})")
+    return "(" + (" AND ".join(conds) if conds else "true") + ")"
+
+
 def select(s: Selector, elems: Column | None = None) -> Column:
-    """Matching elements of the page, in document order."""
-    return F.filter(elems if elems is not None else F.col(ELEMS_COL), lambda e: matches(s, e))
+    """Matching elements of the page, in document order.  Built as one SQL
+    expression (one JVM call) when it runs over the page's ``elems``."""
+    if elems is None:
+        return F.expr(f"filter({ELEMS_COL}, _sel -> {pred_sql(s, '_sel')})")
+    return F.filter(elems, lambda e: matches(s, e))
 
 
 def select_one(s: Selector, elems: Column | None = None) -> Column:
