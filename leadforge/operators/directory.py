@@ -209,18 +209,18 @@ def feature_links(features: DataFrame) -> DataFrame:
                        urljoin(F.col("url"), F.col("_l.href")).alias("company_url"))
 
 
-def walk_bound(features: DataFrame, config: DataFrame) -> int:
-    """Rounds needed: no walk is longer than the largest ``max_pages`` nor
-    than the number of listing pages (two scalars of small tables)."""
-    n_pages = features.count()
+def walk_bound(config: DataFrame) -> int:
+    """Rounds needed: no walk is longer than the largest ``max_pages`` (one
+    scalar of the small config table); walks that end sooner stop the
+    doubling early."""
     max_pages = config.agg(F.max(F.coalesce("max_pages", F.lit(params.DEFAULT_MAX_PAGES)))).first()[0] or 1
-    return max(1, min(int(max_pages), int(n_pages)))
+    return max(1, int(max_pages))
 
 
 def visited_pages(features: DataFrame, config: DataFrame) -> DataFrame:
     """D4 for every configured sector: ``(sector, page_no, url)``."""
     starts = config.select("sector", "url", F.coalesce("max_pages", F.lit(params.DEFAULT_MAX_PAGES)).alias("max_pages"))
-    return follow_pagination(starts, features.select("url", "next_url"), walk_bound(features, config))
+    return follow_pagination(starts, features.select("url", "next_url"), walk_bound(config))
 
 
 def directory_companies(features: DataFrame, config: DataFrame, group: list[str] | None = None) -> DataFrame:

@@ -57,6 +57,8 @@ def run(config: DataFrame, listings: DataFrame, pages: DataFrame, limit: int | N
     features = D.listing_features(parse_pages(listings.select("url", "html")))
     companies = D.directory_companies(features, config)
     companies = D.limit_per_group(companies, ["sector"], ["page_no", "link_pos"], limit)
+    # four consumers (profile lookup and its size check, enrichment, E13 order, stats)
+    companies = cut_lineage(companies)
 
     prof = _profiles(companies, pages)
     enriched = companies.join(prof, companies["company_url"] == prof["url"], "left").select(

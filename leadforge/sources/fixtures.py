@@ -295,10 +295,12 @@ def crawl(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataF
 
     key = (id(spark.sparkContext), sf_dir)
     if key not in _CRAWLS:
+        # stored like a crawl that arrives in many files: one part per core
+        n = spark.sparkContext.defaultParallelism
         _CRAWLS[key] = (
-            cut_lineage(listing_pages(spark, sf_dir)),
-            cut_lineage(profile_pages(spark, sf_dir)),
-            cut_lineage(site_pages(spark, sf_dir)),
+            cut_lineage(listing_pages(spark, sf_dir).repartition(n, "url")),
+            cut_lineage(profile_pages(spark, sf_dir).repartition(n, "url")),
+            cut_lineage(site_pages(spark, sf_dir).repartition(n, "url")),
         )
     return _CRAWLS[key]
 

@@ -66,18 +66,21 @@ BROADCAST_URL_ROWS = 1_000_000
 
 def lookup_pages(urls: DataFrame, pages: DataFrame, url_col: str = "url",
                  broadcast_rows: int | None = BROADCAST_URL_ROWS) -> DataFrame:
-    """Left equi-join of wanted URLs to the snapshot.  Unmatched URLs keep
-    a NULL ``html`` (the fetcher's ``None``).
-
-    The crawl is first reduced to the wanted pages with a semi-join.  When the
-    URL list is provably small (counted, at most ``broadcast_rows``) it is
-    broadcast, so the crawl is scanned in place and never shuffled; only the
-    matching pages move.  Otherwise it is a shuffle join (AQE and the runtime
-    bloom filter prune the crawl side before its exchange).
+    """The snapshot page of every distinct wanted URL, ``(url_col, html)``;
+    a URL missing from the snapshot gets a NULL ``html`` (the fetcher's
+    ``None``).
+
+    Found pages = crawl semi-joined with the wanted URLs.  When the URL list is
+    provably small (counted, at most ``broadcast_rows``) it is broadcast, so
+    the crawl is scanned in place and never shuffled.  Missing URLs come from
+    an anti-join that reads only the ``url`` column.  The two parts are
+    unioned, so the HTML of found pages never crosses a shuffle and the parse
+    that follows runs in the crawl's own partitions.
     """
-    wanted = urls.select(F.col(url_col).alias("_page_url")).distinct()
+    wanted = urls.select(F.col(url_col).alias("url")).distinct()
     if broadcast_rows is not None and wanted.count() <= broadcast_rows:
         wanted = F.broadcast(wanted)
-    snap = pages.select(F.col("url").alias("_page_url"), "html")
-    found = snap.join(wanted, "_page_url", "left_semi")
-    return urls.join(found, urls[url_col] == found["_page_url"], "left").drop("_page_url")
+    found = pages.select("url", "html").join(wanted, "url", "left_semi")
+    missing = wanted.join(found.select("url"), "url", "left_anti").select(
+        "url", F.lit(None).cast("string").alias("html"))
+    return found.unionByName(missing).withColumnRenamed("url", url_col)
