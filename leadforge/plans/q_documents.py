@@ -14,7 +14,6 @@ from leadforge import params
 from leadforge.functions.country import dictionary_country
 from leadforge.functions.email import (classify_email, email_domain, is_business, is_valid_format,
                                        spam_hit, strip_email)
-from leadforge.operators.dedup import first_by
 from leadforge.operators.emails import find_all
 from leadforge.sources.pages import read_table
 
@@ -63,11 +62,9 @@ def dedup_document_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
     document (order doc_id, pos); skew-safe aggregation, not a window."""
     c = _flexible(spark, sf_dir).withColumn("email", strip_email(F.col("match")))
     c = c.filter(F.col("email").rlike(params.EMAIL_STRICT_PATTERN))
-    first = first_by(c, ["email"], ["doc_id", "pos"], ["doc_id", "pos"])
-    n = c.groupBy("email").agg(F.count("*").alias("n_hits"))
-    return first.join(n, "email").select(
-        "email", F.col("doc_id").alias("first_doc_id"), F.col("pos").cast("bigint").alias("first_pos"), "n_hits"
-    )
+    g = c.groupBy("email").agg(F.min(F.struct("doc_id", "pos")).alias("f"), F.count("*").alias("n_hits"))
+    return g.select("email", F.col("f.doc_id").alias("first_doc_id"), F.col("f.pos").cast("bigint").alias("first_pos"),
+                    "n_hits")
 
 
 def country_full_text(spark: SparkSession, sf_dir: str) -> DataFrame:
