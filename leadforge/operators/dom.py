@@ -73,30 +73,60 @@ _OUTPUT_CHUNK_ROWS = 256
 
 
 class _TreeBuilder(HTMLParser):
-    """Builds the flat element list of one page."""
+    """Builds the elements of many pages into flat, column-oriented lists
+    (one entry per element; list-valued fields as values + offsets), so an
+    Arrow batch is assembled without per-element Python objects."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.elems: list[dict] = []
-        self.stack: list[int] = []  # indexes into self.elems of open elements
-        self.last_child: dict[int, int] = {}  # parent id -> last child id
+        # element columns, for every page fed so far
+        self.end: list[int] = []
+        self.parent: list[int] = []
+        self.prev: list[int] = []
+        self.anc_vals: list[int] = []
+        self.anc_off: list[int] = [0]
+        self.tag: list[str] = []
+        self.attr_keys: list[str] = []
+        self.attr_vals: list[str] = []
+        self.attr_off: list[int] = [0]
+        self.cls_vals: list[str] = []
+        self.cls_off: list[int] = [0]
+        self.tf: list[int] = []
+        self.tt: list[int] = []
+        self.sf: list[int] = []
+        self.st: list[int] = []
+        self.raw: list[str | None] = []
+
+    # -- per page --------------------------------------------------------------
+    def page(self, html: str) -> tuple[str, str]:
+        """Parse one document; returns ``(text, stext)``."""
+        self.reset()
+        self.base = len(self.tag)          # index of this page's element 1
+        self.stack: list[int] = []         # ids of open elements
+        self.last_child: dict[int, int] = {}
         self.text: list[str] = []
         self.text_len = 0
         self.stext: list[str] = []
         self.stext_len = 0
         self.pending: list[str] = []
+        self.feed(html)
+        self.close()
+        self._flush()
+        self._close_to(0)
+        return "".join(self.text), "".join(self.stext)
 
-    # -- text ---------------------------------------------------------------
+    # -- text --------------------------------------------------------------------
     def _flush(self) -> None:
         if not self.pending:
             return
         data = "".join(self.pending)
         self.pending = []
         if self.stack:
-            top = self.elems[self.stack[-1]]
-            if top["tag"] in NON_TEXT_TAGS:
-                if top["tag"] == "script":
-                    top["raw"] = (top["raw"] or "") + data
+            i = self.base + self.stack[-1] - 1
+            tag = self.tag[i]
+            if tag in NON_TEXT_TAGS:
+                if tag == "script":
+                    self.raw[i] += data
                 return
         self.text.append(data)
         self.text_len += len(data)
@@ -120,47 +150,46 @@ class _TreeBuilder(HTMLParser):
     def unknown_decl(self, data: str) -> None:
         self._flush()
 
-    # -- tags ---------------------------------------------------------------
+    # -- tags ----------------------------------------------------------------------
     def _open(self, tag: str, attrs: list[tuple[str, str | None]]) -> int:
         self._flush()
-        eid = len(self.elems) + 1
-        parent = self.elems[self.stack[-1]]["id"] if self.stack else 0
+        eid = len(self.tag) - self.base + 1
+        parent = self.stack[-1] if self.stack else 0
         amap: dict[str, str] = {}
         for k, v in attrs:
             amap[k] = "" if v is None else v
-        cls = amap["class"].split() if "class" in amap else []
-        self.elems.append(
-            {
-                "id": eid,
-                "end": eid,
-                "parent": parent,
-                "prev": self.last_child.get(parent, 0),
-                "anc": [self.elems[i]["id"] for i in self.stack],
-                "tag": tag,
-                "attrs": list(amap.items()),
-                "cls": cls,
-                "tf": self.text_len,
-                "tt": self.text_len,
-                "sf": self.stext_len,
-                "st": self.stext_len,
-                "raw": "" if tag == "script" else None,
-            }
-        )
+        self.end.append(eid)
+        self.parent.append(parent)
+        self.prev.append(self.last_child.get(parent, 0))
+        self.anc_vals.extend(self.stack)
+        self.anc_off.append(len(self.anc_vals))
+        self.tag.append(tag)
+        self.attr_keys.extend(amap.keys())
+        self.attr_vals.extend(amap.values())
+        self.attr_off.append(len(self.attr_keys))
+        if "class" in amap:
+            self.cls_vals.extend(amap["class"].split())
+        self.cls_off.append(len(self.cls_vals))
+        self.tf.append(self.text_len)
+        self.tt.append(self.text_len)
+        self.sf.append(self.stext_len)
+        self.st.append(self.stext_len)
+        self.raw.append("" if tag == "script" else None)
         self.last_child[parent] = eid
-        return eid - 1
+        return eid
 
     def _close_to(self, depth: int) -> None:
-        last_id = len(self.elems)
+        last_id = len(self.tag) - self.base
         while len(self.stack) > depth:
-            e = self.elems[self.stack.pop()]
-            e["end"] = last_id
-            e["tt"] = self.text_len
-            e["st"] = self.stext_len
+            i = self.base + self.stack.pop() - 1
+            self.end[i] = last_id
+            self.tt[i] = self.text_len
+            self.st[i] = self.stext_len
 
     def handle_starttag(self, tag: str, attrs) -> None:
-        idx = self._open(tag, attrs)
+        eid = self._open(tag, attrs)
         if tag not in VOID_TAGS:
-            self.stack.append(idx)
+            self.stack.append(eid)
 
     def handle_startendtag(self, tag: str, attrs) -> None:
         self._open(tag, attrs)
@@ -168,24 +197,54 @@ class _TreeBuilder(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         self._flush()
         for depth in range(len(self.stack) - 1, -1, -1):
-            if self.elems[self.stack[depth]]["tag"] == tag:
+            if self.tag[self.base + self.stack[depth] - 1] == tag:
                 self._close_to(depth)
                 return
 
-    def finish(self) -> tuple[str, str, list[dict]]:
-        self.close()
-        self._flush()
-        self._close_to(0)
-        return "".join(self.text), "".join(self.stext), self.elems
+    # -- Arrow -----------------------------------------------------------------------
+    def elements_array(self, page_off: list[int], missing: list[bool], elems_type: pa.DataType) -> pa.Array:
+        """``list<struct>`` array of all pages fed (offsets per page)."""
+        i32 = pa.int32()
+        n = len(self.tag)
+        ids = [0] * n
+        for p in range(len(page_off) - 1):
+            a, b = page_off[p], page_off[p + 1]
+            ids[a:b] = range(1, b - a + 1)
+        struct_type = elems_type.value_type
+        children = [
+            pa.array(ids, i32), pa.array(self.end, i32), pa.array(self.parent, i32), pa.array(self.prev, i32),
+            pa.ListArray.from_arrays(pa.array(self.anc_off, i32), pa.array(self.anc_vals, i32)),
+            pa.array(self.tag, pa.string()),
+            pa.MapArray.from_arrays(pa.array(self.attr_off, i32), pa.array(self.attr_keys, pa.string()),
+                                    pa.array(self.attr_vals, pa.string())),
+            pa.ListArray.from_arrays(pa.array(self.cls_off, i32), pa.array(self.cls_vals, pa.string())),
+            pa.array(self.tf, i32), pa.array(self.tt, i32), pa.array(self.sf, i32), pa.array(self.st, i32),
+            pa.array(self.raw, pa.string()),
+        ]
+        children = [c.cast(f.type) for c, f in zip(children, struct_type)]
+        struct = pa.StructArray.from_arrays(children, fields=list(struct_type))
+        return pa.ListArray.from_arrays(pa.array(page_off, i32), struct, type=elems_type,
+                                        mask=pa.array(missing, pa.bool_()))
 
 
 def parse_html(html: str | None) -> tuple[str | None, str | None, list[dict] | None]:
-    """Parse one document (helper for tests and for the Arrow batch loop)."""
+    """Parse one document into ``(text, stext, elements as dicts)`` (helper for
+    tests; the Spark path builds Arrow columns directly)."""
     if html is None:
         return None, None, None
-    builder = _TreeBuilder()
-    builder.feed(html)
-    return builder.finish()
+    b = _TreeBuilder()
+    text, stext = b.page(html)
+    elems = []
+    for i in range(len(b.tag)):
+        a0, a1 = b.attr_off[i], b.attr_off[i + 1]
+        elems.append({
+            "id": i + 1, "end": b.end[i], "parent": b.parent[i], "prev": b.prev[i],
+            "anc": b.anc_vals[b.anc_off[i]:b.anc_off[i + 1]], "tag": b.tag[i],
+            "attrs": list(zip(b.attr_keys[a0:a1], b.attr_vals[a0:a1])),
+            "cls": b.cls_vals[b.cls_off[i]:b.cls_off[i + 1]],
+            "tf": b.tf[i], "tt": b.tt[i], "sf": b.sf[i], "st": b.st[i], "raw": b.raw[i],
+        })
+    return text, stext, elems
 
 
 def _dom_schema(pages: DataFrame, keep: list[str], keep_html: bool) -> T.StructType:
@@ -215,18 +274,25 @@ def parse_pages(pages: DataFrame, keep: list[str] | None = None, keep_html: bool
             htmls = batch.column(n_keep).to_pylist()
             for start in range(0, batch.num_rows, _OUTPUT_CHUNK_ROWS):
                 part = htmls[start : start + _OUTPUT_CHUNK_ROWS]
-                texts, stexts, elems = [], [], []
+                builder = _TreeBuilder()
+                texts, stexts, page_off, missing = [], [], [0], []
                 for h in part:
-                    t, s, e = parse_html(h)
-                    texts.append(t)
-                    stexts.append(s)
-                    elems.append(e)
+                    if h is None:
+                        texts.append(None)
+                        stexts.append(None)
+                        missing.append(True)
+                    else:
+                        t, st = builder.page(h)
+                        texts.append(t)
+                        stexts.append(st)
+                        missing.append(False)
+                    page_off.append(len(builder.tag))
                 cols = [batch.column(i).slice(start, len(part)) for i in range(n_keep)]
                 if keep_html:
                     cols.append(batch.column(n_keep).slice(start, len(part)))
                 cols.append(pa.array(texts, dom_types[0]))
                 cols.append(pa.array(stexts, dom_types[1]))
-                cols.append(pa.array(elems, dom_types[2]))
+                cols.append(builder.elements_array(page_off, missing, dom_types[2]))
                 yield pa.RecordBatch.from_arrays(cols, schema=arrow_schema)
 
     return pages.select(*keep, "html").mapInArrow(run, schema)
