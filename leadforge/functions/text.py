@@ -38,7 +38,8 @@ def _literal(sql: str) -> Column:
     (large literal lists otherwise dominate plan-building time)."""
     from pyspark import SparkContext
 
-    key = (id(SparkContext._active_spark_context), sql)
+    sc = SparkContext._active_spark_context
+    key = (sc.applicationId if sc is not None else None, sql)
     col = _LITERALS.get(key)
     if col is None:
         col = _LITERALS[key] = F.expr(sql)

@@ -106,10 +106,10 @@ def _next_markup(form: Column, path: Column) -> Column:
     )
 
 
-def listing_placements(spark: SparkSession, sf_dir: str) -> DataFrame:
+def listing_placements(spark: SparkSession, sf_dir: str, co: DataFrame | None = None) -> DataFrame:
     """``(sector, page_no, sort_key struct, k, c_name, href)``: every anchor
     of every listing page (own, carried-over, appended)."""
-    co = companies(spark, sf_dir)
+    co = companies(spark, sf_dir) if co is None else co
     n_pages = co.groupBy("sector").agg(F.max("own_page").alias("n_pages"))
     own = co.select("sector", F.col("own_page").alias("page_no"),
                     F.struct(F.lit(1).alias("g"), F.col("pos").cast("long").alias("o")).alias("sort_key"),
@@ -129,10 +129,10 @@ def listing_placements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return own.unionByName(carried).unionByName(appended)
 
 
-def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def listing_pages(spark: SparkSession, sf_dir: str, co: DataFrame | None = None) -> DataFrame:
     """``(sector, page_no, url, html)``."""
-    pl = listing_placements(spark, sf_dir)
-    co = companies(spark, sf_dir)
+    co = companies(spark, sf_dir) if co is None else co
+    pl = listing_placements(spark, sf_dir, co)
     n_pages = co.groupBy("sector").agg(F.max("own_page").alias("n_pages"))
     pages = pl.groupBy("sector", "page_no").agg(
         F.array_sort(F.collect_list(F.struct("sort_key", _anchor(F.col("k"), F.col("c_name"), F.col("href")).alias("a")))).alias("items")
@@ -203,9 +203,9 @@ def _website_markup(k: Column) -> Column:
     )
 
 
-def profile_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def profile_pages(spark: SparkSession, sf_dir: str, co: DataFrame | None = None) -> DataFrame:
     """``(url, html)`` for every company."""
-    co = companies(spark, sf_dir)
+    co = companies(spark, sf_dir) if co is None else co
     k = F.col("k")
     html = F.concat(
         F.lit("<!DOCTYPE html>\n<html><head><title>Company profile</title>"), _head_markup(k),
@@ -254,9 +254,9 @@ def _page(head: Column, body: Column) -> Column:
                     body, F.lit("\n<footer><p>All rights reserved.</p></footer>\n</body></html>"))
 
 
-def site_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def site_pages(spark: SparkSession, sf_dir: str, co: DataFrame | None = None) -> DataFrame:
     """company homepages and their contact pages."""
-    co = companies(spark, sf_dir).filter(F.floor(F.col("k") / 10) % 5 != 4)
+    co = (companies(spark, sf_dir) if co is None else co).filter(F.floor(F.col("k") / 10) % 5 != 4)
     k = F.col("k")
     site = site_url(k)
     v = k % 10
@@ -293,14 +293,15 @@ def crawl(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataF
     sites(url, html))``."""
     from leadforge.session import cut_lineage
 
-    key = (id(spark.sparkContext), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _CRAWLS:
         # stored like a crawl that arrives in many files: one part per core
         n = spark.sparkContext.defaultParallelism
+        co = cut_lineage(companies(spark, sf_dir))
         _CRAWLS[key] = (
-            cut_lineage(listing_pages(spark, sf_dir).repartition(n, "url")),
-            cut_lineage(profile_pages(spark, sf_dir).repartition(n, "url")),
-            cut_lineage(site_pages(spark, sf_dir).repartition(n, "url")),
+            cut_lineage(listing_pages(spark, sf_dir, co).repartition(n, "url")),
+            cut_lineage(profile_pages(spark, sf_dir, co).repartition(n, "url")),
+            cut_lineage(site_pages(spark, sf_dir, co).repartition(n, "url")),
         )
     return _CRAWLS[key]
 
