@@ -22,7 +22,7 @@ from leadforge.functions.select import Sel, Selector, raw_text, sel, select, sel
 from leadforge.functions.text import pystrip, title_case
 from leadforge.functions.urls import urljoin
 from leadforge.operators.dedup import first_by
-from leadforge.session import cut_lineage
+from leadforge.session import broadcast_if_small, cut_lineage
 
 # Selector records for the config's CSS and the D5 fallbacks (in order).
 LINK_SELECTOR = sel("a", attrs=[("data-test", "=", "company-name")])
@@ -234,7 +234,8 @@ def directory_companies(features: DataFrame, config: DataFrame, group: list[str]
     """
     visited = visited_pages(features, config)
     links = feature_links(features)
-    occ = visited.join(links, "url").join(F.broadcast(config.select("sector", "sector_ord")), "sector")
+    # one row per configured sector: broadcast behind a row-count check
+    occ = visited.join(links, "url").join(broadcast_if_small(config.select("sector", "sector_ord")), "sector")
     group = [] if group is None else group
     return dedup_companies(
         occ, group, ["sector_ord", "page_no", "link_pos"],

@@ -26,7 +26,7 @@ from leadforge.operators import emails as E
 from leadforge.operators.country import country_columns
 from leadforge.operators.dom import parse_pages
 from leadforge.operators.website import website_exprs, website_url
-from leadforge.session import cut_lineage
+from leadforge.session import broadcast_if_small, cut_lineage
 from leadforge.sources.pages import lookup_pages
 
 
@@ -85,7 +85,7 @@ def run(config: DataFrame, listings: DataFrame, pages: DataFrame, limit: int | N
     all_cands = home_cands.unionByName(page_cands.join(home_cands.select("page_url"), "page_url", "left_anti"))
 
     # The keyword lists come from the sector config: one row per configured
-    # sector, a bounded table, so it is broadcast.
+    # sector; broadcast behind a row-count check.
     keywords = config.select("sector", F.coalesce("business_domain_keywords", F.array().cast("array<string>"))
                              .alias("custom"))
     # E12 depends only on the site and the sector's keyword list, so it runs
@@ -94,7 +94,7 @@ def run(config: DataFrame, listings: DataFrame, pages: DataFrame, limit: int | N
     visits = (
         site_keys.join(to_check, "site_url")
         .join(all_cands, "page_url")
-        .join(F.broadcast(keywords), "sector")
+        .join(broadcast_if_small(keywords), "sector")
     )
     emails = E.page_emails(visits, ["sector", "site_url", "rank"], custom_col="custom")
     per_site = E.site_emails(emails, ["sector", "site_url"])

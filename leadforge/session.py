@@ -55,3 +55,11 @@ def cut_lineage(df):
     survives the loss of the executors that computed it)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def broadcast_if_small(df, max_rows: int = 100_000):
+    """``broadcast(df)`` when it has at most ``max_rows`` rows (counted),
+    else ``df`` unchanged (the planner then shuffles)."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if df.count() <= max_rows else df

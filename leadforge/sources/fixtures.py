@@ -65,13 +65,34 @@ def profile_href(k: Column) -> Column:
     return F.when(k % 12 == 3, F.concat(F.lit("/pl"), path)).otherwise(path)
 
 
+RANK_BUCKET = 4096
+
+
+def with_rank(df: DataFrame, group: str, key: str, out: str) -> DataFrame:
+    """``df`` plus ``out`` = 1-based rank of ``key`` inside ``group`` (keys
+    unique within a group), without a window over a whole group (a sector
+    may hold a third of all rows).
+
+    Keys are cut into buckets of ``RANK_BUCKET`` consecutive values; rows are
+    counted per (group, bucket) with a partial aggregate, the counts of the
+    earlier buckets are summed over that small table, and the rank inside a
+    bucket is a window over at most ``RANK_BUCKET`` rows."""
+    b = df.withColumn("_bucket", F.floor(F.col(key) / RANK_BUCKET))
+    counts = b.groupBy(group, "_bucket").agg(F.count("*").alias("_n"))
+    wb = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(wb), F.lit(0))).drop("_n")
+    wr = Window.partitionBy(group, "_bucket").orderBy(key)
+    ranked = b.withColumn("_r", F.row_number().over(wr))
+    return ranked.join(offsets, [group, "_bucket"]).withColumn(out, F.col("_before") + F.col("_r")).drop(
+        "_bucket", "_before", "_r")
+
+
 def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per customer with its fixture coordinates."""
     cust = read_table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("k"), "c_name", F.lower("c_mktsegment").alias("sector"))
     co = cust.join(F.broadcast(_sector_table(spark)), "sector")
-    w = Window.partitionBy("sector").orderBy("k")
-    co = co.withColumn("pos", F.row_number().over(w) - 1)
+    co = with_rank(co, "sector", "k", "pos").withColumn("pos", F.col("pos") - 1)
     return co.select(
         "*",
         (F.floor(F.col("pos") / PER_PAGE) + 1).cast("int").alias("own_page"),
@@ -119,10 +140,12 @@ def listing_placements(spark: SparkSession, sf_dir: str, co: DataFrame | None =
     ).select("sector", (F.col("own_page") + 1).alias("page_no"),
              F.struct(F.lit(0).alias("g"), F.col("pos").cast("long").alias("o")).alias("sort_key"),
              "k", "c_name", "href")
-    m_pages = n_pages.filter(F.col("sector") == "machinery").select(F.col("n_pages").alias("m_pages"))
-    appended = co.filter(F.col("k") % 50 == 0).crossJoin(F.broadcast(m_pages)).select(
+    # number of machinery pages: one scalar of a per-sector aggregate
+    m_pages = n_pages.filter(F.col("sector") == "machinery").first()
+    m_pages = int(m_pages["n_pages"]) if m_pages else 1
+    appended = co.filter(F.col("k") % 50 == 0).select(
         F.lit("machinery").alias("sector"),
-        ((F.floor(F.col("k") / 50) % F.col("m_pages")) + 1).cast("int").alias("page_no"),
+        ((F.floor(F.col("k") / 50) % F.lit(m_pages)) + 1).cast("int").alias("page_no"),
         F.struct(F.lit(2).alias("g"), F.col("k").cast("long").alias("o")).alias("sort_key"),
         "k", "c_name", "href",
     )
