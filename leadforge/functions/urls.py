@@ -13,10 +13,18 @@ from leadforge import params
 from leadforge.functions.text import any_contains
 
 
+def _join_one(b: str | None, h: str | None) -> str | None:
+    if b is None or h is None:
+        return None
+    try:
+        return _urljoin(b, h)
+    except ValueError:  # e.g. an unbalanced "[" in the host: the link is unusable
+        return None
+
+
 @F.pandas_udf(T.StringType())
 def _urljoin_udf(base: pd.Series, href: pd.Series) -> pd.Series:
-    out = [None if b is None or h is None else _urljoin(b, h) for b, h in zip(base, href)]
-    return pd.Series(out, dtype=object)
+    return pd.Series([_join_one(b, h) for b, h in zip(base, href)], dtype=object)
 
 
 # Root-relative href whose resolution is plain concatenation: no "//" start, no
@@ -24,24 +32,31 @@ def _urljoin_udf(base: pd.Series, href: pd.Series) -> pd.Series:
 _SIMPLE_ROOT_REL = r"^/(?!/)[^?#]*$"
 _HAS_DOT_SEGMENT = r"(^|/)\.\.?(/|$)"
 _HTTP_ORIGIN = r"^(https?://[^/?#]*)"
+# Absolute http(s) URL (lower-case scheme, with a host) that urljoin returns
+# unchanged: no whitespace or control characters (urlsplit strips them), no
+# ';' (path parameters are re-serialised), no backslash or bracket, and no empty
+# query/fragment marker at the end (urlunsplit drops those).
+_CLEAN_ABSOLUTE = r"^(?!.*(\?#|[?#]$))https?://[^/?#;\[\]\s\x00-\x1f\x7f\\]+[^;\[\]\s\x00-\x1f\x7f\\]*$"
 
 
 def urljoin(base: Column, href: Column) -> Column:
     """RFC 3986 resolution of ``href`` against ``base`` (``urllib.parse.urljoin``).
 
-    Root-relative hrefs against an http(s) base are resolved natively
-    (origin || href); every other row goes through one Arrow-batched
-    ``pandas_udf``.  Rows on the native path reach the UDF as NULLs.
+    Root-relative hrefs against an http(s) base (origin || href) and clean
+    absolute http(s) URLs (unchanged) are resolved natively; every other row
+    goes through one Arrow-batched ``pandas_udf``.  Rows on the native path
+    reach the UDF as NULLs.
     """
     origin = F.regexp_extract(base, _HTTP_ORIGIN, 1)
-    fast = (
-        href.rlike(_SIMPLE_ROOT_REL)
-        & ~href.rlike(_HAS_DOT_SEGMENT)
-        & (origin != F.lit(""))
-    )
-    fast = F.coalesce(fast, F.lit(False))
+    root_rel = F.coalesce(
+        href.rlike(_SIMPLE_ROOT_REL) & ~href.rlike(_HAS_DOT_SEGMENT) & (origin != F.lit("")), F.lit(False))
+    absolute = F.coalesce(href.rlike(_CLEAN_ABSOLUTE) & (origin != F.lit("")), F.lit(False))
+    fast = root_rel | absolute
     slow = _urljoin_udf(F.when(~fast, base), F.when(~fast, href))
-    return F.when(href.isNull() | base.isNull(), F.lit(None)).when(fast, F.concat(origin, href)).otherwise(slow)
+    return (F.when(href.isNull() | base.isNull(), F.lit(None))
+            .when(root_rel, F.concat(origin, href))
+            .when(absolute, href)
+            .otherwise(slow))
 
 
 def is_valid_website(url: Column, unwanted: list[str] | None = None) -> Column:

@@ -161,13 +161,15 @@ def follow_pagination(starts: DataFrame, nexts: DataFrame, max_pages_bound: int)
         if j + 1 < rounds:
             a, b = jump.alias("a"), jump.alias("b")
             jump = a.join(b, F.col("a.dst") == F.col("b.src")).select(F.col("a.src").alias("src"), F.col("b.dst").alias("dst"))
-            # both tables appear twice in the next round's plan: cut lineage
-            # (one checkpoint for both) so the plan stays linear in the rounds
-            jump, walks = _materialise_pair(jump, walks)
-            # every walk that is still growing has 2^(j+1) positions; if the
-            # longest one is shorter, all walks have ended
-            if walks.agg(F.max("step")).first()[0] < 2 ** (j + 1) - 1:
-                break
+            if j % 2 == 1:
+                # both tables appear twice in the next round's plan: cut the
+                # lineage every second round (one checkpoint for both), so the
+                # plan never holds more than four copies of a materialised table
+                jump, walks = _materialise_pair(jump, walks)
+                # every walk still growing has 2^(j+1) positions; if the
+                # longest is shorter, all walks have ended
+                if walks.agg(F.max("step")).first()[0] < 2 ** (j + 1) - 1:
+                    break
     return walks.filter(F.col("step") < F.col("max_pages")).select(
         "sector", (F.col("step") + 1).alias("page_no"), F.col("node").alias("url"))
 

@@ -101,7 +101,12 @@ def test_slug_rule(spark):
 
 def test_urljoin_matches_stdlib(spark):
     base = "https://a.test/dir/page.html?q=1"
-    hrefs = ["/x", "x/y", "../z", "//cdn.test/a", "https://b.test/", "mailto:a@b.c", "?p=2", "#top", "/a/./b", "/x?"]
+    from leadforge.functions.urls import _join_one
+
+    hrefs = ["/x", "x/y", "../z", "//cdn.test/a", "https://b.test/", "mailto:a@b.c", "?p=2", "#top", "/a/./b", "/x?",
+             "https://b.test/x?y=1#z", "https://b.test/x?", "http://b.test/a;p", "https://b.test/a/../b", "https://[::1/x"]
     rows = spark.createDataFrame([(base, h) for h in hrefs], "b string, h string")
     got = [r[0] for r in rows.select(sp_urljoin(F.col("b"), F.col("h"))).collect()]
-    assert got == [urljoin(base, h) for h in hrefs]
+    assert got == [_join_one(base, h) for h in hrefs]
+    assert got[:10] == [urljoin(base, h) for h in hrefs[:10]]
+    assert got[-1] is None  # malformed host: the link is dropped, the job goes on
