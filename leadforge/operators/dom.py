@@ -155,9 +155,9 @@ class _TreeBuilder(HTMLParser):
         self._flush()
         eid = len(self.tag) - self.base + 1
         parent = self.stack[-1] if self.stack else 0
-        amap: dict[str, str] = {}
-        for k, v in attrs:
-            amap[k] = "" if v is None else v
+        amap = dict(attrs)  # a repeated attribute keeps its last value
+        if None in amap.values():
+            amap = {k: ("" if v is None else v) for k, v in amap.items()}
         self.end.append(eid)
         self.parent.append(parent)
         self.prev.append(self.last_child.get(parent, 0))
