@@ -52,3 +52,17 @@ def test_early_stop_rule(spark):
     v = spark.createDataFrame(rows, "site string, rank int, email string")
     got = sorted(r.email for r in site_emails(v, ["site"]).collect())
     assert got == ["a", "b", "c", "d", "e", "f"]
+
+
+def test_contacts_are_order_independent(spark):
+    """E12/E13 results must not depend on how the crawl is partitioned."""
+    from leadforge.plans import pipeline
+
+    listings, profiles, sites = FX.crawl(spark, SF_SMALL)
+    cfg = FX.fixture_sector_config(spark, SF_SMALL)
+    pages = profiles.unionByName(sites)
+    a = pipeline.run(cfg, listings.select("url", "html"), pages)
+    b = pipeline.run(cfg, listings.select("url", "html").repartition(5, F.rand(7)), pages.repartition(3, F.rand(11)))
+    cols = ["sector", "company_url", "email"]
+    assert sorted(a.contacts.select(cols).collect()) == sorted(b.contacts.select(cols).collect())
+    assert sorted(a.site_emails.select(cols).collect()) == sorted(b.site_emails.select(cols).collect())
