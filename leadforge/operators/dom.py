@@ -67,7 +67,10 @@ VOID_TAGS = frozenset(
     "area base br col embed hr img input keygen link menuitem meta param source track wbr "
     "basefont bgsound command frame image isindex nextid spacer".split()
 )
-NON_TEXT_TAGS = frozenset(["script", "style", "template"])
+# Text inside these tags (at any depth) is not ordinary text: the tree
+# builder gives it its own string class, and get_text() of ordinary elements
+# and of the document leaves it out.
+NON_TEXT_TAGS = frozenset(["script", "style", "template", "rt", "rp"])
 # Python's str.strip() whitespace; used for stripped text nodes.
 _OUTPUT_CHUNK_ROWS = 256
 
@@ -109,6 +112,7 @@ class _TreeBuilder(HTMLParser):
         self.stext: list[str] = []
         self.stext_len = 0
         self.pending: list[str] = []
+        self.in_container = 0              # open NON_TEXT_TAGS elements
         self.feed(html)
         self.close()
         self._flush()
@@ -121,13 +125,11 @@ class _TreeBuilder(HTMLParser):
             return
         data = "".join(self.pending)
         self.pending = []
-        if self.stack:
+        if self.in_container:
             i = self.base + self.stack[-1] - 1
-            tag = self.tag[i]
-            if tag in NON_TEXT_TAGS:
-                if tag == "script":
-                    self.raw[i] += data
-                return
+            if self.tag[i] == "script":
+                self.raw[i] += data
+            return
         self.text.append(data)
         self.text_len += len(data)
         stripped = data.strip()
@@ -182,6 +184,8 @@ class _TreeBuilder(HTMLParser):
         last_id = len(self.tag) - self.base
         while len(self.stack) > depth:
             i = self.base + self.stack.pop() - 1
+            if self.tag[i] in NON_TEXT_TAGS:
+                self.in_container -= 1
             self.end[i] = last_id
             self.tt[i] = self.text_len
             self.st[i] = self.stext_len
@@ -190,6 +194,8 @@ class _TreeBuilder(HTMLParser):
         eid = self._open(tag, attrs)
         if tag not in VOID_TAGS:
             self.stack.append(eid)
+            if tag in NON_TEXT_TAGS:
+                self.in_container += 1
 
     def handle_startendtag(self, tag: str, attrs) -> None:
         self._open(tag, attrs)

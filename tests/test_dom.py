@@ -66,3 +66,13 @@ def test_ancestors():
 
 def test_missing_page():
     assert parse_html(None) == (None, None, None)
+
+
+def test_string_containers_at_any_depth_are_not_text():
+    text, _, elems = parse_html("<p>a<ruby>b<rt>x<b>y</b></rt></ruby><template><i>t</i></template>c</p>")
+    assert text == "abc"
+
+
+def test_script_text_only_from_direct_content():
+    _, _, elems = parse_html("<script>var a=1;</script><p>x</p>")
+    assert by_tag(elems, "script")[0]["raw"] == "var a=1;"
