@@ -36,7 +36,7 @@ def _site_cands(spark, sf_dir) -> DataFrame:
 
 
 def _sites(spark, sf_dir) -> DataFrame:
-    co = FX.companies(spark, sf_dir).filter(F.floor(F.col("k") / 10) % 5 != 4)
+    co = FX.crawl_companies(spark, sf_dir).filter(F.floor(F.col("k") / 10) % 5 != 4)
     return co.select(FX.site_url(F.col("k")).alias("site_url"))
 
 

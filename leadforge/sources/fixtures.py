@@ -325,8 +325,15 @@ def crawl(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataF
             cut_lineage(listing_pages(spark, sf_dir, co).repartition(n, "url")),
             cut_lineage(profile_pages(spark, sf_dir, co).repartition(n, "url")),
             cut_lineage(site_pages(spark, sf_dir, co).repartition(n, "url")),
+            co,
         )
-    return _CRAWLS[key]
+    return _CRAWLS[key][:3]
+
+
+def crawl_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fixture company table the crawl was generated from (memoised with it)."""
+    crawl(spark, sf_dir)
+    return _CRAWLS[(spark.sparkContext.applicationId, sf_dir)][3]
 
 
 def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
