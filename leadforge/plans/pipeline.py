@@ -73,7 +73,9 @@ def run(config: DataFrame, listings: DataFrame, pages: DataFrame, limit: int | N
     home_dom = parse_pages(lookup_pages(sites, pages, "site_url"), keep=["site_url"], keep_html=True)
     homes = cut_lineage(home_dom.select("site_url", *P.discovery_exprs(), *E.candidate_exprs()))
 
-    discovered = P.discover_from(homes, "site_url")
+    # small (at most 6 rows a site) but read three times: lookup size check,
+    # lookup, pages-to-check
+    discovered = cut_lineage(P.discover_from(homes, "site_url"))
     to_check = homes.select("site_url", F.lit(0).alias("rank"), F.lit("Homepage").alias("page_name"),
                             F.col("site_url").alias("page_url")).unionByName(discovered)
 
