@@ -30,9 +30,8 @@ def scan_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page URL plus its site's ``/contact`` URL, looked up in the
     snapshot; a miss is a NULL page."""
     pages = read_pages(spark, sf_dir)
-    wanted = pages.select("url").union(
-        pages.select(F.concat(F.regexp_extract("url", ORIGIN_RE, 1), F.lit("/contact")).alias("url"))
-    ).distinct()
+    wanted = pages.select(F.explode(F.array(
+        F.col("url"), F.concat(F.regexp_extract("url", ORIGIN_RE, 1), F.lit("/contact")))).alias("url"))
     found = lookup_pages(wanted, pages)
     return found.select(
         "url",

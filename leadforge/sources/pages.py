@@ -78,9 +78,10 @@ def lookup_pages(urls: DataFrame, pages: DataFrame, url_col: str = "url",
     that follows runs in the crawl's own partitions.
     """
     wanted = urls.select(F.col(url_col).alias("url")).distinct()
-    if broadcast_rows is not None and wanted.count() <= broadcast_rows:
-        wanted = F.broadcast(wanted)
-    found = pages.select("url", "html").join(wanted, "url", "left_semi")
-    missing = wanted.join(found.select("url"), "url", "left_anti").select(
+    small = broadcast_rows is not None and wanted.count() <= broadcast_rows
+    found = pages.select("url", "html").join(F.broadcast(wanted) if small else wanted, "url", "left_semi")
+    found_urls = found.select("url")
+    # found URLs are a subset of the wanted ones: broadcastable when those are
+    missing = wanted.join(F.broadcast(found_urls) if small else found_urls, "url", "left_anti").select(
         "url", F.lit(None).cast("string").alias("html"))
     return found.unionByName(missing).withColumnRenamed("url", url_col)
