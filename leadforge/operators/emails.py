@@ -4,9 +4,10 @@ Two stages:
 
 1. ``page_candidates`` (page-local, sector independent): the raw strings each
    method finds on a page, kept as arrays on the page row --
-   ``mailto`` (E1, split but not cleaned), ``text`` (E2 on the page text),
-   ``areas`` (E3: E2 on every contact area's text plus the area's mailto
-   parts), ``patterns`` (E4-E6 on the raw HTML, already un-obfuscated).
+   ``mailto`` (E1, split but not cleaned), ``text_hits`` (E2 on the page
+   text), ``area_hits`` (E3: E2 on every contact area's text plus the area's
+   mailto parts), ``pattern_hits`` (E4-E6 on the raw HTML, un-obfuscated;
+   computed on the JVM before the parse).
 2. ``page_emails`` (needs the sector's keyword list, E9): cleans the arrays;
    the page text is used only when no mailto address survived cleaning (E11).
 
@@ -71,14 +72,11 @@ def _unobfuscate(m: Column) -> Column:
     )
 
 
-def candidate_exprs(html_col: str = "html") -> list[Column]:
-    """Stage 1 as columns of a DOM row that still carries ``html``."""
-    anchors = anchor_list()
-    areas = select(CONTACT_AREA_SELECTORS)
-    area_raw = F.flatten(F.transform(areas, lambda r: F.concat(
-        _text_matches(raw_text(r)), _mailto_parts(within(r, anchors)))))
-    html = F.col(html_col)
-    pattern_raw = F.transform(
+def pattern_hits(html: Column) -> Column:
+    """E4-E6 on the raw HTML (JVM regex), un-obfuscated.  Computed on the
+    crawl rows *before* the parse, so the HTML itself never has to come back
+    from the Python parser: only this small array passes through."""
+    return F.transform(
         F.concat(
             F.regexp_extract_all(html, F.lit(UI + params.EMAIL_ENTITY_PATTERN), 0),
             F.regexp_extract_all(html, F.lit(UI + params.EMAIL_SPACED_PATTERN), 0),
@@ -86,19 +84,37 @@ def candidate_exprs(html_col: str = "html") -> list[Column]:
         ),
         _unobfuscate,
     )
+
+
+def candidate_exprs(pattern_col: str = "pattern_hits") -> list[Column]:
+    """Stage 1 as columns of a DOM row; ``pattern_col`` holds ``pattern_hits``
+    computed before the parse (``with_pattern_hits``)."""
+    anchors = anchor_list()
+    areas = select(CONTACT_AREA_SELECTORS)
+    area_raw = F.flatten(F.transform(areas, lambda r: F.concat(
+        _text_matches(raw_text(r)), _mailto_parts(within(r, anchors)))))
     return [
         F.col("elems").isNotNull().alias("fetched"),
         _mailto_parts(anchors).alias("mailto"),
         _text_matches(F.col("text")).alias("text_hits"),
         area_raw.alias("area_hits"),
-        pattern_raw.alias("pattern_hits"),
+        F.col(pattern_col).alias("pattern_hits"),
     ]
 
 
-def page_candidates(dom: DataFrame, keep: list[str] | None = None, html_col: str = "html") -> DataFrame:
-    """Stage 1 on DOM rows that still carry ``html`` (``parse_pages(..., keep_html=True)``)."""
+def with_pattern_hits(pages: DataFrame, html_col: str = "html") -> DataFrame:
+    """Crawl rows plus ``pattern_hits`` (to be kept through ``parse_pages``)."""
+    return pages.withColumn("pattern_hits", pattern_hits(F.col(html_col)))
+
+
+def page_candidates(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Stage 1 on crawl rows ``(keep..., html)``: raw-HTML patterns first,
+    then one parse and one projection."""
+    from leadforge.operators.dom import parse_pages
+
     keep = list(keep or ["url"])
-    return dom.select(*keep, *candidate_exprs(html_col))
+    dom = parse_pages(with_pattern_hits(pages), keep=[*keep, "pattern_hits"])
+    return dom.select(*keep, *candidate_exprs())
 
 
 def _clean_all(arr: Column, custom: Column | None) -> Column:

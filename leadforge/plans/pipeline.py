@@ -70,7 +70,8 @@ def run(config: DataFrame, listings: DataFrame, pages: DataFrame, limit: int | N
 
     with_site = enriched.filter(F.trim(F.col("website_url")) != F.lit(""))
     sites = with_site.select(F.col("website_url").alias("site_url")).distinct()
-    home_dom = parse_pages(lookup_pages(sites, pages, "site_url"), keep=["site_url"], keep_html=True)
+    home_pages = E.with_pattern_hits(lookup_pages(sites, pages, "site_url"))
+    home_dom = parse_pages(home_pages, keep=["site_url", "pattern_hits"])
     homes = cut_lineage(home_dom.select("site_url", *P.discovery_exprs(), *E.candidate_exprs()))
 
     # small (at most 6 rows a site) but read three times: lookup size check,
@@ -80,8 +81,7 @@ def run(config: DataFrame, listings: DataFrame, pages: DataFrame, limit: int | N
                             F.col("site_url").alias("page_url")).unionByName(discovered)
 
     others = discovered.select("page_url").distinct()
-    other_dom = parse_pages(lookup_pages(others, pages, "page_url"), keep=["page_url"], keep_html=True)
-    page_cands = other_dom.select("page_url", *E.candidate_exprs())
+    page_cands = E.page_candidates(lookup_pages(others, pages, "page_url"), keep=["page_url"])
     home_cands = homes.select(F.col("site_url").alias("page_url"), "fetched", "mailto", "text_hits",
                               "area_hits", "pattern_hits")
     all_cands = home_cands.unionByName(page_cands.join(home_cands.select("page_url"), "page_url", "left_anti"))

@@ -27,12 +27,8 @@ def fixture_run(spark: SparkSession, sf_dir: str, limit: int | None = None) -> p
     return pipeline.run(cfg, listings.select("url", "html"), profiles.unionByName(sites), limit=limit)
 
 
-def _site_dom(spark, sf_dir, keep_html=True) -> DataFrame:
-    return parse_pages(FX.crawl(spark, sf_dir)[2], keep_html=keep_html)
-
-
 def _site_cands(spark, sf_dir) -> DataFrame:
-    return E.page_candidates(_site_dom(spark, sf_dir))
+    return E.page_candidates(FX.crawl(spark, sf_dir)[2])
 
 
 def _sites(spark, sf_dir) -> DataFrame:
@@ -71,8 +67,9 @@ def emails_contact_areas(spark, sf_dir):
 
 def _pattern_emails(pattern: str):
     def q(spark, sf_dir):
-        dom = _site_dom(spark, sf_dir)
-        m = dom.select("url", F.explode(F.regexp_extract_all("html", F.lit(E.UI + pattern), 0)).alias("m"))
+        # raw-HTML patterns need no parse: straight on the crawl rows
+        site_pages = FX.crawl(spark, sf_dir)[2]
+        m = site_pages.select("url", F.explode(F.regexp_extract_all("html", F.lit(E.UI + pattern), 0)).alias("m"))
         e = m.select("url", clean_email(E._unobfuscate(F.col("m"))).alias("email"))
         return e.filter(F.col("email").isNotNull()).distinct()
     return q
