@@ -18,8 +18,6 @@ the shared checkpoint folder (executors can be lost at any time).
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,9 +36,17 @@ LISTING_SCHEMA = T.StructType([
 
 
 def _history(spark: SparkSession, path: str, before: int) -> DataFrame | None:
-    if not os.path.isdir(path) or not any(n.startswith("batch_id=") for n in os.listdir(path)):
+    """Seen URLs of earlier batches, read through Spark (any file system the
+    cluster uses); ``None`` before the first batch has written anything."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        hist = spark.read.parquet(path)
+    except AnalysisException:  # path does not exist yet
+        return None
+    if "batch_id" not in hist.columns:
         return None
-    return spark.read.parquet(path).filter(F.col("batch_id") < before).select("company_url")
+    return hist.filter(F.col("batch_id") < before).select("company_url")
 
 
 def new_links(batch: DataFrame, history: DataFrame | None) -> DataFrame:
@@ -59,7 +65,7 @@ def start(spark: SparkSession, source_dir: str, history_dir: str, checkpoint_dir
     """Start the stream over ``source_dir``; returns the ``StreamingQuery``."""
     def process(batch: DataFrame, batch_id: int) -> None:
         fresh = new_links(batch, _history(spark, history_dir, batch_id))
-        fresh.write.mode("overwrite").parquet(os.path.join(history_dir, f"batch_id={batch_id}"))
+        fresh.write.mode("overwrite").parquet(f"{history_dir.rstrip('/')}/batch_id={batch_id}")
 
     stream = spark.readStream.schema(LISTING_SCHEMA).parquet(source_dir)
     writer = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint_dir)
