@@ -110,3 +110,26 @@ def test_urljoin_matches_stdlib(spark):
     assert got == [_join_one(base, h) for h in hrefs]
     assert got[:10] == [urljoin(base, h) for h in hrefs[:10]]
     assert got[-1] is None  # malformed host: the link is dropped, the job goes on
+
+
+def test_published_sample_rows(spark):
+    """The three addresses of the published emails sample pass E7-E10, and the
+    two websites of the links sample are valid (W3)."""
+    emails = ["direccion@canaryislandworldwide.com", "info@canaryislandworldwide.com", "enoteca@bocopa.com"]
+    assert one(spark, classify_email(F.col("x"))["email"], emails) == emails
+    sites = ["https://www.burgondie.info/", "https://www.canaryislandworldwide.es"]
+    assert one(spark, is_valid_website(F.col("x")), sites) == [True, True]
+
+
+def test_sector_config_validation(spark):
+    import pytest
+
+    from leadforge.sources.config import validate_config
+    from leadforge.sources.fixtures import SECTOR_CONFIG_SCHEMA
+
+    good = spark.createDataFrame([("wines", 1, "https://d.test/w.html", None, None)], SECTOR_CONFIG_SCHEMA)
+    row = validate_config(good).first()
+    assert row.max_pages == 2 and row.business_domain_keywords == []  # defaults; NULL keywords = empty (K3)
+    bad = spark.createDataFrame([("wines", 1, "  ", 2, ["wine"])], SECTOR_CONFIG_SCHEMA)
+    with pytest.raises(Exception, match="required field is empty"):
+        validate_config(bad).collect()
