@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadforge import params
-from leadforge.functions.select import Sel, Selector, raw_text, sel, select, select_one, strip_text
+from leadforge.functions.select import Selector, sel, select, select_one, strip_text
 from leadforge.functions.text import pystrip, title_case
 from leadforge.functions.urls import urljoin
 from leadforge.operators.dedup import first_by

@@ -4,7 +4,7 @@ of the audit on ``pages``."""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+
 from pyspark.sql import functions as F
 
 from leadforge.functions.select import count, css, sel

@@ -16,7 +16,6 @@ from leadforge.plans.fixture_sql import SITE_EM_SECTOR, with_base
 from leadforge.sources import fixtures as FX
 from leadforge.sources import sinks as S
 from leadforge.sources.pages import lookup_pages
-from leadforge.session import cut_lineage
 
 
 def fixture_run(spark: SparkSession, sf_dir: str, limit: int | None = None) -> pipeline.Run:
