@@ -4,8 +4,8 @@ A selector is a ``Sel`` record: the simple parts (tag, id, classes, attribute
 tests, ``:not`` tests, ``:contains`` text) plus at most one combinator to the
 left (``inside`` = descendant, ``after`` = adjacent sibling).  A comma list is
 a tuple of records (``any_of``).  Records are turned into Column expressions on
-the element struct of ``leadforge.operators.dom`` when the plan is built, so a
-selector costs no Python at run time.  ``css()`` renders a record for reports.
+the element struct of ``leadforge.operators.dom`` (as one SQL expression) when
+the plan is built, so a selector costs no Python at run time.  ``css()`` renders a record for reports.
 
 On a DOM row:
   ``select(sel)``      -> array of matching elements in document order (each
@@ -94,65 +94,14 @@ def strip_text(e: Column) -> Column:
     return F.substr(F.col(STEXT_COL), e["sf"] + 1, e["st"] - e["sf"])
 
 
-def element(eid: Column) -> Column:
-    """Element with id ``eid`` of the current page (NULL for 0 / the document)."""
-    return F.get(F.col(ELEMS_COL), eid - 1)
-
-
-# -- compilation -----------------------------------------------------------------
-
-def _attr_test(e: Column, name: str, op: str, value: str | None) -> Column:
-    if name == "class" and op == "has":
-        return F.size(e["cls"]) > 0
-    if op == "has":
-        return F.map_contains_key(e["attrs"], name)
-    v = attr(e, name)
-    if op == "=":
-        return F.coalesce(v == F.lit(value), F.lit(False))
-    if not value:  # [a*=""], [a^=""], [a$=""] match nothing
-        return F.lit(False)
-    if op == "*=":
-        return F.coalesce(v.contains(value), F.lit(False))
-    if op == "^=":
-        return F.coalesce(v.startswith(value), F.lit(False))
-    if op == "$=":
-        return F.coalesce(v.endswith(value), F.lit(False))
-    raise ValueError(f"unsupported attribute operator {op!r}")
-
-
-def matches(s: Selector, e: Column) -> Column:
-    """Boolean Column: element struct ``e`` matches selector ``s``."""
-    if isinstance(s, tuple):
-        out = F.lit(False)
-        for part in s:
-            out = out | matches(part, e)
-        return out
-    conds: list[Column] = []
-    if s.tag:
-        conds.append(e["tag"] == F.lit(s.tag))
-    if s.id:
-        conds.append(F.coalesce(e["attrs"]["id"] == F.lit(s.id), F.lit(False)))
-    for c in s.classes:
-        conds.append(F.array_contains(e["cls"], c))
-    for name, op, value in s.attrs:
-        conds.append(_attr_test(e, name, op, value))
-    for n in s.nots:
-        conds.append(~matches(n, e))
-    if s.contains is not None:
-        conds.append(raw_text(e).contains(s.contains))
-    if s.after is not None:
-        prev = element(e["prev"])
-        conds.append(F.coalesce((e["prev"] > 0) & matches(s.after, prev), F.lit(False)))
-    if s.inside is not None:
-        inner = s.inside
-        conds.append(F.exists(e["anc"], lambda a: matches(inner, element(a))))
-    out = F.lit(True)
-    for c in conds:
-        out = out & c
-    return out
-
-
-# -- compilation to one SQL expression (fast plan building) -------------------------
+# -- compilation to one SQL expression ---------------------------------------------
+#
+# A selector becomes ``filter(elems, _sel -> <predicate>)``.  A descendant
+# test ("inside B") needs the elements that match B: that list is computed
+# once per page and bound to a lambda variable with a one-element
+# ``transform(array(<list>), _inN -> ...)``, and an element is inside B when
+# its id falls in the interval ``(b.id, b.end]`` of one of them.  Cost per page
+# is O(elements x matches of B); no per-element ancestor lists are stored.
 
 def _q(v: str) -> str:
     return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -172,16 +121,66 @@ def _attr_test_sql(v: str, name: str, op: str, value: str | None) -> str:
     a = _attr_sql(v, name)
     if op == "=":
         return f"coalesce({a} = {_q(value)}, false)"
-    if not value:
+    if not value:  # [a*=""], [a^=""], [a$=""] match nothing
         return "false"
     fn = {"*=": "contains", "^=": "startswith", "$=": "endswith"}[op]
     return f"coalesce({fn}({a}, {_q(value)}), false)"
 
 
-def pred_sql(s: Selector, v: str, depth: int = 0) -> str:
+class _Bindings:
+    """Match lists of descendant-test selectors, bound once per page.
+
+    A list may use other lists (``A B C``: the list for ``B`` needs the list
+    for ``A``); bindings are nested so that every list is bound outside all
+    lists and predicates that use it."""
+
+    def __init__(self) -> None:
+        self.lists: dict[str, str] = {}
+        self.deps: dict[str, set[str]] = {}
+        self.by_sel: dict = {}
+        self.building: list[str] = []
+        self.n = 0
+
+    def fresh(self, prefix: str) -> str:
+        self.n += 1
+        return f"{prefix}{self.n}"
+
+    def bind(self, inner: Selector) -> str:
+        var = self.by_sel.get(inner)
+        if var is None:
+            var = self.fresh("_in")
+            self.by_sel[inner] = var
+            self.deps[var] = set()
+            self.building.append(var)
+            x = self.fresh("_x")
+            self.lists[var] = f"filter({ELEMS_COL}, {x} -> {pred_sql(inner, x, self)})"
+            self.building.pop()
+        if self.building:
+            self.deps[self.building[-1]].add(var)
+        return var
+
+    def wrap(self, expr: str) -> str:
+        order: list[str] = []  # every list after the lists it uses
+        seen: set[str] = set()
+
+        def visit(v: str) -> None:
+            if v not in seen:
+                seen.add(v)
+                for d in sorted(self.deps[v]):
+                    visit(d)
+                order.append(v)
+
+        for v in self.lists:
+            visit(v)
+        for v in reversed(order):  # innermost first; the first of ``order`` ends outermost
+            expr = f"get(transform(array({self.lists[v]}), {v} -> {expr}), 0)"
+        return expr
+
+
+def pred_sql(s: Selector, v: str, b: _Bindings) -> str:
     """SQL predicate: element expression ``v`` matches selector ``s``."""
     if isinstance(s, tuple):
-        return "(" + " OR ".join(pred_sql(x, v, depth) for x in s) + ")"
+        return "(" + " OR ".join(pred_sql(x, v, b) for x in s) + ")"
     conds: list[str] = []
     if s.tag:
         conds.append(f"{v}.tag = {_q(s.tag)}")
@@ -192,28 +191,32 @@ def pred_sql(s: Selector, v: str, depth: int = 0) -> str:
     for name, op, value in s.attrs:
         conds.append(_attr_test_sql(v, name, op, value))
     for n in s.nots:
-        conds.append(f"NOT {pred_sql(n, v, depth)}")
+        conds.append(f"NOT {pred_sql(n, v, b)}")
     if s.contains is not None:
         conds.append(f"contains(substr({TEXT_COL}, {v}.tf + 1, {v}.tt - {v}.tf), {_q(s.contains)})")
     if s.after is not None:
         prev = f"(get({ELEMS_COL}, {v}.prev - 1))"
-        conds.append(f"coalesce({v}.prev > 0 AND {pred_sql(s.after, prev, depth + 1)}, false)")
+        conds.append(f"coalesce({v}.prev > 0 AND {pred_sql(s.after, prev, b)}, false)")
     if s.inside is not None:
-        a = f"_anc{depth}"
-        conds.append(f"exists({v}.anc, {a} -> {pred_sql(s.inside, f'(get({ELEMS_COL}, {a} - 1))', depth + 1)})")
+        lst = b.bind(s.inside)
+        a = b.fresh("_a")
+        conds.append(f"exists({lst}, {a} -> {a}.id < {v}.id AND {v}.id <= {a}.end)")
     return "(" + (" AND ".join(conds) if conds else "true") + ")"
 
 
-def select(s: Selector, elems: Column | None = None) -> Column:
-    """Matching elements of the page, in document order.  Built as one SQL
-    expression (one JVM call) when it runs over the page's ``elems``."""
-    if elems is None:
-        return F.expr(f"filter({ELEMS_COL}, _sel -> {pred_sql(s, '_sel')})")
-    return F.filter(elems, lambda e: matches(s, e))
+def select_sql(s: Selector) -> str:
+    b = _Bindings()
+    pred = pred_sql(s, "_sel", b)
+    return b.wrap(f"filter({ELEMS_COL}, _sel -> {pred})")
+
+
+def select(s: Selector) -> Column:
+    """Matching elements of the page, in document order (one SQL expression)."""
+    return F.expr(select_sql(s))
 
 
-def select_one(s: Selector, elems: Column | None = None) -> Column:
-    return F.get(select(s, elems), 0)
+def select_one(s: Selector) -> Column:
+    return F.get(select(s), 0)
 
 
 def count(s: Selector) -> Column:

@@ -13,8 +13,7 @@
              the document itself is the implicit element 0.  ``end`` is the id
              of the last descendant, so ``b`` is inside ``a`` iff
              ``a.id < b.id <= a.end``.  ``prev`` is the previous element
-             sibling (0 if none); ``anc`` the ids of the ancestors, outermost
-             first.  Element ``i`` sits at array index ``i - 1``.  ``tf/tt`` and ``sf/st`` are the element's
+             sibling (0 if none).  Element ``i`` sits at array index ``i - 1``.  ``tf/tt`` and ``sf/st`` are the element's
              text range in ``text`` and ``stext``.  ``raw`` holds a script's
              content and is NULL for every other tag.
 
@@ -45,7 +44,6 @@ ELEMENT_TYPE = T.StructType(
         T.StructField("end", T.IntegerType()),
         T.StructField("parent", T.IntegerType()),
         T.StructField("prev", T.IntegerType()),
-        T.StructField("anc", T.ArrayType(T.IntegerType())),
         T.StructField("tag", T.StringType()),
         T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
         T.StructField("cls", T.ArrayType(T.StringType())),
@@ -86,8 +84,6 @@ class _TreeBuilder(HTMLParser):
         self.end: list[int] = []
         self.parent: list[int] = []
         self.prev: list[int] = []
-        self.anc_vals: list[int] = []
-        self.anc_off: list[int] = [0]
         self.tag: list[str] = []
         self.attr_keys: list[str] = []
         self.attr_vals: list[str] = []
@@ -163,8 +159,6 @@ class _TreeBuilder(HTMLParser):
         self.end.append(eid)
         self.parent.append(parent)
         self.prev.append(self.last_child.get(parent, 0))
-        self.anc_vals.extend(self.stack)
-        self.anc_off.append(len(self.anc_vals))
         self.tag.append(tag)
         self.attr_keys.extend(amap.keys())
         self.attr_vals.extend(amap.values())
@@ -219,7 +213,6 @@ class _TreeBuilder(HTMLParser):
         struct_type = elems_type.value_type
         children = [
             pa.array(ids, i32), pa.array(self.end, i32), pa.array(self.parent, i32), pa.array(self.prev, i32),
-            pa.ListArray.from_arrays(pa.array(self.anc_off, i32), pa.array(self.anc_vals, i32)),
             pa.array(self.tag, pa.string()),
             pa.MapArray.from_arrays(pa.array(self.attr_off, i32), pa.array(self.attr_keys, pa.string()),
                                     pa.array(self.attr_vals, pa.string())),
@@ -245,7 +238,7 @@ def parse_html(html: str | None) -> tuple[str | None, str | None, list[dict] | N
         a0, a1 = b.attr_off[i], b.attr_off[i + 1]
         elems.append({
             "id": i + 1, "end": b.end[i], "parent": b.parent[i], "prev": b.prev[i],
-            "anc": b.anc_vals[b.anc_off[i]:b.anc_off[i + 1]], "tag": b.tag[i],
+            "tag": b.tag[i],
             "attrs": list(zip(b.attr_keys[a0:a1], b.attr_vals[a0:a1])),
             "cls": b.cls_vals[b.cls_off[i]:b.cls_off[i + 1]],
             "tf": b.tf[i], "tt": b.tt[i], "sf": b.sf[i], "st": b.st[i], "raw": b.raw[i],

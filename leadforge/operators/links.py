@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadforge.functions.select import Selector, matches, raw_text, select, strip_text
+from leadforge.functions.select import Selector, raw_text, select, strip_text
 from leadforge.functions.urls import urljoin
 
 
@@ -62,4 +62,4 @@ def resolve(df: DataFrame, base_col: str = "url", href_col: str = "href", out: s
     return df.withColumn(out, urljoin(F.col(base_col), F.col(href_col)))
 
 
-__all__ = ["anchors", "anchor_list", "has_href", "resolve", "selected", "matches"]
+__all__ = ["anchors", "anchor_list", "has_href", "resolve", "selected"]

@@ -58,10 +58,11 @@ def test_text_offsets_and_stripped_text():
     assert p2["prev"] == p1["id"] and p1["prev"] == 0
 
 
-def test_ancestors():
-    _, _, elems = parse_html("<nav><ul><li><a href='/x'>x</a></li></ul></nav>")
-    a = by_tag(elems, "a")[0]
-    assert a["anc"] == [1, 2, 3]
+def test_subtree_intervals():
+    _, _, elems = parse_html("<nav><ul><li><a href='/x'>x</a></li></ul></nav><p>y</p>")
+    nav, a, p = by_tag(elems, "nav")[0], by_tag(elems, "a")[0], by_tag(elems, "p")[0]
+    assert nav["id"] < a["id"] <= nav["end"]       # a is inside nav
+    assert not (nav["id"] < p["id"] <= nav["end"])  # p is not
 
 
 def test_missing_page():

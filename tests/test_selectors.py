@@ -55,3 +55,25 @@ def test_union_is_document_order_and_distinct(dom):
 def test_css_render():
     s = (sel("a", attrs=[("href", "*=", "/companies/")], inside=sel(cls="card")), sel("a", cls="x"))
     assert css(s) == '.card a[href*="/companies/"], a.x'
+
+
+def test_nested_descendant_chain(spark):
+    html = "<div class='a'><div class='b'><p><i>1</i></p></div></div><div class='b'><i>2</i></div><p><i>3</i></p>"
+    dom = parse_pages(spark.createDataFrame([("u", html)], "url string, html string"))
+    s = sel("i", inside=sel("p", inside=sel(cls="b", inside=sel(cls="a"))))
+    assert texts(dom, s) == ["1"]
+    assert texts(dom, (sel("i", inside=sel(cls="b")), sel("i", inside=sel("p")))) == ["1", "2", "3"]
+
+
+def test_deep_unclosed_nesting_stays_linear(spark):
+    html = "<div>" + "<p>x" * 3000 + "<a href='/z'>z</a>"
+    dom = parse_pages(spark.createDataFrame([("u", html)], "url string, html string"))
+    assert texts(dom, sel("a", inside=sel("div"))) == ["z"]
+
+
+def test_shared_inner_selector_in_comma_list(spark):
+    html = "<div class='card'><h3><a href='/x'>h3</a></h3><h2><a href='/y'>h2</a></h2></div><h2><a href='/z'>out</a></h2>"
+    dom = parse_pages(spark.createDataFrame([("u", html)], "url string, html string"))
+    card = sel(cls="card")
+    s = (sel("a", inside=sel(cls="card-header")), sel("a", inside=sel("h3", inside=card)), sel("a", inside=sel("h2", inside=card)))
+    assert texts(dom, s) == ["h3", "h2"]
