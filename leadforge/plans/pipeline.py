@@ -54,6 +54,8 @@ def run(config: DataFrame, listings: DataFrame, pages: DataFrame, limit: int | N
     """``config(sector, sector_ord, url, max_pages, business_domain_keywords)``;
     ``listings(url, html)`` the directory crawl; ``pages(url, html)`` the crawl
     of profiles and company sites."""
+    # the config feeds several small actions (walk bound, broadcast checks)
+    config = cut_lineage(config)
     features = D.listing_features(parse_pages(listings.select("url", "html")))
     companies = D.directory_companies(features, config)
     companies = D.limit_per_group(companies, ["sector"], ["page_no", "link_pos"], limit)
