@@ -59,12 +59,13 @@ def pagination_analysis(spark, sf_dir):
 
 
 def selector_coverage_by_url(spark, sf_dir):
-    """Q7: the audit over a URL list (each sector's first page and a page 0
-    that does not exist); a URL that cannot be fetched is skipped."""
+    """Q7: the audit over a URL list -- every listing page plus, per sector, a
+    page 0 that does not exist; a URL that cannot be fetched is skipped."""
     cfg = FX.fixture_sector_config(spark, sf_dir)
-    urls = cfg.select("url").unionByName(
+    listings = FX.crawl(spark, sf_dir)[0].select("url", "html")
+    urls = listings.select("url").unionByName(
         cfg.select(F.regexp_replace("url", r"\.html$", "/pg-0.html").alias("url")))
-    found = lookup_pages(urls, FX.crawl(spark, sf_dir)[0].select("url", "html")).filter(F.col("html").isNotNull())
+    found = lookup_pages(urls, listings).filter(F.col("html").isNotNull())
     dom = parse_pages(found)
     r = Q.selector_results(dom)
     hit = r.filter(F.col("n") > 0).groupBy("url").agg(F.count("*").alias("n_selectors_hit"))
@@ -209,7 +210,6 @@ ORACLES = {
     "selector_coverage_by_url": with_base(f"""
         SELECT b.url, b.best_selector, b.best_count, h.n_selectors_hit
         FROM ({_BEST}) b JOIN (SELECT url, count(*) AS n_selectors_hit FROM cov WHERE n > 0 GROUP BY url) h USING (url)
-        WHERE b.url IN (SELECT url FROM lpu WHERE page_no = 1)
     """, _AUDIT),
     "selector_results_json": with_base("""
         SELECT url, selector_name,

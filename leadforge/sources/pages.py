@@ -1,5 +1,9 @@
 """The crawl snapshot.  ``pages(url, html)`` replaces the fetcher: a page
-that is missing (or whose fetch failed, NULL ``html``) yields no rows."""
+that is missing (or whose fetch failed, NULL ``html``) yields no rows.
+
+Contract: ``url`` is unique in a snapshot (one fetch per URL, as the reference
+fetches each URL once per use).  A crawl with re-fetches should be reduced to
+one row per URL when it is written, not at every lookup."""
 
 from __future__ import annotations
 
