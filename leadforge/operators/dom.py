@@ -137,7 +137,8 @@ class _TreeBuilder(HTMLParser):
         self.pending.append(data)
 
     def handle_comment(self, data: str) -> None:
-        self._flush()
+        if self.pending:
+            self._flush()
 
     def handle_decl(self, decl: str) -> None:
         self._flush()
@@ -150,28 +151,35 @@ class _TreeBuilder(HTMLParser):
 
     # -- tags ----------------------------------------------------------------------
     def _open(self, tag: str, attrs: list[tuple[str, str | None]]) -> int:
-        self._flush()
-        eid = len(self.tag) - self.base + 1
-        parent = self.stack[-1] if self.stack else 0
+        if self.pending:
+            self._flush()
+        tags = self.tag
+        eid = len(tags) - self.base + 1
+        stack = self.stack
+        parent = stack[-1] if stack else 0
         amap = dict(attrs)  # a repeated attribute keeps its last value
         if None in amap.values():
             amap = {k: ("" if v is None else v) for k, v in amap.items()}
         self.end.append(eid)
         self.parent.append(parent)
-        self.prev.append(self.last_child.get(parent, 0))
-        self.tag.append(tag)
-        self.attr_keys.extend(amap.keys())
-        self.attr_vals.extend(amap.values())
+        last_child = self.last_child
+        self.prev.append(last_child.get(parent, 0))
+        tags.append(tag)
+        if amap:
+            self.attr_keys.extend(amap)
+            self.attr_vals.extend(amap.values())
+            cls = amap.get("class")
+            if cls is not None:
+                self.cls_vals.extend(cls.split())
         self.attr_off.append(len(self.attr_keys))
-        if "class" in amap:
-            self.cls_vals.extend(amap["class"].split())
         self.cls_off.append(len(self.cls_vals))
-        self.tf.append(self.text_len)
-        self.tt.append(self.text_len)
-        self.sf.append(self.stext_len)
-        self.st.append(self.stext_len)
+        tl, sl = self.text_len, self.stext_len
+        self.tf.append(tl)
+        self.tt.append(tl)
+        self.sf.append(sl)
+        self.st.append(sl)
         self.raw.append("" if tag == "script" else None)
-        self.last_child[parent] = eid
+        last_child[parent] = eid
         return eid
 
     def _close_to(self, depth: int) -> None:
@@ -195,9 +203,11 @@ class _TreeBuilder(HTMLParser):
         self._open(tag, attrs)
 
     def handle_endtag(self, tag: str) -> None:
-        self._flush()
-        for depth in range(len(self.stack) - 1, -1, -1):
-            if self.tag[self.base + self.stack[depth] - 1] == tag:
+        if self.pending:
+            self._flush()
+        stack, tags, base = self.stack, self.tag, self.base - 1
+        for depth in range(len(stack) - 1, -1, -1):
+            if tags[base + stack[depth]] == tag:
                 self._close_to(depth)
                 return
 
