@@ -267,7 +267,8 @@ def parse_pages(pages: DataFrame, keep: list[str] | None = None, keep_html: bool
     """H1: ``pages(url, html, ...)`` -> one DOM row per page.
 
     ``keep`` columns (default ``["url"]``) pass through unchanged; ``html`` is
-    passed on only when ``keep_html`` (raw-HTML email patterns need it).  A NULL
+    passed on only when ``keep_html`` (the engine's own raw-HTML patterns run
+    before the parse instead, so the HTML need not come back).  A NULL
     ``html`` (fetch failed / page missing) yields NULL DOM columns.
     """
     keep = list(keep or ["url"])

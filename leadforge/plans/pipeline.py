@@ -8,8 +8,9 @@
 Every page is parsed once and reduced, in the same projection, to the small
 per-page features the later stages need; those feature tables are cut from
 their lineage (reliable checkpoint) because each feeds more than one branch.
-The crawl is only ever joined on ``url``; nothing is collected to the driver
-except two scalars that size the pagination walk.
+The crawl is only ever joined on ``url`` (a size-checked broadcast semi-join:
+its HTML is never shuffled); only scalars reach the driver (walk bound,
+broadcast row counts).
 """
 
 from __future__ import annotations
