@@ -10,6 +10,7 @@ MODULES = [
     "leadforge.plans.q_directory",
     "leadforge.plans.q_contacts",
     "leadforge.plans.q_audit",
+    "leadforge.plans.q_streaming",
 ]
 
 
