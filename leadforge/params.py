@@ -247,15 +247,9 @@ FLAG_SIBLING_SELECTORS = ['.vis-flag', '[class*="flag"]', '[class*="country"]']
 # Meta tag names, in order.
 GEO_META_NAMES = ["geo.country", "geo.region", "ICBM", "DC.coverage.spatial", "location"]
 
-# Method priority of the country cascade.
-COUNTRY_METHOD_PRIORITY = [
-    ("flag_pattern", 1),
-    ("selectors", 99),
-    ("url", 5),
-    ("structured_data", 6),
-    ("meta_tags", 7),
-    ("full_text", 8),
-]
+# The cascade stops at the first method with a result, so at most one
+# candidate exists and the reference's method-priority sort never reorders it;
+# the order is that of ``operators.country.country_columns``.
 
 # Website button.
 WEBSITE_BUTTON_SELECTOR = 'a.website-button, a[class*="website-button"]'
