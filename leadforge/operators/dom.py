@@ -97,6 +97,21 @@ class _TreeBuilder(HTMLParser):
         self.raw: list[str | None] = []
 
     # -- per page --------------------------------------------------------------
+    _COLUMNS = ("end", "parent", "prev", "tag", "attr_keys", "attr_vals", "attr_off", "cls_vals", "cls_off",
+                "tf", "tt", "sf", "st", "raw")
+
+    def page_or_none(self, html: str) -> tuple[str, str] | None:
+        """``page`` that treats markup the tokenizer rejects (it raises on some
+        malformed declarations, e.g. ``<![if``) as a failed fetch: the page's
+        partial rows are rolled back and ``None`` is returned."""
+        marks = [len(getattr(self, c)) for c in self._COLUMNS]
+        try:
+            return self.page(html)
+        except Exception:  # noqa: BLE001 - any rejection = the page could not be read
+            for c, m in zip(self._COLUMNS, marks):
+                del getattr(self, c)[m:]
+            return None
+
     def page(self, html: str) -> tuple[str, str]:
         """Parse one document; returns ``(text, stext)``."""
         self.reset()
@@ -242,7 +257,10 @@ def parse_html(html: str | None) -> tuple[str | None, str | None, list[dict] | N
     if html is None:
         return None, None, None
     b = _TreeBuilder()
-    text, stext = b.page(html)
+    parsed = b.page_or_none(html)
+    if parsed is None:
+        return None, None, None
+    text, stext = parsed
     elems = []
     for i in range(len(b.tag)):
         a0, a1 = b.attr_off[i], b.attr_off[i + 1]
@@ -287,14 +305,14 @@ def parse_pages(pages: DataFrame, keep: list[str] | None = None, keep_html: bool
                 builder = _TreeBuilder()
                 texts, stexts, page_off, missing = [], [], [0], []
                 for h in part:
-                    if h is None:
+                    parsed = None if h is None else builder.page_or_none(h)
+                    if parsed is None:  # missing page, or markup the tokenizer rejects
                         texts.append(None)
                         stexts.append(None)
                         missing.append(True)
                     else:
-                        t, st = builder.page(h)
-                        texts.append(t)
-                        stexts.append(st)
+                        texts.append(parsed[0])
+                        stexts.append(parsed[1])
                         missing.append(False)
                     page_off.append(len(builder.tag))
                 cols = [batch.column(i).slice(start, len(part)) for i in range(n_keep)]

@@ -77,3 +77,18 @@ def test_string_containers_at_any_depth_are_not_text():
 def test_script_text_only_from_direct_content():
     _, _, elems = parse_html("<script>var a=1;</script><p>x</p>")
     assert by_tag(elems, "script")[0]["raw"] == "var a=1;"
+
+
+def test_rejected_markup_is_a_failed_page():
+    assert parse_html("<p>ok</p><![;x") == (None, None, None)
+    assert parse_html("<![if !IE]><p>x</p><![endif]>")[0] == "x"  # conditional comments parse
+
+
+def test_rejection_rolls_back_only_that_page():
+    from leadforge.operators.dom import _TreeBuilder
+
+    b = _TreeBuilder()
+    assert b.page_or_none("<p>one</p>") == ("one", "one")
+    assert b.page_or_none("<div><b>x</b><![;x") is None
+    assert b.page_or_none("<i>two</i>") == ("two", "two")
+    assert b.tag == ["p", "i"] and len(b.attr_off) == 3 and len(b.cls_off) == 3
