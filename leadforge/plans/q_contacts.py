@@ -154,22 +154,27 @@ def funnel_counts(spark, sf_dir):
 # -- S ---------------------------------------------------------------------------
 
 def export_links(spark, sf_dir):
+    """S3: the rows the links sink writes (Name, URL, Country)."""
     return S.links_rows(fixture_run(spark, sf_dir))
 
 
 def export_links_with_websites(spark, sf_dir):
+    """Every company with country and website ('' when none)."""
     return S.links_with_websites_rows(fixture_run(spark, sf_dir))
 
 
 def export_emails(spark, sf_dir):
+    """One row per kept email (Name, Country, Email)."""
     return S.emails_rows(fixture_run(spark, sf_dir))
 
 
 def export_emails_with_websites(spark, sf_dir):
+    """One row per kept email with the company website."""
     return S.emails_with_websites_rows(fixture_run(spark, sf_dir))
 
 
 def output_manifest(spark, sf_dir):
+    """File labels and row counts per sector and dataset."""
     return S.manifest(fixture_run(spark, sf_dir))
 
 
