@@ -71,6 +71,7 @@ def _pattern_emails(pattern: str):
         m = site_pages.select("url", F.explode(F.regexp_extract_all("html", F.lit(E.UI + pattern), 0)).alias("m"))
         e = m.select("url", clean_email(E._unobfuscate(F.col("m"))).alias("email"))
         return e.filter(F.col("email").isNotNull()).distinct()
+    q.__doc__ = "E4-E6: one raw-HTML pattern over every company-site page, un-obfuscated and cleaned."
     return q
 
 
