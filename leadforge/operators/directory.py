@@ -239,7 +239,9 @@ def directory_companies(features: DataFrame, config: DataFrame, group: list[str]
     # one row per configured sector: broadcast behind a row-count check
     occ = visited.join(links, "url").join(broadcast_if_small(config.select("sector", "sector_ord")), "sector")
     group = [] if group is None else group
+    # run order: sector_ord, then the sector name (deterministic when a
+    # config leaves sector_ord unset), then page and link position
     return dedup_companies(
-        occ, group, ["sector_ord", "page_no", "link_pos"],
+        occ, group, ["sector_ord", "sector", "page_no", "link_pos"],
         ["sector", "sector_ord", "page_no", "link_pos", "name"],
     )

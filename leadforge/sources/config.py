@@ -2,8 +2,9 @@
 
 Schema ``sector, sector_ord, url, max_pages, business_domain_keywords``.
 Required fields must be non-empty (a violation fails the job, as the
-config class raises); ``max_pages`` defaults to the pipeline's 2 and NULL
-keywords mean an empty list (quirk K3 fixed).
+config class raises); ``max_pages`` defaults to the pipeline's 2, NULL
+keywords mean an empty list (quirk K3 fixed), and a missing ``sector_ord``
+is 0 (sectors with equal order run in name order).
 """
 
 from __future__ import annotations
@@ -24,7 +25,8 @@ def validate_config(cfg: DataFrame) -> DataFrame:
     checked = cfg.withColumn(
         "_ok", F.when(bad, F.raise_error(F.lit("sector config: required field is empty"))).otherwise(F.lit(True)))
     return checked.select(
-        *[c for c in cfg.columns if c not in ("max_pages", "business_domain_keywords")],
+        *[c for c in cfg.columns if c not in ("sector_ord", "max_pages", "business_domain_keywords")],
+        F.coalesce(F.col("sector_ord"), F.lit(0)).alias("sector_ord"),
         F.coalesce(F.col("max_pages"), F.lit(params.DEFAULT_MAX_PAGES)).alias("max_pages"),
         F.coalesce(F.col("business_domain_keywords"), F.array().cast("array<string>")).alias("business_domain_keywords"),
         "_ok",
