@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -37,3 +38,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def hash_sample(df: DataFrame, key: Column, buckets: int, groups: list[str], columns: list[Column]) -> list:
+    """A bounded sample for fitting: per combination of ``groups`` the row of
+    smallest key hash in each of ``buckets`` hash buckets.
+
+    First the hashes alone are found (a hash aggregate over narrow columns),
+    then the rows that have them: the wide columns of no other row are moved.
+    """
+    h = F.xxhash64(key)
+    least = (df.groupBy(*groups, F.pmod(h, F.lit(buckets)).alias("_bucket")).agg(F.min(h).alias("_h")).select("_h").distinct().collect())
+    chosen = [r["_h"] for r in least]
+    if not chosen:
+        return []
+    return df.filter(h.isin(chosen)).select(h.alias("_h"), *columns).dropDuplicates(["_h"]).collect()

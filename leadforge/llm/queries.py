@@ -6,16 +6,22 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import packing, token_counts, token_files
+from . import bpe, chat, jaccard, langid, linededup, packing, sketch, token_counts, token_files, topk
 from .common import shared_dir, stored, table
-from .tokens import default_vocab
+from .tokens import default_vocab, word_vocab
 
 #: Ends a document in the token streams of op2 and op3 (their contract) and op10.
 END_ID = 0
 SEPARATOR = 50256
 
 
+def op1_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best of every vector whose id is divisible by 50, against all."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes the token files of ``documents`` and digests what it reads back."""
     path = f"{shared_dir(spark)}/token-files-{uuid.uuid4().hex}"
@@ -27,6 +33,36 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), default_vocab(), END_ID)
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
+def op5_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocab = word_vocab()
+    return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), vocab), vocab)
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return langid.identify(docs).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op7_paragraph_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``conversations`` and one (-1) whose texts are full of control strings."""
+    hard = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", hard), (-1, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
+    return chat.digests(chat.format_conversations(chat.replay(rows.unionByName(extra))))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes flat token files of ``documents``, then counts from them alone."""
     flat = stored(token_counts.flat_files(table(spark, sf_dir, "documents"), default_vocab(), SEPARATOR), "flat")
@@ -34,5 +70,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.name_documents(counts, flat).select("doc_id", "file", "ordinal", "start", "n_tokens")
 
 
-QUERIES = {f.__name__: f for f in (op2_token_files, op3_best_fit_packing, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (
+    op1_threshold_topk, op2_token_files, op3_best_fit_packing, op4_ngram_jaccard, op5_forced_boundary_bpe, op6_language_id,
+    op7_paragraph_sketch, op8_line_dedup, op9_chat_format, op10_token_counts)}
 ORACLES: dict[str, str] = {}

@@ -31,13 +31,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions, stored
+from .common import hash_sample, shuffle_partitions, stored
 from .tokens import piece_encoder
 
 #: The dictionary is trained on at most so many documents, of each the first
 #: so many code points (only the dictionary: every document is stored whole).
-SAMPLE_DOCS, SAMPLE_CHARS, DICT_BYTES = 1024, 16_384, 65_536
-BLOCK_DOCS, BLOCK_BYTES = 1024, 4 << 20
+SAMPLE_DOCS, SAMPLE_CHARS, DICT_BYTES = 2048, 4096, 65_536
+BLOCK_DOCS, BLOCK_BYTES = 512, 1 << 20
 LEVEL = 3
 
 FRAMES = "doc_id long, tie long, n_ids long, width int, frame binary"
@@ -62,12 +62,11 @@ def train_dictionary(samples: Sequence[bytes], size: int = DICT_BYTES) -> bytes:
     return b""
 
 
-def sample_dictionary(docs: DataFrame, vocab: str, end_id: int, text_col: str = "text", id_col: str = "doc_id") -> bytes:
-    """Trained on the ``SAMPLE_DOCS`` documents of smallest id hash."""
-    rows = (docs.select(F.xxhash64(id_col).alias("_h"), F.substring(F.coalesce(text_col, F.lit("")), 1, SAMPLE_CHARS).alias("_t"))
-            .orderBy("_h", "_t").limit(SAMPLE_DOCS).collect())
-    enc = piece_encoder(vocab)
-    return train_dictionary([serialise(np.frombuffer(b, "<u4"))[1] for b in enc.encode_batch([r["_t"] for r in rows])])
+def sample_dictionary(docs: DataFrame, vocab: str, text_col: str = "text", id_col: str = "doc_id") -> bytes:
+    """Trained on one document of each of ``SAMPLE_DOCS`` buckets of id hashes."""
+    text = F.substring(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 1, SAMPLE_CHARS).alias("_t")
+    rows = sorted(hash_sample(docs, F.col(id_col).cast("string"), SAMPLE_DOCS, [], [text]), key=lambda r: r["_h"])
+    return train_dictionary([serialise(np.frombuffer(b, "<u4"))[1] for b in piece_encoder(vocab).encode_batch([r["_t"] for r in rows])])
 
 
 def _codec(dictionary: bytes, compress: bool):
@@ -148,7 +147,7 @@ def write_token_files(docs: DataFrame, path: str, vocab: str, end_id: int = 0,
     sampled from the stored ids, not by encoding twice).
     """
     spark = docs.sparkSession
-    dictionary = sample_dictionary(docs, vocab, end_id, text_col, id_col)
+    dictionary = sample_dictionary(docs, vocab, text_col, id_col)
     dict_hash = hashlib.sha256(dictionary).hexdigest()
     spark.createDataFrame([(dict_hash, bytearray(dictionary))], "dict_hash string, dictionary binary").coalesce(1).write.parquet(f"{path}/dictionary")
     frames = stored(compressed_documents(docs, dictionary, vocab, end_id, text_col, id_col), "frames")
@@ -167,24 +166,24 @@ def _decode(dictionaries: dict[str, bytes], wanted: set[int] | None = None):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codecs = {}
         for batch in batches:
-            out = ([], [], [], [])
-            for b in batch.to_pylist():
+            for row in range(batch.num_rows):  # one block in memory at a time
+                b = batch.slice(row, 1).to_pylist()[0]
                 h = b["dict_hash"]
                 if h not in codecs:
                     if h not in dictionaries or hashlib.sha256(dictionaries[h]).hexdigest() != h:
                         raise ValueError(f"block {b['shard']}/{b['block']} needs dictionary {h}")
                     codecs[h] = _codec(dictionaries[h], False)
-                unpack, start = codecs[h], b["start"]
+                unpack, start, body, out = codecs[h], b["start"], memoryview(b["body"]), ([], [], [], [])
                 for i, n, w, at, to in zip(b["doc_ids"], b["counts"], b["width"], b["offsets"], b["offsets"][1:]):
                     if wanted is None or i in wanted:
-                        ids = np.frombuffer(unpack.decompress(b["body"][at:to]), f"<u{w}").astype("<u4")
+                        ids = np.frombuffer(unpack.decompress(body[at:to]), f"<u{w}").astype("<u4")
                         if len(ids) != n:
                             raise ValueError(f"block {b['shard']}/{b['block']}: {len(ids)} ids, index says {n}")
                         for col, x in zip(out, (i, start, n, ids.tobytes())):
                             col.append(x)
                     start += n
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()),
-                                              pa.array(out[3], pa.binary())], names=["doc_id", "start", "n_tokens", "ids"])
+                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()),
+                                                  pa.array(out[3], pa.binary())], names=["doc_id", "start", "n_tokens", "ids"])
 
     return run
 

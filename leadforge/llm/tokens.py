@@ -2,33 +2,72 @@
 
 The library spends its time on byte mapping, offsets and merges, again for
 every occurrence of a word.  Its pre-tokeniser cuts a text into pieces whose
-ids do not depend on what stands around them, so each worker encodes a piece
-once, in batches, and keeps the result in a bounded cache.  The ids equal
-``Tokenizer.encode(text, add_special_tokens=False).ids`` (tested).
+ids do not depend on what stands around them, so each worker lets the
+library's model encode a piece once and keeps the ids in a bounded cache.  The
+ids equal ``Tokenizer.encode(text, add_special_tokens=False).ids`` (tested).
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
+from struct import pack
 
 import numpy as np
 import regex
 from tokenizers import Tokenizer
 
-#: Entries and characters of keys (each of the two caches) before a worker starts anew.
-CACHE_ENTRIES, CACHE_CHARS = 250_000, 8_000_000
+#: Entries and characters of keys of the cache's young generation.
+CACHE_ENTRIES, CACHE_CHARS = 400_000, 5_000_000
 
 # The pre-tokeniser's pattern (fixed value of the public byte-level BPE).
 PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
-#: A space that does not start a piece of its own: one before white space or at the end.
-_ODD_SPACE = re.compile(r" (?:\s|\Z)")
+# Kinds of Latin-1 characters, to see whether a cut before each space, comma,
+# stop and line feed is certain: not with white space in a row or at the end,
+# nor with punctuation after anything but a letter or digit.
+_KIND = bytes(ord(" n.0"[" \n.\0".index(c)]) if c in " \n.\0" else ord("." if c == "," else "a" if c.isalnum() else "w" if c.isspace() else "o")
+              for c in map(chr, range(256)))
+_UNSURE = [b"  ", b" n", b" w", b"nn", b"wn", b" .", b"n.", b"w.", b"o.", b"..", b"0"]
 #: Code points whose classes may differ between Unicode versions of the
 #: libraries: such texts go to the tokenizers library whole.
 _UNCOMMON = re.compile("[^\x00-ɏͰ-ϿЀ-ӿ‐-‧€ぁ-ゖ一-龥가-힣]")
 
 
+def byte_alphabet() -> list[str]:
+    """The character that stands for each byte in byte-level vocabularies:
+    printable Latin-1 stands for itself, the others follow from U+0100 on."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in own]
+    return [chr(b) if b in own else chr(0x100 + rest.index(b)) for b in range(256)]
+
+
+class Cache(dict):
+    """Two generations of bounded size: a full young one becomes the old one,
+    whose entries return when they are used again."""
+
+    def __init__(self, entries: int = CACHE_ENTRIES, chars: int = CACHE_CHARS):
+        self.entries, self.chars, self.size, self.old = entries, chars, 0, {}
+
+    def age(self) -> None:
+        if len(self) > self.entries or self.size > self.chars:
+            self.old = dict(self)
+            self.clear()
+            self.size = 0
+
+    def lacking(self, keys: set[str]) -> list[str]:
+        """The keys in neither generation; old ones come back."""
+        new, old = keys.difference(self), self.old
+        for k in [k for k in new if k in old]:
+            self.learn(k, old[k])
+            new.discard(k)
+        return list(new)
+
+    def learn(self, key: str, value: bytes) -> None:
+        self[key] = value
+        self.size += len(key)
+
+
 class PieceEncoder:
     """``special``: whether special tokens' strings inside a text become their
     ids (the library's default) or ordinary text."""
@@ -43,40 +82,30 @@ class PieceEncoder:
         else:
             self.tokenizer.encode_special_tokens = True
         self.special_re = re.compile("(" + "|".join(map(re.escape, self.specials)) + ")") if self.specials else None
-        self.entries = entries
-        self.pieces: dict[str, bytes] = {}  # piece -> ids as little-endian uint32
-        self.words: dict[str, bytes] = {}  # text between two spaces -> ids of " " + text
-        self.chars = 0
-
-    def _learn_pieces(self, pieces: Iterable[str]) -> None:
-        new = [p for p in pieces if p not in self.pieces]
-        if not new:
-            return
-        enc = self.tokenizer.encode(new, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(enc.ids, dtype="<u4")
-        first = np.searchsorted(np.array(enc.word_ids, dtype=np.int64), np.arange(len(new) + 1))
-        for i, p in enumerate(new):
-            self.pieces[p] = ids[first[i]:first[i + 1]].tobytes()
-            self.chars += len(p)
-
-    def _learn_words(self, words: set[str]) -> None:
-        cut = {w: PIECE.findall(" " + w) for w in words}
-        self._learn_pieces({p for ps in cut.values() for p in ps})
-        get = self.pieces.__getitem__
-        for w, ps in cut.items():
-            self.words[w] = b"".join(map(get, ps))
-            self.chars += len(w)
-
-    def _plan(self, text: str):
-        """(kind, parts): how this special-free text is cut."""
-        if _UNCOMMON.search(text):
-            return "whole", text
-        if _ODD_SPACE.search(text):
-            return "pieces", PIECE.findall(text)
-        first, *rest = text.split(" ")
-        return "words", (PIECE.findall(first), rest)
-
-    def encode_batch(self, texts: Sequence[str], chunk: int = 256) -> list[bytes]:
+        self.model = self.tokenizer.model
+        self.table = {b: c for b, c in enumerate(byte_alphabet())}
+        self.parts = Cache(entries)  # part of a text -> ids as little-endian uint32
+
+    def _learn(self, parts: set[str]) -> None:
+        cut = {p: PIECE.findall(p) for p in self.parts.lacking(parts)}
+        ids, tokenize, table = {}, self.model.tokenize, self.table
+        for piece in {x for xs in cut.values() for x in xs}:
+            found = tokenize(piece.encode().decode("latin-1").translate(table))
+            ids[piece] = pack(f"<{len(found)}I", *[t.id for t in found])
+        for p, xs in cut.items():
+            self.parts.learn(p, b"".join([ids[x] for x in xs]))
+
+    def _cut(self, text: str) -> list[str] | None:
+        """Parts between certain cuts; None: leave the text to the library."""
+        try:
+            kinds = text.encode("latin-1").translate(_KIND)
+        except UnicodeEncodeError:
+            return None if _UNCOMMON.search(text) else PIECE.findall(text)
+        if kinds.endswith(b" ") or any(map(kinds.__contains__, _UNSURE)):
+            return PIECE.findall(text)
+        return text.replace(" ", "\0 ").replace(",", "\0,").replace(".", "\0.").replace("\n", "\0\n").split("\0")
+
+    def encode_batch(self, texts: Sequence[str], chunk: int = 512) -> list[bytes]:
         """The ids of each text as little-endian uint32 bytes."""
         out: list[bytes] = []
         for at in range(0, len(texts), chunk):
@@ -84,43 +113,22 @@ class PieceEncoder:
         return out
 
     def _encode_chunk(self, texts: Sequence[str]) -> list[bytes]:
-        if max(len(self.words), len(self.pieces)) > self.entries or self.chars > CACHE_CHARS:
-            self.words, self.pieces, self.chars = {}, {}, 0
-        plans, need_words, need_pieces = [], set(), set()
+        self.parts.age()
+        plans, need = [], set()
         for text in texts:
-            segments = self.special_re.split(text) if self.special_re else [text]
-            plan = []
-            for seg in segments:
+            plan: list = []
+            for seg in self.special_re.split(text) if self.special_re else [text]:
                 if seg in self.specials:
-                    plan.append(("special", seg))
-                elif seg:
-                    kind, parts = self._plan(seg)
-                    if kind == "pieces":
-                        need_pieces.update(parts)
-                    elif kind == "words":
-                        need_pieces.update(parts[0])
-                        need_words.update(parts[1])
-                    plan.append((kind, parts))
-            plans.append(plan)
-        self._learn_words(need_words.difference(self.words))
-        self._learn_pieces(need_pieces.difference(self.pieces))
-        piece, word = self.pieces.__getitem__, self.words.__getitem__
-        out = []
-        for plan in plans:
-            got = []
-            for kind, parts in plan:
-                if kind == "words":
-                    got.extend(map(piece, parts[0]))
-                    got.extend(map(word, parts[1]))
-                elif kind == "pieces":
-                    got.extend(map(piece, parts))
-                elif kind == "special":
-                    got.append(self.specials[parts].to_bytes(4, "little"))
+                    plan.append(self.specials[seg].to_bytes(4, "little"))
+                elif (parts := self._cut(seg)) is None:
+                    plan.append(np.array(self.tokenizer.encode(seg, add_special_tokens=False).ids, dtype="<u4").tobytes())
                 else:
-                    ids = self.tokenizer.encode(parts, add_special_tokens=False).ids
-                    got.append(np.array(ids, dtype="<u4").tobytes())
-            out.append(b"".join(got))
-        return out
+                    need.update(parts)
+                    plan.append(parts)
+            plans.append(plan)
+        self._learn(need)
+        get = self.parts.__getitem__
+        return [b"".join([p if isinstance(p, bytes) else b"".join(map(get, p)) for p in plan]) for plan in plans]
 
 
 _ENCODERS: dict[tuple, PieceEncoder] = {}
@@ -139,3 +147,10 @@ def default_vocab() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def word_vocab() -> str:
+    """The public vocabulary with word ends."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
