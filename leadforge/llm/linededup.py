@@ -53,13 +53,15 @@ def _reach(weights: Column, i: Column, least: int) -> Column:
 
 
 def _keyed(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
-    """``k_id, k_tie``: the order of documents, never null."""
-    return docs.withColumns({"k_id": F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))), "k_tie": F.xxhash64(F.col(text_col))})
+    """``row`` (all columns of the input), ``k_id, k_tie`` (the order of the
+    documents, never null) and ``text``."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("k_id"),
+                       F.xxhash64(F.col(text_col)).alias("k_tie"), F.col(text_col).cast("string").alias("text"))
 
 
 def unit_arrays(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
     """``k_id, k_tie, hashes, weights`` of the documents that can hold a run."""
-    cut = _keyed(docs, text_col, id_col).select("k_id", "k_tie", _units(F.col(text_col)).alias("units"))
+    cut = _keyed(docs, text_col, id_col).select("k_id", "k_tie", _units(F.col("text")).alias("units"))
     return (cut.select("k_id", "k_tie", F.transform("units", lambda u: F.xxhash64(F.btrim(u, F.lit(_BLANK)))).alias("hashes"),
                        F.transform("units", _weight).alias("weights"))
             .filter(F.aggregate("weights", F.lit(0), lambda a, w: a + w) >= MIN_WORDS))
@@ -111,12 +113,11 @@ def dedup_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
                   .agg(F.collect_set(F.struct("first", "last")).alias("_cuts")), "line-cuts")
     whole = _keyed(docs, text_col, id_col).join(cuts, ["k_id", "k_tie"], "left")
     gone = lambda i: F.exists("_cuts", lambda r: (r["first"] <= i) & (i <= r["last"]))
-    units = F.when(F.col("_cuts").isNotNull(), F.transform(_units(F.col(text_col)), lambda u, i: F.struct(u.alias("u"), gone(i + 1).alias("gone"))))
+    units = F.when(F.col("_cuts").isNotNull(), F.transform(_units(F.col("text")), lambda u, i: F.struct(u.alias("u"), gone(i + 1).alias("gone"))))
     removed = F.filter("_units", lambda x: x["gone"])
     kept = F.array_join(F.transform(F.filter("_units", lambda x: ~x["gone"]), lambda x: x["u"]), "")
     cut = F.col("_units").isNotNull()
+    words = F.aggregate(F.transform(removed, lambda x: _weight(x["u"])), F.lit(0), lambda a, w: a + w)
+    out = [F.when(cut, kept).otherwise(F.col("row")[c]).alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns]
     return (whole.withColumn("_units", units)
-            .withColumns({"n_removed": F.when(cut, F.size(removed)).otherwise(0),
-                          "words_removed": F.when(cut, F.aggregate(F.transform(removed, lambda x: _weight(x["u"])), F.lit(0), lambda a, w: a + w)).otherwise(0),
-                          text_col: F.when(cut, kept).otherwise(F.col(text_col))})
-            .select(*docs.columns, "n_removed", "words_removed"))
+            .select(*out, F.when(cut, F.size(removed)).otherwise(0).alias("n_removed"), F.when(cut, words).otherwise(0).alias("words_removed")))
