@@ -15,6 +15,7 @@ input are ignored, repeated rows stay repeated.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
@@ -101,26 +102,30 @@ class ForcedBoundaryBPE:
 
     def encode_batch(self, texts: Sequence[str], step: int = 512) -> list[bytes]:
         """The ids of each text as little-endian uint32 bytes."""
-        out: list[bytes] = []
-        for at in range(0, len(texts), step):
-            plans, need = [], set()
-            for text in texts[at:at + step]:
-                plan = []
-                for seg in self.special_re.split(text) if self.special_re else [text]:
-                    if seg in self.specials:
-                        plan.append(self.specials[seg].to_bytes(4, "little"))
-                    elif _UNCOMMON.search(seg):
-                        cut = self.whole.pre_tokenizer.pre_tokenize_str(self.whole.normalizer.normalize_str(seg))
-                        plan.append(self._encode_words([[w for w, _ in cut]])[0])
-                    else:
-                        chunks = seg.lower().split()
-                        need.update(chunks)
-                        plan.append(chunks)
-                plans.append(plan)
-            self._learn_chunks(need)
-            get = self.chunks.__getitem__
-            out += [b"".join(p if isinstance(p, bytes) else b"".join(map(get, p)) for p in plan) for plan in plans]
-        return out
+        gc.disable()  # hundreds of thousands of strings in lists, never a cycle
+        try:
+            return [ids for at in range(0, len(texts), step) for ids in self._encode_step(texts[at:at + step])]
+        finally:
+            gc.enable()
+
+    def _encode_step(self, texts: Sequence[str]) -> list[bytes]:
+        plans, need = [], set()
+        for text in texts:
+            plan: list = []
+            for seg in self.special_re.split(text) if self.special_re else [text]:
+                if seg in self.specials:
+                    plan.append(self.specials[seg].to_bytes(4, "little"))
+                elif _UNCOMMON.search(seg):
+                    cut = self.whole.pre_tokenizer.pre_tokenize_str(self.whole.normalizer.normalize_str(seg))
+                    plan.append(self._encode_words([[w for w, _ in cut]])[0])
+                else:
+                    chunks = seg.lower().split()
+                    need.update(chunks)
+                    plan.append(chunks)
+            plans.append(plan)
+        self._learn_chunks(need)
+        get = self.chunks.__getitem__
+        return [b"".join([p if isinstance(p, bytes) else b"".join(map(get, p)) for p in plan]) for plan in plans]
 
     def decode(self, ids: bytes) -> bytes:
         """UTF-8 of the decoded text: this kind of vocabulary has no decoder,

@@ -9,6 +9,7 @@ ids equal ``Tokenizer.encode(text, add_special_tokens=False).ids`` (tested).
 
 from __future__ import annotations
 
+import gc
 import re
 from collections.abc import Sequence
 from struct import pack
@@ -82,18 +83,20 @@ class PieceEncoder:
         else:
             self.tokenizer.encode_special_tokens = True
         self.special_re = re.compile("(" + "|".join(map(re.escape, self.specials)) + ")") if self.specials else None
-        self.model = self.tokenizer.model
+        self.tokenize = self.tokenizer.model.tokenize
         self.table = {b: c for b, c in enumerate(byte_alphabet())}
         self.parts = Cache(entries)  # part of a text -> ids as little-endian uint32
 
+    def _piece_ids(self, piece: str) -> bytes:
+        found = self.tokenize(piece.encode().decode("latin-1").translate(self.table))
+        return pack(f"<{len(found)}I", *[t.id for t in found])
+
     def _learn(self, parts: set[str]) -> None:
-        cut = {p: PIECE.findall(p) for p in self.parts.lacking(parts)}
-        ids, tokenize, table = {}, self.model.tokenize, self.table
-        for piece in {x for xs in cut.values() for x in xs}:
-            found = tokenize(piece.encode().decode("latin-1").translate(table))
-            ids[piece] = pack(f"<{len(found)}I", *[t.id for t in found])
-        for p, xs in cut.items():
-            self.parts.learn(p, b"".join([ids[x] for x in xs]))
+        one = self._piece_ids
+        for p in self.parts.lacking(parts):
+            # A word with the space before it is a piece; others are cut.
+            ids = one(p) if p[1:].isalpha() and (p[0] == " " or p[0].isalpha()) else b"".join([one(x) for x in PIECE.findall(p)])
+            self.parts.learn(p, ids)
 
     def _cut(self, text: str) -> list[str] | None:
         """Parts between certain cuts; None: leave the text to the library."""
@@ -108,8 +111,12 @@ class PieceEncoder:
     def encode_batch(self, texts: Sequence[str], chunk: int = 512) -> list[bytes]:
         """The ids of each text as little-endian uint32 bytes."""
         out: list[bytes] = []
-        for at in range(0, len(texts), chunk):
-            out += self._encode_chunk(texts[at:at + chunk])
+        gc.disable()  # hundreds of thousands of strings in lists, never a cycle
+        try:
+            for at in range(0, len(texts), chunk):
+                out += self._encode_chunk(texts[at:at + chunk])
+        finally:
+            gc.enable()
         return out
 
     def _encode_chunk(self, texts: Sequence[str]) -> list[bytes]:
