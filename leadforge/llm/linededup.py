@@ -1,15 +1,16 @@
 """Line dedup by winnowing: later repeats of a run of lines are deleted.
 
 Native: DataFrame functions only.  A text is cut into units, its lines, and
-lines further after sentence ends, so that ``concat(units)`` is the text.  A
-unit weighs its words (one at least) and is compared without the white space
-around it.
-
-1. The gram of a unit is the hash of the units from it on that weigh
-   ``GRAM`` together.  Of the grams that start within ``SPAN`` weight of each
-   unit the smallest is selected, the guaranteed fingerprint: any run
-   of ``GRAM + SPAN`` words that stands in two places selects the same gram
-   in both.
+lines further after sentence ends.  Units are equal if they are the same
+without the line feed or space that ends them; a unit weighs its words, one
+more than its spaces.
+
+1. Each unit's gram is the hash of it and the next one.  Of every ``WINDOW``
+   grams in a row the smallest is selected (winnowing), and every unit of at
+   least ``HEAVY`` words is selected by itself.  Any run of ``MIN_WORDS``
+   words that stands in two places selects the same unit in both: it has
+   ``WINDOW + 1`` units, hence a window of grams inside it, or fewer, hence a
+   heavy one.
 2. A fingerprint's first place in the corpus (id, then unit) is the source of
    all its later places: one link a place, never pairs within a group.
 3. Each (document, source document, shift) is extended both ways to all
@@ -30,26 +31,16 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-GRAM, SPAN = 20, 30
-MIN_WORDS = GRAM + SPAN
+MIN_WORDS = 50
+WINDOW = 3
+HEAVY = -(-MIN_WORDS // WINDOW)
 
-_UNIT_END = r"(?<=\n)|(?<=[.!?] )"
-_BLANK = " \t\n\r"
-
-
-def _units(text: Column) -> Column:
-    return F.filter(F.split(text, _UNIT_END), lambda u: u != "")
+#: The same cuts, with the ends dropped and kept.
+_ENDS, _AFTER_ENDS = r"(?<=[.!?]) |\n", r"(?<=[.!?] )|(?<=\n)"
 
 
 def _weight(unit: Column) -> Column:
-    return F.size(F.split(F.btrim(unit, F.lit(_BLANK)), r"\s+"))  # 1 for a blank unit
-
-
-def _reach(weights: Column, i: Column, least: int) -> Column:
-    """How many units from i (from 1) on weigh ``least`` together, or all that are left."""
-    start = F.struct(F.lit(0).alias("sum"), F.lit(0).alias("n"))
-    step = lambda acc, w: F.when(acc["sum"] >= least, acc).otherwise(F.struct((acc["sum"] + w).alias("sum"), (acc["n"] + 1).alias("n")))
-    return F.aggregate(F.slice(weights, i, F.lit(least)), start, step, lambda acc: acc["n"])
+    return F.length(unit) - F.length(F.replace(unit, F.lit(" "), F.lit(""))) + 1
 
 
 def _keyed(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
@@ -59,31 +50,42 @@ def _keyed(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
                        F.xxhash64(F.col(text_col)).alias("k_tie"), F.col(text_col).cast("string").alias("text"))
 
 
-def unit_arrays(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
-    """``k_id, k_tie, hashes, weights`` of the documents that can hold a run."""
-    cut = _keyed(docs, text_col, id_col).select("k_id", "k_tie", _units(F.col("text")).alias("units"))
-    return (cut.select("k_id", "k_tie", F.transform("units", lambda u: F.xxhash64(F.btrim(u, F.lit(_BLANK)))).alias("hashes"),
-                       F.transform("units", _weight).alias("weights"))
-            .filter(F.aggregate("weights", F.lit(0), lambda a, w: a + w) >= MIN_WORDS))
-
-
-def fingerprints(arrays: DataFrame) -> DataFrame:
-    """``gram, k_id, k_tie, idx``: the selected grams and their units (from 1)."""
-    places = F.sequence(F.lit(1), F.size("weights"))
-    grams = arrays.withColumn("grams", F.transform(places, lambda i: F.xxhash64(F.slice("hashes", i, _reach(F.col("weights"), i, GRAM)))))
-
-    def select(i: Column) -> Column:
-        near = F.slice("grams", i, _reach(F.col("weights"), i, SPAN))
-        return (i + F.array_position(near, F.array_min(near)) - 1).cast("int")
-
-    return (grams.withColumn("idx", F.explode(F.array_distinct(F.transform(places, select))))
-            .select(F.element_at("grams", F.col("idx")).alias("gram"), "k_id", "k_tie", "idx"))
+def unit_arrays(docs: DataFrame, text_col: str, id_col: str, min_words: int = MIN_WORDS) -> DataFrame:
+    """``k_id, k_tie, hashes, weights`` of the documents that can hold a run
+    (so many words take twice as many bytes)."""
+    cut = (_keyed(docs, text_col, id_col).filter(F.octet_length("text") >= 2 * min_words - 1)
+           .select("k_id", "k_tie", F.split("text", _ENDS).alias("units")))
+    return cut.select("k_id", "k_tie", F.transform("units", lambda u: F.xxhash64(u)).alias("hashes"), F.transform("units", _weight).alias("weights"))
+
+
+def fingerprints(arrays: DataFrame, heavy: int = HEAVY) -> DataFrame:
+    """``gram, k_id, k_tie, idx``: the selected grams and their units (from 1).
+
+    A gram is selected if it is the smallest, the first of equals, of one of
+    the windows that hold it: of those before it in some window all are
+    larger, of those behind it none is smaller."""
+    grams = arrays.withColumn("grams", F.transform("hashes", lambda h, i: F.xxhash64(h, F.get("hashes", i + 1))))
+    rows = grams.select("k_id", "k_tie", "grams", "hashes", "weights", F.posexplode("grams").alias("i", "gram"))
+    at = lambda k: F.get("grams", F.col("i") + k)
+    smallest = F.lit(False)
+    for before in range(WINDOW):  # a window that begins so many grams earlier
+        inside = F.col("i") >= before
+        for k in range(-before, WINDOW - before):
+            if k < 0:
+                inside = inside & (at(k) > F.col("gram"))
+            elif k > 0:
+                inside = inside & F.coalesce(at(k) >= F.col("gram"), F.lit(True))
+        smallest = smallest | inside
+    weight = F.get("weights", F.col("i"))
+    keys = F.filter(F.array(F.when(smallest, F.col("gram")), F.when(weight >= heavy, F.get("hashes", F.col("i")))), lambda g: g.isNotNull())
+    return (rows.filter(smallest | (weight >= heavy))
+            .select(F.explode(keys).alias("gram"), "k_id", "k_tie", (F.col("i") + 1).alias("idx")))
 
 
 def repeated_runs(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
     """``k_id, k_tie, first, last``: unit ranges (from 1) that repeat earlier ones."""
-    arrays = unit_arrays(docs, text_col, id_col)
-    places = stored(fingerprints(arrays), "line-places")
+    arrays = unit_arrays(docs, text_col, id_col, min_words)
+    places = stored(fingerprints(arrays, -(-min_words // WINDOW)), "line-places")
     sources = stored(places.groupBy("gram").agg(F.count("*").alias("n"), F.min(F.struct("k_id", "k_tie", "idx")).alias("s"))
                      .filter("n > 1").select("gram", F.col("s.k_id").alias("s_id"), F.col("s.k_tie").alias("s_tie"), F.col("s.idx").alias("s_idx")), "line-sources")
     links = (places.join(sources, "gram")
@@ -113,7 +115,7 @@ def dedup_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
                   .agg(F.collect_set(F.struct("first", "last")).alias("_cuts")), "line-cuts")
     whole = _keyed(docs, text_col, id_col).join(cuts, ["k_id", "k_tie"], "left")
     gone = lambda i: F.exists("_cuts", lambda r: (r["first"] <= i) & (i <= r["last"]))
-    units = F.when(F.col("_cuts").isNotNull(), F.transform(_units(F.col("text")), lambda u, i: F.struct(u.alias("u"), gone(i + 1).alias("gone"))))
+    units = F.when(F.col("_cuts").isNotNull(), F.transform(F.split("text", _AFTER_ENDS), lambda u, i: F.struct(u.alias("u"), gone(i + 1).alias("gone"))))
     removed = F.filter("_units", lambda x: x["gone"])
     kept = F.array_join(F.transform(F.filter("_units", lambda x: ~x["gone"]), lambda x: x["u"]), "")
     cut = F.col("_units").isNotNull()

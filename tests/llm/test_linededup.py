@@ -5,7 +5,7 @@ from leadforge.llm import linededup
 
 
 def units(text):
-    return [u for u in re.split(r"(?<=\n)|(?<=[.!?] )", text) if u]
+    return re.split(r"(?<=[.!?] )|(?<=\n)", text)
 
 
 def line(rng, words=8):
@@ -16,8 +16,9 @@ def brute(docs):
     """Unit places in runs of >= 50 words that stand earlier too."""
     docs = sorted(docs, key=lambda d: d[0])
     cut = {i: units(t or "") for i, t in docs}
-    norm = {i: [u.strip(" \t\r\n") for u in us] for i, us in cut.items()}
-    weight = {i: [max(1, len(re.split(r"\s+", u))) for u in us] for i, us in norm.items()}
+    norm = {i: re.split(r"(?<=[.!?]) |\n", t or "") for i, t in docs}
+    weight = {i: [u.count(" ") + 1 for u in us] for i, us in norm.items()}
+    assert all(len(norm[i]) == len(cut[i]) for i in cut)
     gone = {i: set() for i, _ in docs}
     for a, (t, _) in enumerate(docs):
         for s, _ in docs[:a + 1]:
