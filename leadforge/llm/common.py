@@ -7,18 +7,13 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leadforge.session import ensure_checkpoint_dir
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share.
 
-    It is the session's ``spark.checkpoint.dir``; a session without one (a
-    cluster has to name it, tests set their own) is an error, since a
-    machine-local folder would break on a cluster.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not path:
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return path.rstrip("/")
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share: the session's
+    ``spark.checkpoint.dir`` (an error on a cluster without one)."""
+    return ensure_checkpoint_dir(spark).rstrip("/")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -11,11 +11,13 @@ texts are compared exactly.
   of the most frequent ones comes from counts over all documents; a shingle
   outside it stands in few documents, or in at most 1 / ``HOT`` of all places.
   Any table gives right results, a good one gives few candidates.
-- Groups of near copies never become pairs.  Within a shared prefix shingle
-  all nodes are compared with one pivot; the links make components; then
-  only nodes outside a shingle's largest component are compared with the
-  nodes of its other components.  Every pair that may link is either
-  compared or already connected.
+- Groups of near copies never become pairs.  Nodes that share a prefix shingle
+  are compared with one pivot, the node whose shingles stand in the largest
+  groups; the links make components.  Then only nodes outside a pivot's
+  largest component are held against the nodes of its other components, and
+  of those pairs only the ones are compared that the bits of the pivot's
+  shingles which both hold leave possible.  Every pair that may link is
+  compared, already connected, or excluded by a bound.
 
 Edge cases: null, empty and blank texts have no shingles and no links; a text
 of fewer than n words is one shingle; null ids get their count, but no
@@ -43,7 +45,7 @@ HOT, HOT_COUNT = 1 << 16, 8
 COUNTED, COUNTED_LEAST = 1 << 22, 4
 _ORDERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93], dtype=np.uint64)
 
-SIGNATURES = "doc_id long, node long, check long, n int, hot array<long>, second array<int>, third array<int>"
+SIGNATURES = "doc_id long, node long, check long, n int, n_cold int, hot array<long>, second array<int>, third array<int>"
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -159,10 +161,10 @@ def _per_document(docs: DataFrame, words: int, orders, row: Callable, schema: st
 
 def _signature(doc_id, s, orders):
     if not len(s):
-        return [(doc_id, None, None, 0, [], [], [])]
+        return [(doc_id, None, None, 0, 0, [], [], [])]
     first, hot = orders.prefix(s, 0)
     other = [orders.prefix(s, k)[0].astype(np.uint32).view(np.int32) for k in (1, 2)]
-    return [(doc_id, *node_of(s), len(s), first[hot].view(np.int64), *other)]
+    return [(doc_id, *node_of(s), len(s), int((~hot).sum()), first[hot].view(np.int64), *other)]
 
 
 def _cold_postings(doc_id, s, orders):
@@ -172,48 +174,66 @@ def _cold_postings(doc_id, s, orders):
     return [(node_of(s)[0], first[~hot].view(np.int64))]
 
 
-_SIGNATURES = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("check", pa.int64()), ("n", pa.int32()),
+_SIGNATURES = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("check", pa.int64()), ("n", pa.int32()), ("n_cold", pa.int32()),
                          ("hot", pa.list_(pa.int64())), ("second", pa.list_(pa.int32())), ("third", pa.list_(pa.int32()))])
 _POSTINGS = pa.schema([("node", pa.int64()), ("tokens", pa.list_(pa.int64()))])
 
 
-def _verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs ``x, y`` (nodes) that link: size and prefix filters of the
-    other orders first, then an exact comparison of the texts."""
+def _filtered(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """``x, y, x_doc, y_doc, able`` of pairs of possible sizes; ``able``: they
+    share a prefix shingle under the other orders too."""
     side = lambda c: nodes.select(F.col("node").alias(c), F.col("rep").alias(f"{c}_doc"), F.col("n").alias(f"{c}_n"),
                                   F.col("second").alias(f"{c}_second"), F.col("third").alias(f"{c}_third"))
-    able = (pairs.join(side("x"), "x").join(side("y"), "y")
+    return (pairs.join(side("x"), "x").join(side("y"), "y")
             .filter(100 * F.least("x_n", "y_n") >= percent * F.greatest("x_n", "y_n"))
-            .filter(F.arrays_overlap("x_second", "y_second") & F.arrays_overlap("x_third", "y_third"))
-            .select("x", "y", "x_doc", "y_doc"))
+            .withColumn("able", F.arrays_overlap("x_second", "y_second") & F.arrays_overlap("x_third", "y_third"))
+            .drop("x_n", "y_n", "x_second", "y_second", "x_third", "y_third"))
+
+
+def _compare(pairs: DataFrame, docs: DataFrame, words: int, bits: bool) -> DataFrame:
+    """``x, y, both`` (shared shingles) by the texts of the nodes' first
+    documents, with ``bits`` also which shingles of x are in y."""
     # Both joins read one exchange of the texts; a pivot's many pairs are
     # dealt over tasks by AQE's skew join.
     text = docs.filter("doc_id IS NOT NULL")
-    full = (stored(able, "candidates").join(text.select(F.col("doc_id").alias("x_doc"), F.col("text").alias("x_text")), "x_doc")
+    full = (stored(pairs.select("x", "y", "x_doc", "y_doc"), "pairs")
+            .join(text.select(F.col("doc_id").alias("x_doc"), F.col("text").alias("x_text")), "x_doc")
             .join(text.select(F.col("doc_id").alias("y_doc"), F.col("text").alias("y_text")), "y_doc"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, np.ndarray] = {}
+        known: dict[str, tuple[int, np.ndarray]] = {}
 
         def of(text):
             if text not in known:
-                if len(known) >= 64:
+                if len(known) >= 32:
                     known.clear()
-                known[text] = shingles(text, words)
+                s = shingles(text, words)
+                known[text] = node_of(s)[0], s
             return known[text]
 
-        for b in batches:
-            out = []
-            for x, y, xt, yt in zip(*(b.column(c).to_pylist() for c in ("x", "y", "x_text", "y_text"))):
-                a, c = of(xt), of(yt)
-                if node_of(a)[0] == x and node_of(c)[0] == y:  # else another row of that id
-                    both = len(np.intersect1d(a, c, assume_unique=True))
-                    if 100 * both >= percent * (len(a) + len(c) - both):
-                        out.append((x, y))
-            cols = list(zip(*out)) or [[], []]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["x", "y"])
-
-    return stored(full.select("x", "y", "x_text", "y_text").mapInArrow(run, "x long, y long").distinct(), "links")
+        for whole in batches:
+            for at in range(0, whole.num_rows, 500):
+                b, out = whole.slice(at, 500), ([], [], [], [])
+                for x, y, xt, yt in zip(*(b.column(c).to_pylist() for c in ("x", "y", "x_text", "y_text"))):
+                    (xn, xs), (yn, ys) = of(xt), of(yt)
+                    if (xn, yn) != (x, y):  # another document of that id
+                        continue
+                    at_y = np.minimum(np.searchsorted(ys, xs), len(ys) - 1)
+                    inside = ys[at_y] == xs
+                    packed = np.packbits(inside, bitorder="little").tobytes() if bits else b""
+                    for col, v in zip(out, (x, y, int(inside.sum()), np.frombuffer(packed + b"\0" * (-len(packed) % 8), "<i8"))):
+                        col.append(v)
+                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()),
+                                                  pa.array(out[3], pa.list_(pa.int64()))], names=["x", "y", "both", "bits"])
+
+    rows = full.select("x", "y", "x_text", "y_text").mapInArrow(run, "x long, y long, both long, bits array<long>")
+    return stored(rows.dropDuplicates(["x", "y"]), "compared")
+
+
+def _linked(compared: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    size = lambda c: nodes.select(F.col("node").alias(c), F.col("n").alias(f"{c}_n"))
+    return (compared.select("x", "y", "both").join(size("x"), "x").join(size("y"), "y")
+            .filter(100 * F.col("both") >= percent * (F.col("x_n") + F.col("y_n") - F.col("both"))).select("x", "y"))
 
 
 def _named(links: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -234,33 +254,58 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     if not classes.filter("check != check2").isEmpty():
         raise ValueError("two sets have one 64-bit hash")
     nodes = stored(real.join(classes.select("node", "rep"), "node").filter("doc_id = rep")
-                   .select("node", "rep", "n", "second", "third").dropDuplicates(["node"]), "nodes")
+                   .select("node", "rep", "n", "n_cold", "second", "third").dropDuplicates(["node"]), "nodes")
 
     # Prefix shingles that two nodes share.  Frequent ones (the table's) go
     # through a partial aggregate and a join that AQE splits; any other one
     # stands in a bounded share of the rows, and a window takes one shuffle.
     hot = real.select("node", F.explode("hot").alias("token"))
-    shared = stored(hot.groupBy("token").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).filter("pivot != last").select("token", "pivot"), "shared")
+    shared = stored(hot.groupBy("token").agg(F.count("*").alias("size"), F.min("node").alias("a"), F.max("node").alias("b"))
+                    .filter("a != b").select("token", "size"), "shared")
     cold = (_per_document(docs, words, orders, _cold_postings, "node long, tokens array<long>", _POSTINGS)
             .select("node", F.explode("tokens").alias("token")))
     by_token = Window.partitionBy("token")
-    cold = (cold.withColumn("pivot", F.min("node").over(by_token)).withColumn("last", F.max("node").over(by_token))
-            .filter("pivot != last").select("token", "node", "pivot"))
-    members = stored(hot.join(shared, "token").select("token", "node", "pivot").distinct().unionByName(cold.distinct()), "members")
-
-    star = members.filter("node != pivot").select(F.col("pivot").alias("x"), F.col("node").alias("y")).distinct()
-    links = _verify(star, docs, nodes, words, percent)
-    found = components(links).withColumnsRenamed({"id": "node", "component": "part"})
-    placed = stored(members.join(found, "node", "left").select("token", "node", F.coalesce("part", "node").alias("part")), "placed")
-    largest = (placed.groupBy("token", "part").agg(F.count("*").alias("n")).groupBy("token")
-               .agg(F.max(F.struct("n", "part")).alias("top"), F.count("*").alias("parts")).filter("parts > 1").select("token", F.col("top.part").alias("main")))
-    largest = stored(largest, "largest")
-    open_rows = stored(placed.join(largest, "token").select("token", "node", "part", (F.col("part") != F.col("main")).alias("stray")), "open")
-    strays = open_rows.filter("stray").select("token", F.col("node").alias("a"), F.col("part").alias("a_part"))
-    rest = (strays.join(open_rows.select("token", F.col("node").alias("b"), F.col("part").alias("b_part")), "token")
-            .filter("a_part != b_part").select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct()
-            .join(star, ["x", "y"], "left_anti"))
-    links = links.unionByName(_verify(rest, docs, nodes, words, percent))
+    cold = (cold.withColumns({"size": F.count("*").over(by_token), "a": F.min("node").over(by_token), "b": F.max("node").over(by_token)})
+            .filter("a != b").select("token", "node", "size", F.lit(0).alias("hot")).distinct())
+    members = stored(hot.join(shared, "token").select("token", "node", "size", F.lit(1).alias("hot")).distinct().unionByName(cold), "members")
+
+    # The pivot of a shingle is its node of the largest groups in sum: in a
+    # family of near copies the one with the fewest shingles of its own.
+    weights = stored(members.groupBy("node").agg(F.sum("size").alias("weight"), F.sum(1 - F.col("hot")).alias("cold_shared")), "weights")
+    pivots = stored(members.join(weights, "node").groupBy("token").agg(F.max(F.struct("weight", "node")).alias("p"))
+                    .select("token", F.col("p.node").alias("x")), "pivots")
+    star = stored(members.join(pivots, "token").filter("x != node").groupBy("x", F.col("node").alias("y")).agg(F.max("hot").alias("hot")), "star")
+    compared = _compare(_filtered(star, nodes, percent).filter("able OR hot = 1"), docs, words, bits=True)
+    links = stored(_linked(compared, nodes, percent), "links")
+
+    # Members of a pivot by component, then those outside its largest one
+    # against all others.  With a frequent shingle in a node's prefix all its
+    # rare ones are there, so a rare one that no other prefix holds is in no
+    # other such node: of the shingles that x has beyond the pivot's, so many
+    # are out of the question.
+    parts = components(links).withColumnsRenamed({"id": "node", "component": "part"})
+    facts = stored(nodes.select("node", "n", "n_cold").join(weights.select("node", "cold_shared"), "node").join(parts, "node", "left")
+                   .select("node", "n", F.coalesce("part", "node").alias("part"), (F.col("n_cold") - F.col("cold_shared")).alias("own")), "facts")
+    rows = (star.join(compared, ["x", "y"], "left").join(facts.withColumnRenamed("node", "y"), "y")
+            .select(F.col("x").alias("pivot"), F.col("y").alias("node"), "n", "part", "bits",
+                    (F.col("n") - F.col("both")).alias("extra"), F.col("own").cast("long").alias("own"), (F.col("hot") == 1).alias("hot")))
+    own = (star.select(F.col("x").alias("node")).distinct().join(facts, "node")
+           .select(F.col("node").alias("pivot"), "node", "n", "part", F.lit(None).cast("array<long>").alias("bits"), F.lit(None).cast("long").alias("extra"), F.lit(0).cast("long").alias("own"), F.lit(False).alias("hot")))
+    rows = stored(rows.unionByName(own), "rows")
+    main = (rows.groupBy("pivot", "part").agg(F.count("*").alias("m")).groupBy("pivot")
+            .agg(F.max(F.struct("m", "part")).alias("top"), F.count("*").alias("parts")).filter("parts > 1").select("pivot", F.col("top.part").alias("main")))
+    open_rows = stored(rows.join(stored(main, "main"), "pivot").withColumn("stray", F.col("part") != F.col("main")).drop("main"), "open")
+    a = open_rows.filter("stray").select("pivot", *(F.col(c).alias(f"a_{c}") for c in ("node", "n", "part", "bits", "extra", "own", "hot")))
+    b = open_rows.filter("node != pivot").select("pivot", "stray", *(F.col(c).alias(f"b_{c}") for c in ("node", "n", "part", "bits", "extra", "own", "hot")))
+    total = F.col("a_n") + F.col("b_n")
+    common = F.aggregate(F.zip_with("a_bits", "b_bits", lambda v, w: F.bit_count(v.bitwiseAND(w))), F.lit(0), lambda acc, c: acc + c)
+    beyond = lambda c: F.col(f"{c}_extra") - F.when(F.col("a_hot") & F.col("b_hot"), F.col(f"{c}_own")).otherwise(0)
+    able = F.coalesce((100 + percent) * (common + F.least(beyond("a"), beyond("b"))) >= percent * total, F.lit(True))
+    rest = (a.filter("a_node != pivot").join(b, (a["pivot"] == b["pivot"]) & (F.col("a_part") != F.col("b_part")) & (~F.col("stray") | (F.col("a_node") < F.col("b_node")))
+                   & (100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")) & able)
+            .select(F.least("a_node", "b_node").alias("x"), F.greatest("a_node", "b_node").alias("y")).distinct())
+    again = _compare(_filtered(rest, nodes, percent).filter("able"), docs, words, bits=False)
+    links = links.unionByName(_linked(again, nodes, percent))
 
     named = stored(_named(links, nodes), "named")
     final = components(named).withColumnsRenamed({"id": "rep"})
