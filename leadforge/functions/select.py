@@ -24,7 +24,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 TEXT_COL = "text"
-STEXT_COL = "stext"
+BYTES_COL = "btext"
+STRIPPED_BYTES_COL = "bstext"
 ELEMS_COL = "elems"
 
 
@@ -87,11 +88,11 @@ def attr(e: Column, name: str) -> Column:
 
 
 def raw_text(e: Column) -> Column:
-    return F.substr(F.col(TEXT_COL), e["tf"] + 1, e["tt"] - e["tf"])
+    return F.substr(F.col(BYTES_COL), e["tf"] + 1, e["tt"] - e["tf"]).cast("string")
 
 
 def strip_text(e: Column) -> Column:
-    return F.substr(F.col(STEXT_COL), e["sf"] + 1, e["st"] - e["sf"])
+    return F.substr(F.col(STRIPPED_BYTES_COL), e["sf"] + 1, e["st"] - e["sf"]).cast("string")
 
 
 # -- compilation to one SQL expression ---------------------------------------------
@@ -193,7 +194,7 @@ def pred_sql(s: Selector, v: str, b: _Bindings) -> str:
     for n in s.nots:
         conds.append(f"NOT {pred_sql(n, v, b)}")
     if s.contains is not None:
-        conds.append(f"contains(substr({TEXT_COL}, {v}.tf + 1, {v}.tt - {v}.tf), {_q(s.contains)})")
+        conds.append(f"contains(cast(substr({BYTES_COL}, {v}.tf + 1, {v}.tt - {v}.tf) AS string), {_q(s.contains)})")
     if s.after is not None:
         prev = f"(get({ELEMS_COL}, {v}.prev - 1))"
         conds.append(f"coalesce({v}.prev > 0 AND {pred_sql(s.after, prev, b)}, false)")
@@ -207,7 +208,11 @@ def pred_sql(s: Selector, v: str, b: _Bindings) -> str:
 def select_sql(s: Selector) -> str:
     b = _Bindings()
     pred = pred_sql(s, "_sel", b)
-    return b.wrap(f"filter({ELEMS_COL}, _sel -> {pred})")
+    hits = b.wrap(f"filter({ELEMS_COL}, _sel -> {pred})")
+    if isinstance(s, Sel) and s.contains is not None:
+        # most pages do not hold the text at all: one test before any element's
+        hits = f"(CASE WHEN contains({TEXT_COL}, {_q(s.contains)}) THEN {hits} ELSE slice({ELEMS_COL}, 1, 0) END)"
+    return hits
 
 
 def select(s: Selector) -> Column:

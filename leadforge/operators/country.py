@@ -82,8 +82,7 @@ def flag_sibling(selectors: list[Selector] | None = None) -> Column:
     hits = F.concat(*[select(s) for s in selectors])
 
     def sibling_country(h: Column) -> Column:
-        sib = F.get(F.filter(elems, lambda x: (x["parent"] == h["parent"]) & (x["id"] > h["id"]) & (x["tag"] == "span")), 0)
-        return _normalised_span(sib)
+        return F.when(h["nspan"] > 0, _normalised_span(F.get(elems, h["nspan"] - 1)))
 
     return _first(F.transform(hits, sibling_country))
 
@@ -142,7 +141,7 @@ def country_columns(dom: DataFrame, keep: list[str] | None = None, url_col: str
     ``country`` ('' when nothing is found or the page is missing).  ``extra``
     columns are computed in the same projection (one pass over the page)."""
     keep = list(keep or [url_col])
-    d = dom.select(*keep, *[c for c in ("text", "stext", "elems") if c not in keep],
+    d = dom.select(*keep, *[c for c in ("text", "stext", "btext", "bstext", "elems") if c not in keep],
                    select(FLAG_SPAN).alias("_flag_spans"), F.lower(F.col("text")).alias("_lt"))
     cols = d.select(
         *keep,

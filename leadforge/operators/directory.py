@@ -22,7 +22,7 @@ from leadforge.functions.select import Selector, sel, select, select_one, strip_
 from leadforge.functions.text import pystrip, title_case
 from leadforge.functions.urls import urljoin
 from leadforge.operators.dedup import first_by
-from leadforge.session import broadcast_if_small, cut_lineage
+from leadforge.session import cut_lineage
 
 # Selector records for the config's CSS and the D5 fallbacks (in order).
 LINK_SELECTOR = sel("a", attrs=[("data-test", "=", "company-name")])
@@ -97,9 +97,12 @@ def next_href(pagination_selector: Selector | None = PAGINATION_SELECTOR,
               fallbacks: list[Selector] | None = None) -> Column:
     """Href of the configured selector's first hit, else of the first
     fallback whose first hit has an href (a first hit without href moves on
-    to the next selector)."""
+    to the next selector).  Without a configured selector there is no
+    pagination: NULL on every page."""
+    if pagination_selector is None:
+        return F.lit(None).cast("string")
     fallbacks = NEXT_FALLBACKS if fallbacks is None else fallbacks
-    chain = ([pagination_selector] if pagination_selector is not None else []) + list(fallbacks)
+    chain = [pagination_selector, *fallbacks]
     hrefs = []
     for s in chain:
         h = select_one(s)["attrs"]["href"]
@@ -168,7 +171,8 @@ def follow_pagination(starts: DataFrame, nexts: DataFrame, max_pages_bound: int)
                 jump, walks = _materialise_pair(jump, walks)
                 # every walk still growing has 2^(j+1) positions; if the
                 # longest is shorter, all walks have ended
-                if walks.agg(F.max("step")).first()[0] < 2 ** (j + 1) - 1:
+                longest = walks.agg(F.max("step")).first()[0]
+                if longest is None or longest < 2 ** (j + 1) - 1:
                     break
     return walks.filter(F.col("step") < F.col("max_pages")).select(
         "sector", (F.col("step") + 1).alias("page_no"), F.col("node").alias("url"))
@@ -236,8 +240,7 @@ def directory_companies(features: DataFrame, config: DataFrame, group: list[str]
     """
     visited = visited_pages(features, config)
     links = feature_links(features)
-    # one row per configured sector: broadcast behind a row-count check
-    occ = visited.join(links, "url").join(broadcast_if_small(config.select("sector", "sector_ord")), "sector")
+    occ = visited.join(links, "url").join(config.select("sector", "sector_ord"), "sector")
     group = [] if group is None else group
     # run order: sector_ord, then the sector name (deterministic when a
     # config leaves sector_ord unset), then page and link position

@@ -47,13 +47,25 @@ def _link(area: str, prio: int, region_id: Column, a: Column, i: Column) -> Colu
     )
 
 
+def outermost(regions: Column) -> Column:
+    """Regions (in document order) that lie in no other one: those inside
+    another hold no further anchors."""
+    start = F.struct(F.lit(0).alias("end"), F.slice(regions, 1, 0).alias("kept"))
+    return F.aggregate(
+        regions, start,
+        lambda acc, r: F.when(r["id"] <= acc["end"], acc).otherwise(F.struct(r["end"].alias("end"), F.array_append(acc["kept"], r).alias("kept"))),
+        lambda acc: acc["kept"])
+
+
 def _region_pairs(area: str, prio: int, s, anchors: Column) -> Column:
     return F.flatten(F.transform(
-        select(s), lambda r: F.transform(within(r, anchors), lambda a, i: _link(area, prio, r["id"], a, i))))
+        outermost(select(s)), lambda r: F.transform(within(r, anchors), lambda a, i: _link(area, prio, r["id"], a, i))))
 
 
 def region_link_array(regions=None) -> Column:
-    """All (region element, anchor) pairs in priority order, as an array."""
+    """The anchors of every area, in priority order, as an array: an anchor
+    once per area that holds it, under the outermost region around it (unclosed
+    menus nest; pairs with every region would be quadratic in the page)."""
     regions = REGION_SELECTORS if regions is None else regions
     anchors = anchor_list()
     parts = []
@@ -76,8 +88,8 @@ def _usable_href(link: Column) -> Column:
 
 
 def region_links(dom: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """P1 as a relation: one row per usable (region element, link) pair, with
-    ``is_contact`` (P2/P3)."""
+    """P1 as a relation: one row per usable (area, link), with ``is_contact``
+    (P2/P3)."""
     keep = list(keep or ["url"])
     arr = F.filter(region_link_array(), _usable_href)
     arr = F.transform(arr, lambda l: l.withField("is_contact", is_contact_link(l)))
@@ -113,13 +125,26 @@ def generated_urls(sites: DataFrame, site_col: str = "site_url") -> DataFrame:
     )
 
 
+def _n_found() -> Column:
+    """Contact links before dedup, one for the page and one for every region
+    element around them, counted up to where it matters: with three links
+    or more there are enough, so the regions count for two at most."""
+    contact = F.filter(anchor_list(), lambda a: _usable_href(_link(CONTENT_AREA, 0, F.lit(0), a, F.lit(0)))
+                       & is_contact_link(_link(CONTENT_AREA, 0, F.lit(0), a, F.lit(0))))
+    around = lambda a: sum((F.size(F.filter(select(s), lambda r: (r["id"] < a["id"]) & (a["id"] <= r["end"])))
+                            for _, s in REGION_SELECTORS), F.lit(1))
+    few = F.slice(contact, 1, params.MIN_FOUND_LINKS - 1)
+    return F.when(F.size(contact) >= params.MIN_FOUND_LINKS, F.size(contact)).otherwise(
+        F.aggregate(F.transform(few, around), F.lit(0), lambda acc, n: acc + n))
+
+
 def discovery_exprs() -> list[Column]:
     """Page-local part of P5 as columns of the homepage row: ``_missing``,
     ``_n_found`` (contact links before dedup) and ``_links`` (href, label)."""
     contact = F.filter(region_link_array(), lambda l: _usable_href(l) & is_contact_link(l))
     return [
         F.col("elems").isNull().alias("_missing"),
-        F.size(contact).alias("_n_found"),
+        _n_found().alias("_n_found"),
         F.transform(contact, lambda l: F.struct(l["href"].alias("href"), page_label(l["link_text"]).alias("page_name"))).alias("_links"),
     ]
 
@@ -134,8 +159,9 @@ def discover_contact_pages(homes: DataFrame, site_col: str = "site_url") -> Data
     return discover_from(homes.select(F.col(site_col), *discovery_exprs()), site_col)
 
 
-def discover_from(cands: DataFrame, site_col: str = "site_url") -> DataFrame:
-    """P5 after the page-local part (``discovery_exprs`` columns)."""
+def discover_from(cands: DataFrame, site_col: str = "site_url", max_pages: int | None = params.MAX_CONTACT_PAGES) -> DataFrame:
+    """P5 after the page-local part (``discovery_exprs`` columns);
+    ``max_pages=None`` keeps every discovered page."""
     found = cands.select(site_col, F.posexplode("_links").alias("_ord", "_l")).select(
         site_col,
         F.col("_ord").alias("cand_ord"),
@@ -161,9 +187,9 @@ def discover_from(cands: DataFrame, site_col: str = "site_url") -> DataFrame:
     )
     w = Window.partitionBy(site_col).orderBy("cand_ord")
     ranked = firsts.select(site_col, "page_url", "_f.*").withColumn("rank", F.row_number().over(w))
-    return ranked.filter(F.col("_missing") | (F.col("rank") <= params.MAX_CONTACT_PAGES)).select(
-        site_col, "rank", "page_name", "page_url"
-    )
+    if max_pages is not None:
+        ranked = ranked.filter(F.col("_missing") | (F.col("rank") <= max_pages))
+    return ranked.select(site_col, "rank", "page_name", "page_url")
 
 
 def pages_to_check(homes: DataFrame, site_col: str = "site_url") -> DataFrame:

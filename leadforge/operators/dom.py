@@ -44,6 +44,7 @@ ELEMENT_TYPE = T.StructType(
         T.StructField("end", T.IntegerType()),
         T.StructField("parent", T.IntegerType()),
         T.StructField("prev", T.IntegerType()),
+        T.StructField("nspan", T.IntegerType()),
         T.StructField("tag", T.StringType()),
         T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
         T.StructField("cls", T.ArrayType(T.StringType())),
@@ -55,9 +56,11 @@ ELEMENT_TYPE = T.StructType(
     ]
 )
 
+# The texts are UTF-8 bytes and the offsets count bytes, so that an element's
+# text costs its own length: in a string, every slice walks from the start.
 DOM_FIELDS = [
-    T.StructField("text", T.StringType()),
-    T.StructField("stext", T.StringType()),
+    T.StructField("btext", T.BinaryType()),
+    T.StructField("bstext", T.BinaryType()),
     T.StructField("elems", T.ArrayType(ELEMENT_TYPE)),
 ]
 
@@ -69,7 +72,10 @@ VOID_TAGS = frozenset(
 # builder gives it its own string class, and get_text() of ordinary elements
 # and of the document leaves it out.
 NON_TEXT_TAGS = frozenset(["script", "style", "template", "rt", "rp"])
-# Python's str.strip() whitespace; used for stripped text nodes.
+# A text node of these characters alone is one line feed if it holds one, else
+# one space, but not inside these tags.
+_BLANK = " \n\t\f\r"
+_KEEP_BLANK_TAGS = frozenset(["pre", "textarea"])
 _OUTPUT_CHUNK_ROWS = 256
 
 
@@ -84,6 +90,7 @@ class _TreeBuilder(HTMLParser):
         self.end: list[int] = []
         self.parent: list[int] = []
         self.prev: list[int] = []
+        self.nspan: list[int] = []
         self.tag: list[str] = []
         self.attr_keys: list[str] = []
         self.attr_vals: list[str] = []
@@ -97,7 +104,7 @@ class _TreeBuilder(HTMLParser):
         self.raw: list[str | None] = []
 
     # -- per page --------------------------------------------------------------
-    _COLUMNS = ("end", "parent", "prev", "tag", "attr_keys", "attr_vals", "attr_off", "cls_vals", "cls_off",
+    _COLUMNS = ("end", "parent", "prev", "nspan", "tag", "attr_keys", "attr_vals", "attr_off", "cls_vals", "cls_off",
                 "tf", "tt", "sf", "st", "raw")
 
     def page_or_none(self, html: str) -> tuple[str, str] | None:
@@ -118,12 +125,14 @@ class _TreeBuilder(HTMLParser):
         self.base = len(self.tag)          # index of this page's element 1
         self.stack: list[int] = []         # ids of open elements
         self.last_child: dict[int, int] = {}
+        self.before_span: dict[int, list[int]] = {}  # children since the parent's last span
         self.text: list[str] = []
         self.text_len = 0
         self.stext: list[str] = []
         self.stext_len = 0
         self.pending: list[str] = []
         self.in_container = 0              # open NON_TEXT_TAGS elements
+        self.keep_blank = 0                # open _KEEP_BLANK_TAGS elements
         self.feed(html)
         self.close()
         self._flush()
@@ -141,12 +150,14 @@ class _TreeBuilder(HTMLParser):
             if self.tag[i] == "script":
                 self.raw[i] += data
             return
+        if not self.keep_blank and not data.strip(_BLANK):
+            data = "\n" if "\n" in data else " "
         self.text.append(data)
-        self.text_len += len(data)
+        self.text_len += len(data) if data.isascii() else len(data.encode())
         stripped = data.strip()
         if stripped:
             self.stext.append(stripped)
-            self.stext_len += len(stripped)
+            self.stext_len += len(stripped) if stripped.isascii() else len(stripped.encode())
 
     def handle_data(self, data: str) -> None:
         self.pending.append(data)
@@ -179,6 +190,13 @@ class _TreeBuilder(HTMLParser):
         self.parent.append(parent)
         last_child = self.last_child
         self.prev.append(last_child.get(parent, 0))
+        self.nspan.append(0)
+        waiting = self.before_span.setdefault(parent, [])
+        if tag == "span":
+            for sibling in waiting:
+                self.nspan[self.base + sibling - 1] = eid
+            waiting.clear()
+        waiting.append(eid)
         tags.append(tag)
         if amap:
             self.attr_keys.extend(amap)
@@ -203,6 +221,8 @@ class _TreeBuilder(HTMLParser):
             i = self.base + self.stack.pop() - 1
             if self.tag[i] in NON_TEXT_TAGS:
                 self.in_container -= 1
+            elif self.tag[i] in _KEEP_BLANK_TAGS:
+                self.keep_blank -= 1
             self.end[i] = last_id
             self.tt[i] = self.text_len
             self.st[i] = self.stext_len
@@ -213,6 +233,8 @@ class _TreeBuilder(HTMLParser):
             self.stack.append(eid)
             if tag in NON_TEXT_TAGS:
                 self.in_container += 1
+            elif tag in _KEEP_BLANK_TAGS:
+                self.keep_blank += 1
 
     def handle_startendtag(self, tag: str, attrs) -> None:
         self._open(tag, attrs)
@@ -238,7 +260,7 @@ class _TreeBuilder(HTMLParser):
         struct_type = elems_type.value_type
         children = [
             pa.array(ids, i32), pa.array(self.end, i32), pa.array(self.parent, i32), pa.array(self.prev, i32),
-            pa.array(self.tag, pa.string()),
+            pa.array(self.nspan, i32), pa.array(self.tag, pa.string()),
             pa.MapArray.from_arrays(pa.array(self.attr_off, i32), pa.array(self.attr_keys, pa.string()),
                                     pa.array(self.attr_vals, pa.string())),
             pa.ListArray.from_arrays(pa.array(self.cls_off, i32), pa.array(self.cls_vals, pa.string())),
@@ -265,7 +287,7 @@ def parse_html(html: str | None) -> tuple[str | None, str | None, list[dict] | N
     for i in range(len(b.tag)):
         a0, a1 = b.attr_off[i], b.attr_off[i + 1]
         elems.append({
-            "id": i + 1, "end": b.end[i], "parent": b.parent[i], "prev": b.prev[i],
+            "id": i + 1, "end": b.end[i], "parent": b.parent[i], "prev": b.prev[i], "nspan": b.nspan[i],
             "tag": b.tag[i],
             "attrs": list(zip(b.attr_keys[a0:a1], b.attr_vals[a0:a1])),
             "cls": b.cls_vals[b.cls_off[i]:b.cls_off[i + 1]],
@@ -311,8 +333,8 @@ def parse_pages(pages: DataFrame, keep: list[str] | None = None, keep_html: bool
                         stexts.append(None)
                         missing.append(True)
                     else:
-                        texts.append(parsed[0])
-                        stexts.append(parsed[1])
+                        texts.append(parsed[0].encode())
+                        stexts.append(parsed[1].encode())
                         missing.append(False)
                     page_off.append(len(builder.tag))
                 cols = [batch.column(i).slice(start, len(part)) for i in range(n_keep)]
@@ -323,7 +345,8 @@ def parse_pages(pages: DataFrame, keep: list[str] | None = None, keep_html: bool
                 cols.append(builder.elements_array(page_off, missing, dom_types[2]))
                 yield pa.RecordBatch.from_arrays(cols, schema=arrow_schema)
 
-    return pages.select(*keep, "html").mapInArrow(run, schema)
+    dom = pages.select(*keep, "html").mapInArrow(run, schema)
+    return dom.withColumns({"text": F.col("btext").cast("string"), "stext": F.col("bstext").cast("string")})
 
 
 def elements(dom: DataFrame) -> DataFrame:

@@ -135,7 +135,7 @@ def page_emails(cands: DataFrame, keep: list[str], custom_col: str | None = None
     return cands.select(*keep, F.explode(page_email_array(custom)).alias("email"))
 
 
-def site_emails(visits: DataFrame, key: list[str], stop_at: int = params.EARLY_STOP_EMAILS) -> DataFrame:
+def site_emails(visits: DataFrame, key: list[str], stop_at: int | None = params.EARLY_STOP_EMAILS) -> DataFrame:
     """``visits(key..., rank, email)`` -> the addresses a visit in rank
     order collects before it stops (after the page at which at least
     ``stop_at`` distinct addresses are held).
@@ -145,6 +145,8 @@ def site_emails(visits: DataFrame, key: list[str], stop_at: int = params.EARLY_S
     the per-(key, email) minimum is a partial aggregate.
     """
     first = visits.groupBy(*key, "email").agg(F.min("rank").alias("first_rank"))
+    if stop_at is None:  # every page is visited
+        return first
     per_rank = first.groupBy(*key, "first_rank").agg(F.count("*").alias("n_new"))
     w = Window.partitionBy(*key).orderBy("first_rank").rowsBetween(Window.unboundedPreceding, -1)
     visited = per_rank.withColumn("held_before", F.coalesce(F.sum("n_new").over(w), F.lit(0))).filter(

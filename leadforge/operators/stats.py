@@ -31,18 +31,23 @@ def run_stats(r) -> DataFrame:
 
 
 def scraping_stats(r) -> DataFrame:
-    """A4: found, processed (profile page fetched), emails, errors (website
-    whose homepage is missing from the crawl), success rate in percent."""
+    """A4: companies found; processed (their profile page was fetched); emails;
+    errors (pages that could not be fetched: profiles, homepages, contact
+    pages to check, one for each company they belong to); success rate in
+    percent of the companies found."""
     s = _per_sector(r)
-    fetched = r.enriched.join(r.homes.select(F.col("site_url").alias("website_url"), "fetched"), "website_url", "left")
-    errors = fetched.filter(F.col("fetched") == F.lit(False)).groupBy("sector").agg(F.count("*").alias("errors"))
-    return s.join(errors, "sector", "left").select(
+    missing = (r.pages_to_check.join(r.page_cands.select("page_url", "fetched"), "page_url")
+               .filter(~F.col("fetched")).groupBy(F.col("site_url").alias("website_url")).agg(F.count("*").alias("n_missing")))
+    fetched = F.col("profile_fetched").cast("long")
+    per_sector = r.enriched.join(missing, "website_url", "left").groupBy("sector").agg(
+        F.sum(fetched).alias("processed"), F.sum(1 - fetched + F.coalesce("n_missing", F.lit(0))).alias("errors"))
+    return s.join(per_sector, "sector").select(
         "sector",
         F.col("n_companies").alias("companies_found"),
-        F.col("n_companies").alias("companies_processed"),
+        F.col("processed").alias("companies_processed"),
         F.col("total_emails").alias("emails_found"),
-        F.coalesce("errors", F.lit(0)).alias("errors"),
-        (F.col("n_companies") / F.greatest("n_companies", F.lit(1)) * 100).alias("success_rate"),
+        "errors",
+        (F.col("processed") / F.greatest("n_companies", F.lit(1)) * 100).alias("success_rate"),
     )
 
 

@@ -7,7 +7,7 @@
 ``DIR``: ``links/`` (S4) and ``emails/`` (S6) as CSV with a header, one folder
 per sector; ``manifest/`` (S7: file labels and counts) and ``stats/`` (A1-A4)
 as JSON lines.  ``audit`` writes the selector results of every page (Q1, Q2,
-Q4, S8) as JSON lines.  Inputs are parquet tables ``(url, html)``; the config
+Q4, S8), the containers (Q5) and the pagination probes (Q6) as JSON lines.  Inputs are parquet tables ``(url, html)``; the config
 is JSON lines with the schema of ``sources.config``.  The session comes from
 ``spark-submit`` (cluster settings, ``spark.checkpoint.dir``).
 """
@@ -23,7 +23,7 @@ from leadforge.operators import audit as Q
 from leadforge.operators import stats as A
 from leadforge.operators.dom import parse_pages
 from leadforge.plans import pipeline
-from leadforge.session import ensure_checkpoint_dir
+from leadforge.session import cut_lineage, ensure_checkpoint_dir
 from leadforge.sources import sinks as S
 from leadforge.sources.config import read_config
 
@@ -44,12 +44,16 @@ def contacts(spark: SparkSession, config_path: str, listings_path: str, pages_pa
 
 
 def audit(spark: SparkSession, pages_path: str, out: str) -> None:
-    dom = parse_pages(spark.read.parquet(pages_path).select("url", "html"))
+    # unfetched pages have nothing to analyse
+    dom = cut_lineage(parse_pages(spark.read.parquet(pages_path).select("url", "html").filter("html IS NOT NULL")).filter("elems IS NOT NULL"))
     res = Q.selector_results(dom)
     best = Q.best_selector(res)
     rows = res.groupBy("url").agg(F.map_from_entries(F.collect_list(F.struct(
         "selector_name", F.struct(F.col("n").alias("count"), "selector", "examples")))).alias("results"))
-    S.write_json(rows.join(best, "url", "left"), f"{out.rstrip('/')}/selectors")
+    out = out.rstrip("/")
+    S.write_json(rows.join(best, "url", "left"), f"{out}/selectors")
+    S.write_json(Q.container_analysis(dom), f"{out}/containers")
+    S.write_json(Q.pagination_analysis(dom), f"{out}/pagination")
 
 
 def main(argv: list[str] | None = None) -> None:

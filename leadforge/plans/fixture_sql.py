@@ -8,7 +8,7 @@ from leadforge.sources.fixtures import SECTOR_FIXTURE
 
 
 def _sec_values() -> str:
-    return ", ".join(f"('{s}', {i}, {mp})" for i, (s, _f, mp) in enumerate(SECTOR_FIXTURE, start=1))
+    return ", ".join(f"('{s}', {i}, {'NULL' if mp is None else mp})" for i, (s, _f, mp) in enumerate(SECTOR_FIXTURE, start=1))
 
 
 LISTING_URL = (
@@ -50,7 +50,9 @@ links AS (
 visited AS (
   SELECT n.sector, s.sector_ord, gs.page_no
   FROM npages n JOIN sec s ON s.sector = n.sector,
-       LATERAL (SELECT CAST(unnest(range(1, least(s.max_pages, n.n_pages) + 1)) AS INTEGER) AS page_no) gs),
+       LATERAL (SELECT CAST(unnest(range(1, n.n_pages + 1)) AS INTEGER) AS page_no) gs),
+visited_bounded AS (
+  SELECT v.* FROM visited v JOIN sec s ON s.sector = v.sector WHERE v.page_no <= coalesce(s.max_pages, 2)),
 occ AS (SELECT l.*, v.sector_ord FROM links l JOIN visited v ON v.sector = l.sector AND v.page_no = l.page_no),
 d3 AS (
   SELECT company_url, arg_min(sector, (sector_ord, page_no, link_pos)) AS sector,
@@ -67,7 +69,10 @@ prof AS (
                      WHEN 8 THEN 'Italy' WHEN 9 THEN 'Turkey' WHEN 11 THEN 'United Kingdom' ELSE '' END AS country,
          CASE WHEN (k // 10) % 5 = 4 THEN '' ELSE site END AS website_url,
          (k // 10) % 5 AS wv
-  FROM comp),
+  FROM comp WHERE k % 40 <> 39),
+profx AS (
+  SELECT c.k, coalesce(p.country, '') AS country, coalesce(p.website_url, '') AS website_url
+  FROM comp c LEFT JOIN prof p ON p.k = c.k),
 home_emails AS (
   SELECT k, site AS page_url, e AS email FROM (
     SELECT k, site, CASE k % 10
@@ -89,7 +94,8 @@ sub_emails AS (
 site_em AS (
   SELECT k, email FROM home_emails
   UNION ALL SELECT k, email FROM sub_emails WHERE (k % 10 = 0)
-  UNION ALL SELECT k, email FROM sub_emails WHERE k % 10 = 8 AND page_rank <= 2)
+  UNION ALL SELECT k, email FROM sub_emails WHERE k % 10 = 8 AND page_rank <= 2),
+site_em_all AS (SELECT k, email FROM home_emails UNION SELECT k, email FROM sub_emails)
 """
 
 # Site emails with a sector's custom business domains: machinery accepts yahoo.com.
@@ -107,6 +113,9 @@ e13 AS (
 """
 
 
+SITE_EM_ALL = SITE_EM_SECTOR.replace("JOIN site_em se", "JOIN site_em_all se")
+
+
 def with_base(body: str, extra: str = "") -> str:
     return "WITH " + BASE + ("," + extra if extra else "") + "\n" + body
 

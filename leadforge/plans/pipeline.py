@@ -27,7 +27,7 @@ from leadforge.operators import emails as E
 from leadforge.operators.country import country_columns
 from leadforge.operators.dom import parse_pages
 from leadforge.operators.website import website_exprs, website_url
-from leadforge.session import broadcast_if_small, cut_lineage
+from leadforge.session import cut_lineage
 from leadforge.sources.pages import lookup_pages
 
 
@@ -46,15 +46,19 @@ class Run:
 def _profiles(companies: DataFrame, pages: DataFrame) -> DataFrame:
     urls = companies.select(F.col("company_url").alias("url")).distinct()
     dom = parse_pages(lookup_pages(urls, pages))
-    feats = country_columns(dom, extra=website_exprs()).select(
-        "url", "country", website_url().alias("website_url"))
+    fetched = F.col("elems").isNotNull().alias("profile_fetched")
+    feats = country_columns(dom, extra=[*website_exprs(), fetched]).select(
+        "url", "country", "profile_fetched", website_url().alias("website_url"))
     return feats
 
 
-def run(config: DataFrame, listings: DataFrame, pages: DataFrame, limit: int | None = None) -> Run:
+def run(config: DataFrame, listings: DataFrame, pages: DataFrame, limit: int | None = None,
+        max_contact_pages: int | None = params.MAX_CONTACT_PAGES, stop_at: int | None = params.EARLY_STOP_EMAILS) -> Run:
     """``config(sector, sector_ord, url, max_pages, business_domain_keywords)``;
     ``listings(url, html)`` the directory crawl; ``pages(url, html)`` the crawl
-    of profiles and company sites."""
+    of profiles and company sites.  The reproduced tool reads five contact
+    pages a site and stops after five addresses, to save fetches; on a stored
+    crawl ``max_contact_pages=None, stop_at=None`` reads all that is there."""
     # the config feeds several small actions (walk bound, broadcast checks)
     config = cut_lineage(config)
     features = D.listing_features(parse_pages(listings.select("url", "html")))
@@ -68,6 +72,7 @@ def run(config: DataFrame, listings: DataFrame, pages: DataFrame, limit: int | N
         *companies.columns,
         F.coalesce("country", F.lit("")).alias("country"),
         F.coalesce("website_url", F.lit("")).alias("website_url"),
+        F.coalesce("profile_fetched", F.lit(False)).alias("profile_fetched"),
     )
     enriched = cut_lineage(enriched)
 
@@ -79,7 +84,7 @@ def run(config: DataFrame, listings: DataFrame, pages: DataFrame, limit: int | N
 
     # small (at most 6 rows a site) but read three times: lookup size check,
     # lookup, pages-to-check
-    discovered = cut_lineage(P.discover_from(homes, "site_url"))
+    discovered = cut_lineage(P.discover_from(homes, "site_url", max_contact_pages))
     to_check = homes.select("site_url", F.lit(0).alias("rank"), F.lit("Homepage").alias("page_name"),
                             F.col("site_url").alias("page_url")).unionByName(discovered)
 
@@ -89,8 +94,7 @@ def run(config: DataFrame, listings: DataFrame, pages: DataFrame, limit: int | N
                               "area_hits", "pattern_hits")
     all_cands = home_cands.unionByName(page_cands.join(home_cands.select("page_url"), "page_url", "left_anti"))
 
-    # The keyword lists come from the sector config: one row per configured
-    # sector; broadcast behind a row-count check.
+    # The keyword lists come from the sector config: one row per configured sector.
     keywords = config.select("sector", F.coalesce("business_domain_keywords", F.array().cast("array<string>"))
                              .alias("custom"))
     # E12 depends only on the site and the sector's keyword list, so it runs
@@ -99,10 +103,10 @@ def run(config: DataFrame, listings: DataFrame, pages: DataFrame, limit: int | N
     visits = (
         site_keys.join(to_check, "site_url")
         .join(all_cands, "page_url")
-        .join(broadcast_if_small(keywords), "sector")
+        .join(keywords, "sector")
     )
     emails = E.page_emails(visits, ["sector", "site_url", "rank"], custom_col="custom")
-    per_site = E.site_emails(emails, ["sector", "site_url"])
+    per_site = E.site_emails(emails, ["sector", "site_url"], stop_at)
     site = with_site.select("sector", "company_url", F.col("website_url").alias("site_url")).join(
         per_site, ["sector", "site_url"]).select("sector", "company_url", "email", "first_rank")
     site = cut_lineage(site)

@@ -218,10 +218,11 @@ ORACLES = {
         FROM cov JOIN (VALUES {sel_values}) s(sel_pos, selector_name, selector) USING (sel_pos, selector_name)
     """.replace("{sel_values}", _sel_values()), _AUDIT),
     "sector_config": with_base("""
-        SELECT s.sector, s.sector_ord, 'https://dir.test/companies/' || s.sector || '.html' AS url, s.max_pages,
+        SELECT s.sector, s.sector_ord, 'https://dir.test/companies/' || s.sector || '.html' AS url,
+               CAST(n.n_pages AS INTEGER) AS max_pages,
                CASE s.sector WHEN 'automobile' THEN 'motors,automotive' WHEN 'machinery' THEN 'cnc,machining,yahoo.com'
                              ELSE '' END AS keywords
-        FROM sec s WHERE s.sector IN (SELECT DISTINCT lower(c_mktsegment) FROM customer)
+        FROM sec s JOIN npages n ON n.sector = s.sector
     """),
     "css_select_attrs": with_base("""
         SELECT u.url, CAST(count(*) + 1 AS INTEGER) AS company_anchors, CAST(count(*) AS INTEGER) AS with_href,

@@ -12,18 +12,18 @@ from leadforge.operators import emails as E
 from leadforge.operators import stats as A
 from leadforge.operators.dom import parse_pages
 from leadforge.plans import pipeline
-from leadforge.plans.fixture_sql import SITE_EM_SECTOR, with_base
+from leadforge.plans.fixture_sql import SITE_EM_ALL, SITE_EM_SECTOR, with_base
 from leadforge.sources import fixtures as FX
 from leadforge.sources import sinks as S
 from leadforge.sources.pages import lookup_pages
 
 
-def fixture_run(spark: SparkSession, sf_dir: str, limit: int | None = None) -> pipeline.Run:
+def fixture_run(spark: SparkSession, sf_dir: str, limit: int | None = None, **caps) -> pipeline.Run:
     """The pipeline over the synthesised crawl (``FX.crawl``: written once to
     the checkpoint folder, like a stored crawl table)."""
     cfg = FX.fixture_sector_config(spark, sf_dir)
     listings, profiles, sites = FX.crawl(spark, sf_dir)
-    return pipeline.run(cfg, listings.select("url", "html"), profiles.unionByName(sites), limit=limit)
+    return pipeline.run(cfg, listings.select("url", "html"), profiles.unionByName(sites), limit=limit, **caps)
 
 
 def _site_cands(spark, sf_dir) -> DataFrame:
@@ -96,6 +96,12 @@ def sector_contacts(spark, sf_dir):
     return pipeline.contacts_export(fixture_run(spark, sf_dir))
 
 
+def sector_contacts_all(spark, sf_dir):
+    """E15 without the fetch-saving caps: every discovered page of every site
+    is read, and no address count ends a visit."""
+    return pipeline.contacts_export(fixture_run(spark, sf_dir, max_contact_pages=None, stop_at=None))
+
+
 # -- P ---------------------------------------------------------------------------
 
 def discover_contact_pages(spark, sf_dir):
@@ -190,6 +196,7 @@ QUERIES = {
     "site_emails": site_emails,
     "dedup_emails": dedup_emails,
     "sector_contacts": sector_contacts,
+    "sector_contacts_all": sector_contacts_all,
     "discover_contact_pages": discover_contact_pages,
     "pages_to_check": pages_to_check,
     "contact_link_text": contact_link_text,
@@ -269,8 +276,13 @@ ORACLES = {
     "sector_contacts": with_base("""
         SELECT e.sector, d.name AS "Company Name", p.country AS "Country", p.website_url AS "Company Website URL",
                e.email AS "Email"
-        FROM e13 e JOIN d3 d ON d.company_url = e.company_url JOIN prof p ON p.k = d.k
+        FROM e13 e JOIN d3 d ON d.company_url = e.company_url JOIN profx p ON p.k = d.k
     """, SITE_EM_SECTOR),
+    "sector_contacts_all": with_base("""
+        SELECT e.sector, d.name AS "Company Name", p.country AS "Country", p.website_url AS "Company Website URL",
+               e.email AS "Email"
+        FROM e13 e JOIN d3 d ON d.company_url = e.company_url JOIN profx p ON p.k = d.k
+    """, SITE_EM_ALL),
     "discover_contact_pages": with_base(f"SELECT site_url, CAST(rank AS INTEGER) AS rank, page_name, page_url FROM ({_P5})"),
     "pages_to_check": with_base(f"""
         SELECT site_url, CAST(rank AS INTEGER) AS rank, page_name, page_url FROM ({_P5})
@@ -290,15 +302,24 @@ ORACLES = {
         FROM ds LEFT JOIN dw USING (sector) LEFT JOIN kept USING (sector)
     """, _RUN),
     "scraping_stats": with_base("""
-        SELECT ds.sector, ds.n_companies AS companies_found, ds.n_companies AS companies_processed,
-               coalesce(kept.total, 0) AS emails_found, coalesce(er.errors, 0) AS errors,
-               ds.n_companies / greatest(ds.n_companies, 1) * 100 AS success_rate
+        SELECT ds.sector, ds.n_companies AS companies_found, x.processed AS companies_processed,
+               coalesce(kept.total, 0) AS emails_found, x.errors AS errors,
+               x.processed / greatest(ds.n_companies, 1) * 100 AS success_rate
         FROM ds LEFT JOIN kept USING (sector)
-        LEFT JOIN (SELECT d.sector, count(*) AS errors FROM d3 d JOIN comp c ON c.k = d.k
-                   WHERE (c.k // 10) % 5 <> 4 AND c.k % 20 = 15 GROUP BY d.sector) er USING (sector)
-    """, _RUN),
+        JOIN (SELECT d.sector, CAST(sum(CASE WHEN d.k % 40 <> 39 THEN 1 ELSE 0 END) AS BIGINT) AS processed,
+                     CAST(sum(CASE WHEN d.k % 40 <> 39 THEN coalesce(er.n, 0) ELSE 1 END) AS BIGINT) AS errors
+              FROM d3 d LEFT JOIN err er ON er.k = d.k GROUP BY d.sector) x USING (sector)
+    """, _RUN + f""",
+pgs AS (SELECT c.k, p.page_url FROM ({_P5}) p JOIN comp c ON c.site = p.site_url
+        UNION ALL SELECT k, site FROM comp WHERE (k // 10) % 5 <> 4),
+have AS (SELECT site AS u FROM comp WHERE (k // 10) % 5 <> 4 AND k % 20 <> 15
+         UNION ALL SELECT site || '/contact' FROM comp WHERE (k // 10) % 5 <> 4 AND k % 10 IN (0, 7, 8)
+         UNION ALL SELECT site || '/ueber' FROM comp WHERE (k // 10) % 5 <> 4 AND k % 10 = 8
+         UNION ALL SELECT site || '/team' FROM comp WHERE (k // 10) % 5 <> 4 AND k % 10 = 8),
+err AS (SELECT k, count(*) AS n FROM pgs WHERE page_url NOT IN (SELECT u FROM have) GROUP BY k)
+"""),
     "geo_distribution": with_base("""
-        SELECT p.country, count(*) AS n_companies FROM d3 d JOIN prof p ON p.k = d.k GROUP BY p.country
+        SELECT p.country, count(*) AS n_companies FROM d3 d JOIN profx p ON p.k = d.k GROUP BY p.country
     """),
     "funnel_counts": with_base(f"""
         SELECT ds.sector, ds.n_companies AS unique_companies, count(l.company_url) AS limited_companies,
@@ -311,21 +332,21 @@ ORACLES = {
     """, _RUN),
     "export_links": with_base("""
         SELECT d.sector, d.name AS "Name", d.company_url AS "URL", p.country AS "Country"
-        FROM d3 d JOIN prof p ON p.k = d.k
+        FROM d3 d JOIN profx p ON p.k = d.k
     """),
     "export_links_with_websites": with_base("""
         SELECT d.sector, d.name AS "Company Name", p.country AS "Country", d.company_url AS "Europages URL",
                p.website_url AS "Company Website URL"
-        FROM d3 d JOIN prof p ON p.k = d.k
+        FROM d3 d JOIN profx p ON p.k = d.k
     """),
     "export_emails": with_base("""
         SELECT e.sector, d.name AS "Name", p.country AS "Country", e.email AS "Email"
-        FROM e13 e JOIN d3 d ON d.company_url = e.company_url JOIN prof p ON p.k = d.k
+        FROM e13 e JOIN d3 d ON d.company_url = e.company_url JOIN profx p ON p.k = d.k
     """, SITE_EM_SECTOR),
     "export_emails_with_websites": with_base("""
         SELECT e.sector, d.name AS "Company Name", p.country AS "Country", p.website_url AS "Company Website URL",
                e.email AS "Email"
-        FROM e13 e JOIN d3 d ON d.company_url = e.company_url JOIN prof p ON p.k = d.k
+        FROM e13 e JOIN d3 d ON d.company_url = e.company_url JOIN profx p ON p.k = d.k
     """, SITE_EM_SECTOR),
     "output_manifest": with_base("""
         SELECT sector, 'links' AS dataset, 'links_' || sector || '_found_' || CAST(n_companies AS VARCHAR) || '.csv' AS label,

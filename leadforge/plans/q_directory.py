@@ -11,7 +11,7 @@ from leadforge.functions.select import sel, select, strip_text
 from leadforge.operators import directory as D
 from leadforge.operators.country import country_columns
 from leadforge.operators.dom import parse_pages
-from leadforge.operators.website import website_columns
+from leadforge.operators.website import website_columns, website_exprs, website_url
 from leadforge.plans.fixture_sql import LISTING_URL, with_base
 from leadforge.sources import fixtures as FX
 
@@ -57,7 +57,7 @@ def next_page(spark, sf_dir):
 
 def follow_pagination(spark, sf_dir):
     """Pages each sector's walk visits."""
-    return D.visited_pages(features(spark, sf_dir), config(spark, sf_dir)).select(
+    return D.visited_pages(features(spark, sf_dir), FX.fixture_sector_config(spark, sf_dir, bounded=True)).select(
         "sector", F.col("page_no").cast("int").alias("page_no"), "url")
 
 
@@ -145,7 +145,7 @@ def enrich_companies(spark, sf_dir):
     """Every company (after D3) with country and website ('' if none)."""
     comp = d3_companies(spark, sf_dir)
     prof = profile_dom(spark, sf_dir)
-    feats = country_columns(prof).select("url", "country").join(website_columns(prof).select("url", "website_url"), "url")
+    feats = country_columns(prof, extra=website_exprs()).select("url", "country", website_url().alias("website_url"))
     out = comp.join(feats, comp["company_url"] == feats["url"], "left")
     return out.select("sector", "name", "company_url", F.coalesce("country", F.lit("")).alias("country"),
                       F.coalesce("website_url", F.lit("")).alias("website_url"))
@@ -189,7 +189,7 @@ ORACLES = {
                END AS next_url
         FROM npages n, LATERAL (SELECT unnest(range(1, n.n_pages + 1)) AS page_no) p
     """),
-    "follow_pagination": with_base(f"SELECT sector, page_no, {LISTING_URL.format(p='page_no', s='sector')} AS url FROM visited"),
+    "follow_pagination": with_base(f"SELECT sector, page_no, {LISTING_URL.format(p='page_no', s='sector')} AS url FROM visited_bounded"),
     "dedup_companies": with_base(_D6),
     "dedup_cross_sector": with_base("SELECT sector, company_url, name, page_no, link_pos FROM d3"),
     "new_links_anti_join": with_base("""
@@ -237,6 +237,6 @@ ORACLES = {
     "website_fallback": with_base("SELECT company_url AS url, site AS fallback_href FROM prof WHERE wv IN (0, 1, 2, 3)"),
     "enrich_companies": with_base("""
         SELECT d.sector, d.name, d.company_url, p.country, p.website_url
-        FROM d3 d JOIN prof p ON p.k = d.k
+        FROM d3 d JOIN profx p ON p.k = d.k
     """),
 }

@@ -7,6 +7,7 @@ chosen here only apply when this module builds the session.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -38,12 +39,15 @@ def local_session(cores: int | None = None, app: str = "leadforge") -> SparkSess
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir`` if set; else (local runs, tests)
-    a fresh scratch folder."""
+    """The cluster's ``spark.checkpoint.dir``.  Only a local session without
+    one (tests) gets a scratch folder of its own; on a cluster that would be a
+    different folder on every machine, so there it is an error."""
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         spark.sparkContext.setCheckpointDir(current)
         return current
+    if not re.match(r"local($|\[)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="leadforge-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
@@ -55,11 +59,3 @@ def cut_lineage(df):
     survives the loss of the executors that computed it)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def broadcast_if_small(df, max_rows: int = 100_000):
-    """``broadcast(df)`` when it has at most ``max_rows`` rows (counted),
-    else ``df`` unchanged (the planner then shuffles)."""
-    from pyspark.sql import functions as F
-
-    return F.broadcast(df) if df.count() <= max_rows else df

@@ -1,13 +1,11 @@
 """The crawl snapshot.  ``pages(url, html)`` replaces the fetcher: a page
 that is missing (or whose fetch failed, NULL ``html``) yields no rows.
 
-Contract: ``url`` is unique in a snapshot (one fetch per URL, as the reference
-fetches each URL once per use).  A crawl with re-fetches should be reduced to
-one row per URL when it is written, not at every lookup."""
+Lookups match normalised URLs and give one page per URL."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,67 +23,37 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def read_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/pages.parquet"
-    return spread_small(spark.read.schema(PAGES_SCHEMA).parquet(path), path)
+    return spread(spark.read.schema(PAGES_SCHEMA).parquet(f"{sf_dir.rstrip('/')}/pages.parquet"))
 
 
-def _input_bytes(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(hpath).getLength())
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the crawl evenly over the shuffle partitions before the parse: the
+    parse costs a hundred times this shuffle, and files may be one row group."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def _bytes(v: str) -> int:
-    """Spark byte-size string ('134217728b', '128m', '128MB') -> bytes."""
-    v = v.strip().lower().rstrip("b")
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    if v and v[-1] in units:
-        return int(float(v[:-1]) * units[v[-1]])
-    return int(v)
+def url_key(url: Column) -> Column:
+    """What identifies a page: the URL without fragment and without trailing
+    ``/``, its scheme and host in lower case."""
+    plain = F.rtrim(F.regexp_replace(url, "#.*$", ""), F.lit("/"))
+    origin = F.regexp_extract(plain, "^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*", 0)
+    return F.concat(F.lower(origin), F.substr(plain, F.length(origin) + 1))
 
 
-def spread_small(df: DataFrame, path: str) -> DataFrame:
-    """Round-robin a *small* crawl over every core before the Python parse.
-
-    A crawl larger than ``maxPartitionBytes x cores`` already scans as at least
-    that many splits and is left alone (no shuffle).  Below that size a file
-    may be a single row group (one task), and the shuffle costs little because
-    the input is small.  Only file metadata is read to decide.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    try:
-        size = _input_bytes(spark, path)
-    except Exception:  # noqa: BLE001 - unknown size: leave the scan as it is
-        return df
-    return df.repartition(cores) if size < split * cores else df
-
-
-# Wanted-URL lists up to this many rows are broadcast (about 100 bytes a URL:
-# ~100 MB at the limit); longer lists fall back to a shuffle join.
-BROADCAST_URL_ROWS = 1_000_000
-
-
-def lookup_pages(urls: DataFrame, pages: DataFrame, url_col: str = "url",
-                 broadcast_rows: int | None = BROADCAST_URL_ROWS) -> DataFrame:
+def lookup_pages(urls: DataFrame, pages: DataFrame, url_col: str = "url") -> DataFrame:
     """The snapshot page of every distinct wanted URL, ``(url_col, html)``;
-    a URL missing from the snapshot gets a NULL ``html`` (the fetcher's
-    ``None``).
+    a URL missing from the snapshot gets a NULL ``html`` (the fetcher's ``None``).
 
-    Found pages = crawl semi-joined with the wanted URLs.  When the URL list is
-    provably small (counted, at most ``broadcast_rows``) it is broadcast, so
-    the crawl is scanned in place and never shuffled.  Missing URLs come from
-    an anti-join that reads only the ``url`` column.  The two parts are
-    unioned, so the HTML of found pages never crosses a shuffle and the parse
-    that follows runs in the crawl's own partitions.
+    URLs match by ``url_key``.  If the crawl holds several pages of one key,
+    the first of these counts: fetched before failed, the very URL before
+    others, then the smallest URL and HTML.  The planner and AQE choose the
+    join by the sizes they see.  Missing URLs come from an anti-join that
+    reads only the crawl's ``url`` column.
     """
-    wanted = urls.select(F.col(url_col).alias("url")).distinct()
-    small = broadcast_rows is not None and wanted.count() <= broadcast_rows
-    found = pages.select("url", "html").join(F.broadcast(wanted) if small else wanted, "url", "left_semi")
-    found_urls = found.select("url")
-    # found URLs are a subset of the wanted ones: broadcastable when those are
-    missing = wanted.join(F.broadcast(found_urls) if small else found_urls, "url", "left_anti").select(
-        "url", F.lit(None).cast("string").alias("html"))
+    wanted = urls.select(F.col(url_col).alias("url")).distinct().withColumn("_key", url_key(F.col("url")))
+    stored = pages.select(url_key(F.col("url")).alias("_key"), F.col("url").alias("_url"), "html")
+    found = (stored.join(wanted, "_key").groupBy("_key", "url")
+             .agg(F.min(F.struct(F.col("html").isNull().alias("a"), (F.col("_url") != F.col("url")).alias("b"), "_url", "html")).alias("_p"))
+             .select("url", "_p.html"))
+    missing = wanted.join(stored.select("_key"), "_key", "left_anti").select("url", F.lit(None).cast("string").alias("html"))
     return found.unionByName(missing).withColumnRenamed("url", url_col)

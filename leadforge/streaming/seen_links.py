@@ -42,8 +42,10 @@ def _history(spark: SparkSession, path: str, before: int) -> DataFrame | None:
 
     try:
         hist = spark.read.parquet(path)
-    except AnalysisException:  # path does not exist yet
-        return None
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None  # no batch has written anything yet
     if "batch_id" not in hist.columns:
         return None
     return hist.filter(F.col("batch_id") < before).select("company_url")

@@ -92,3 +92,17 @@ def test_rejection_rolls_back_only_that_page():
     assert b.page_or_none("<div><b>x</b><![;x") is None
     assert b.page_or_none("<i>two</i>") == ("two", "two")
     assert b.tag == ["p", "i"] and len(b.attr_off) == 3 and len(b.cls_off) == 3
+
+
+def test_blank_text_nodes_collapse():
+    assert parse_html("<b>Czech</b>   <b>Republic</b>")[0] == "Czech Republic"
+    assert parse_html("<b>a</b> \n\t <b>b</b>")[0] == "a\nb"
+    assert parse_html("<pre><b>a</b>   <b>b</b></pre><textarea>  </textarea>")[0] == "a   b  "
+    assert parse_html("<b>a</b>\xa0\xa0<b>b</b>")[0] == "a\xa0\xa0b"
+
+
+def test_offsets_count_bytes_and_next_span():
+    text, stext, elems = parse_html("<p>é ü</p><i>x</i><span>ß</span><b>y</b>")
+    p, i, span, b = elems
+    assert text.encode()[span["tf"]:span["tt"]].decode() == "ß"
+    assert p["nspan"] == i["nspan"] == span["id"] and span["nspan"] == b["nspan"] == 0

@@ -30,20 +30,32 @@ class _PlainText(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open, self.out = [], []
+        self.open, self.out, self.node = [], [], []
+
+    def flush(self):
+        # a text node of blanks alone is one line feed or one space
+        data, self.node = "".join(self.node), []
+        if data and not data.strip(" \n\t\f\r"):
+            data = "\n" if "\n" in data else " "
+        if not any(t in NON_TEXT_TAGS for t in self.open):
+            self.out.append(data)
+
+    def handle_comment(self, data):
+        self.flush()
 
     def handle_starttag(self, tag, attrs):
+        self.flush()
         if tag not in VOID_TAGS:
             self.open.append(tag)
 
     def handle_endtag(self, tag):
+        self.flush()
         if tag in self.open:
             i = len(self.open) - 1 - self.open[::-1].index(tag)
             del self.open[i:]
 
     def handle_data(self, data):
-        if not any(t in NON_TEXT_TAGS for t in self.open):
-            self.out.append(data)
+        self.node.append(data)
 
 
 def test_random_documents_form_a_tree():
@@ -54,6 +66,7 @@ def test_random_documents_form_a_tree():
         ref = _PlainText()
         ref.feed(html)
         ref.close()
+        ref.flush()
         assert text == "".join(ref.out), html
         by_id = {e["id"]: e for e in elems}
         for e in elems:
@@ -66,5 +79,8 @@ def test_random_documents_form_a_tree():
             if e["prev"]:
                 s = by_id[e["prev"]]
                 assert s["parent"] == e["parent"] and s["end"] < e["id"]
+            spans = [x["id"] for x in elems if x["parent"] == e["parent"] and x["id"] > e["id"] and x["tag"] == "span"]
+            assert e["nspan"] == (spans[0] if spans else 0)
+            assert text.encode()[e["tf"]:e["tt"]].decode() in text
             if e["tag"] in VOID_TAGS:
                 assert e["end"] == e["id"]
