@@ -44,17 +44,18 @@ def _weight(unit: Column) -> Column:
 
 
 def _keyed(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
-    """``row`` (all columns of the input), ``k_id, k_tie`` (the order of the
-    documents, never null) and ``text``."""
+    """``row`` (all columns of the input) and ``k_id, k_tie`` (the order of the
+    documents, never null)."""
     return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("k_id"),
-                       F.xxhash64(F.col(text_col)).alias("k_tie"), F.col(text_col).cast("string").alias("text"))
+                       F.xxhash64(F.col(text_col)).alias("k_tie"))
 
 
 def unit_arrays(docs: DataFrame, text_col: str, id_col: str, min_words: int = MIN_WORDS) -> DataFrame:
     """``k_id, k_tie, hashes, weights`` of the documents that can hold a run
     (so many words take twice as many bytes)."""
-    cut = (_keyed(docs, text_col, id_col).filter(F.octet_length("text") >= 2 * min_words - 1)
-           .select("k_id", "k_tie", F.split("text", _ENDS).alias("units")))
+    text = F.col("row")[text_col]
+    cut = (_keyed(docs, text_col, id_col).filter(F.octet_length(text) >= 2 * min_words - 1)
+           .select("k_id", "k_tie", F.split(text, _ENDS).alias("units")))
     return cut.select("k_id", "k_tie", F.transform("units", lambda u: F.xxhash64(u)).alias("hashes"), F.transform("units", _weight).alias("weights"))
 
 
@@ -84,7 +85,9 @@ def fingerprints(arrays: DataFrame, heavy: int = HEAVY) -> DataFrame:
 
 def repeated_runs(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
     """``k_id, k_tie, first, last``: unit ranges (from 1) that repeat earlier ones."""
-    arrays = unit_arrays(docs, text_col, id_col, min_words)
+    # Stored, as three steps read them, and so that the filters the optimizer
+    # derives from an explode do not repeat the cutting for every unit.
+    arrays = stored(unit_arrays(docs, text_col, id_col, min_words), "line-units")
     places = stored(fingerprints(arrays, -(-min_words // WINDOW)), "line-places")
     sources = stored(places.groupBy("gram").agg(F.count("*").alias("n"), F.min(F.struct("k_id", "k_tie", "idx")).alias("s"))
                      .filter("n > 1").select("gram", F.col("s.k_id").alias("s_id"), F.col("s.k_tie").alias("s_tie"), F.col("s.idx").alias("s_idx")), "line-sources")
@@ -104,7 +107,7 @@ def repeated_runs(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id
         (F.get("ends", j) + 1).alias("first"), (F.get("ends", j + 1) - 1).alias("last")))
     weigh = lambda r: F.aggregate(F.slice("t_weights", r["first"], r["last"] - r["first"] + 1), F.lit(0), lambda a, w: a + w)
     return (both.withColumn("ends", ends).withColumn("runs", F.filter(runs, lambda r: (r["last"] >= r["first"]) & (weigh(r) >= min_words)))
-            .select("k_id", "k_tie", F.explode("runs").alias("r")).select("k_id", "k_tie", "r.first", "r.last"))
+            .select("k_id", "k_tie", F.explode_outer("runs").alias("r")).filter("r IS NOT NULL").select("k_id", "k_tie", "r.first", "r.last"))
 
 
 def dedup_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
@@ -115,7 +118,7 @@ def dedup_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
                   .agg(F.collect_set(F.struct("first", "last")).alias("_cuts")), "line-cuts")
     whole = _keyed(docs, text_col, id_col).join(cuts, ["k_id", "k_tie"], "left")
     gone = lambda i: F.exists("_cuts", lambda r: (r["first"] <= i) & (i <= r["last"]))
-    units = F.when(F.col("_cuts").isNotNull(), F.transform(F.split("text", _AFTER_ENDS), lambda u, i: F.struct(u.alias("u"), gone(i + 1).alias("gone"))))
+    units = F.when(F.col("_cuts").isNotNull(), F.transform(F.split(F.col("row")[text_col], _AFTER_ENDS), lambda u, i: F.struct(u.alias("u"), gone(i + 1).alias("gone"))))
     removed = F.filter("_units", lambda x: x["gone"])
     kept = F.array_join(F.transform(F.filter("_units", lambda x: ~x["gone"]), lambda x: x["u"]), "")
     cut = F.col("_units").isNotNull()
