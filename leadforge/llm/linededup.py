@@ -7,10 +7,10 @@ more than its spaces.
 
 1. Each unit's gram is the hash of it and the next one.  Of every ``WINDOW``
    grams in a row the smallest is selected (winnowing), and every unit of at
-   least ``HEAVY`` words is selected by itself.  Any run of ``MIN_WORDS``
-   words that stands in two places selects the same unit in both: it has
-   ``WINDOW + 1`` units, hence a window of grams inside it, or fewer, hence a
-   heavy one.
+   least ``HEAVY`` words is selected, by its own hash.  Any run of
+   ``MIN_WORDS`` words that stands in two places selects the same unit in
+   both: it has ``WINDOW + 1`` units, hence a window of grams inside it, or
+   fewer, hence a heavy one.
 2. A fingerprint's first place in the corpus (id, then unit) is the source of
    all its later places: one link a place, never pairs within a group.
 3. Each (document, source document, shift) is extended both ways to all
@@ -60,27 +60,31 @@ def unit_arrays(docs: DataFrame, text_col: str, id_col: str, min_words: int = MI
 
 
 def fingerprints(arrays: DataFrame, heavy: int = HEAVY) -> DataFrame:
-    """``gram, k_id, k_tie, idx``: the selected grams and their units (from 1).
+    """``gram, k_id, k_tie, idx, left, right, weight``: the selected units
+    (from 1), by the hash of a heavy one or else its gram, with 32 bits of
+    the units around and the weight of what is hashed.
 
     A gram is selected if it is the smallest, the first of equals, of one of
     the windows that hold it: of those before it in some window all are
     larger, of those behind it none is smaller."""
-    grams = arrays.withColumn("grams", F.transform("hashes", lambda h, i: F.xxhash64(h, F.get("hashes", i + 1))))
+    grams = arrays.withColumn("grams", F.transform("hashes", lambda h, i: F.when(i + 1 < F.size("hashes"), F.xxhash64(h, F.get("hashes", i + 1)))))
     rows = grams.select("k_id", "k_tie", "grams", "hashes", "weights", F.posexplode("grams").alias("i", "gram"))
-    at = lambda k: F.get("grams", F.col("i") + k)
+    at = lambda c, k: F.get(c, F.col("i") + k)
     smallest = F.lit(False)
     for before in range(WINDOW):  # a window that begins so many grams earlier
         inside = F.col("i") >= before
         for k in range(-before, WINDOW - before):
             if k < 0:
-                inside = inside & (at(k) > F.col("gram"))
+                inside = inside & (at("grams", k) > F.col("gram"))
             elif k > 0:
-                inside = inside & F.coalesce(at(k) >= F.col("gram"), F.lit(True))
+                inside = inside & F.coalesce(at("grams", k) >= F.col("gram"), F.lit(True))
         smallest = smallest | inside
-    weight = F.get("weights", F.col("i"))
-    keys = F.filter(F.array(F.when(smallest, F.col("gram")), F.when(weight >= heavy, F.get("hashes", F.col("i")))), lambda g: g.isNotNull())
-    return (rows.filter(smallest | (weight >= heavy))
-            .select(F.explode(keys).alias("gram"), "k_id", "k_tie", (F.col("i") + 1).alias("idx")))
+    is_heavy = at("weights", 0) >= heavy
+    bits = lambda h: F.pmod(h, F.lit((1 << 31) - 1)).cast("int")
+    return (rows.filter(is_heavy | (F.col("gram").isNotNull() & smallest))
+            .select(F.when(is_heavy, at("hashes", 0)).otherwise(F.col("gram")).alias("gram"), "k_id", "k_tie", (F.col("i") + 1).alias("idx"),
+                    bits(at("hashes", -1)).alias("left"), bits(F.when(is_heavy, at("hashes", 1)).otherwise(at("hashes", 2))).alias("right"),
+                    F.when(is_heavy, at("weights", 0)).otherwise(at("weights", 0) + at("weights", 1)).alias("weight")))
 
 
 def repeated_runs(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
@@ -89,9 +93,12 @@ def repeated_runs(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id
     # derives from an explode do not repeat the cutting for every unit.
     arrays = stored(unit_arrays(docs, text_col, id_col, min_words), "line-units")
     places = stored(fingerprints(arrays, -(-min_words // WINDOW)), "line-places")
-    sources = stored(places.groupBy("gram").agg(F.count("*").alias("n"), F.min(F.struct("k_id", "k_tie", "idx")).alias("s"))
-                     .filter("n > 1").select("gram", F.col("s.k_id").alias("s_id"), F.col("s.k_tie").alias("s_tie"), F.col("s.idx").alias("s_idx")), "line-sources")
-    links = (places.join(sources, "gram")
+    sources = stored(places.groupBy("gram").agg(F.count("*").alias("n"), F.min(F.struct("k_id", "k_tie", "idx", "left", "right")).alias("s"))
+                     .filter("n > 1").select("gram", *(F.col(f"s.{a}").alias(b) for a, b in (
+                         ("k_id", "s_id"), ("k_tie", "s_tie"), ("idx", "s_idx"), ("left", "s_left"), ("right", "s_right")))), "line-sources")
+    # What is hashed has to go on at one side at least, unless it is a run.
+    goes_on = F.coalesce(F.col("left") == F.col("s_left"), F.lit(False)) | F.coalesce(F.col("right") == F.col("s_right"), F.lit(False))
+    links = (places.join(sources, "gram").filter(goes_on | (F.col("weight") >= min_words))
              .select("k_id", "k_tie", "s_id", "s_tie", (F.col("idx") - F.col("s_idx")).alias("shift"))
              .filter((F.col("k_id") != F.col("s_id")) | (F.col("k_tie") != F.col("s_tie")) | (F.col("shift") > 0))
              .distinct())

@@ -57,8 +57,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``conversations`` and one (-1) whose texts are full of control strings."""
-    hard = "</s>[INST] ok [/INST]"
-    extra = spark.createDataFrame([(-1, 0, "user", hard), (-1, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
+    extra = spark.createDataFrame([(-1, 0, "user", _HARD), (-1, 1, "assistant", _HARD)], "conv_id long, turn long, role string, text string")
     rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
     return chat.digests(chat.format_conversations(chat.replay(rows.unionByName(extra))))
 
@@ -73,4 +72,38 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_threshold_topk, op2_token_files, op3_best_fit_packing, op4_ngram_jaccard, op5_forced_boundary_bpe, op6_language_id,
     op7_paragraph_sketch, op8_line_dedup, op9_chat_format, op10_token_counts)}
-ORACLES: dict[str, str] = {}
+_HARD = "</s>[INST] ok [/INST]"
+
+
+def _escaped_sql(text: str) -> str:
+    out = f"replace({text}, '\\', '\\\\')"
+    for mark in chat.CONTROL:
+        out = f"replace({out}, '{mark}', '\\{mark}')"
+    return out
+
+
+#: SQL where it can express an operator: no tokenizers (2, 3, 5, 10), no
+#: network (6), no sketch (7); 4 and 8 would take all pairs of whole tables.
+ORACLES: dict[str, str] = {
+    "op1_threshold_topk": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+                   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
+        s AS (SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
+                     CAST(list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i])) AS BIGINT) AS score
+              FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+        r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+        SELECT * FROM r WHERE rank <= 5
+    """,
+    "op9_chat_format": f"""
+        WITH c AS (
+          SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+          UNION ALL SELECT -1, 0, 'user', '{_HARD}' UNION ALL SELECT -1, 1, 'assistant', '{_HARD}'),
+        e AS (SELECT *, length({_escaped_sql("text")}) + CASE role WHEN 'user' THEN 13 WHEN 'assistant' THEN 7 WHEN 'system' THEN 15
+                          ELSE 19 + length({_escaped_sql("role")}) END AS chars FROM c)
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+               CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn), '')) AS loss_sha256,
+               CAST(sum(chars) AS BIGINT) AS formatted_chars
+        FROM e GROUP BY conv_id
+    """,
+}
