@@ -36,6 +36,19 @@ NEXT_FALLBACKS: list[Selector] = [
 ]
 
 
+_SEP = "\x01"  # between selectors and URL in a walk's node
+
+
+def selector_of(record) -> Selector | None:
+    """A selector record of the config (``sources.config.SELECTOR``) as ``Sel``."""
+    if record is None:
+        return None
+    r = record.asDict(recursive=False)
+    return sel(r["tag"], id=r["id"], cls=tuple(r["classes"] or ()),
+               attrs=[(a["name"],) if (a["op"] or "has") == "has" else (a["name"], a["op"], a["value"]) for a in r["attrs"] or ()],
+               contains=r["contains"], inside=selector_of(r.get("inside")))
+
+
 # -- D2 ------------------------------------------------------------------------------
 
 def slug_name(href: Column) -> Column:
@@ -194,24 +207,38 @@ def limit_per_group(df: DataFrame, group: list[str], order: list[str], n: int |
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 
-def listing_features(listing_dom: DataFrame, link_selector: Selector = LINK_SELECTOR,
-                     pagination_selector: Selector | None = PAGINATION_SELECTOR) -> DataFrame:
-    """One pass over the parsed listing pages: ``url, next_url, links`` where
-    ``links`` is the D1 array (href, name, name_source) in document order.
-    Materialised once, so the Python parse runs once however many consumers
-    (pagination, link extraction) follow."""
-    hits = F.filter(select(link_selector), lambda a: F.coalesce(a["attrs"]["href"] != F.lit(""), F.lit(False)))
-    links = F.transform(hits, lambda a: F.struct(
-        a["attrs"]["href"].alias("href"), company_name(a).alias("name"), name_source(a).alias("name_source")))
-    f = listing_dom.select("url", next_href(pagination_selector).alias("_h"), links.alias("links"))
-    f = f.select("url", urljoin(F.col("url"), F.col("_h")).alias("next_url"), "links")
+def selector_key() -> Column:
+    """What a sector's selectors are known by in the feature tables."""
+    return F.to_json(F.struct("link_selector", "pagination_selector"))
+
+
+def listing_features(listing_dom: DataFrame, config: DataFrame) -> DataFrame:
+    """One pass over the parsed listing pages: ``sel_key, url, next_url, links``
+    where ``links`` is the D1 array (href, name, name_source) in document
+    order, for every distinct selector pair of the config (a page does not
+    know its sector before the walk).  Materialised once, so the Python parse
+    runs once however many consumers (pagination, link extraction) follow."""
+    pairs = config.select(selector_key().alias("k"), "link_selector", "pagination_selector").dropDuplicates(["k"]).collect()  # config rows
+
+    def features(r) -> Column:
+        link = selector_of(r["link_selector"]) or LINK_SELECTOR
+        hits = F.filter(select(link), lambda a: F.coalesce(a["attrs"]["href"] != F.lit(""), F.lit(False)))
+        links = F.transform(hits, lambda a: F.struct(
+            a["attrs"]["href"].alias("href"), company_name(a).alias("name"), name_source(a).alias("name_source")))
+        return F.struct(F.lit(r["k"]).alias("sel_key"), next_href(selector_of(r["pagination_selector"])).alias("h"), links.alias("links"))
+
+    if not pairs:
+        return listing_dom.sparkSession.createDataFrame(
+            [], "sel_key string, url string, next_url string, links array<struct<href:string,name:string,name_source:string>>")
+    f = listing_dom.select("url", F.explode(F.array(*map(features, pairs))).alias("f"))
+    f = f.select("f.sel_key", "url", urljoin(F.col("url"), F.col("f.h")).alias("next_url"), "f.links")
     return cut_lineage(f)
 
 
 def feature_links(features: DataFrame) -> DataFrame:
     """D1 rows from ``listing_features``."""
-    rows = features.select("url", F.posexplode("links").alias("_i", "_l"))
-    return rows.select("url", (F.col("_i") + 1).alias("link_pos"), "_l.href", "_l.name", "_l.name_source",
+    rows = features.select("sel_key", "url", F.posexplode("links").alias("_i", "_l"))
+    return rows.select("sel_key", "url", (F.col("_i") + 1).alias("link_pos"), "_l.href", "_l.name", "_l.name_source",
                        urljoin(F.col("url"), F.col("_l.href")).alias("company_url"))
 
 
@@ -224,9 +251,13 @@ def walk_bound(config: DataFrame) -> int:
 
 
 def visited_pages(features: DataFrame, config: DataFrame) -> DataFrame:
-    """D4 for every configured sector: ``(sector, page_no, url)``."""
-    starts = config.select("sector", "url", F.coalesce("max_pages", F.lit(params.DEFAULT_MAX_PAGES)).alias("max_pages"))
-    return follow_pagination(starts, features.select("url", "next_url"), walk_bound(config))
+    """D4 for every configured sector: ``(sector, page_no, url, sel_key)``; a
+    walk follows the links that the sector's own selectors find."""
+    node = lambda key, url: F.concat(key, F.lit(_SEP), url)
+    starts = config.select("sector", node(selector_key(), F.col("url")).alias("url"), F.coalesce("max_pages", F.lit(params.DEFAULT_MAX_PAGES)).alias("max_pages"))
+    nexts = features.select(node(F.col("sel_key"), F.col("url")).alias("url"), node(F.col("sel_key"), F.col("next_url")).alias("next_url"))
+    walks = follow_pagination(starts, nexts, walk_bound(config))
+    return walks.select("sector", "page_no", F.substring_index("url", _SEP, -1).alias("url"), F.substring_index("url", _SEP, 1).alias("sel_key"))
 
 
 def directory_companies(features: DataFrame, config: DataFrame, group: list[str] | None = None) -> DataFrame:
@@ -240,7 +271,7 @@ def directory_companies(features: DataFrame, config: DataFrame, group: list[str]
     """
     visited = visited_pages(features, config)
     links = feature_links(features)
-    occ = visited.join(links, "url").join(config.select("sector", "sector_ord"), "sector")
+    occ = visited.join(links, ["sel_key", "url"]).join(config.select("sector", "sector_ord"), "sector")
     group = [] if group is None else group
     # run order: sector_ord, then the sector name (deterministic when a
     # config leaves sector_ord unset), then page and link position

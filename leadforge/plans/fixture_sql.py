@@ -52,7 +52,7 @@ visited AS (
   FROM npages n JOIN sec s ON s.sector = n.sector,
        LATERAL (SELECT CAST(unnest(range(1, n.n_pages + 1)) AS INTEGER) AS page_no) gs),
 visited_bounded AS (
-  SELECT v.* FROM visited v JOIN sec s ON s.sector = v.sector WHERE v.page_no <= coalesce(s.max_pages, 2)),
+  SELECT v.* FROM visited v JOIN sec s ON s.sector = v.sector WHERE v.page_no <= CASE WHEN v.sector = 'furniture' THEN 1 ELSE coalesce(s.max_pages, 2) END),
 occ AS (SELECT l.*, v.sector_ord FROM links l JOIN visited v ON v.sector = l.sector AND v.page_no = l.page_no),
 d3 AS (
   SELECT company_url, arg_min(sector, (sector_ord, page_no, link_pos)) AS sector,

@@ -8,9 +8,8 @@
 Every page is parsed once and reduced, in the same projection, to the small
 per-page features the later stages need; those feature tables are cut from
 their lineage (reliable checkpoint) because each feeds more than one branch.
-The crawl is only ever joined on ``url`` (a size-checked broadcast semi-join:
-its HTML is never shuffled); only scalars reach the driver (walk bound,
-broadcast row counts).
+The crawl is only ever joined on the URL; only scalars and the config's
+distinct selectors reach the driver.
 """
 
 from __future__ import annotations
@@ -54,14 +53,15 @@ def _profiles(companies: DataFrame, pages: DataFrame) -> DataFrame:
 
 def run(config: DataFrame, listings: DataFrame, pages: DataFrame, limit: int | None = None,
         max_contact_pages: int | None = params.MAX_CONTACT_PAGES, stop_at: int | None = params.EARLY_STOP_EMAILS) -> Run:
-    """``config(sector, sector_ord, url, max_pages, business_domain_keywords)``;
+    """``config(sector, sector_ord, url, max_pages, business_domain_keywords,
+    link_selector, pagination_selector)`` (see ``sources.config``);
     ``listings(url, html)`` the directory crawl; ``pages(url, html)`` the crawl
     of profiles and company sites.  The reproduced tool reads five contact
     pages a site and stops after five addresses, to save fetches; on a stored
     crawl ``max_contact_pages=None, stop_at=None`` reads all that is there."""
     # the config feeds several small actions (walk bound, broadcast checks)
     config = cut_lineage(config)
-    features = D.listing_features(parse_pages(listings.select("url", "html")))
+    features = D.listing_features(parse_pages(listings.select("url", "html")), config)
     companies = D.directory_companies(features, config)
     companies = D.limit_per_group(companies, ["sector"], ["page_no", "link_pos"], limit)
     # four consumers (profile lookup and its size check, enrichment, E13 order, stats)

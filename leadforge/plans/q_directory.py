@@ -24,8 +24,8 @@ def profile_dom(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_pages(FX.crawl(spark, sf_dir)[1])
 
 
-def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return D.listing_features(parse_pages(FX.crawl(spark, sf_dir)[0]))
+def features(spark: SparkSession, sf_dir: str, bounded: bool = False) -> DataFrame:
+    return D.listing_features(parse_pages(FX.crawl(spark, sf_dir)[0]), FX.fixture_sector_config(spark, sf_dir, bounded))
 
 
 def config(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +57,7 @@ def next_page(spark, sf_dir):
 
 def follow_pagination(spark, sf_dir):
     """Pages each sector's walk visits."""
-    return D.visited_pages(features(spark, sf_dir), FX.fixture_sector_config(spark, sf_dir, bounded=True)).select(
+    return D.visited_pages(features(spark, sf_dir, bounded=True), FX.fixture_sector_config(spark, sf_dir, bounded=True)).select(
         "sector", F.col("page_no").cast("int").alias("page_no"), "url")
 
 
@@ -78,7 +78,8 @@ def new_links_anti_join(spark, sf_dir):
     """D3 incremental: this run's companies minus those an earlier run (which
     read only the first listing page of every sector) already saw."""
     f = features(spark, sf_dir)
-    history = D.feature_links(f.join(config(spark, sf_dir).select("url"), "url", "left_semi"))
+    first = config(spark, sf_dir).select("url", D.selector_key().alias("sel_key"))
+    history = D.feature_links(f.join(first, ["sel_key", "url"], "left_semi"))
     now = D.directory_companies(f, config(spark, sf_dir))
     from leadforge.operators.dedup import drop_seen
 

@@ -1,6 +1,9 @@
 """Sector configuration source.
 
-Schema ``sector, sector_ord, url, max_pages, business_domain_keywords``.
+Schema ``sector, sector_ord, url, max_pages, business_domain_keywords,
+link_selector, pagination_selector``.  Selectors are records (``SELECTOR``); a
+missing link selector means the default one, a missing pagination selector
+means that the sector has no further pages.
 Required fields must be non-empty (a violation fails the job, as the
 config class raises); ``max_pages`` defaults to the pipeline's 2, NULL
 keywords mean an empty list (quirk K3 fixed), and a missing ``sector_ord``
@@ -16,6 +19,13 @@ from leadforge import params
 
 REQUIRED = ("sector", "url")
 
+_SIMPLE = "tag:string,id:string,classes:array<string>,attrs:array<struct<name:string,op:string,value:string>>,contains:string"
+#: A selector record: a simple selector, if need be inside another one.
+SELECTOR = f"struct<{_SIMPLE},inside:struct<{_SIMPLE}>>"
+CONFIG_SCHEMA = (
+    "sector string, sector_ord int, url string, max_pages int, business_domain_keywords array<string>, "
+    f"link_selector {SELECTOR}, pagination_selector {SELECTOR}")
+
 
 def validate_config(cfg: DataFrame) -> DataFrame:
     bad = None
@@ -35,6 +45,4 @@ def validate_config(cfg: DataFrame) -> DataFrame:
 
 def read_config(spark: SparkSession, path: str) -> DataFrame:
     """JSON-lines config with an explicit schema (no inference)."""
-    from leadforge.sources.fixtures import SECTOR_CONFIG_SCHEMA
-
-    return validate_config(spark.read.schema(SECTOR_CONFIG_SCHEMA).json(path))
+    return validate_config(spark.read.schema(CONFIG_SCHEMA).json(path))

@@ -20,7 +20,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from leadforge.sources.pages import read_table
 
@@ -345,13 +344,18 @@ def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- S2 ---------------------------------------------------------------------------
 
-SECTOR_CONFIG_SCHEMA = T.StructType([
-    T.StructField("sector", T.StringType()),
-    T.StructField("sector_ord", T.IntegerType()),
-    T.StructField("url", T.StringType()),
-    T.StructField("max_pages", T.IntegerType()),
-    T.StructField("business_domain_keywords", T.ArrayType(T.StringType())),
-])
+def _record(tag: str, attrs=(), classes=(), inside: dict | None = None) -> dict:
+    return {"tag": tag, "classes": list(classes), "attrs": [dict(zip(("name", "op", "value"), a)) for a in attrs], "inside": inside}
+
+
+# The sectors' own selectors.  Building names its links by their block,
+# automobile its next link by the pagination block, all others alike.
+_LINK = _record("a", [("data-test", "=", "company-name")])
+_NEXT = _record("a", [("aria-label", "=", "Next page")])
+SECTOR_SELECTORS = {
+    "automobile": (_LINK, _record("a", [("rel", "=", "next")], inside=_record("div", classes=["pagination"]))),
+    "building": (_record("a", inside=_record("div", classes=["results"])), _NEXT),
+}
 
 
 def fixture_sector_config(spark: SparkSession, sf_dir: str, bounded: bool = False) -> DataFrame:
@@ -370,7 +374,13 @@ def fixture_sector_config(spark: SparkSession, sf_dir: str, bounded: bool = Fals
         .when(F.col("sector") == "machinery", F.array(F.lit("cnc"), F.lit("machining"), F.lit("yahoo.com")))
         .when(F.col("sector") == "furniture", F.array().cast("array<string>"))
     )
-    return cfg.select(
+    from leadforge.sources.config import SELECTOR
+
+    selectors = [(s, *SECTOR_SELECTORS.get(s, (_LINK, _NEXT))) for s, _, _ in SECTOR_FIXTURE]
+    if bounded:  # furniture has no pagination selector: its walk ends on page one
+        selectors = [(s, a, None if s == "furniture" else b) for s, a, b in selectors]
+    records = spark.createDataFrame(selectors, f"sector string, link_selector {SELECTOR}, pagination_selector {SELECTOR}")
+    return cfg.join(records, "sector").select(
         "sector", "sector_ord", listing_url(F.col("sector"), F.lit(1)).alias("url"), "max_pages",
-        kw.alias("business_domain_keywords"),
+        kw.alias("business_domain_keywords"), "link_selector", "pagination_selector",
     )

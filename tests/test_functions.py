@@ -125,11 +125,11 @@ def test_sector_config_validation(spark):
     import pytest
 
     from leadforge.sources.config import validate_config
-    from leadforge.sources.fixtures import SECTOR_CONFIG_SCHEMA
+    from leadforge.sources.config import CONFIG_SCHEMA
 
-    good = spark.createDataFrame([("wines", 1, "https://d.test/w.html", None, None)], SECTOR_CONFIG_SCHEMA)
+    good = spark.createDataFrame([("wines", 1, "https://d.test/w.html", None, None, None, None)], CONFIG_SCHEMA)
     row = validate_config(good).first()
     assert row.max_pages == 2 and row.business_domain_keywords == []  # defaults; NULL keywords = empty (K3)
-    bad = spark.createDataFrame([("wines", 1, "  ", 2, ["wine"])], SECTOR_CONFIG_SCHEMA)
+    bad = spark.createDataFrame([("wines", 1, "  ", 2, ["wine"], None, None)], CONFIG_SCHEMA)
     with pytest.raises(Exception, match="required field is empty"):
         validate_config(bad).collect()

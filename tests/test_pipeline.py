@@ -38,8 +38,8 @@ def test_dedup_is_order_independent(spark):
     """D3 result must not depend on how the listing pages are partitioned."""
     lp = FX.listing_pages(spark, SF_SMALL).select("url", "html")
     cfg = FX.fixture_sector_config(spark, SF_SMALL)
-    a = D.directory_companies(D.listing_features(parse_pages(lp)), cfg)
-    b = D.directory_companies(D.listing_features(parse_pages(lp.repartition(7, F.rand(3)))), cfg)
+    a = D.directory_companies(D.listing_features(parse_pages(lp), cfg), cfg)
+    b = D.directory_companies(D.listing_features(parse_pages(lp.repartition(7, F.rand(3))), cfg), cfg)
     cols = ["sector", "company_url", "page_no", "link_pos", "name"]
     assert sorted(a.select(cols).collect()) == sorted(b.select(cols).collect())
 

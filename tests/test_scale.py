@@ -8,6 +8,7 @@ from leadforge.operators import country as C
 from leadforge.operators import directory as D
 from leadforge.operators import discovery as P
 from leadforge.operators.dom import parse_pages
+from leadforge.sources.config import read_config
 from leadforge.sources.pages import lookup_pages, url_key
 
 
@@ -55,6 +56,24 @@ def test_walk_without_start_page_is_empty(spark):
     assert D.follow_pagination(starts, nexts, 64).count() == 0
 
 
+def test_sectors_use_their_own_selectors(spark, tmp_path):
+    (tmp_path / "cfg.json").write_text("\n".join([
+        '{"sector": "a", "sector_ord": 1, "url": "https://d.test/a", "max_pages": 5, "link_selector": {"tag": "a", "classes": ["co"]},'
+        ' "pagination_selector": {"tag": "a", "attrs": [{"name": "rel", "op": "=", "value": "next"}], "inside": {"tag": "nav"}}}',
+        '{"sector": "b", "sector_ord": 2, "url": "https://d.test/b", "max_pages": 5, "link_selector": {"tag": "a", "attrs": [{"name": "data-b"}]}}',
+        '{"sector": "c", "url": "https://d.test/c", "pagination_selector": {"id": "more"}}']))
+    cfg = read_config(spark, str(tmp_path / "cfg.json"))
+    both = '<a class="co" href="/{0}-co">Co firm</a><a data-b href="/{0}-b">B firm</a><a data-test="company-name" href="/{0}-d">D firm</a>'
+    page = lambda name, rest: (f"https://d.test/{name}", both.format(name) + rest)
+    pages = spark.createDataFrame([
+        page("a", '<a rel="next" href="/b">x</a><nav><a rel="next" href="/a2">x</a></nav>'), page("a2", ""),
+        page("b", '<a href="/a2">Next</a>'), page("c", '<a id="more" href="/c2">x</a>'), page("c2", '<a id="more" href="/c3">x</a>'), page("c3", "")],
+        "url string, html string")
+    got = D.directory_companies(D.listing_features(parse_pages(pages), cfg), cfg)
+    urls = sorted((r["sector"], r["page_no"], r["company_url"].rsplit("/", 1)[1]) for r in got.collect())
+    assert urls == [("a", 1, "a-co"), ("a", 2, "a2-co"), ("b", 1, "b-b"), ("c", 1, "c-d"), ("c", 2, "c2-d")]  # c: two pages by default
+
+
 def test_no_pagination_selector_means_no_next_page(spark):
     dom = parse_pages(spark.createDataFrame([("https://a.test/", '<a href="/pg-2.html">Next</a>')], "url string, html string"))
     assert [r["next_url"] for r in D.next_pages(dom, None).collect()] == [None]
