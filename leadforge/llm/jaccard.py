@@ -75,10 +75,12 @@ def shingles(text: str | None, words: int) -> np.ndarray:
     if len(cut) < words:
         return np.array([xxhash.xxh64_intdigest(b" ".join(cut), seed=words)] if cut else [], dtype=np.uint64)
     h = np.fromiter(map(_WORDS.__getitem__, cut), np.uint64, len(cut))
-    out = np.zeros(len(cut) - words + 1, np.uint64)
+    size = len(cut) - words + 1
+    factors = mix(np.arange(1, words + 1, dtype=np.uint64)) | np.uint64(1)
+    out = np.zeros(size, np.uint64)
     for j in range(words):
-        out = mix(out + h[j:len(out) + j])
-    return np.unique(out)
+        out += h[j:size + j] * factors[j]
+    return np.unique(mix(out))
 
 
 def node_of(s: np.ndarray) -> tuple[int, int]:
@@ -100,10 +102,13 @@ class Orders:
         at = np.minimum(np.searchsorted(self.keys, s), len(self.keys) - 1)
         return np.where(self.keys[at] == s, self.grade[at], np.uint64(0))
 
-    def prefix(self, s: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
-        """(the set's prefix under an order, which of it is in the table)."""
-        size = len(s) - -(-self.percent * len(s) // 100) + 1
+    def prefixes(self, s: np.ndarray, *orders: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(the set's prefix, which of it is in the table) under each order."""
         grades = self._grades(s)
+        return [self._prefix(s, grades, k) for k in orders]
+
+    def _prefix(self, s: np.ndarray, grades: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+        size = len(s) - -(-self.percent * len(s) // 100) + 1
         rank = (grades << np.uint64(58)) | (mix(s ^ _ORDERS[order]) >> np.uint64(6))
         at = np.argpartition(rank, size - 1)[:size] if size < len(s) else np.arange(len(s))
         return s[at], grades[at] > 0
@@ -162,15 +167,14 @@ def _per_document(docs: DataFrame, words: int, orders, row: Callable, schema: st
 def _signature(doc_id, s, orders):
     if not len(s):
         return [(doc_id, None, None, 0, 0, [], [], [])]
-    first, hot = orders.prefix(s, 0)
-    other = [orders.prefix(s, k)[0].astype(np.uint32).view(np.int32) for k in (1, 2)]
-    return [(doc_id, *node_of(s), len(s), int((~hot).sum()), first[hot].view(np.int64), *other)]
+    (first, hot), *other = orders.prefixes(s, 0, 1, 2)
+    return [(doc_id, *node_of(s), len(s), int((~hot).sum()), first[hot].view(np.int64), *(p.astype(np.uint32).view(np.int32) for p, _ in other))]
 
 
 def _cold_postings(doc_id, s, orders):
     if doc_id is None or not len(s):
         return []
-    first, hot = orders.prefix(s, 0)
+    [(first, hot)] = orders.prefixes(s, 0)
     return [(node_of(s)[0], first[~hot].view(np.int64))]
 
 

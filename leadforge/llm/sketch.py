@@ -22,20 +22,23 @@ import re
 import struct
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from operator import sub, xor
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 from .common import shuffle_partitions
 
-CELLS = 30
-HASHES = 3
-_END = re.compile(r"(?<=[.!?])\s+|\n+")
+CELLS = 60
+#: From so many paragraphs on (and four times as many cells) arrays are faster.
+MANY = 100
 _MASK = (1 << 64) - 1
+_END = re.compile(r"(?<=[.!?])\s+|\n+")
 
 
 def paragraphs(text: str) -> list[str]:
@@ -52,7 +55,7 @@ def digests(text: str, known: dict[str, int] | None = None) -> list[int]:
         seen[p] = n = seen[p] + 1
         key = known.get(p) if n == 1 else None
         if key is None:
-            key = int.from_bytes(hashlib.blake2b(p.encode(), digest_size=8, salt=n.to_bytes(8, "little")).digest(), "little")
+            key = xxhash.xxh3_64_intdigest(p.encode(), seed=n)
             if n == 1:
                 known[p] = key
         out.append(key)
@@ -63,35 +66,81 @@ def _check(key: int) -> int:
     return (key * 0x9E3779B97F4A7C15 & _MASK) >> 32
 
 
+def _places_many(keys: np.ndarray, cells: int) -> np.ndarray:
+    part = np.uint64(cells // 3)
+    return np.concatenate([((keys >> np.uint64(20 * i)) % part).astype(np.intp) + i * int(part) for i in range(3)])
+
+
+def _check_many(keys: np.ndarray) -> np.ndarray:
+    return (keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
+
+
+def _add_many(count: np.ndarray, cell: np.ndarray, check: np.ndarray, keys: np.ndarray, times: np.ndarray) -> None:
+    at = _places_many(keys, len(count))
+    np.add.at(count, at, np.tile(times, 3))
+    np.bitwise_xor.at(cell, at, np.tile(keys, 3))
+    np.bitwise_xor.at(check, at, np.tile(_check_many(keys), 3))
+
+
+def _peel_many(count: np.ndarray, cell: np.ndarray, check: np.ndarray) -> tuple[set[int], set[int]] | None:
+    """Takes all cells that hold one digest at once, until none is left."""
+    here, there = set(), set()
+    while True:
+        pure = np.flatnonzero((np.abs(count) == 1) & (check == _check_many(cell)))
+        pure = pure[(_places_many(cell[pure], len(count)).reshape(3, -1) == pure).any(axis=0)]
+        if not len(pure):
+            return None if cell.any() or count.any() else (here, there)
+        keys, first = np.unique(cell[pure], return_index=True)
+        sign = count[pure[first]]
+        here.update(keys[sign == 1].tolist())
+        there.update(keys[sign == -1].tolist())
+        _add_many(count, cell, check, keys, -sign)
+
+
 class Sketch:
-    """``cells`` is a multiple of ``HASHES``: each hash has its own part."""
+    """``cells`` is a multiple of 3: each of the three hashes has its own part.
+    Plain integers serve the usual tens of paragraphs, arrays many more."""
 
     def __init__(self, keys: Iterable[int] = (), cells: int = CELLS):
         self.cells, self.count, self.key, self.check = cells, [0] * cells, [0] * cells, [0] * cells
-        for k in keys:
-            self.add(k, 1)
+        self.add(keys, 1)
 
     def places(self, key: int) -> tuple[int, int, int]:
-        part = self.cells // HASHES
+        part = self.cells // 3
         return key % part, part + (key >> 20) % part, 2 * part + (key >> 40) % part
 
-    def add(self, key: int, times: int) -> None:
-        check, counts, keys, checks = _check(key), self.count, self.key, self.check
-        for i in self.places(key):
-            counts[i] += times
-            keys[i] ^= key
-            checks[i] ^= check
+    def add(self, keys: Iterable[int], times: int) -> None:
+        part, count, cell, check = self.cells // 3, self.count, self.key, self.check
+        if isinstance(keys, list) and len(keys) > MANY:
+            k = np.array(keys, np.uint64)
+            arrays = tuple(np.array(x, t) for x, t in zip((count, cell, check), (np.int64, np.uint64, np.uint64)))
+            _add_many(*arrays, k, np.full(len(k), times))
+            self.count, self.key, self.check = (x.tolist() for x in arrays)
+            return
+        for key in keys:
+            c, i, j, k = (key * 0x9E3779B97F4A7C15 & _MASK) >> 32, key % part, part + (key >> 20) % part, 2 * part + (key >> 40) % part
+            count[i] += times
+            count[j] += times
+            count[k] += times
+            cell[i] ^= key
+            cell[j] ^= key
+            cell[k] ^= key
+            check[i] ^= c
+            check[j] ^= c
+            check[k] ^= c
 
     def minus(self, other: Sketch) -> Sketch:
         out = Sketch(cells=self.cells)
-        out.count = [a - b for a, b in zip(self.count, other.count)]
-        out.key = [a ^ b for a, b in zip(self.key, other.key)]
-        out.check = [a ^ b for a, b in zip(self.check, other.check)]
+        out.count = list(map(sub, self.count, other.count))
+        out.key = list(map(xor, self.key, other.key))
+        out.check = list(map(xor, self.check, other.check))
         return out
 
     def peel(self) -> tuple[set[int], set[int]] | None:
         """(digests only here, only there); None if it gets stuck."""
-        here, there, work = set(), set(), list(range(self.cells))
+        if self.cells > 4 * MANY:
+            return _peel_many(*(np.array(x, t) for x, t in zip((self.count, self.key, self.check), (np.int64, np.uint64, np.uint64))))
+        here, there, work = set(), set(), [i for i, n in enumerate(self.count) if n in (1, -1)]
         while work:
             i = work.pop()
             n, key = self.count[i], self.key[i]
@@ -101,22 +150,22 @@ class Sketch:
             if i not in at:
                 continue
             (here if n == 1 else there).add(key)
-            self.add(key, -n)
+            self.add((key,), -n)
             work += at
-        return None if any(self.count) or any(self.key) else (here, there)
+        return None if any(self.key) or any(self.count) else (here, there)
 
     def text(self) -> str:
-        return base64.b64encode(b"".join(struct.pack("<iQI", *c) for c in zip(self.count, self.key, self.check))).decode()
+        return base64.b64encode(struct.pack(f"<{self.cells}i{self.cells}Q{self.cells}I", *self.count, *self.key, *self.check)).decode()
 
 
 def differing(a: list[int], b: list[int], sketch_a: Sketch, sketch_b: Sketch) -> tuple[set[int], set[int]]:
     """The digests in which two versions differ, from their sketches, retried
-    larger until the peeling succeeds: first four times as large or with room
-    for all digests of both, whichever is less, then twice as large each time."""
+    larger until the peeling succeeds: at first with room for all digests of
+    both, but four times as large at most, then twice as large each time."""
     cells = sketch_a.cells
-    room = HASHES * ((len(a) + len(b)) // 2 + 4)
+    room = 3 * ((len(a) + len(b)) // 2 + 4)
     while (found := sketch_a.minus(sketch_b).peel()) is None:
-        cells = min(4 * cells, max(2 * cells, room)) if cells == CELLS else 2 * cells
+        cells = min(4 * cells, max(cells + 3, room)) if cells == CELLS else 2 * cells
         sketch_a, sketch_b = Sketch(a, cells), Sketch(b, cells)
     return found
 
