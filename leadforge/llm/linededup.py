@@ -105,16 +105,21 @@ def repeated_runs(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id
     ours = arrays.withColumnsRenamed({"hashes": "t_hashes", "weights": "t_weights"})
     theirs = arrays.select(F.col("k_id").alias("s_id"), F.col("k_tie").alias("s_tie"), F.col("hashes").alias("s_hashes"))
     both = links.join(ours, ["k_id", "k_tie"]).join(theirs, ["s_id", "s_tie"])
-    n, shift = F.size("t_hashes"), F.col("shift")
-    # Units that have no equal at the shifted place end the runs.
-    differs = lambda i: ~F.coalesce(
-        (i > shift) & (i - shift <= F.size("s_hashes")) & (F.get("t_hashes", i - 1) == F.get("s_hashes", i - shift - 1)), F.lit(False))
-    ends = F.concat(F.array(F.lit(0)), F.filter(F.sequence(F.lit(1), n), differs), F.array(n + 1))
-    runs = F.transform(F.sequence(F.lit(0), F.size("ends") - 2), lambda j: F.struct(
-        (F.get("ends", j) + 1).alias("first"), (F.get("ends", j + 1) - 1).alias("last")))
-    weigh = lambda r: F.aggregate(F.slice("t_weights", r["first"], r["last"] - r["first"] + 1), F.lit(0), lambda a, w: a + w)
-    return (both.withColumn("ends", ends).withColumn("runs", F.filter(runs, lambda r: (r["last"] >= r["first"]) & (weigh(r) >= min_words)))
-            .select("k_id", "k_tie", F.explode_outer("runs").alias("r")).filter("r IS NOT NULL").select("k_id", "k_tie", "r.first", "r.last"))
+    # The units of both texts that lie side by side under the shift, and where
+    # they differ: between two such places lie the maximal runs.
+    shift = F.col("shift")
+    low = F.greatest(F.lit(1), shift + 1)
+    many = F.greatest(F.least(F.size("t_hashes"), F.size("s_hashes") + shift) - low + 1, F.lit(0))
+    beside = both.select("k_id", "k_tie", low.alias("low"), many.alias("many"), F.slice("t_hashes", low, many).alias("t"),
+                         F.slice("s_hashes", low - shift, many).alias("s"), F.slice("t_weights", low, many).alias("w"))
+    differs = F.filter(F.sequence(F.lit(1), F.greatest("many", F.lit(1))), lambda i: F.get("t", i - 1) != F.get("s", i - 1))
+    ends = F.concat(F.array(F.lit(0)), differs, F.array(F.col("many") + 1))
+    runs = F.filter(F.transform(F.sequence(F.lit(0), F.size("ends") - 2), lambda j: F.struct(
+        (F.get("ends", j) + 1).alias("first"), (F.get("ends", j + 1) - 1).alias("last"))), lambda r: r["last"] >= r["first"])
+    weigh = lambda r: F.aggregate(F.slice("w", r["first"], r["last"] - r["first"] + 1), F.lit(0), lambda a, w: a + w)
+    return (beside.filter("many > 0").withColumn("ends", ends).withColumn("runs", F.filter(runs, lambda r: weigh(r) >= min_words))
+            .select("k_id", "k_tie", "low", F.explode_outer("runs").alias("r")).filter("r IS NOT NULL")
+            .select("k_id", "k_tie", (F.col("low") - 1 + F.col("r.first")).alias("first"), (F.col("low") - 1 + F.col("r.last")).alias("last")))
 
 
 def dedup_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
