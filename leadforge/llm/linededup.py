@@ -12,7 +12,8 @@ more than its spaces.
    both: it has ``WINDOW + 1`` units, hence a window of grams inside it, or
    fewer, hence a heavy one.
 2. A fingerprint's first place in the corpus (id, then unit) is the source of
-   all its later places: one link a place, never pairs within a group.
+   its later places, or within a text the place before: one link a place,
+   never pairs within a group.
 3. Each (document, source document, shift) is extended both ways to all
    maximal runs of equal units; runs of at least ``MIN_WORDS`` are deleted
    from the later place.  A deleted unit stands at an earlier place, so the
@@ -26,7 +27,7 @@ the first; an empty table stays empty; all columns of the input stay.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored
@@ -92,16 +93,26 @@ def repeated_runs(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id
     # Stored, as three steps read them, and so that the filters the optimizer
     # derives from an explode do not repeat the cutting for every unit.
     arrays = stored(unit_arrays(docs, text_col, id_col, min_words), "line-units")
-    places = stored(fingerprints(arrays, -(-min_words // WINDOW)), "line-places")
+    inside = Window.partitionBy("k_id", "k_tie", "gram").orderBy("idx")
+    places = fingerprints(arrays, -(-min_words // WINDOW))
+    places = places.withColumns({f"p_{c}": F.lag(c).over(inside) for c in ("idx", "left", "right")})
+    places = stored(places.filter("p_idx IS NULL OR p_idx < idx"), "line-places")  # equal rows are one document
     sources = stored(places.groupBy("gram").agg(F.count("*").alias("n"), F.min(F.struct("k_id", "k_tie", "idx", "left", "right")).alias("s"))
                      .filter("n > 1").select("gram", *(F.col(f"s.{a}").alias(b) for a, b in (
                          ("k_id", "s_id"), ("k_tie", "s_tie"), ("idx", "s_idx"), ("left", "s_left"), ("right", "s_right")))), "line-sources")
-    # What is hashed has to go on at one side at least, unless it is a run.
-    goes_on = F.coalesce(F.col("left") == F.col("s_left"), F.lit(False)) | F.coalesce(F.col("right") == F.col("s_right"), F.lit(False))
-    links = (places.join(sources, "gram").filter(goes_on | (F.col("weight") >= min_words))
+
+    def goes_on(c: str) -> Column:
+        """What is hashed goes on at one side at least, or is a run by itself."""
+        same = [F.coalesce(F.col(side) == F.col(f"{c}_{side}"), F.lit(False)) for side in ("left", "right")]
+        return F.col(f"{c}_idx").isNotNull() & (same[0] | same[1] | (F.col("weight") >= min_words))
+
+    # A place links to the one before it in its own text if that goes on, so
+    # that a text of one line over and over has one shift, else to the source.
+    own = places.filter(goes_on("p")).select("k_id", "k_tie", F.col("k_id").alias("s_id"), F.col("k_tie").alias("s_tie"), (F.col("idx") - F.col("p_idx")).alias("shift"))
+    other = (places.filter(~goes_on("p")).join(sources, "gram").filter(goes_on("s"))
              .select("k_id", "k_tie", "s_id", "s_tie", (F.col("idx") - F.col("s_idx")).alias("shift"))
-             .filter((F.col("k_id") != F.col("s_id")) | (F.col("k_tie") != F.col("s_tie")) | (F.col("shift") > 0))
-             .distinct())
+             .filter((F.col("k_id") != F.col("s_id")) | (F.col("k_tie") != F.col("s_tie")) | (F.col("shift") > 0)))
+    links = own.unionByName(other).distinct()
     ours = arrays.withColumnsRenamed({"hashes": "t_hashes", "weights": "t_weights"})
     theirs = arrays.select(F.col("k_id").alias("s_id"), F.col("k_tie").alias("s_tie"), F.col("hashes").alias("s_hashes"))
     both = links.join(ours, ["k_id", "k_tie"]).join(theirs, ["s_id", "s_tie"])

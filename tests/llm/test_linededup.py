@@ -65,9 +65,11 @@ def test_edge_rows(spark):
     rng = random.Random(9)
     passage = "".join(line(rng) for _ in range(9))
     rows = [(None, "Odd start. " + passage), (7, passage), (7, passage), (7, passage + "Another end. "), (9, "Clean text stays. ")]
+    alone = "".join(line(rng) for _ in range(12))
+    rows += [(20, alone), (20, alone)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted(((r["doc_id"], r["text"]) for r in linededup.dedup_lines(df).collect()), key=str)
-    assert got == sorted([(None, rows[0][1]), (7, ""), (7, ""), (7, "Another end. "), (9, rows[4][1])], key=str)
+    assert got == sorted([(None, rows[0][1]), (7, ""), (7, ""), (7, "Another end. "), (9, rows[4][1]), (20, alone), (20, alone)], key=str)
     assert linededup.dedup_lines(df.limit(0)).count() == 0
 
 
