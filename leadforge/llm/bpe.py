@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from .common import slices
 from .tokens import Cache, byte_alphabet
 
 #: Texts with other characters are normalised and cut by the library: below
@@ -45,7 +46,7 @@ def inner_pairs(vocab: Iterable[str], suffix: str) -> set[str]:
 
 
 class ForcedBoundaryBPE:
-    def __init__(self, path: str, entries: int = 300_000):
+    def __init__(self, path: str, entries: int = 200_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.whole = Tokenizer.from_file(path)
@@ -147,7 +148,7 @@ def encode(docs: DataFrame, vocab: str, text_col: str = "text", id_col: str = "d
     """``doc_id, ids`` (little-endian uint32) of every whole text; no shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             ids = codec(vocab).encode_batch([t or "" for t in b.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
@@ -170,7 +171,7 @@ def digests(encoded: DataFrame, vocab: str) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` from ``doc_id, ids``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             ids = [i or b"" for i in b.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([
                 b.column("doc_id"), pa.array([len(i) // 4 for i in ids], pa.int64()),

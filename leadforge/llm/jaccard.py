@@ -42,7 +42,7 @@ WORDS, PERCENT = 5, 80  # shingle size, least similarity
 #: Rows of the table of frequent shingles, and from which count on.
 HOT, HOT_COUNT = 1 << 16, 8
 #: Places counted at once by a task; a shingle counts from so many among them.
-COUNTED, COUNTED_LEAST = 1 << 22, 4
+COUNTED, COUNTED_LEAST = 1 << 21, 4
 _ORDERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93], dtype=np.uint64)
 
 SIGNATURES = "doc_id long, node long, check long, n int, n_cold int, hot array<long>, second array<int>, third array<int>"
@@ -59,7 +59,7 @@ class _Words(dict):
     """Hashes of words, kept by the worker."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 250_000:
             self.clear()
         self[word] = h = xxhash.xxh64_intdigest(word)
         return h

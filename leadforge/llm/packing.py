@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import slices, stored
 from .tokens import piece_encoder
 
 CAPACITY = 2048
@@ -88,7 +88,7 @@ def pieces(docs: DataFrame, vocab: str, end_id: int = 0, capacity: int = CAPACIT
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, end, part, seen = piece_encoder(vocab), end_id.to_bytes(4, "little"), TaskContext.get().partitionId(), Counter()
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for doc_id, ids in zip(batch.column(0).to_pylist(), enc.encode_batch([t or "" for t in batch.column(1).to_pylist()])):
                 ids += end

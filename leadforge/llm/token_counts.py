@@ -21,6 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import slices
 from .tokens import piece_encoder
 
 BLOCK_IDS = 1 << 18
@@ -54,7 +55,7 @@ def flat_files(docs: DataFrame, vocab: str, end_id: int, block_ids: int = BLOCK_
                 pa.array([None] * len(blocks) + [names] * bool(names), pa.list_(pa.int64()))],
                 names=["file", "block", "ids", "first_ordinal", "doc_ids"])
 
-        for batch in batches:
+        for batch in slices(batches):
             names, blocks = batch.column(0).to_pylist(), []
             for ids in enc.encode_batch([t or "" for t in batch.column(1).to_pylist()]):
                 rest += np.frombuffer(ids, "<u4").astype(f"<u{width}").tobytes() + end

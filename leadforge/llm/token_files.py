@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import hash_sample, shuffle_partitions, stored
+from .common import hash_sample, shuffle_partitions, slices, stored
 from .tokens import piece_encoder
 
 #: The dictionary is trained on at most so many documents, of each the first
@@ -86,7 +86,7 @@ def compressed_documents(docs: DataFrame, dictionary: bytes, vocab: str, end_id:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, pack = piece_encoder(vocab), _codec(dictionary, True)
         end = end_id.to_bytes(4, "little")
-        for batch in batches:
+        for batch in slices(batches):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             n_ids, widths, frames, ties = [], [], [], []
             for raw in enc.encode_batch(texts):

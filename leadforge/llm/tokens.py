@@ -19,7 +19,7 @@ import regex
 from tokenizers import Tokenizer
 
 #: Entries and characters of keys of the cache's young generation.
-CACHE_ENTRIES, CACHE_CHARS = 400_000, 5_000_000
+CACHE_ENTRIES, CACHE_CHARS = 250_000, 4_000_000
 
 # The pre-tokeniser's pattern (fixed value of the public byte-level BPE).
 PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
