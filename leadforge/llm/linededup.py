@@ -139,7 +139,8 @@ def dedup_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     docs = docs.drop("n_removed", "words_removed")
     cuts = stored(repeated_runs(docs, text_col, id_col, min_words).groupBy("k_id", "k_tie")
                   .agg(F.collect_set(F.struct("first", "last")).alias("_cuts")), "line-cuts")
-    whole = _keyed(docs, text_col, id_col).join(cuts, ["k_id", "k_tie"], "left")
+    # The cuts grow with the corpus: no broadcast of them, at any size.
+    whole = _keyed(docs, text_col, id_col).join(cuts.hint("merge"), ["k_id", "k_tie"], "left")
     gone = lambda i: F.exists("_cuts", lambda r: (r["first"] <= i) & (i <= r["last"]))
     units = F.when(F.col("_cuts").isNotNull(), F.transform(F.split(F.col("row")[text_col], _AFTER_ENDS), lambda u, i: F.struct(u.alias("u"), gone(i + 1).alias("gone"))))
     removed = F.filter("_units", lambda x: x["gone"])
