@@ -1,23 +1,24 @@
-"""Line dedup by winnowing: later repeats of a run of lines are deleted.
-
-Native: DataFrame functions only.  A text is cut into units, its lines, and
-lines further after sentence ends.  Units are equal if they are the same
-without the line feed or space that ends them; a unit weighs its words, one
-more than its spaces.
-
-1. Each unit's gram is the hash of it and the next one.  Of every ``WINDOW``
-   grams in a row the smallest is selected (winnowing), and every unit of at
-   least ``HEAVY`` words is selected, by its own hash.  Any run of
-   ``MIN_WORDS`` words that stands in two places selects the same unit in
-   both: it has ``WINDOW + 1`` units, hence a window of grams inside it, or
-   fewer, hence a heavy one.
-2. A fingerprint's first place in the corpus (id, then unit) is the source of
-   its later places, or within a text the place before: one link a place,
-   never pairs within a group.
-3. Each (document, source document, shift) is extended both ways to all
-   maximal runs of equal units; runs of at least ``MIN_WORDS`` are deleted
-   from the later place.  A deleted unit stands at an earlier place, so the
-   first occurrence of everything stays.
+"""Line dedup by winnowing: later repeats of a run of words are deleted.
+
+Native: DataFrame functions only.  A text's words are its runs of characters
+that are not white space (``\\s`` of Java); texts are compared word by word,
+whatever space or line feed stands between.
+
+A word goes if it lies in ``MIN_WORDS`` words in a row that stand in the same
+order at an earlier place: in a document of smaller id, or further ahead in
+the same text.  Places may begin and end anywhere in a line.
+
+1. Of every ``min_words - GRAM + 1`` words in a row the one of smallest hash
+   is selected (winnowing); the hash of the ``GRAM`` words from it is a
+   fingerprint.  Equal runs of ``min_words`` words select the same one.
+2. Only runs of ``min_words`` words around a fingerprint that stands in
+   several places are looked at: each is a row, its hash's first place in the
+   corpus (id, then word) is a grouped minimum, and the others go.  No pairs
+   of places are made, and no place stands for another.  Texts equal to one of
+   smaller id go whole, before that.
+3. Overlapping runs are merged and cut out, each word with the white space
+   behind it.  A deleted word stands at an earlier place, so the first
+   occurrence of everything stays.
 
 Edge cases: null text stays null; empty texts and those under ``MIN_WORDS``
 stay as they are; null ids come first; rows equal in id and text count as one
@@ -27,21 +28,21 @@ the first; an empty table stays empty; all columns of the input stay.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
 
 MIN_WORDS = 50
-WINDOW = 3
-HEAVY = -(-MIN_WORDS // WINDOW)
 
-#: The same cuts, with the ends dropped and kept.
-_ENDS, _AFTER_ENDS = r"(?<=[.!?]) |\n", r"(?<=[.!?] )|(?<=\n)"
+#: A word's place in its text takes the low bits of its winnowing key.
+_PLACE = (1 << 30) - 1
+#: Behind a word that ends a line or a sentence.
+_ENDS = r"\n|[.!?] "
 
 
-def _weight(unit: Column) -> Column:
-    return F.length(unit) - F.length(F.replace(unit, F.lit(" "), F.lit(""))) + 1
+def _words(text: Column) -> Column:
+    return F.array_remove(F.split(text, r"\s+"), "")
 
 
 def _keyed(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
@@ -51,102 +52,85 @@ def _keyed(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
                        F.xxhash64(F.col(text_col)).alias("k_tie"))
 
 
-def unit_arrays(docs: DataFrame, text_col: str, id_col: str, min_words: int = MIN_WORDS) -> DataFrame:
-    """``k_id, k_tie, hashes, weights`` of the documents that can hold a run
-    (so many words take twice as many bytes)."""
+def word_arrays(docs: DataFrame, text_col: str, id_col: str, min_words: int = MIN_WORDS) -> DataFrame:
+    """``k_id, k_tie, words`` of the documents that can hold a run (so many
+    words take twice as many bytes)."""
     text = F.col("row")[text_col]
-    cut = (_keyed(docs, text_col, id_col).filter(F.octet_length(text) >= 2 * min_words - 1)
-           .select("k_id", "k_tie", F.split(text, _ENDS).alias("units")))
-    return cut.select("k_id", "k_tie", F.transform("units", lambda u: F.xxhash64(u)).alias("hashes"), F.transform("units", _weight).alias("weights"))
-
-
-def fingerprints(arrays: DataFrame, heavy: int = HEAVY) -> DataFrame:
-    """``gram, k_id, k_tie, idx, left, right, weight``: the selected units
-    (from 1), by the hash of a heavy one or else its gram, with 32 bits of
-    the units around and the weight of what is hashed.
-
-    A gram is selected if it is the smallest, the first of equals, of one of
-    the windows that hold it: of those before it in some window all are
-    larger, of those behind it none is smaller."""
-    grams = arrays.withColumn("grams", F.transform("hashes", lambda h, i: F.when(i + 1 < F.size("hashes"), F.xxhash64(h, F.get("hashes", i + 1)))))
-    rows = grams.select("k_id", "k_tie", "grams", "hashes", "weights", F.posexplode("grams").alias("i", "gram"))
-    at = lambda c, k: F.get(c, F.col("i") + k)
-    smallest = F.lit(False)
-    for before in range(WINDOW):  # a window that begins so many grams earlier
-        inside = F.col("i") >= before
-        for k in range(-before, WINDOW - before):
-            if k < 0:
-                inside = inside & (at("grams", k) > F.col("gram"))
-            elif k > 0:
-                inside = inside & F.coalesce(at("grams", k) >= F.col("gram"), F.lit(True))
-        smallest = smallest | inside
-    is_heavy = at("weights", 0) >= heavy
-    bits = lambda h: F.pmod(h, F.lit((1 << 31) - 1)).cast("int")
-    return (rows.filter(is_heavy | (F.col("gram").isNotNull() & smallest))
-            .select(F.when(is_heavy, at("hashes", 0)).otherwise(F.col("gram")).alias("gram"), "k_id", "k_tie", (F.col("i") + 1).alias("idx"),
-                    bits(at("hashes", -1)).alias("left"), bits(F.when(is_heavy, at("hashes", 1)).otherwise(at("hashes", 2))).alias("right"),
-                    F.when(is_heavy, at("weights", 0)).otherwise(at("weights", 0) + at("weights", 1)).alias("weight")))
+    return _keyed(docs, text_col, id_col).filter(F.octet_length(text) >= 2 * min_words - 1).select("k_id", "k_tie", _words(text).alias("words"))
+
+
+def fingerprints(arrays: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``gram, k_id, k_tie, at``: the selected places (from 0) and the hashes
+    of the words from there.
+
+    The places of words in their keys make the first of equals the smallest.
+    A window's smallest is new if it is its last word, or if the word before
+    the window was the smallest so far."""
+    gram = min_words // 2
+    wide = min_words - gram + 1
+    keys = F.transform("words", lambda w, i: F.xxhash64(w).bitwiseAND(F.lit(~_PLACE)).bitwiseOR(i.cast("long")))
+    # The outer form, as the optimizer would derive a filter from an inner
+    # one, and cut the text once more for it.
+    rows = arrays.withColumn("keys", keys).select("k_id", "k_tie", "words", "keys", F.posexplode_outer("keys").alias("i", "key"))
+    least = F.array_min(F.slice("keys", F.col("i") + 1, F.lit(wide)))
+    at = least.bitwiseAND(F.lit(_PLACE)).cast("int")
+    new = (F.col("i") == 0) | (at == F.col("i") + wide - 1) | (F.get("keys", F.col("i") - 1) < least)
+    return (rows.filter((F.col("i") <= F.size("keys") - min_words) & new)
+            .select("k_id", "k_tie", "words", at.alias("at")).select(F.xxhash64(F.slice("words", F.col("at") + 1, F.lit(gram))).alias("gram"), "k_id", "k_tie", "at"))
 
 
 def repeated_runs(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
-    """``k_id, k_tie, first, last``: unit ranges (from 1) that repeat earlier ones."""
-    # Stored, as three steps read them, and so that the filters the optimizer
-    # derives from an explode do not repeat the cutting for every unit.
-    arrays = stored(unit_arrays(docs, text_col, id_col, min_words), "line-units")
-    inside = Window.partitionBy("k_id", "k_tie", "gram").orderBy("idx")
-    places = fingerprints(arrays, -(-min_words // WINDOW))
-    places = places.withColumns({f"p_{c}": F.lag(c).over(inside) for c in ("idx", "left", "right")})
-    places = stored(places.filter("p_idx IS NULL OR p_idx < idx"), "line-places")  # equal rows are one document
-    sources = stored(places.groupBy("gram").agg(F.count("*").alias("n"), F.min(F.struct("k_id", "k_tie", "idx", "left", "right")).alias("s"))
-                     .filter("n > 1").select("gram", *(F.col(f"s.{a}").alias(b) for a, b in (
-                         ("k_id", "s_id"), ("k_tie", "s_tie"), ("idx", "s_idx"), ("left", "s_left"), ("right", "s_right")))), "line-sources")
-
-    def goes_on(c: str) -> Column:
-        """What is hashed goes on at one side at least, or is a run by itself."""
-        same = [F.coalesce(F.col(side) == F.col(f"{c}_{side}"), F.lit(False)) for side in ("left", "right")]
-        return F.col(f"{c}_idx").isNotNull() & (same[0] | same[1] | (F.col("weight") >= min_words))
-
-    # A place links to the one before it in its own text if that goes on, so
-    # that a text of one line over and over has one shift, else to the source.
-    own = places.filter(goes_on("p")).select("k_id", "k_tie", F.col("k_id").alias("s_id"), F.col("k_tie").alias("s_tie"), (F.col("idx") - F.col("p_idx")).alias("shift"))
-    other = (places.filter(~goes_on("p")).join(sources, "gram").filter(goes_on("s"))
-             .select("k_id", "k_tie", "s_id", "s_tie", (F.col("idx") - F.col("s_idx")).alias("shift"))
-             .filter((F.col("k_id") != F.col("s_id")) | (F.col("k_tie") != F.col("s_tie")) | (F.col("shift") > 0)))
-    links = own.unionByName(other).distinct()
-    ours = arrays.withColumnsRenamed({"hashes": "t_hashes", "weights": "t_weights"})
-    theirs = arrays.select(F.col("k_id").alias("s_id"), F.col("k_tie").alias("s_tie"), F.col("hashes").alias("s_hashes"))
-    both = links.join(ours, ["k_id", "k_tie"]).join(theirs, ["s_id", "s_tie"])
-    # The units of both texts that lie side by side under the shift, and where
-    # they differ: between two such places lie the maximal runs.
-    shift = F.col("shift")
-    low = F.greatest(F.lit(1), shift + 1)
-    many = F.greatest(F.least(F.size("t_hashes"), F.size("s_hashes") + shift) - low + 1, F.lit(0))
-    beside = both.select("k_id", "k_tie", low.alias("low"), many.alias("many"), F.slice("t_hashes", low, many).alias("t"),
-                         F.slice("s_hashes", low - shift, many).alias("s"), F.slice("t_weights", low, many).alias("w"))
-    differs = F.filter(F.sequence(F.lit(1), F.greatest("many", F.lit(1))), lambda i: F.get("t", i - 1) != F.get("s", i - 1))
-    ends = F.concat(F.array(F.lit(0)), differs, F.array(F.col("many") + 1))
-    runs = F.filter(F.transform(F.sequence(F.lit(0), F.size("ends") - 2), lambda j: F.struct(
-        (F.get("ends", j) + 1).alias("first"), (F.get("ends", j + 1) - 1).alias("last"))), lambda r: r["last"] >= r["first"])
-    weigh = lambda r: F.aggregate(F.slice("w", r["first"], r["last"] - r["first"] + 1), F.lit(0), lambda a, w: a + w)
-    return (beside.filter("many > 0").withColumn("ends", ends).withColumn("runs", F.filter(runs, lambda r: weigh(r) >= min_words))
-            .select("k_id", "k_tie", "low", F.explode_outer("runs").alias("r")).filter("r IS NOT NULL")
-            .select("k_id", "k_tie", (F.col("low") - 1 + F.col("r.first")).alias("first"), (F.col("low") - 1 + F.col("r.last")).alias("last")))
+    """``k_id, k_tie, runs``: the words (from ``first`` to before ``end``, from
+    0) that repeat earlier ones.  The end may lie behind the last word."""
+    key = ["k_id", "k_tie"]
+    arrays = word_arrays(docs, text_col, id_col, min_words)
+    places = stored(fingerprints(arrays, min_words), "line-places")
+    several = places.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram")
+    hits = stored(places.join(several, "gram", "left_semi").groupBy(*key).agg(F.collect_set("at").alias("at")), "line-hits")
+    # Of equal texts the first one stands for all: the others go whole.
+    originals = stored(hits.groupBy("k_tie").agg(F.min("k_id").alias("k_id")), "line-originals")
+    copies = hits.join(originals, key, "left_anti").select(*key, F.array(F.struct(F.lit(0).alias("first"), F.lit((1 << 31) - 1).alias("end"))).alias("runs"))
+
+    # All runs of min_words words that hold a fingerprint of several places.
+    spare = min_words - min_words // 2
+    starts = F.array_distinct(F.flatten(F.transform("at", lambda a: F.sequence(F.greatest(F.lit(0), a - spare), F.least(a, F.size("words") - min_words)))))
+    near = (arrays.join(hits.join(originals, key, "left_semi").hint("merge"), key)
+            .select(*key, starts.alias("starts"), F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
+            .select(*key, "hashes", F.explode_outer("starts").alias("start")).filter("start IS NOT NULL"))
+    windows = stored(near.select(F.xxhash64(F.slice("hashes", F.col("start") + 1, F.lit(min_words))).alias("run"), *key, "start"), "line-windows")
+    place = F.struct(*key, "start")
+    first = windows.groupBy("run").agg(F.count("*").alias("n"), F.min(place).alias("source")).filter("n > 1").select("run", "source")
+    later = windows.join(first, "run").filter(place > F.col("source")).groupBy(*key).agg(F.sort_array(F.collect_set("start")).alias("starts"))
+    # Runs that overlap or touch are one.
+    far = lambda a, b: F.coalesce(F.get("starts", b) - F.get("starts", a) > min_words, F.lit(True))
+    firsts = F.filter("starts", lambda s, i: far(i - 1, i))
+    ends = F.transform(F.filter("starts", lambda s, i: far(i, i + 1)), lambda s: s + min_words)
+    merged = later.select(*key, F.zip_with(firsts, ends, lambda a, b: F.struct(a.alias("first"), b.alias("end"))).alias("runs"))
+    return merged.unionByName(copies)
 
 
 def dedup_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with the later repeats cut out of the text, and ``n_removed,
-    words_removed`` (replaced where it has such columns)."""
+    """``docs`` with the later repeats cut out of the text, and ``n_removed``
+    (the lines and sentences that lost words, once for each run cut from
+    them), ``words_removed`` (replaced where it has such columns)."""
     docs = docs.drop("n_removed", "words_removed")
-    cuts = stored(repeated_runs(docs, text_col, id_col, min_words).groupBy("k_id", "k_tie")
-                  .agg(F.collect_set(F.struct("first", "last")).alias("_cuts")), "line-cuts")
+    cuts = stored(repeated_runs(docs, text_col, id_col, min_words), "line-cuts")
     # The cuts grow with the corpus: no broadcast of them, at any size.
     whole = _keyed(docs, text_col, id_col).join(cuts.hint("merge"), ["k_id", "k_tie"], "left")
-    gone = lambda i: F.exists("_cuts", lambda r: (r["first"] <= i) & (i <= r["last"]))
-    units = F.when(F.col("_cuts").isNotNull(), F.transform(F.split(F.col("row")[text_col], _AFTER_ENDS), lambda u, i: F.struct(u.alias("u"), gone(i + 1).alias("gone"))))
-    removed = F.filter("_units", lambda x: x["gone"])
-    kept = F.array_join(F.transform(F.filter("_units", lambda x: ~x["gone"]), lambda x: x["u"]), "")
-    cut = F.col("_units").isNotNull()
-    words = F.aggregate(F.transform(removed, lambda x: _weight(x["u"])), F.lit(0), lambda a, w: a + w)
+    text = F.col("row")[text_col]
+    cut = F.col("runs").isNotNull()
+    # Each word with the white space behind it; what is ahead of the first
+    # word goes with it.
+    words = F.when(cut, F.split(F.regexp_replace(text, r"^\s+", ""), r"(?<=\s)(?=\S)"))
+    ahead = F.when(F.get("_runs", F.lit(0))["first"] > 0, F.regexp_extract(text, r"^\s*", 0)).otherwise("")
+    runs = F.transform("runs", lambda r: F.struct(r["first"].alias("first"), F.least(r["end"], F.size("_words")).alias("end")))
+    between = F.zip_with(F.concat(F.array(F.lit(0)), F.col("_runs.end")), F.concat(F.col("_runs.first"), F.array(F.size("_words"))),
+                         lambda a, b: F.struct(a.alias("first"), b.alias("end")))
+    places = lambda ranges, short: F.flatten(F.transform(F.filter(ranges, lambda r: r["end"] - short > r["first"]),
+                                                         lambda r: F.sequence(r["first"], r["end"] - short - 1)))
+    kept = F.concat(ahead, F.array_join(F.transform(places(between, 0), lambda p: F.get("_words", p)), ""))
+    broken = F.filter(places(F.col("_runs"), 1), lambda p: F.get("_words", p).rlike(_ENDS))
+    gone = F.aggregate("_runs", F.lit(0), lambda a, r: a + r["end"] - r["first"])
     out = [F.when(cut, kept).otherwise(F.col("row")[c]).alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns]
-    return (whole.withColumn("_units", units)
-            .select(*out, F.when(cut, F.size(removed)).otherwise(0).alias("n_removed"), F.when(cut, words).otherwise(0).alias("words_removed")))
+    return (whole.withColumn("_words", words).withColumn("_runs", runs)
+            .select(*out, F.when(cut, F.size("_runs") + F.size(broken)).otherwise(0).alias("n_removed"), F.when(cut, gone).otherwise(0).alias("words_removed")))

@@ -77,3 +77,40 @@ def test_plan_is_native(spark):
     df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     plan = linededup.repeated_runs(df)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def brute_words(docs, size=linededup.MIN_WORDS):
+    """Texts without the words in ``size`` words in a row that stand earlier too."""
+    seen, out = set(), {}
+    for i, text in sorted(docs):
+        words, gone = text.split(), set()
+        for at in range(len(words) - size + 1):
+            run = tuple(words[at:at + size])
+            if run in seen:
+                gone.update(range(at, at + size))
+            seen.add(run)
+        out[i] = " ".join(w for k, w in enumerate(words) if k not in gone), len(gone)
+    return out
+
+
+def check_words(spark, docs):
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: (" ".join(r["text"].split()), r["words_removed"]) for r in linededup.dedup_lines(df).collect()}
+    assert got == brute_words(docs)
+    return got
+
+
+def test_passages_inside_lines(spark):
+    rng = random.Random(4)
+    plain = lambda n: [line(rng, 1).strip(" .!\n") for _ in range(n)]
+    ends = lambda words: [w + rng.choice(["", "", "", "", "", ".", "!", "\n"]) for w in words]
+    passages = [ends(plain(n)) for n in (49, 50, 51, 55, 60, 130)] + [plain(n) for n in (50, 58, 200)]
+    docs = []
+    for i in range(60):
+        words = (plain if i % 2 else lambda n: ends(plain(n)))(rng.randint(0, 150))
+        for passage in rng.sample(passages, 2):
+            at = rng.randint(0, len(words))
+            words[at:at] = passage
+        docs.append((i, rng.choice(["", " \n"]) + " ".join(words)))
+    got = check_words(spark, docs)
+    assert sum(n > 0 for _, n in got.values()) > 40
