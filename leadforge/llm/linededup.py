@@ -52,11 +52,16 @@ def _keyed(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
                        F.xxhash64(F.col(text_col)).alias("k_tie"))
 
 
-def word_arrays(docs: DataFrame, text_col: str, id_col: str, min_words: int = MIN_WORDS) -> DataFrame:
-    """``k_id, k_tie, words`` of the documents that can hold a run (so many
+def _long(docs: DataFrame, text_col: str, id_col: str, min_words: int) -> DataFrame:
+    """``k_id, k_tie, text`` of the documents that can hold a run (so many
     words take twice as many bytes)."""
     text = F.col("row")[text_col]
-    return _keyed(docs, text_col, id_col).filter(F.octet_length(text) >= 2 * min_words - 1).select("k_id", "k_tie", _words(text).alias("words"))
+    return _keyed(docs, text_col, id_col).filter(F.octet_length(text) >= 2 * min_words - 1).select("k_id", "k_tie", text.alias("text"))
+
+
+def word_arrays(docs: DataFrame, text_col: str, id_col: str, min_words: int = MIN_WORDS) -> DataFrame:
+    """``k_id, k_tie, words`` of these documents."""
+    return _long(docs, text_col, id_col, min_words).select("k_id", "k_tie", _words(F.col("text")).alias("words"))
 
 
 def fingerprints(arrays: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -83,9 +88,9 @@ def repeated_runs(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id
     """``k_id, k_tie, runs``: the words (from ``first`` to before ``end``, from
     0) that repeat earlier ones.  The end may lie behind the last word."""
     key = ["k_id", "k_tie"]
-    arrays = word_arrays(docs, text_col, id_col, min_words)
-    places = stored(fingerprints(arrays, min_words), "line-places")
-    several = places.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram")
+    places = stored(fingerprints(word_arrays(docs, text_col, id_col, min_words), min_words), "line-places")
+    # Stored, so that the join reads plain shuffles and splits a frequent key.
+    several = stored(places.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram"), "line-several")
     hits = stored(places.join(several, "gram", "left_semi").groupBy(*key).agg(F.collect_set("at").alias("at")), "line-hits")
     # Of equal texts the first one stands for all: the others go whole.
     originals = stored(hits.groupBy("k_tie").agg(F.min("k_id").alias("k_id")), "line-originals")
@@ -94,12 +99,12 @@ def repeated_runs(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id
     # All runs of min_words words that hold a fingerprint of several places.
     spare = min_words - min_words // 2
     starts = F.array_distinct(F.flatten(F.transform("at", lambda a: F.sequence(F.greatest(F.lit(0), a - spare), F.least(a, F.size("words") - min_words)))))
-    near = (arrays.join(hits.join(originals, key, "left_semi").hint("merge"), key)
-            .select(*key, starts.alias("starts"), F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
+    near = (_long(docs, text_col, id_col, min_words).join(hits.join(originals, key, "left_semi").hint("merge"), key)
+            .select(*key, "at", _words(F.col("text")).alias("words")).select(*key, starts.alias("starts"), F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
             .select(*key, "hashes", F.explode_outer("starts").alias("start")).filter("start IS NOT NULL"))
     windows = stored(near.select(F.xxhash64(F.slice("hashes", F.col("start") + 1, F.lit(min_words))).alias("run"), *key, "start"), "line-windows")
     place = F.struct(*key, "start")
-    first = windows.groupBy("run").agg(F.count("*").alias("n"), F.min(place).alias("source")).filter("n > 1").select("run", "source")
+    first = stored(windows.groupBy("run").agg(F.count("*").alias("n"), F.min(place).alias("source")).filter("n > 1").select("run", "source"), "line-sources")
     later = windows.join(first, "run").filter(place > F.col("source")).groupBy(*key).agg(F.sort_array(F.collect_set("start")).alias("starts"))
     # Runs that overlap or touch are one.
     far = lambda a, b: F.coalesce(F.get("starts", b) - F.get("starts", a) > min_words, F.lit(True))

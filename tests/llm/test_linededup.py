@@ -114,3 +114,15 @@ def test_passages_inside_lines(spark):
         docs.append((i, rng.choice(["", " \n"]) + " ".join(words)))
     got = check_words(spark, docs)
     assert sum(n > 0 for _, n in got.values()) > 40
+
+
+def test_lines_that_first_stand_alone(spark):
+    rng = random.Random(6)
+    one, two, three = (line(rng, 20) for _ in range(3))
+    docs = [(k, line(rng, 30) + part + line(rng, 30)) for k, part in enumerate((one, two, three))]
+    docs += [(k, line(rng, 9) + one + two + three + line(rng, 9)) for k in (10, 11)]
+    edited = [line(rng, 30) for _ in range(4)]  # every part stands earlier, next to others
+    docs += [(20 + k, " ".join(edited[:k] + [line(rng, 30)] + edited[k + 1:])) for k in range(4)] + [(30, " ".join(edited)), (31, "New. " + " ".join(edited))]
+    docs += [(40, one + line(rng, 60) + one + two + line(rng, 60) + one + two + three)]
+    got = check_words(spark, docs)
+    assert got[10][1] == 0 and got[11][1] == 60 and got[31][1] == 120 and got[40][1] == 60
