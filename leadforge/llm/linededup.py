@@ -2,7 +2,8 @@
 
 Native: DataFrame functions only.  A text's words are its runs of characters
 that are not white space (``\\s`` of Java); texts are compared word by word,
-whatever space or line feed stands between.
+whatever space or line feed stands between.  In scripts that put no spaces
+between words each character counts as a word.
 
 A word goes if it lies in ``MIN_WORDS`` words in a row that stand in the same
 order at an earlier place: in a document of smaller id, or further ahead in
@@ -37,12 +38,21 @@ MIN_WORDS = 50
 
 #: A word's place in its text takes the low bits of its winnowing key.
 _PLACE = (1 << 30) - 1
+#: Scripts that put no spaces between words: Thai, Lao, Burmese, Khmer, kana, Han
+#: (rarer ideographs beyond U+FFFF are cut off only from these).
+_SOLID = r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\x{20000}-\x{3134f}]"
+_AROUND = rf"(?<=\S)(?={_SOLID})|(?<={_SOLID})(?=\S)"
 #: Behind a word that ends a line or a sentence.
 _ENDS = r"\n|[.!?] "
 
 
+def _split(text: Column, cut: str) -> Column:
+    """``text`` cut at the pattern and around the characters of ``_SOLID``."""
+    return F.when(text.rlike(_SOLID), F.split(text, f"{cut}|{_AROUND}")).otherwise(F.split(text, cut))
+
+
 def _words(text: Column) -> Column:
-    return F.array_remove(F.split(text, r"\s+"), "")
+    return F.array_remove(_split(text, r"\s+"), "")
 
 
 def _keyed(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
@@ -54,7 +64,7 @@ def _keyed(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
 
 def _long(docs: DataFrame, text_col: str, id_col: str, min_words: int) -> DataFrame:
     """``k_id, k_tie, text`` of the documents that can hold a run (so many
-    words take twice as many bytes)."""
+    words take twice as many bytes, or three times in solid scripts)."""
     text = F.col("row")[text_col]
     return _keyed(docs, text_col, id_col).filter(F.octet_length(text) >= 2 * min_words - 1).select("k_id", "k_tie", text.alias("text"))
 
@@ -126,7 +136,7 @@ def dedup_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     cut = F.col("runs").isNotNull()
     # Each word with the white space behind it; what is ahead of the first
     # word goes with it.
-    words = F.when(cut, F.split(F.regexp_replace(text, r"^\s+", ""), r"(?<=\s)(?=\S)"))
+    words = F.when(cut, _split(F.regexp_replace(text, r"^\s+", ""), r"(?<=\s)(?=\S)"))
     ahead = F.when(F.get("_runs", F.lit(0))["first"] > 0, F.regexp_extract(text, r"^\s*", 0)).otherwise("")
     runs = F.transform("runs", lambda r: F.struct(r["first"].alias("first"), F.least(r["end"], F.size("_words")).alias("end")))
     between = F.zip_with(F.concat(F.array(F.lit(0)), F.col("_runs.end")), F.concat(F.col("_runs.first"), F.array(F.size("_words"))),

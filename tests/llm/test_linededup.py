@@ -126,3 +126,16 @@ def test_lines_that_first_stand_alone(spark):
     docs += [(40, one + line(rng, 60) + one + two + line(rng, 60) + one + two + three)]
     got = check_words(spark, docs)
     assert got[10][1] == 0 and got[11][1] == 60 and got[31][1] == 120 and got[40][1] == 60
+
+
+def test_words_are_no_white_space_and_solid_scripts_count_characters(spark):
+    rng = random.Random(12)
+    blank = "\n" * 60 + "a   b" + " " * 70 + "end.\n"
+    tabs = "\t".join(line(rng, 1).strip() for _ in range(60))
+    han = "".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(58)) + "\U00020000" + "".join(chr(rng.randint(0xE01, 0xE2E)) for _ in range(20))
+    han = han[:30] + "。" + han[30:]
+    docs = [(1, line(rng, 20) + blank), (2, blank + line(rng, 20)), (3, tabs + "\tx"), (4, "y " + tabs.replace("\t", " ")),
+            (5, "甲乙 abc" + han + "丙丁"), (6, "戊" + han + "def. 己"), (7, han[:45])]
+    got = {r["doc_id"]: (r["text"], r["words_removed"]) for r in linededup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert all(got[i] == (t, 0) for i, t in docs if i in (1, 2, 3, 5, 7))
+    assert got[4] == ("y ", 60) and got[6] == ("戊def. 己", len(han))
