@@ -28,21 +28,33 @@ MIN_SCORE = 0.35
 ORACLE_SQL = None
 
 
+def _aside(docs: DataFrame, *own: str) -> dict[str, str]:
+    """Other names for the columns that are called like an operator's own."""
+    return {c: f"_input_{k}_{c}" for k, c in enumerate(docs.columns) if c.lower() in own}
+
+
+def _restored(out: DataFrame, docs: DataFrame, aside: dict[str, str]) -> DataFrame:
+    """The columns of ``docs`` alone, under their own names."""
+    return out.select(*(F.col(f"`{aside.get(c, c)}`").alias(c) for c in docs.columns))
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which a language is recognised."""
-    seen = langid.identify(docs)
-    return seen.filter((F.col("lang_pred") != "und") & (F.col("score") >= MIN_SCORE)).select(*docs.columns)
+    aside = _aside(docs, "lang_pred", "score")
+    seen = langid.identify(docs.withColumnsRenamed(aside))
+    return _restored(seen.filter((F.col("lang_pred") != "und") & (F.col("score") >= MIN_SCORE)), docs, aside)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later repeats of runs of lines are cut out; a document of which nothing
     is left goes.  ``n_chars`` follows the text."""
-    cut = linededup.dedup_lines(docs)
+    aside = _aside(docs, "n_removed", "words_removed")
+    cut = linededup.dedup_lines(docs.withColumnsRenamed(aside))
     left = cut.filter((F.col("n_removed") == 0) | (F.btrim("text", F.lit(" \t\r\n")) != ""))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         left = left.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.char_length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return left.select(*docs.columns)
+    return _restored(left, docs, aside)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

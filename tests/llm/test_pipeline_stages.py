@@ -57,3 +57,14 @@ def test_empty_table(spark, tmp_path):
 
 def test_low_scores_are_rejected():
     assert 1 / len(SYLLABLES) < cp.MIN_SCORE and langid.score_texts(None, ["abc"]) == [("und", 0.0)]
+
+
+def test_columns_named_like_the_operators_own_pass_through(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [(i, text_of(lang, rng, 60), lang, f"p{i}", 7.5, i, "w") for i, lang in enumerate(rng.choices(list(SYLLABLES), k=60))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, lang_pred string, Score double, n_removed long, words_removed string")
+    for stage in (cp.language_id, cp.line_dedup):
+        out = stage(spark, df, str(tmp_path))
+        assert out.dtypes == df.dtypes
+        got = [tuple(r) for r in out.collect()]
+        assert got and set(got) <= set(rows)
