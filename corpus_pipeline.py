@@ -6,13 +6,14 @@ the same columns; the last one returns the packed pieces.  Stages are written
 as Parquet in between, so a lost executor costs a re-read.
 
 Edge cases, beyond those of the operators: a null text is rejected by the
-first stage (no language); documents of null id pass the near-duplicate
-stage; rows of one id stay there or go together; empty tables stay empty.
+first stage (no language); rows of one id and different texts stay in the
+near-duplicate stage or go together, of those of equal text one stays; empty
+tables stay empty; input columns of any name pass through.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from leadforge.llm import jaccard, langid, linededup, packing
@@ -58,11 +59,18 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document of smallest id stays."""
-    found = jaccard.near_duplicates(docs)
-    gone = (found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.bool_and(F.col("component_id") < F.col("doc_id")).alias("gone"))
-            .filter("gone").select("doc_id"))
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Of each group of near duplicates the document of smallest id stays, and
+    of rows equal in id and text one.  A document of null id is known by its
+    text, and comes after those that have an id."""
+    text = F.xxhash64("text")
+    late = text.bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)
+    keyed = docs.withColumns({"_doc_key": F.coalesce(F.col("doc_id").cast("long"), late), "_text_key": text})
+    found = jaccard.near_duplicates(keyed, id_col="_doc_key")
+    gone = (found.groupBy(F.col("doc_id").alias("_doc_key")).agg(F.bool_and(F.col("component_id") < F.col("doc_id")).alias("gone"))
+            .filter("gone").select("_doc_key"))
+    equal = Window.partitionBy("_doc_key", "_text_key").orderBy(F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns)))
+    one = keyed.join(gone, "_doc_key", "left_anti").withColumn("_row", F.row_number().over(equal)).filter("_row = 1")
+    return one.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -68,3 +68,13 @@ def test_columns_named_like_the_operators_own_pass_through(spark, tmp_path):
         assert out.dtypes == df.dtypes
         got = [tuple(r) for r in out.collect()]
         assert got and set(got) <= set(rows)
+
+
+def test_one_row_of_equal_documents_stays(spark, tmp_path):
+    rng = random.Random(5)
+    texts = [text_of("aa", rng, 80) for _ in range(4)]
+    near = " ".join(w if k != 40 else "kakaka" for k, w in enumerate(texts[2].split(" ")))
+    rows = [(1, texts[0])] * 3 + [(None, texts[1])] * 4 + [(5, texts[2]), (None, near), (6, texts[3]), (7, texts[3])]
+    df = spark.createDataFrame([(i, t, f"s{k}") for k, (i, t) in enumerate(rows)], "doc_id long, text string, source string").repartition(3)
+    got = [(r["doc_id"], r["text"]) for r in cp.near_duplicates(spark, df, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == sorted([(1, texts[0]), (None, texts[1]), (5, texts[2]), (6, texts[3])], key=str)
