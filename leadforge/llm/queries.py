@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, jaccard, langid, linededup, packing, sketch, token_counts, token_files, topk
+from . import bpe, chat, hardneg, jaccard, langid, linededup, packing, sketch, token_counts, token_files, topk, warc
 from .common import shared_dir, stored, table
 from .tokens import default_vocab, word_vocab
 
@@ -69,9 +69,22 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.name_documents(counts, flat).select("doc_id", "file", "ordinal", "start", "n_tokens")
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes the WARC archives of ``pages`` and lists what it reads back."""
+    path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write_warc(table(spark, sf_dir, "pages"), path)
+    return warc.read_warc(spark, path, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors: ids divisible by 50; ids divisible by 7 get the next label."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_threshold_topk, op2_token_files, op3_best_fit_packing, op4_ngram_jaccard, op5_forced_boundary_bpe, op6_language_id,
-    op7_paragraph_sketch, op8_line_dedup, op9_chat_format, op10_token_counts)}
+    op7_paragraph_sketch, op8_line_dedup, op9_chat_format, op10_token_counts, op11_warc, op13_hard_negatives)}
 _HARD = "</s>[INST] ok [/INST]"
 
 
@@ -94,6 +107,31 @@ ORACLES: dict[str, str] = {
         r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
         SELECT * FROM r WHERE rank <= 5
     """,
+    "op11_warc": """
+        WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS bytes, sha1(coalesce(html, '')) AS digest FROM pages),
+        r AS (SELECT *, max(page_id) OVER (PARTITION BY digest, bytes) AS top,
+                     row_number() OVER (PARTITION BY digest, bytes ORDER BY page_id DESC NULLS LAST) AS place FROM p)
+        SELECT page_id, CAST(bytes AS BIGINT) AS payload_bytes, digest AS payload_digest,
+               CASE WHEN bytes >= 1000 AND place > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN bytes >= 1000 AND place > 1 THEN top END AS refers_to
+        FROM r
+    """,
+    "op13_hard_negatives": """
+        WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                          list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+                   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS vec_id, a.label = b.label AS same,
+                     CAST(list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i])) AS BIGINT) AS score
+              FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+        p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+              QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+        n AS (SELECT p.anchor_id, p.positive_id, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score,
+                     CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+              FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same
+               AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score)
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+    """,
     "op9_chat_format": f"""
         WITH c AS (
           SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
