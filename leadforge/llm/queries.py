@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, hardneg, jaccard, langid, linededup, packing, sketch, token_counts, token_files, topk, warc
+from . import bpe, chat, collocations, hardneg, jaccard, langid, linededup, packing, sketch, token_counts, token_files, topk, warc
 from .common import shared_dir, stored, table
 from .tokens import default_vocab, word_vocab
 
@@ -76,6 +76,10 @@ def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_warc(spark, path, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Anchors: ids divisible by 50; ids divisible by 7 get the next label."""
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -84,7 +88,7 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_threshold_topk, op2_token_files, op3_best_fit_packing, op4_ngram_jaccard, op5_forced_boundary_bpe, op6_language_id,
-    op7_paragraph_sketch, op8_line_dedup, op9_chat_format, op10_token_counts, op11_warc, op13_hard_negatives)}
+    op7_paragraph_sketch, op8_line_dedup, op9_chat_format, op10_token_counts, op11_warc, op12_collocations, op13_hard_negatives)}
 _HARD = "</s>[INST] ok [/INST]"
 
 
@@ -116,6 +120,25 @@ ORACLES: dict[str, str] = {
                CASE WHEN bytes >= 1000 AND place > 1 THEN top END AS refers_to
         FROM r
     """,
+    "op12_collocations": """
+        WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+        p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+        w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), x -> x <> '') AS ws FROM p),
+        o AS (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, range(1, 5) AS s(k)),
+        f AS (SELECT lang, list_slice(ws, i, i + k - 1) AS ids, count(*) AS f FROM o GROUP BY ALL),
+        t AS (SELECT lang, sum(f) AS n FROM f WHERE len(ids) = 1 GROUP BY lang),
+        c AS (SELECT lang, ids, f AS a FROM f WHERE len(ids) >= 2 AND f >= 30),
+        k AS (SELECT lang, ids, a, unnest(range(1, len(ids))) AS k FROM c),
+        s AS (SELECT k.*, x.f AS l, y.f AS r, (2000000::HUGEINT * a) // (x.f + y.f) AS score
+              FROM k JOIN f x ON x.lang = k.lang AND x.ids = list_slice(k.ids, 1, k.k) JOIN f y ON y.lang = k.lang AND y.ids = list_slice(k.ids, k.k + 1, len(k.ids))
+              QUALIFY row_number() OVER (PARTITION BY k.lang, k.ids ORDER BY score, k.k) = 1),
+        i AS (SELECT lang, a, ids, m, unnest(range(1, len(ids) - m + 2)) AS i FROM c, range(2, 4) AS s(m) WHERE m < len(ids)),
+        g AS (SELECT lang, list_slice(ids, i, i + m - 1) AS ids, max(a) AS longer FROM i GROUP BY ALL),
+        z AS (SELECT s.lang, array_to_string(s.ids, ' ') AS phrase, s.a, s.l, s.r, s.score FROM s LEFT JOIN g ON g.lang = s.lang AND g.ids = s.ids
+              WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * s.a),
+        q AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM z)
+        SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM q JOIN t USING (lang) WHERE rank <= 2000
+    """,
     "op13_hard_negatives": """
         WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
                           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
