@@ -32,12 +32,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leadforge.functions.bloom import bloom, maybe_in
+
 from .common import stored
 
 MIN_WORDS = 50
 
-#: A word's place in its text takes the low bits of its winnowing key.
-_PLACE = (1 << 30) - 1
+#: A word's place in its text takes so many low bits of its winnowing key.
+_PLACE_BITS = 30
 #: Scripts that put no spaces between words: Thai, Lao, Burmese, Khmer, kana, Han
 #: (rarer ideographs beyond U+FFFF are cut off only from these).
 _SOLID = r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\x{20000}-\x{3134f}]"
@@ -47,8 +49,10 @@ _ENDS = r"\n|[.!?] "
 
 
 def _split(text: Column, cut: str) -> Column:
-    """``text`` cut at the pattern and around the characters of ``_SOLID``."""
-    return F.when(text.rlike(_SOLID), F.split(text, f"{cut}|{_AROUND}")).otherwise(F.split(text, cut))
+    """``text`` cut at the pattern and around the characters of ``_SOLID``
+    (looked for only where there are characters from the first of them on)."""
+    solid = (F.octet_length(text) > F.char_length(text)) & text.rlike(r"[\u0e00-\x{10ffff}]") & text.rlike(_SOLID)
+    return F.when(solid, F.split(text, f"{cut}|{_AROUND}")).otherwise(F.split(text, cut))
 
 
 def _words(text: Column) -> Column:
@@ -62,6 +66,11 @@ def _keyed(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
                        F.xxhash64(F.col(text_col)).alias("k_tie"))
 
 
+def _document() -> Column:
+    """A document's key as one number, for Bloom filters."""
+    return F.xxhash64("k_id", "k_tie")
+
+
 def _long(docs: DataFrame, text_col: str, id_col: str, min_words: int) -> DataFrame:
     """``k_id, k_tie, text`` of the documents that can hold a run (so many
     words take twice as many bytes, or three times in solid scripts)."""
@@ -83,12 +92,12 @@ def fingerprints(arrays: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     the window was the smallest so far."""
     gram = min_words // 2
     wide = min_words - gram + 1
-    keys = F.transform("words", lambda w, i: F.xxhash64(w).bitwiseAND(F.lit(~_PLACE)).bitwiseOR(i.cast("long")))
+    keys = F.transform("words", lambda w, i: F.shiftleft(F.xxhash64(w), _PLACE_BITS) + i)
     # The outer form, as the optimizer would derive a filter from an inner
     # one, and cut the text once more for it.
     rows = arrays.withColumn("keys", keys).select("k_id", "k_tie", "words", "keys", F.posexplode_outer("keys").alias("i", "key"))
     least = F.array_min(F.slice("keys", F.col("i") + 1, F.lit(wide)))
-    at = least.bitwiseAND(F.lit(_PLACE)).cast("int")
+    at = least.bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)).cast("int")
     new = (F.col("i") == 0) | (at == F.col("i") + wide - 1) | (F.get("keys", F.col("i") - 1) < least)
     return (rows.filter((F.col("i") <= F.size("keys") - min_words) & new)
             .select("k_id", "k_tie", "words", at.alias("at")).select(F.xxhash64(F.slice("words", F.col("at") + 1, F.lit(gram))).alias("gram"), "k_id", "k_tie", "at"))
@@ -100,8 +109,10 @@ def repeated_runs(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id
     key = ["k_id", "k_tie"]
     places = stored(fingerprints(word_arrays(docs, text_col, id_col, min_words), min_words), "line-places")
     # Stored, so that the join reads plain shuffles and splits a frequent key.
+    # Most places have no equal: a Bloom filter stops them before the shuffle.
     several = stored(places.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram"), "line-several")
-    hits = stored(places.join(several, "gram", "left_semi").groupBy(*key).agg(F.collect_set("at").alias("at")), "line-hits")
+    hits = stored(places.filter(maybe_in(bloom(several, "gram"), "gram")).join(several, "gram", "left_semi")
+                  .groupBy(*key).agg(F.collect_set("at").alias("at")), "line-hits")
     # Of equal texts the first one stands for all: the others go whole.
     originals = stored(hits.groupBy("k_tie").agg(F.min("k_id").alias("k_id")), "line-originals")
     copies = hits.join(originals, key, "left_anti").select(*key, F.array(F.struct(F.lit(0).alias("first"), F.lit((1 << 31) - 1).alias("end"))).alias("runs"))
@@ -109,12 +120,15 @@ def repeated_runs(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id
     # All runs of min_words words that hold a fingerprint of several places.
     spare = min_words - min_words // 2
     starts = F.array_distinct(F.flatten(F.transform("at", lambda a: F.sequence(F.greatest(F.lit(0), a - spare), F.least(a, F.size("words") - min_words)))))
-    near = (_long(docs, text_col, id_col, min_words).join(hits.join(originals, key, "left_semi").hint("merge"), key)
+    near = (_long(docs, text_col, id_col, min_words).filter(maybe_in(bloom(hits, _document()), _document()))
+            .join(hits.join(originals, key, "left_semi").hint("merge"), key)
             .select(*key, "at", _words(F.col("text")).alias("words")).select(*key, starts.alias("starts"), F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
             .select(*key, "hashes", F.explode_outer("starts").alias("start")).filter("start IS NOT NULL"))
     windows = stored(near.select(F.xxhash64(F.slice("hashes", F.col("start") + 1, F.lit(min_words))).alias("run"), *key, "start"), "line-windows")
     place = F.struct(*key, "start")
-    first = stored(windows.groupBy("run").agg(F.count("*").alias("n"), F.min(place).alias("source")).filter("n > 1").select("run", "source"), "line-sources")
+    several = stored(windows.groupBy("run").agg(F.count("*").alias("n")).filter("n > 1").select("run"), "line-runs")
+    windows = stored(windows.filter(maybe_in(bloom(several, "run"), "run")).join(several, "run", "left_semi"), "line-repeats")
+    first = stored(windows.groupBy("run").agg(F.min(place).alias("source")), "line-sources")
     later = windows.join(first, "run").filter(place > F.col("source")).groupBy(*key).agg(F.sort_array(F.collect_set("start")).alias("starts"))
     # Runs that overlap or touch are one.
     far = lambda a, b: F.coalesce(F.get("starts", b) - F.get("starts", a) > min_words, F.lit(True))
@@ -130,22 +144,30 @@ def dedup_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     them), ``words_removed`` (replaced where it has such columns)."""
     docs = docs.drop("n_removed", "words_removed")
     cuts = stored(repeated_runs(docs, text_col, id_col, min_words), "line-cuts")
-    # The cuts grow with the corpus: no broadcast of them, at any size.
-    whole = _keyed(docs, text_col, id_col).join(cuts.hint("merge"), ["k_id", "k_tie"], "left")
+    rows = _keyed(docs, text_col, id_col)
+    able = maybe_in(bloom(cuts, _document()), _document())
+    # Texts without cuts are not shuffled.
+    whole = rows.filter(able).join(cuts, ["k_id", "k_tie"], "left")
     text = F.col("row")[text_col]
-    cut = F.col("runs").isNotNull()
     # Each word with the white space behind it; what is ahead of the first
-    # word goes with it.
-    words = F.when(cut, _split(F.regexp_replace(text, r"^\s+", ""), r"(?<=\s)(?=\S)"))
-    ahead = F.when(F.get("_runs", F.lit(0))["first"] > 0, F.regexp_extract(text, r"^\s*", 0)).otherwise("")
+    # word goes with it.  The words, and then the results, are bound by a
+    # generator of one row: the optimizer moves neither a caller's filter nor
+    # another projection through it, which would cut the text anew for each
+    # use of a word.
+    words = F.when(F.col("runs").isNotNull(), _split(F.regexp_replace(text, r"^\s+", ""), r"(?<=\s)(?=\S)"))
+    bound = whole.select("row", "runs", F.explode_outer(F.array(F.struct(words.alias("words")))).alias("_b")).select("row", "runs", F.col("_b.words").alias("_words"))
     runs = F.transform("runs", lambda r: F.struct(r["first"].alias("first"), F.least(r["end"], F.size("_words")).alias("end")))
+    bound = bound.select("row", "_words", F.explode_outer(F.array(F.struct(runs.alias("runs")))).alias("_b")).select("row", "_words", F.col("_b.runs").alias("_runs"))
+    cut = F.col("_runs").isNotNull()
+    ahead = F.when(F.get("_runs", F.lit(0))["first"] > 0, F.regexp_extract(text, r"^\s*", 0)).otherwise("")
     between = F.zip_with(F.concat(F.array(F.lit(0)), F.col("_runs.end")), F.concat(F.col("_runs.first"), F.array(F.size("_words"))),
                          lambda a, b: F.struct(a.alias("first"), b.alias("end")))
-    places = lambda ranges, short: F.flatten(F.transform(F.filter(ranges, lambda r: r["end"] - short > r["first"]),
-                                                         lambda r: F.sequence(r["first"], r["end"] - short - 1)))
-    kept = F.concat(ahead, F.array_join(F.transform(places(between, 0), lambda p: F.get("_words", p)), ""))
-    broken = F.filter(places(F.col("_runs"), 1), lambda p: F.get("_words", p).rlike(_ENDS))
+    kept = F.concat(ahead, F.array_join(F.flatten(F.transform(between, lambda r: F.slice("_words", r["first"] + 1, r["end"] - r["first"]))), ""))
+    broken = F.filter(F.flatten(F.transform("_runs", lambda r: F.slice("_words", r["first"] + 1, r["end"] - r["first"] - 1))), lambda w: w.rlike(_ENDS))
     gone = F.aggregate("_runs", F.lit(0), lambda a, r: a + r["end"] - r["first"])
-    out = [F.when(cut, kept).otherwise(F.col("row")[c]).alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns]
-    return (whole.withColumn("_words", words).withColumn("_runs", runs)
-            .select(*out, F.when(cut, F.size("_runs") + F.size(broken)).otherwise(0).alias("n_removed"), F.when(cut, gone).otherwise(0).alias("words_removed")))
+    result = F.struct(F.when(cut, kept).otherwise(text).alias("text"), F.when(cut, F.size("_runs") + F.size(broken)).otherwise(0).alias("n_removed"),
+                      F.when(cut, gone).otherwise(0).alias("words_removed"))
+    done = bound.select("row", F.explode_outer(F.array(result)).alias("_r"))
+    column = lambda text: [text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns]
+    return (done.select(*column(F.col("_r.text")), "_r.n_removed", "_r.words_removed")
+            .unionByName(rows.filter(~able).select(*column(text), F.lit(0).alias("n_removed"), F.lit(0).alias("words_removed"))))

@@ -1,6 +1,8 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from leadforge.llm import linededup
 
 
@@ -139,3 +141,14 @@ def test_words_are_no_white_space_and_solid_scripts_count_characters(spark):
     got = {r["doc_id"]: (r["text"], r["words_removed"]) for r in linededup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert all(got[i] == (t, 0) for i, t in docs if i in (1, 2, 3, 5, 7))
     assert got[4] == ("y ", 60) and got[6] == ("戊def. 己", len(han))
+
+
+def test_filter_on_the_output_cuts_no_text_again(spark):
+    rng = random.Random(2)
+    passage = "".join(line(rng) for _ in range(9))
+    df = spark.createDataFrame([(i, line(rng, 30) + passage) for i in range(6)], "doc_id long, text string")
+    out = linededup.dedup_lines(df)
+    kept = out.filter((F.col("n_removed") == 0) | (F.btrim("text", F.lit(" \t\r\n")) != ""))
+    splits = lambda d: d._jdf.queryExecution().optimizedPlan().toString().count("split(")
+    assert splits(kept) <= splits(out) + 1 and splits(kept.filter("words_removed < 5").select("doc_id")) <= splits(out) + 1
+    assert kept.filter("words_removed > 0").count() == 5
