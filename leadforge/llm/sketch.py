@@ -8,10 +8,16 @@ cell, equal paragraphs cancel, and peeling cells that hold one digest recovers
 the digests in which the texts differ.  If peeling gets stuck, both sketches
 are made anew, larger.
 
+The sketches of a slice of documents are made, subtracted and peeled together
+as arrays; ``Sketch`` and ``differing`` do the same for two versions.
+
 Edge cases: null text is empty text, whose sketch is empty; two empty texts
 are alike (1.0); null ids sort first; equal ids are ordered by a hash of
-their texts; a single document is its own successor; an empty table has no
-rows; further columns of the input are ignored.
+their texts, and dealt over several ranges where they are many (equal rows
+too); a single document is its own successor; an empty table has no rows; long
+texts of many paragraphs take more memory in proportion; further columns of the
+input are ignored.  ``docs`` has to be a table scan, or another DataFrame that
+gives the same rows in the same order when a partition is computed again.
 """
 
 from __future__ import annotations
@@ -32,9 +38,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
-from .common import shuffle_partitions
+from .common import shuffle_partitions, slices
 
 CELLS = 60
+#: Documents that are compared at once, and sampled rows for each range bound.
+STEP, SAMPLED = 250, 64
 #: From so many paragraphs on (and four times as many cells) arrays are faster.
 MANY = 100
 _MASK = (1 << 64) - 1
@@ -48,10 +56,16 @@ def paragraphs(text: str) -> list[str]:
 def digests(text: str, known: dict[str, int] | None = None) -> list[int]:
     """64-bit digests of the paragraphs; the second "x" differs from the first.
     ``known`` keeps digests of paragraphs (first occurrence) between calls."""
-    seen: Counter = Counter()
     known = {} if known is None else known
+    found = paragraphs(text)
+    if len(set(found)) == len(found):
+        for p in found:
+            if p not in known:
+                known[p] = xxhash.xxh3_64_intdigest(p.encode(), seed=1)
+        return [known[p] for p in found]
+    seen: Counter = Counter()
     out = []
-    for p in paragraphs(text):
+    for p in found:
         seen[p] = n = seen[p] + 1
         key = known.get(p) if n == 1 else None
         if key is None:
@@ -189,64 +203,182 @@ _OUT = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("n_paragraph
                   ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())])
 
 
-def _row(now: tuple, after: tuple) -> tuple:
-    doc_id, text, keys, own, known = now
-    new = edited(text, after[1])
-    new_keys = digests(new, known | after[4])
-    new_sketch = Sketch(new_keys)
-    return (doc_id, len(text), len(keys), hashlib.sha256(new.encode()).hexdigest(), own.text(), new_sketch.text(),
-            likeness(keys, new_keys, own, new_sketch), likeness(keys, after[2], own, after[3]))
+class Bulk:
+    """The sketches of many key lists as one array: the cells of list ``i`` are
+    ``start[i]`` to ``start[i + 1]``, a third of them for each hash."""
+
+    def __init__(self, cells: np.ndarray):
+        self.part = (cells // 3).astype(np.uint64)
+        self.start = np.concatenate([[0], np.cumsum(cells)])
+        self.owner = np.repeat(np.arange(len(cells)), cells)
+        n = int(self.start[-1])
+        self.count, self.key, self.check = np.zeros(n, np.int64), np.zeros(n, np.uint64), np.zeros(n, np.uint64)
+
+    def places(self, keys: np.ndarray, owner: np.ndarray) -> np.ndarray:
+        part = self.part[owner]
+        return np.concatenate([((keys >> np.uint64(20 * i)) % part + np.uint64(i) * part).astype(np.int64) + self.start[owner] for i in range(3)])
+
+    def add(self, keys: np.ndarray, owner: np.ndarray, times: np.ndarray) -> None:
+        at = self.places(keys, owner)
+        np.add.at(self.count, at, np.tile(times, 3))
+        np.bitwise_xor.at(self.key, at, np.tile(keys, 3))
+        np.bitwise_xor.at(self.check, at, np.tile(_check_many(keys), 3))
+
+    def peel(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Takes all cells that hold one digest at once, until none is left:
+        the number of digests only here, only there, and which got stuck."""
+        here, there = np.zeros(len(self.part), np.int64), np.zeros(len(self.part), np.int64)
+        while True:
+            pure = np.flatnonzero((np.abs(self.count) == 1) & (self.check == _check_many(self.key)))
+            keys, owner = self.key[pure], self.owner[pure]
+            own = (self.places(keys, owner).reshape(3, -1) == pure).any(axis=0)
+            keys, owner, sign = keys[own], owner[own], self.count[pure[own]]
+            if not len(keys):
+                break
+            order = np.lexsort((keys, owner))
+            keys, owner, sign = keys[order], owner[order], sign[order]
+            first = np.concatenate([[True], (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])])
+            keys, owner, sign = keys[first], owner[first], sign[first]
+            here += np.bincount(owner[sign == 1], minlength=len(here))
+            there += np.bincount(owner[sign == -1], minlength=len(there))
+            self.add(keys, owner, -sign)
+        stuck = np.zeros(len(self.part), bool)
+        stuck[self.owner[(self.key != 0) | (self.count != 0)]] = True
+        return here, there, stuck
+
+    def texts(self) -> list[str]:
+        """As ``Sketch.text``."""
+        ends = list(zip(self.start.tolist(), self.start[1:].tolist()))
+        count, key, check = self.count.astype("<i4"), self.key.astype("<u8"), self.check.astype("<u4")
+        return [base64.b64encode(count[a:b].tobytes() + key[a:b].tobytes() + check[a:b].tobytes()).decode() for a, b in ends]
+
+
+def _together(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(all keys, the list that each is from)."""
+    return (np.concatenate(lists) if lists else np.empty(0, np.uint64)), np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+
+
+def sketches(lists: list[np.ndarray], cells: int = CELLS) -> Bulk:
+    out = Bulk(np.full(len(lists), cells))
+    keys, owner = _together(lists)
+    out.add(keys, owner, np.ones(len(keys), np.int64))
+    return out
+
+
+def likenesses(a: list[np.ndarray], b: list[np.ndarray], of_a: Bulk, of_b: Bulk) -> np.ndarray:
+    """``likeness`` of each list of ``a`` to that of ``b`` with the same number."""
+    n = np.array([len(x) for x in a], np.int64)
+    m = np.array([len(x) for x in b], np.int64)
+    minus = Bulk(np.full(len(a), CELLS))
+    minus.count, minus.key, minus.check = of_a.count - of_b.count, of_a.key ^ of_b.key, of_a.check ^ of_b.check
+    here, there, stuck = minus.peel()
+    cells, todo = np.full(len(a), CELLS), np.flatnonzero(stuck)
+    while len(todo):
+        room = 3 * ((n[todo] + m[todo]) // 2 + 4)
+        cells[todo] = np.where(cells[todo] == CELLS, np.minimum(4 * CELLS, np.maximum(CELLS + 3, room)), 2 * cells[todo])
+        larger = Bulk(cells[todo])
+        for lists, times in ((a, 1), (b, -1)):
+            keys, owner = _together([lists[i] for i in todo])
+            larger.add(keys, owner, np.full(len(keys), times))
+        here[todo], there[todo], stuck = larger.peel()
+        todo = todo[stuck]
+    union = n + there
+    return np.where(union > 0, (n - here) / np.maximum(union, 1), 1.0)
+
+
+def _rows(docs: list[tuple], last: tuple) -> pa.RecordBatch:
+    """``docs``: (id, text, keys, known) of documents in a row, ``last`` the
+    one that follows them."""
+    now, after = docs, [*docs[1:], last]
+    new = [edited(a[1], b[1]) for a, b in zip(now, after)]
+    new_keys = [np.array(digests(t, a[3] | b[3]), np.uint64) for t, a, b in zip(new, now, after)]
+    keys, next_keys = [d[2] for d in now], [d[2] for d in after]
+    every = sketches([*keys, last[2]])
+    own, following = Bulk(np.full(len(now), CELLS)), Bulk(np.full(len(now), CELLS))
+    for c in ("count", "key", "check"):
+        setattr(own, c, getattr(every, c)[:-CELLS])
+        setattr(following, c, getattr(every, c)[CELLS:])
+    changed = sketches(new_keys)
+    cols = [[d[0] for d in now], [len(d[1]) for d in now], [len(k) for k in keys], [hashlib.sha256(t.encode()).hexdigest() for t in new], own.texts(), changed.texts(),
+            likenesses(keys, new_keys, own, changed), likenesses(keys, next_keys, own, following)]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _OUT)], schema=_OUT)
 
 
 def _pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by bucket, guests last: each with the one after it."""
-    bucket, now, closed = None, None, False
-    for b in batches:
-        rows = []
-        for part, guest, doc_id, text in zip(*(b.column(c).to_pylist() for c in ("bucket", "guest", "doc_id", "text"))):
-            if part != bucket:
-                bucket, now, closed = part, None, False
-            if closed:  # a further guest of equal id
-                continue
+    """Rows sorted by bucket, the guest last: each with the one after it."""
+    bucket, held = None, []
+    for b in slices(batches, STEP):
+        for part, doc_id, text in zip(*(b.column(c).to_pylist() for c in ("bucket", "doc_id", "text"))):
+            if part != bucket:  # the guest that was last has no row here
+                if len(held) > 1:
+                    yield _rows(held[:-1], held[-1])
+                bucket, held = part, []
             known: dict[str, int] = {}
-            keys = digests(text, known)
-            this = (doc_id, text, keys, Sketch(keys), known)
-            if now is not None:
-                rows.append(_row(now, this))
-            now, closed = this, guest
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(list(zip(*rows)) or [[]] * len(_OUT), _OUT)], schema=_OUT)
+            held.append((doc_id, text, np.array(digests(text, known), np.uint64), known))
+        if len(held) > 1:
+            yield _rows(held[:-1], held[-1])
+            held = held[-1:]
+
+
+def _sample(rows: DataFrame, ranges: int) -> np.ndarray:
+    """Sorted ``(key, tie)`` of a hash sample of ``SAMPLED`` rows a range."""
+    every = max(1, rows.count() // (SAMPLED * ranges))
+    picked = rows.filter(F.pmod(F.xxhash64("salt"), F.lit(every)) == 0).select("key", "tie").collect()
+    return np.array(sorted(map(tuple, picked)), np.int64).reshape(-1, 2)
+
+
+def _range_of(sample: np.ndarray, ranges: int):
+    """The range of a row: equal shares of the sample.  Equal rows that stand
+    in the sample on both sides of a bound are dealt over its ranges, by salt,
+    in the same proportions."""
+    n = len(sample)
+    cuts = np.array([n * i // ranges for i in range(1, ranges)] if n else [], np.int64)
+    keys, ties = sample[cuts].T if n else (np.empty(0, np.int64),) * 2
+
+    def inside(values: np.ndarray, key, tie, side: str) -> np.ndarray:
+        a, z = np.searchsorted(values[:, 0], key, "left"), np.searchsorted(values[:, 0], key, "right")
+        return a + np.searchsorted(values[a:z, 1], tie, side)
+
+    @F.pandas_udf(IntegerType())
+    def range_of(key: pd.Series, tie: pd.Series, salt: pd.Series) -> pd.Series:
+        k, t, s = key.to_numpy(), tie.to_numpy(), salt.to_numpy()
+        low, high = np.searchsorted(keys, k, "left"), np.searchsorted(keys, k, "right")
+        out, bounds = low.copy(), np.column_stack([keys, ties])
+        for i in np.unique(k[low < high]):
+            own = np.flatnonzero(k == i)
+            first, last = inside(bounds, i, t[own], "left"), inside(bounds, i, t[own], "right")
+            a, z = inside(sample, i, t[own], "left"), inside(sample, i, t[own], "right")
+            at = (a + s[own] / (1 << 30) * (z - a)) * ranges / n
+            out[own] = np.where(first < last, np.clip(at.astype(np.int64), first, last), first)
+        return pd.Series(out.astype(np.int32))
+
+    return range_of
 
 
 def fingerprints(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """Each document's sketch, that of its edited text, and the likenesses to
     the edited text and to the next document (ascending id, cyclic).
 
-    Documents are dealt into id ranges once.  The first document of a range
-    also visits the range before it as a guest, so that every document meets
-    its successor; only one id per range passes through the driver.
+    Documents are dealt into ranges of (id, hash of the text) once.  The first
+    document of a range also visits the range before it as a guest, so that
+    every document meets its successor; only the bounds' sample and the ranges'
+    first keys pass through the driver.
     """
     spark = docs.sparkSession
-    low = -(1 << 63)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    key = F.coalesce("doc_id", F.lit(low))
-    n = shuffle_partitions(spark)
-    ids = docs.select(F.col(id_col).cast("long").alias("doc_id")).select(key.alias("key"))
-    bounds = ids.agg(F.percentile_approx("key", [i / n for i in range(1, n)] or [0.5], 100 * n)).first()[0] or []
-    edges = np.array(sorted(set(bounds)), dtype=np.int64)
-
-    @F.pandas_udf(IntegerType())
-    def bucket_of(k: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(edges, k.to_numpy(), side="right").astype(np.int32))
-
-    firsts = sorted((r["bucket"], r["first"]) for r in
-                    ids.withColumn("bucket", bucket_of("key")).groupBy("bucket").agg(F.min("key").alias("first")).collect())
-    host = {first: firsts[i - 1][0] for i, (_, first) in enumerate(firsts)}  # i - 1 = -1: the last range
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("key"), F.xxhash64(text).alias("tie"),
+                       F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 30)).alias("salt"), text.alias("text"))
+    ranges = shuffle_partitions(spark)
+    bucket = _range_of(_sample(rows.select("key", "tie", "salt"), ranges), ranges)("key", "tie", "salt").alias("bucket")
+    firsts = sorted((r["bucket"], r["f"]["key"], r["f"]["tie"]) for r in
+                    rows.select(bucket, "key", "tie").groupBy("bucket").agg(F.min(F.struct("key", "tie")).alias("f")).collect())
     if not firsts:
         return spark.createDataFrame([], OUT)
-    keyed = rows.withColumn("key", key)
-    members = keyed.withColumn("bucket", bucket_of("key")).withColumn("guest", F.lit(False))
-    to_host = F.create_map(*(F.lit(x) for pair in host.items() for x in pair))
-    guests = keyed.filter(F.col("key").isin(list(host))).withColumn("bucket", to_host[F.col("key")]).withColumn("guest", F.lit(True))
-    return (members.unionByName(guests).withColumn("tie", F.xxhash64("text"))
-            .repartitionById(len(edges) + 1, F.col("bucket")).sortWithinPartitions("bucket", "guest", "key", "tie")
-            .select("bucket", "guest", "doc_id", "text").mapInArrow(_pairs, OUT))
+    hosts = spark.createDataFrame([(key, tie, firsts[i - 1][0]) for i, (_, key, tie) in enumerate(firsts)], "key long, tie long, bucket int")  # i - 1 = -1: the last range
+    # A guest is one row of its key: a partial aggregate, however many there are.
+    guests = (rows.filter(F.struct("key", "tie").isin([F.struct(F.lit(key).cast("long"), F.lit(tie).cast("long")) for _, key, tie in firsts]))
+              .groupBy("key", "tie").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text")).join(hosts, ["key", "tie"]))
+    columns = ("bucket", "guest", "key", "tie", "doc_id", "text")
+    dealt = rows.select("*", bucket).withColumn("guest", F.lit(False)).select(*columns).unionByName(guests.withColumn("guest", F.lit(True)).select(*columns))
+    return (dealt.repartitionById(ranges, F.col("bucket")).sortWithinPartitions("bucket", "guest", "key", "tie")
+            .select("bucket", "doc_id", "text").mapInArrow(_pairs, OUT))

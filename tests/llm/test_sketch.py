@@ -1,5 +1,8 @@
 import hashlib
 
+import numpy as np
+from pyspark.sql import functions as F
+
 from leadforge.llm import sketch
 
 
@@ -49,3 +52,37 @@ def test_edge_tables(docs_of):
     assert len(one) == 1 and one[0]["near_next"] == 1.0
     odd = sketch.fingerprints(docs_of([(None, "no id"), (5, "same"), (5, "same"), (5, "other"), (None, None)])).collect()
     assert len(odd) == 5
+
+
+def test_many_at_once_equal_one_by_one():
+    rng = np.random.default_rng(7)
+    pool = [int(x) for x in rng.integers(0, 2**63, 3000)]
+    pairs = []
+    for n in (0, 1, 10, 30, 70, 200, 900):
+        for shared in (0, 0.5, 0.9, 1):
+            k = int(n * shared)
+            pairs.append((pool[:n], pool[:k] + pool[1500:1500 + n - k]))
+    a, b = ([np.array(x, np.uint64) for x in side] for side in zip(*pairs))
+    of_a, of_b = sketch.sketches(a), sketch.sketches(b)
+    assert of_a.texts() == [sketch.Sketch(x).text() for x, _ in pairs]
+    got = sketch.likenesses(a, b, of_a, of_b)
+    assert got.tolist() == [sketch.likeness(x, y, sketch.Sketch(x), sketch.Sketch(y)) for x, y in pairs]
+    assert got.tolist() == [len(set(x) & set(y)) / len(set(x) | set(y)) if x or y else 1.0 for x, y in pairs]
+
+
+def test_hot_ids_are_dealt_over_ranges(spark):
+    rows = spark.range(3000).selectExpr("IF(id < 1000, NULL, IF(id < 2000, 7, id)) AS doc_id", "IF(id < 1500, '', concat('p', id, '. q')) AS text")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    out = sketch.fingerprints(rows.coalesce(2))
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    got = out.collect()
+    spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert len(got) == 3000 and max(sizes) <= 1.5 * sorted(sizes)[len(sizes) // 2]
+    assert sum(r["doc_id"] is None for r in got) == 1000 and sum(r["near_next"] == 1.0 for r in got) >= 1498
+
+
+def test_long_text_of_many_paragraphs(docs_of):
+    long = "\n".join(f"paragraph {i}" for i in range(30_000))
+    got = {r["doc_id"]: r for r in sketch.fingerprints(docs_of([(1, long), (2, long + "\nmore"), (3, "short")])).collect()}
+    assert got[1]["near_next"] == 30_000 / 30_001 and got[2]["near_next"] == 0.0 and got[3]["near_next"] == 0.0
