@@ -11,10 +11,11 @@ of up to ``BLOCK_WORDS`` words of one language, and pieces never span blocks (a
 break takes a position of its own, so that words of two pieces never stand next
 to each other).  A merge join is thus local to a block.  What is shuffled are
 the *distinct* groups of a block with their counts, however often they occur in
-it, and the numbers of the frequent ones on their way back to the blocks.
-Groups are exact: a word is (language, word), a longer phrase is (the frequent
-phrase before its last word, that word), each known by a number that its
-table of frequent groups gave it.
+it.  Counts are exact: a word is known by the number that the table of frequent
+words gave it, a longer phrase by its words' numbers.  The semi-join of words is
+a join; that of phrases tests a Bloom filter of the frequent ones, of
+``BLOOM_BITS`` bits whatever their number, so that R_k holds some infrequent
+groups too: what they are extended to is counted, and dropped for its count.
 
 A phrase of 2 to ``LONGEST`` words that occurs ``LEAST`` times is a candidate;
 its score is floor(2000000 a / (l + r)) for its weakest cut into a first part
@@ -39,13 +40,16 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import slices, stored
+from leadforge.functions.bloom import bloom, maybe_in
+
+from .common import discard, slices, stored
 
 LEAST, LONGEST, FIRST = 30, 4, 2000
 #: A part that holds this share (percent) of a phrase's occurrences absorbs it.
 ABSORBED = 80
 SCALE = 2_000_000
-BLOCK_WORDS, STEP_BYTES = 1 << 22, 1 << 20
+BLOCK_WORDS, STEP_BYTES = 1 << 21, 1 << 20
+BLOOM_BITS = 1 << 26
 
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\n\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 10 + b" ")
 _BREAK = re.compile(rb"[.,;:!?\n\x0b\x0c\r]")
@@ -54,10 +58,9 @@ BLOCKS = "block long, lang string, n_words long, words array<string>, counts arr
 _BLOCKS = pa.schema([("block", pa.int64()), ("lang", pa.string()), ("n_words", pa.int64()), ("words", pa.list_(pa.string())),
                      ("counts", pa.list_(pa.int64())), ("pos", pa.binary()), ("code", pa.binary())])
 #: ``pos1, code1, ids1``: R_1 of the block and the numbers of its words; ``pos,
-#: code``: the next relation; its groups are ``prev`` extended by ``next``.
-RELATION = "block long, pos1 binary, code1 binary, ids1 binary, pos binary, code binary, prev array<long>, next array<long>, counts array<long>"
-_RELATION = pa.schema([("block", pa.int64()), *((c, pa.binary()) for c in ("pos1", "code1", "ids1", "pos", "code")),
-                       *((c, pa.list_(pa.int64())) for c in ("prev", "next", "counts"))])
+#: code``: the occurrences of R_k; ``groups``: the codes of each group's words.
+RELATION = "block long, k int, pos1 binary, code1 binary, ids1 binary, pos binary, code binary, groups binary"
+_RELATION = pa.schema([("block", pa.int64()), ("k", pa.int32()), *((c, pa.binary()) for c in ("pos1", "code1", "ids1", "pos", "code", "groups"))])
 
 
 class _Codes(dict):
@@ -135,89 +138,131 @@ def _block_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from flush()
 
 
-def _frequent(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of a block's row, the semi-join with its frequent groups ``known``:
-    positions and codes (renumbered) that are left, and the groups' numbers."""
-    pos, code = _positions(b.column("pos")[0].as_py()), np.frombuffer(b.column("code")[0].as_py(), "<i4")
-    known = b.column("known").flatten()
-    codes, ids = known.field("code").to_numpy(), known.field("id").to_numpy()
-    order = np.argsort(codes)
-    new = np.full(int(max(code.max(initial=-1), codes.max(initial=-1))) + 1, -1, np.int32)
-    new[codes[order]] = np.arange(len(codes), dtype=np.int32)
-    code = new[code]
-    return pos[code >= 0], code[code >= 0], ids[order]
-
-
-def _joined(pos: np.ndarray, code: np.ndarray, ids: np.ndarray, k: int, pos1: np.ndarray, code1: np.ndarray, ids1: np.ndarray) -> dict:
-    """The merge join of R_k and R_1 on the position behind the phrase."""
-    at = np.searchsorted(pos1, pos + k)
-    hit = at < len(pos1)
-    hit[hit] = pos1[at[hit]] == pos[hit] + k
-    group = code[hit].astype(np.int64) * max(1, len(ids1)) + code1[at[hit]]
-    groups, new = np.unique(group, return_inverse=True)
-    return {"pos": _steps(pos[hit]), "code": new.astype("<i4").tobytes(), "prev": ids[groups // max(1, len(ids1))], "next": ids1[groups % max(1, len(ids1))],
-            "counts": np.bincount(new, minlength=len(groups))}
-
-
-def _second(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks with their frequent words -> R_1 and the pairs."""
+def _first(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks with their frequent words ``known`` -> R_1."""
+    for b in slices(batches, 1):
+        if b.num_rows:
+            pos, code = _positions(b.column("pos")[0].as_py()), np.frombuffer(b.column("code")[0].as_py(), "<i4")
+            known = b.column("known").flatten()
+            codes, ids = known.field("code").to_numpy(), known.field("id").to_numpy()
+            new = np.full(int(max(code.max(initial=-1), codes.max(initial=-1))) + 1, -1, np.int32)
+            new[codes] = np.arange(len(codes), dtype=np.int32)
+            code = new[code]
+            row = {"block": b.column("block")[0].as_py(), "k": 1, "pos1": _steps(pos[code >= 0]), "code1": code[code >= 0].astype("<i4").tobytes(),
+                   "ids1": ids.astype("<i8").tobytes()}
+            yield pa.RecordBatch.from_pylist([row], schema=_RELATION)
+
+
+def mix(words: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the rows (phrases, as numbers of words)."""
+    x = np.zeros(len(words), np.uint64)
+    for column in words.T:
+        x = (x ^ column.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        x ^= x >> np.uint64(29)
+        x = x * np.uint64(0xBF58476D1CE4E5B9)
+        x ^= x >> np.uint64(32)
+    return x
+
+
+def _bits(words: np.ndarray, bits: int) -> np.ndarray:
+    h = mix(words)
+    return np.stack([h & np.uint64(bits - 1), (h >> np.uint64(32)) & np.uint64(bits - 1)])
+
+
+class _Relation:
+    """R_k of a block's row, merge-joined with R_1 on the position behind."""
+
+    def __init__(self, b: pa.RecordBatch):
+        get = lambda c: b.column(c)[0].as_py()
+        self.own = {c: get(c) for c in ("block", "pos1", "code1", "ids1")}
+        self.k = get("k")
+        pos1, code1, self.ids = _positions(self.own["pos1"]), np.frombuffer(self.own["code1"], "<i4"), np.frombuffer(self.own["ids1"], "<i8")
+        many = max(1, len(self.ids))
+        if self.k == 1:
+            pos, code, groups = pos1, code1, np.arange(len(self.ids), dtype=np.int32).reshape(-1, 1)
+        else:
+            pos, code, groups = _positions(get("pos")), np.frombuffer(get("code"), "<i4"), np.frombuffer(get("groups"), "<i4").reshape(-1, self.k)
+        at = np.searchsorted(pos1, pos + self.k)
+        hit = at < len(pos1)
+        hit[hit] = pos1[at[hit]] == pos[hit] + self.k
+        self.pos = pos[hit]
+        found, self.code = np.unique(code[hit].astype(np.int64) * many + code1[at[hit]], return_inverse=True)
+        self.groups = np.column_stack([groups[found // many], (found % many).astype(np.int32)])
+
+    def counted(self) -> pa.RecordBatch:
+        """The distinct groups, by their words' numbers, and their counts."""
+        words = self.ids[self.groups]
+        cols = [*words.T, np.bincount(self.code, minlength=len(words))]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=[*(f"w{i}" for i in range(1, self.k + 2)), "n"])
+
+    def semi_joined(self, held: np.ndarray) -> pa.RecordBatch:
+        """R_(k+1): what the Bloom filter of the frequent groups lets pass."""
+        able = np.ones(len(self.groups), bool)
+        for p in _bits(self.ids[self.groups], len(held) * 64):
+            able &= (held[p >> np.uint64(6)] >> (p & np.uint64(63))) & np.uint64(1) == 1
+        new = np.cumsum(able, dtype=np.int32) - 1
+        keep = able[self.code]
+        row = {"k": self.k + 1, "pos": _steps(self.pos[keep]), "code": new[self.code[keep]].astype("<i4").tobytes(), "groups": self.groups[able].astype("<i4").tobytes()}
+        return pa.RecordBatch.from_pylist([self.own | row], schema=_RELATION)
+
+
+def _counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in slices(batches, 1):
-        if not b.num_rows:
-            continue
-        pos, code, ids = _frequent(b)
-        own = {"block": b.column("block")[0].as_py(), "pos1": _steps(pos), "code1": code.astype("<i4").tobytes(), "ids1": ids.astype("<i8").tobytes()}
-        yield pa.RecordBatch.from_pylist([own | _joined(pos, code, ids, 1, pos, code, ids)], schema=_RELATION)
+        if b.num_rows:
+            yield _Relation(b).counted()
 
 
-def _longer(k: int):
-    """R_k with its frequent groups -> the phrases of k + 1 words."""
+def _filter(frequent: DataFrame, words: list[str]) -> np.ndarray:
+    """The Bloom filter of the frequent groups, as 64-bit words."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, 1):
-            if not b.num_rows:
-                continue
-            own = {c: b.column(c)[0].as_py() for c in ("block", "pos1", "code1", "ids1")}
-            one = _positions(own["pos1"]), np.frombuffer(own["code1"], "<i4"), np.frombuffer(own["ids1"], "<i8")
-            pos, code, ids = _frequent(b)
-            yield pa.RecordBatch.from_pylist([own | _joined(pos, code, ids, k, *one)], schema=_RELATION)
-
-    return run
-
-
-def _counted(entries: DataFrame, key: list[str], least: int, name: str) -> DataFrame:
-    """The frequent groups with ``f`` and a number."""
-    return stored(entries.groupBy(*key).agg(F.sum("n").alias("f")).filter(F.col("f") >= least).withColumn("id", F.monotonically_increasing_id()), name)
-
+        for b in batches:
+            p = _bits(np.column_stack([b.column(c).to_numpy() for c in words]), BLOOM_BITS).ravel()
+            yield pa.RecordBatch.from_arrays([pa.array((p >> np.uint64(6)).astype(np.int64)), pa.array((np.uint64(1) << (p & np.uint64(63))).view(np.int64))], names=["at", "v"])
 
-def _with_frequent(blocks: DataFrame, entries: DataFrame, frequent: DataFrame, key: list[str]) -> DataFrame:
-    """The blocks that hold frequent groups, with ``known``: those groups."""
-    known = (entries.join(frequent.select(*key, "id"), key).groupBy("block").agg(F.collect_list(F.struct("code", "id")).alias("known")))
-    return blocks.join(known, "block")
+    rows = frequent.select(*words).mapInArrow(run, "at long, v long").groupBy("at").agg(F.bit_or("v").alias("v")).toArrow()  # BLOOM_BITS / 64 rows at most
+    held = np.zeros(BLOOM_BITS >> 6, np.uint64)
+    held[rows.column("at").to_numpy()] = rows.column("v").to_numpy().view(np.uint64)
+    return held
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, text_col: str = "text", lang_col: str = "lang") -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(phrases: ids, f)`` of 1 to ``longest`` words, ``(words: id, lang,
     word, f)`` and ``(totals: lang, n)``."""
+    spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("string").alias("text"))
     blocks = stored(texts.mapInArrow(_block_rows, BLOCKS), "phrase-words")
+    totals = stored(blocks.groupBy("lang").agg(F.sum("n_words").alias("n")), "phrase-totals")
     entries = (blocks.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("code", "e"))
                .select("block", "lang", "code", F.col("e.words").alias("word"), F.col("e.counts").alias("n")))
-    totals = blocks.groupBy("lang").agg(F.sum("n_words").alias("n"))
-    words = _counted(entries, ["lang", "word"], least, "phrases-1")
-    relation = stored(_with_frequent(blocks.select("block", "pos", "code"), entries, words, ["lang", "word"]).mapInArrow(_second, RELATION), "relation-2")
-    known = [words.select(F.array("id").alias("ids"), "f", "id")]
+    words = stored(entries.groupBy("lang", "word").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
+                   .withColumn("id", F.monotonically_increasing_id()), "phrase-frequent")
+    # The semi-join: most of a block's words are infrequent, and stop here.
+    key = F.xxhash64("lang", "word")
+    known = (entries.filter(maybe_in(bloom(words, key), key)).join(words.select("lang", "word", "id"), ["lang", "word"])
+             .groupBy("block").agg(F.collect_list(F.struct("code", "id")).alias("known")))
+    relation = stored(blocks.select("block", "pos", "code").join(known, "block").mapInArrow(_first, RELATION), "relation-1")
+    discard(blocks)
+    found = [words.select(F.array("id").alias("ids"), "f")]
     for k in range(2, longest + 1):
-        entries = (relation.select("block", F.posexplode(F.arrays_zip("prev", "next", "counts")).alias("code", "e"))
-                   .select("block", "code", "e.prev", "e.next", F.col("e.counts").alias("n")))
-        groups = _counted(entries, ["prev", "next"], least, f"phrases-{k}")
-        known.append(stored(groups.join(known[-1].select(F.col("id").alias("prev"), "ids"), "prev")
-                            .select(F.concat("ids", F.array("next")).alias("ids"), "f", "id"), f"named-{k}"))
+        columns = [f"w{i}" for i in range(1, k + 1)]
+        schema = ", ".join(f"{c} long" for c in [*columns, "n"])
+        frequent = stored(relation.mapInArrow(_counts, schema).groupBy(*columns).agg(F.sum("n").alias("f")).filter(F.col("f") >= least), f"phrases-{k}")
+        found.append(frequent.select(F.array(*columns).alias("ids"), "f"))
         if k < longest:
-            blocks = relation.select("block", "pos1", "code1", "ids1", "pos", "code")
-            relation = stored(_with_frequent(blocks, entries, groups, ["prev", "next"]).mapInArrow(_longer(k), RELATION), f"relation-{k + 1}")
-    phrases = known[0].select("ids", "f")
-    for p in known[1:]:
-        phrases = phrases.unionByName(p.select("ids", "f"))
+            held = spark.sparkContext.broadcast(_filter(frequent, columns))
+
+            def join(batches: Iterable[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+                for b in slices(batches, 1):
+                    if b.num_rows:
+                        yield _Relation(b).semi_joined(held.value)
+
+            old, relation = relation, stored(relation.mapInArrow(join, RELATION), f"relation-{k}")
+            discard(old)
+    discard(relation)
+    phrases = found[0]
+    for p in found[1:]:
+        phrases = phrases.unionByName(p)
     return stored(phrases, "phrases"), words, totals
 
 
