@@ -90,7 +90,7 @@ def pieces(docs: DataFrame, vocab: str, end_id: int = 0, capacity: int = CAPACIT
         enc, end, part, seen = piece_encoder(vocab), end_id.to_bytes(4, "little"), TaskContext.get().partitionId(), Counter()
         for batch in slices(batches):
             rows = []
-            for doc_id, ids in zip(batch.column(0).to_pylist(), enc.encode_batch([t or "" for t in batch.column(1).to_pylist()])):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), enc.encode_column(batch.column(1))):
                 ids += end
                 for k, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
                     rows.append((doc_id, k, start, length, zlib.crc32(ids[4 * start:4 * (start + length)]), part, seen[length]))

@@ -26,7 +26,7 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes the token files of ``documents`` and digests what it reads back."""
     path = f"{shared_dir(spark)}/token-files-{uuid.uuid4().hex}"
     token_files.write_token_files(table(spark, sf_dir, "documents"), path, default_vocab(), END_ID)
-    return token_files.digests(token_files.read_token_files(spark, path))
+    return token_files.read_digests(spark, path)
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

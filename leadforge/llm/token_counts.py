@@ -57,7 +57,7 @@ def flat_files(docs: DataFrame, vocab: str, end_id: int, block_ids: int = BLOCK_
 
         for batch in slices(batches):
             names, blocks = batch.column(0).to_pylist(), []
-            for ids in enc.encode_batch([t or "" for t in batch.column(1).to_pylist()]):
+            for ids in enc.encode_column(batch.column(1)):
                 rest += np.frombuffer(ids, "<u4").astype(f"<u{width}").tobytes() + end
                 while len(rest) >= size:
                     blocks.append((block, bytes(rest[:size])))

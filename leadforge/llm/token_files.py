@@ -87,9 +87,8 @@ def compressed_documents(docs: DataFrame, dictionary: bytes, vocab: str, end_id:
         enc, pack = piece_encoder(vocab), _codec(dictionary, True)
         end = end_id.to_bytes(4, "little")
         for batch in slices(batches):
-            texts = [t or "" for t in batch.column(1).to_pylist()]
             n_ids, widths, frames, ties = [], [], [], []
-            for raw in enc.encode_batch(texts):
+            for raw in enc.encode_column(batch.column(1)):
                 width, data = serialise(np.frombuffer(raw + end, "<u4"))
                 frame = pack.compress(data)
                 n_ids.append(len(raw) // 4 + 1)
@@ -160,8 +159,10 @@ def _dictionary(spark: SparkSession, path: str) -> dict[str, bytes]:
     return {r["dict_hash"]: bytes(r["dictionary"]) for r in spark.read.parquet(f"{path}/dictionary").collect()}
 
 
-def _decode(dictionaries: dict[str, bytes], wanted: set[int] | None = None):
-    """Blocks -> documents; ``wanted``: decompress only these ids' frames."""
+def _decode(dictionaries: dict[str, bytes], wanted: set[int] | None = None, digest: bool = False):
+    """Blocks -> documents; ``wanted``: decompress only these ids' frames;
+    ``digest``: the ids' crc32 in their place."""
+    last = pa.int64() if digest else pa.binary()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codecs = {}
@@ -179,11 +180,11 @@ def _decode(dictionaries: dict[str, bytes], wanted: set[int] | None = None):
                         ids = np.frombuffer(unpack.decompress(body[at:to]), f"<u{w}").astype("<u4")
                         if len(ids) != n:
                             raise ValueError(f"block {b['shard']}/{b['block']}: {len(ids)} ids, index says {n}")
-                        for col, x in zip(out, (i, start, n, ids.tobytes())):
+                        for col, x in zip(out, (i, start, n, zlib.crc32(ids.tobytes()) if digest else ids.tobytes())):
                             col.append(x)
                     start += n
                 yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()),
-                                                  pa.array(out[3], pa.binary())], names=["doc_id", "start", "n_tokens", "ids"])
+                                                  pa.array(out[3], last)], names=["doc_id", "start", "n_tokens", "ids_crc32" if digest else "ids"])
 
     return run
 
@@ -206,23 +207,17 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_documents(spark: SparkSession, path: str, doc_ids: Sequence[int]) -> DataFrame:
-    """Short-document access: only the blocks that can hold these ids are
-    read, only their frames decompressed."""
+    """Short-document access: only the blocks that can hold these ids (a list
+    that the driver holds) are read, only their frames decompressed."""
     ids = sorted(set(doc_ids))
-    near = F.lit(False)
-    for i in ids:
-        near = near | ((F.col("first_id") <= i) & (F.col("last_id") >= i))
+    near = F.exists(F.lit(ids).cast("array<long>"), lambda i: (F.col("first_id") <= i) & (F.col("last_id") >= i)) if ids else F.lit(False)
+    if ids:
+        near = near & (F.col("first_id") <= ids[-1]) & (F.col("last_id") >= ids[0])
     return _with_starts(spark, path).filter(near).mapInArrow(_decode(_dictionary(spark, path), set(ids)),
                                                              "doc_id long, start long, n_tokens long, ids binary")
 
 
-def digests(documents: DataFrame) -> DataFrame:
-    """``doc_id, start, n_tokens, ids_crc32`` from decoded documents."""
-
-    def crc(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sums = [zlib.crc32(x) for x in b.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("start"), b.column("n_tokens"), pa.array(sums, pa.int64())],
-                                             names=["doc_id", "start", "n_tokens", "ids_crc32"])
-
-    return documents.mapInArrow(crc, "doc_id long, start long, n_tokens long, ids_crc32 long")
+def read_digests(spark: SparkSession, path: str) -> DataFrame:
+    """``doc_id, start, n_tokens, ids_crc32`` of every document read back; the
+    ids do not leave the worker that decodes them."""
+    return _with_starts(spark, path).mapInArrow(_decode(_dictionary(spark, path), digest=True), "doc_id long, start long, n_tokens long, ids_crc32 long")

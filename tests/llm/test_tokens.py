@@ -3,6 +3,7 @@ import uuid
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -26,9 +27,15 @@ def test_ids_equal_the_library(special):
     rng = random.Random(3)
     alphabet = "ab'sé \n\t.,12ß漢 \x1cÉ" + "<|endoftext|>"
     texts = [t or "" for t in TEXTS] + ["".join(rng.choice(alphabet) for _ in range(rng.randrange(60))) for _ in range(400)]
+    plain = ["Ab", "cdé", "ïx", "7", "'s", " ", " ", " ", ".", ",", "\n", "(", "\t", "×"]
+    texts += ["".join(rng.choice(plain) for _ in range(rng.randrange(40))) for _ in range(1500)]
     enc = PieceEncoder(default_vocab(), special, entries=50)
-    got = [np.frombuffer(b, "<u4").tolist() for b in enc.encode_batch(texts, chunk=7)]
-    assert got == library_ids(texts, special)
+    want = library_ids(texts, special)
+    assert [np.frombuffer(b, "<u4").tolist() for b in enc.encode_batch(texts)] == want
+    column = pa.array(["x. y", *(t or None for t in texts), "z"]).slice(1, len(texts))
+    for rows, size in ((7, 1 << 20), (1000, 100), (1, 1)):
+        assert [np.frombuffer(b, "<u4").tolist() for b in enc.encode_column(column, rows, size)] == want
+    assert enc.encode_batch([]) == [] and enc.encode_batch(["", ""]) == [b"", b""]
 
 
 def test_token_files(spark, docs_of):
@@ -49,7 +56,7 @@ def test_token_files(spark, docs_of):
             at += len(ids)
     some = token_files.read_documents(spark, path, [20, 30]).collect()
     assert {r["doc_id"] for r in some} == {20, 30}
-    one = token_files.digests(token_files.read_token_files(spark, path)).filter("doc_id = 20").first()
+    one = token_files.read_digests(spark, path).filter("doc_id = 20").first()
     assert one["ids_crc32"] == zlib.crc32(np.array(want[20][0], "<u4").tobytes())
 
 
