@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import slices, stored
 from .graph import components
 
 WORDS, PERCENT = 5, 80  # shingle size, least similarity
@@ -55,32 +55,82 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-class _Words(dict):
-    """Hashes of words, kept by the worker."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 250_000:
-            self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word)
-        return h
+_LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
+_WHITE = np.isin(np.arange(256), [32, *range(9, 14)])
+#: Masks of the first n bytes of eight; longer words are hashed by xxhash.
+_MASK = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+_LONG_WORD = 256
+
+
+def _word_hashes(low: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words, eight bytes of all of them at a time."""
+    eights = np.ndarray((len(low) - 7,), "<u8", low, strides=(1,))  # low ends in eight zeros
+    h = mix(lengths.astype(np.uint64) + np.uint64(1))
+    at, todo = 0, np.flatnonzero(lengths <= _LONG_WORD)
+    while len(todo):
+        h[todo] = mix(h[todo] ^ (eights[starts[todo] + at] & _MASK[np.minimum(lengths[todo] - at, 8)])) + np.uint64(at)
+        at += 8
+        todo = todo[lengths[todo] > at]
+    for i in np.flatnonzero(lengths > _LONG_WORD).tolist():
+        h[i] = xxhash.xxh64_intdigest(low[starts[i]:starts[i] + lengths[i]].tobytes())
+    return h
+
+
+def shingle_sets(texts: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct shingle hashes of each text, one text after the
+    other, and where each begins (and the last ends).  Lower-casing and cutting
+    the bytes touches A-Z and the six white-space bytes alone."""
+    texts = (texts.fill_null("") if texts.null_count else texts).cast(pa.string())
+    n = len(texts)
+    if not n:
+        return np.empty(0, np.uint64), np.zeros(1, np.int64)
+    _, offsets, data = texts.buffers()
+    bounds = np.frombuffer(offsets, np.int32)[texts.offset:texts.offset + n + 1].astype(np.int64)
+    low = np.concatenate([_LOWER[np.frombuffer(data or b"", np.uint8)[bounds[0]:bounds[-1]]], np.zeros(8, np.uint8)])
+    bounds -= bounds[0]
+    size = int(bounds[-1])
+    solid = ~_WHITE[low[:size]]
+    first, last = solid.copy(), solid.copy()
+    first[1:] &= ~solid[:-1]
+    last[:-1] &= ~solid[1:]
+    edges = bounds[:-1][(bounds[:-1] < size) & (np.diff(bounds) > 0)]  # texts begin words, and end them
+    first[edges] = solid[edges]
+    ends = bounds[1:][np.diff(bounds) > 0] - 1
+    last[ends] = solid[ends]
+    starts = np.flatnonzero(first)
+    h = _word_hashes(low, starts, np.flatnonzero(last) + 1 - starts)
+    at = np.searchsorted(starts, bounds)  # each text's first word
+    many = np.diff(at)
+    factors = mix(np.arange(1, words + 1, dtype=np.uint64)) | np.uint64(1)
+    run = max(0, len(h) - words + 1)
+    sums = np.zeros(run, np.uint64)
+    for j in range(words):
+        sums += h[j:run + j] * factors[j]
+    sums = mix(sums)
+    out, lengths = [], np.zeros(n, np.int64)
+    for i, (a, k) in enumerate(zip(at.tolist(), many.tolist())):
+        if k >= words:
+            s = sums[a:a + k - words + 1]
+            s.sort()
+            s = s[np.append(True, s[1:] != s[:-1])]
+        elif k:  # fewer words: the whole sequence
+            s = mix((h[a:a + k] * factors[:k]).sum(keepdims=True) ^ np.uint64(0xA5A5A5A5 * (k + words)))
+        else:
+            continue
+        out.append(s)
+        lengths[i] = len(s)
+    return (np.concatenate(out) if out else np.empty(0, np.uint64)), np.append(0, np.cumsum(lengths))
 
 
-_WORDS = _Words()
+def shingles(text: str | None, words: int) -> np.ndarray:
+    return shingle_sets(pa.array([text], pa.string()), words)[0]
 
 
-def shingles(text: str | None, words: int) -> np.ndarray:
-    """The sorted distinct shingle hashes.  Lower-casing and cutting the
-    bytes touches A-Z and the six white-space bytes alone."""
-    cut = (text or "").encode().lower().split()
-    if len(cut) < words:
-        return np.array([xxhash.xxh64_intdigest(b" ".join(cut), seed=words)] if cut else [], dtype=np.uint64)
-    h = np.fromiter(map(_WORDS.__getitem__, cut), np.uint64, len(cut))
-    size = len(cut) - words + 1
-    factors = mix(np.arange(1, words + 1, dtype=np.uint64)) | np.uint64(1)
-    out = np.zeros(size, np.uint64)
-    for j in range(words):
-        out += h[j:size + j] * factors[j]
-    return np.unique(mix(out))
+def _each(column: pa.Array, words: int) -> Iterator[np.ndarray]:
+    """The sets of the texts, in turn."""
+    sets, at = shingle_sets(column, words)
+    for a, b in zip(at.tolist(), at[1:].tolist()):
+        yield sets[a:b]
 
 
 def node_of(s: np.ndarray) -> tuple[int, int]:
@@ -95,12 +145,16 @@ class Orders:
     def __init__(self, percent: int, keys: np.ndarray, counts: np.ndarray):
         self.percent, self.keys = percent, keys
         self.grade = np.minimum(63, np.ceil(np.log2(np.maximum(counts, 1)))).astype(np.uint64)
+        self.able = np.zeros(1 << 22, bool)  # by low bits: most shingles need no search
+        self.able[keys & np.uint64(len(self.able) - 1)] = True
 
     def _grades(self, s: np.ndarray) -> np.ndarray:
-        if not len(self.keys):
-            return np.zeros(len(s), np.uint64)
-        at = np.minimum(np.searchsorted(self.keys, s), len(self.keys) - 1)
-        return np.where(self.keys[at] == s, self.grade[at], np.uint64(0))
+        out = np.zeros(len(s), np.uint64)
+        some = np.flatnonzero(self.able[s & np.uint64(len(self.able) - 1)])
+        if len(some):
+            at = np.minimum(np.searchsorted(self.keys, s[some]), len(self.keys) - 1)
+            out[some] = np.where(self.keys[at] == s[some], self.grade[at], np.uint64(0))
+        return out
 
     def prefixes(self, s: np.ndarray, *orders: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """(the set's prefix, which of it is in the table) under each order."""
@@ -135,12 +189,11 @@ def frequent(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
             often = counts >= COUNTED_LEAST
             return pa.RecordBatch.from_arrays([pa.array(keys[often].view(np.int64)), pa.array(counts[often].astype(np.int64))], names=["shingle", "n"])
 
-        for b in batches:
-            for text in b.column("text").to_pylist():
-                held.append(shingles(text, words))
-                size += len(held[-1])
-                if size >= COUNTED:
-                    yield flush()
+        for b in slices(batches, 500):
+            held.append(shingle_sets(b.column("text"), words)[0])
+            size += len(held[-1])
+            if size >= COUNTED:
+                yield flush()
         yield flush()
 
     rows = (docs.select("text").mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
@@ -154,12 +207,10 @@ def _per_document(docs: DataFrame, words: int, orders, row: Callable, schema: st
     """Rows that ``row(doc_id, set, orders)`` makes of every document."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                b = whole.slice(at, 1000)
-                rows = [r for i, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()) for r in row(i, shingles(t, words), orders.value)]
-                cols = list(zip(*rows)) or [[]] * len(arrow)
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, arrow)], schema=arrow)
+        for b in slices(batches, 500):
+            rows = [r for i, s in zip(b.column("doc_id").to_pylist(), _each(b.column("text"), words)) for r in row(i, s, orders.value)]
+            cols = list(zip(*rows)) or [[]] * len(arrow)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, arrow)], schema=arrow)
 
     return docs.mapInArrow(run, schema)
 
