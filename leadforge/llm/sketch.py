@@ -53,26 +53,30 @@ def paragraphs(text: str) -> list[str]:
     return [p for p in map(str.strip, _END.split(text)) if p]
 
 
+def _again(first: int, n: int) -> int:
+    """The digest of a paragraph's nth occurrence, from that of the first (the
+    hash's own seeds give short texts of different seeds equal digests)."""
+    x = (first + n * 0x9E3779B97F4A7C15) & _MASK
+    x = (x ^ (x >> 33)) * 0xFF51AFD7ED558CCD & _MASK
+    x = (x ^ (x >> 33)) * 0xC4CEB9FE1A85EC53 & _MASK
+    return x ^ (x >> 33)
+
+
 def digests(text: str, known: dict[str, int] | None = None) -> list[int]:
     """64-bit digests of the paragraphs; the second "x" differs from the first.
     ``known`` keeps digests of paragraphs (first occurrence) between calls."""
     known = {} if known is None else known
     found = paragraphs(text)
+    for p in found:
+        if p not in known:
+            known[p] = xxhash.xxh3_64_intdigest(p.encode())
     if len(set(found)) == len(found):
-        for p in found:
-            if p not in known:
-                known[p] = xxhash.xxh3_64_intdigest(p.encode(), seed=1)
         return [known[p] for p in found]
     seen: Counter = Counter()
     out = []
     for p in found:
         seen[p] = n = seen[p] + 1
-        key = known.get(p) if n == 1 else None
-        if key is None:
-            key = xxhash.xxh3_64_intdigest(p.encode(), seed=n)
-            if n == 1:
-                known[p] = key
-        out.append(key)
+        out.append(known[p] if n == 1 else _again(known[p], n))
     return out
 
 
@@ -172,16 +176,22 @@ class Sketch:
         return base64.b64encode(struct.pack(f"<{self.cells}i{self.cells}Q{self.cells}I", *self.count, *self.key, *self.check)).decode()
 
 
+def _most(n, m):
+    """Cells beyond which no sketch helps: only a digest that stands twice in a
+    list still gets stuck there, and the lists are compared themselves."""
+    return 64 * (n + m) + 4 * CELLS
+
+
 def differing(a: list[int], b: list[int], sketch_a: Sketch, sketch_b: Sketch) -> tuple[set[int], set[int]]:
     """The digests in which two versions differ, from their sketches, retried
     larger until the peeling succeeds: at first with room for all digests of
     both, but four times as large at most, then twice as large each time."""
     cells = sketch_a.cells
     room = 3 * ((len(a) + len(b)) // 2 + 4)
-    while (found := sketch_a.minus(sketch_b).peel()) is None:
+    while cells <= _most(len(a), len(b)) and (found := sketch_a.minus(sketch_b).peel()) is None:
         cells = min(4 * cells, max(cells + 3, room)) if cells == CELLS else 2 * cells
         sketch_a, sketch_b = Sketch(a, cells), Sketch(b, cells)
-    return found
+    return found if found is not None else (set(a) - set(b), set(b) - set(a))
 
 
 def likeness(a: list[int], b: list[int], sketch_a: Sketch, sketch_b: Sketch) -> float:
@@ -274,6 +284,11 @@ def likenesses(a: list[np.ndarray], b: list[np.ndarray], of_a: Bulk, of_b: Bulk)
     here, there, stuck = minus.peel()
     cells, todo = np.full(len(a), CELLS), np.flatnonzero(stuck)
     while len(todo):
+        for i in todo[cells[todo] > _most(n[todo], m[todo])]:
+            here[i], there[i] = (len(set(x[i].tolist()) - set(y[i].tolist())) for x, y in ((a, b), (b, a)))
+        todo = todo[cells[todo] <= _most(n[todo], m[todo])]
+        if not len(todo):
+            break
         room = 3 * ((n[todo] + m[todo]) // 2 + 4)
         cells[todo] = np.where(cells[todo] == CELLS, np.minimum(4 * CELLS, np.maximum(CELLS + 3, room)), 2 * cells[todo])
         larger = Bulk(cells[todo])

@@ -86,3 +86,16 @@ def test_long_text_of_many_paragraphs(docs_of):
     long = "\n".join(f"paragraph {i}" for i in range(30_000))
     got = {r["doc_id"]: r for r in sketch.fingerprints(docs_of([(1, long), (2, long + "\nmore"), (3, "short")])).collect()}
     assert got[1]["near_next"] == 30_000 / 30_001 and got[2]["near_next"] == 0.0 and got[3]["near_next"] == 0.0
+
+
+def test_short_paragraphs_that_repeat_often_have_digests_of_their_own():
+    words = [a + b + "!!" for a in ("", "A", "E", "S") for b in "ABCDEFGH"]
+    text = " ".join(w for w in words for _ in range(90))
+    assert len(set(sketch.digests(text))) == len(sketch.paragraphs(text)) == 90 * len(words)
+
+
+def test_a_digest_that_stands_twice_ends_the_search():
+    a, b = [5, 5, 7, 9], [7, 11]
+    assert sketch.differing(a, b, sketch.Sketch(a), sketch.Sketch(b)) == ({5, 9}, {11})
+    x, y = ([np.array(k, np.uint64)] for k in (a, b))
+    assert sketch.likenesses(x, y, sketch.sketches(x), sketch.sketches(y)).tolist() == [(4 - 2) / (4 + 1)]
