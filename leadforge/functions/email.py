@@ -26,15 +26,23 @@ def is_valid_format(email: Column) -> Column:
 
 
 def is_business(email: Column, custom_domains: Column | None = None,
-                personal: list[str] | None = None) -> Column:
+                personal: list[str] | None = None, match: str = "exact") -> Column:
     """Domain equals a custom entry -> True; else not a personal domain.
 
     ``custom_domains`` is an ``array<string>`` column (e.g. the sector's
-    keyword list); NULL means empty.
+    keyword list); NULL means empty.  ``match="contains"`` takes its entries as
+    keywords: a domain that contains one is accepted (empty ones match nothing).
     """
+    if match not in ("exact", "contains"):
+        raise ValueError(f"match is exact or contains, not {match!r}")
     personal = params.PERSONAL_DOMAINS if personal is None else personal
     dom = email_domain(email)
-    custom = F.coalesce(F.array_contains(custom_domains, dom), F.lit(False)) if custom_domains is not None else F.lit(False)
+    if custom_domains is None:
+        custom = F.lit(False)
+    elif match == "exact":
+        custom = F.coalesce(F.array_contains(custom_domains, dom), F.lit(False))
+    else:
+        custom = F.coalesce(F.exists(custom_domains, lambda k: F.coalesce((k != F.lit("")) & F.contains(dom, F.lower(k)), F.lit(False))), F.lit(False))
     return F.when(~email.contains("@"), F.lit(False)).when(custom, F.lit(True)).otherwise(
         F.coalesce(~F.array_contains(str_array(personal), dom), F.lit(True))
     )
@@ -46,7 +54,7 @@ def spam_hit(email: Column, spam: list[str] | None = None) -> Column:
     return first_contained(email, spam)
 
 
-def classify_email(raw: Column, custom_domains: Column | None = None, spam: list[str] | None = None) -> Column:
+def classify_email(raw: Column, custom_domains: Column | None = None, spam: list[str] | None = None, match: str = "exact") -> Column:
     """E7-E10 with the reason kept: ``struct(email, reason)``.
 
     ``email`` is the cleaned address when every check passes, else NULL;
@@ -59,12 +67,12 @@ def classify_email(raw: Column, custom_domains: Column | None = None, spam: list
         F.when(raw.isNull() | (raw == F.lit("")), F.lit("empty"))
         .when(~cleaned.rlike(params.EMAIL_STRICT_PATTERN), F.lit("format"))
         .when(~is_valid_format(cleaned), F.lit("tld"))
-        .when(~is_business(cleaned, custom_domains), F.lit("personal"))
+        .when(~is_business(cleaned, custom_domains, match=match), F.lit("personal"))
         .when(any_contains(cleaned, params.SPAM_PATTERNS if spam is None else spam), F.lit("spam"))
     )
     return F.struct(F.when(reason.isNull(), cleaned).alias("email"), reason.alias("reason"))
 
 
-def clean_email(raw: Column, custom_domains: Column | None = None, spam: list[str] | None = None) -> Column:
+def clean_email(raw: Column, custom_domains: Column | None = None, spam: list[str] | None = None, match: str = "exact") -> Column:
     """Cleaned address or NULL."""
-    return classify_email(raw, custom_domains, spam)["email"]
+    return classify_email(raw, custom_domains, spam, match)["email"]

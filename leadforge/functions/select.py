@@ -100,9 +100,9 @@ def strip_text(e: Column) -> Column:
 # A selector becomes ``filter(elems, _sel -> <predicate>)``.  A descendant
 # test ("inside B") needs the elements that match B: that list is computed
 # once per page and bound to a lambda variable with a one-element
-# ``transform(array(<list>), _inN -> ...)``, and an element is inside B when
-# its id falls in the interval ``(b.id, b.end]`` of one of them.  Cost per page
-# is O(elements x matches of B); no per-element ancestor lists are stored.
+# ``transform(array(<list>), _inN -> ...)``.  Its outermost matches are disjoint
+# intervals ``(b.id, b.end]``; they are spread into one flag an element, so a test
+# is one lookup, and a page costs its elements and its matches, not their product.
 
 def _q(v: str) -> str:
     return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -154,7 +154,7 @@ class _Bindings:
             self.deps[var] = set()
             self.building.append(var)
             x = self.fresh("_x")
-            self.lists[var] = f"filter({ELEMS_COL}, {x} -> {pred_sql(inner, x, self)})"
+            self.lists[var] = cover_sql(f"filter({ELEMS_COL}, {x} -> {pred_sql(inner, x, self)})", self)
             self.building.pop()
         if self.building:
             self.deps[self.building[-1]].add(var)
@@ -178,6 +178,18 @@ class _Bindings:
         return expr
 
 
+def cover_sql(matches: str, b: _Bindings) -> str:
+    """For each element (by id, from 0) up to the last covered one: whether it
+    lies inside a match.  ``matches`` are in document order."""
+    acc, x, o, k, i = (b.fresh(p) for p in ("_acc", "_m", "_o", "_k", "_out"))
+    none = "CAST(array() AS array<struct<id:int,end:int>>)"
+    outer = (f"aggregate({matches}, {none}, ({acc}, {x}) -> CASE WHEN size({acc}) > 0 AND {x}.id <= element_at({acc}, -1).end THEN {acc} "
+             f"ELSE array_append({acc}, named_struct('id', {x}.id, 'end', {x}.end)) END)")
+    before = f"CASE WHEN {k} = 0 THEN 0 ELSE get({i}, {k} - 1).end + 1 END"
+    flags = f"flatten(transform({i}, ({o}, {k}) -> concat(array_repeat(false, {o}.id + 1 - {before}), array_repeat(true, {o}.end - {o}.id))))"
+    return f"get(transform(array({outer}), {i} -> {flags}), 0)"
+
+
 def pred_sql(s: Selector, v: str, b: _Bindings) -> str:
     """SQL predicate: element expression ``v`` matches selector ``s``."""
     if isinstance(s, tuple):
@@ -199,9 +211,7 @@ def pred_sql(s: Selector, v: str, b: _Bindings) -> str:
         prev = f"(get({ELEMS_COL}, {v}.prev - 1))"
         conds.append(f"coalesce({v}.prev > 0 AND {pred_sql(s.after, prev, b)}, false)")
     if s.inside is not None:
-        lst = b.bind(s.inside)
-        a = b.fresh("_a")
-        conds.append(f"exists({lst}, {a} -> {a}.id < {v}.id AND {v}.id <= {a}.end)")
+        conds.append(f"coalesce(get({b.bind(s.inside)}, {v}.id), false)")
     return "(" + (" AND ".join(conds) if conds else "true") + ")"
 
 

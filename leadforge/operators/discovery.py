@@ -3,8 +3,9 @@
 Page-local steps (regions, link filtering, the "fewer than 3 links" count) are
 expressions on the DOM row.  Link resolution (H6) needs the Arrow UDF, which
 cannot run inside a higher-order function, so the candidates are exploded
-first; dedup and the top-5 cut are then a small aggregation per site over
-candidate links only (never over page content).
+first, generated ones and the homepage itself among them, so that a page is
+parsed once; dedup and the top-5 cut are then a small aggregation per site
+over candidate links only (never over page content), with a partial limit.
 """
 
 from __future__ import annotations
@@ -162,41 +163,46 @@ def discover_contact_pages(homes: DataFrame, site_col: str = "site_url") -> Data
 def discover_from(cands: DataFrame, site_col: str = "site_url", max_pages: int | None = params.MAX_CONTACT_PAGES) -> DataFrame:
     """P5 after the page-local part (``discovery_exprs`` columns);
     ``max_pages=None`` keeps every discovered page."""
-    found = cands.select(site_col, F.posexplode("_links").alias("_ord", "_l")).select(
-        site_col,
-        F.col("_ord").alias("cand_ord"),
-        F.col("_l.page_name").alias("page_name"),
-        urljoin(F.col(site_col), F.col("_l.href")).alias("page_url"),
-    )
+    return _ranked(cands, site_col, max_pages, homepage=False)
+
+
+def _ranked(cands: DataFrame, site_col: str, max_pages: int | None, homepage: bool) -> DataFrame:
+    """P5, and with ``homepage`` P6: the homepage takes rank 0 and may come
+    again.  Rows of one site are ranked after the first candidate a URL."""
+    found = F.transform("_links", lambda l, i: F.struct(F.lit(1).alias("kind"), i.cast("long").alias("cand_ord"), l["page_name"].alias("page_name"), l["href"].alias("href")))
     # P4 appended when fewer than 3 links were found (before dedup), or alone
     # when the homepage is missing.
-    need = cands.filter(F.col("_missing") | (F.col("_n_found") < params.MIN_FOUND_LINKS)).select(
-        site_col, "_missing", "_n_found"
-    )
-    gen = generated_urls(need, site_col).select(
-        site_col,
-        F.when(F.col("_missing"), F.col("rank") - 1).otherwise(F.col("_n_found") + F.col("rank") - 1).alias("cand_ord"),
-        "page_name",
-        "page_url",
-        "_missing",
-    )
-    all_c = found.withColumn("_missing", F.lit(False)).unionByName(gen)
+    first = F.when(F.col("_missing"), F.lit(0)).otherwise(F.col("_n_found"))
+    generated = F.transform(_generated_array(), lambda g, i: F.struct(F.lit(2).alias("kind"), (first + i).cast("long").alias("cand_ord"),
+                                                                      g["page_name"].alias("page_name"), g["pattern"].alias("href")))
+    own = F.array(F.struct(F.lit(0).alias("kind"), F.lit(-1).cast("long").alias("cand_ord"), F.lit("Homepage").alias("page_name"), F.lit("").alias("href")))
+    none = lambda a: F.slice(a, 1, 0)
+    few = F.col("_missing") | (F.col("_n_found") < params.MIN_FOUND_LINKS)
+    every = F.concat(own if homepage else none(own), F.when(F.col("_missing"), none(generated)).otherwise(found), F.when(few, generated).otherwise(none(generated)))
+    rows = cands.select(site_col, "_missing", F.explode(every).alias("_c")).select(site_col, "_missing", "_c.*")
+    base = F.rtrim(F.col(site_col), F.lit("/"))
+    rows = rows.withColumn("page_url", F.when(F.col("kind") == 0, F.col(site_col)).when(F.col("kind") == 2, F.concat(base, F.col("href")))
+                           .otherwise(urljoin(F.col(site_col), F.col("href"))))
     # keep the first candidate per (site, page_url), then rank per site
-    firsts = all_c.groupBy(site_col, "page_url").agg(
-        F.min(F.struct("cand_ord", "page_name", "_missing")).alias("_f")
-    )
+    firsts = rows.groupBy(site_col, "page_url", (F.col("kind") == 0).alias("_own")).agg(F.min(F.struct("cand_ord", "page_name", "_missing")).alias("_f"))
     w = Window.partitionBy(site_col).orderBy("cand_ord")
-    ranked = firsts.select(site_col, "page_url", "_f.*").withColumn("rank", F.row_number().over(w))
+    shift = 1 if homepage else 0
+    ranked = firsts.select(site_col, "page_url", "_f.*").withColumn("_place", F.row_number().over(w))
     if max_pages is not None:
-        ranked = ranked.filter(F.col("_missing") | (F.col("rank") <= max_pages))
-    return ranked.select(site_col, "rank", "page_name", "page_url")
+        # The plain bound lets Spark cut every site's rows before the shuffle.
+        ranked = ranked.filter(F.col("_place") <= max(max_pages, params.GENERATED_PATTERN_COUNT) + shift)
+        ranked = ranked.filter(F.col("_missing") | (F.col("_place") <= max_pages + shift))
+    return ranked.select(site_col, (F.col("_place") - shift).alias("rank"), "page_name", "page_url")
 
 
 def pages_to_check(homes: DataFrame, site_col: str = "site_url") -> DataFrame:
     """The homepage (rank 0, ``Homepage``) then the discovered pages."""
-    home = homes.select(site_col, F.lit(0).alias("rank"), F.lit("Homepage").alias("page_name"),
-                        F.col(site_col).alias("page_url"))
-    return home.unionByName(discover_contact_pages(homes, site_col))
+    return pages_to_check_from(homes.select(F.col(site_col), *discovery_exprs()), site_col)
+
+
+def pages_to_check_from(cands: DataFrame, site_col: str = "site_url", max_pages: int | None = params.MAX_CONTACT_PAGES) -> DataFrame:
+    """P6 after the page-local part."""
+    return _ranked(cands, site_col, max_pages, homepage=True)
 
 
 __all__ = ["region_links", "discover_contact_pages", "pages_to_check", "generated_urls", "page_label", "css"]

@@ -84,8 +84,9 @@ class _TreeBuilder(HTMLParser):
     (one entry per element; list-valued fields as values + offsets), so an
     Arrow batch is assembled without per-element Python objects."""
 
-    def __init__(self) -> None:
+    def __init__(self, sep: str = "") -> None:
         super().__init__(convert_charrefs=True)
+        self.sep = sep                     # between text nodes
         # element columns, for every page fed so far
         self.end: list[int] = []
         self.parent: list[int] = []
@@ -152,9 +153,11 @@ class _TreeBuilder(HTMLParser):
             return
         if not self.keep_blank and not data.strip(_BLANK):
             data = "\n" if "\n" in data else " "
+        if self.sep and self.text:
+            data = self.sep + data
         self.text.append(data)
         self.text_len += len(data) if data.isascii() else len(data.encode())
-        stripped = data.strip()
+        stripped = data[len(self.sep):].strip() if self.sep and len(self.text) > 1 else data.strip()
         if stripped:
             self.stext.append(stripped)
             self.stext_len += len(stripped) if stripped.isascii() else len(stripped.encode())
@@ -303,13 +306,15 @@ def _dom_schema(pages: DataFrame, keep: list[str], keep_html: bool) -> T.StructT
     return T.StructType(fields + DOM_FIELDS)
 
 
-def parse_pages(pages: DataFrame, keep: list[str] | None = None, keep_html: bool = False) -> DataFrame:
+def parse_pages(pages: DataFrame, keep: list[str] | None = None, keep_html: bool = False, sep: str = "") -> DataFrame:
     """H1: ``pages(url, html, ...)`` -> one DOM row per page.
 
     ``keep`` columns (default ``["url"]``) pass through unchanged; ``html`` is
     passed on only when ``keep_html`` (the engine's own raw-HTML patterns run
     before the parse instead, so the HTML need not come back).  A NULL
-    ``html`` (fetch failed / page missing) yields NULL DOM columns.
+    ``html`` (fetch failed / page missing) yields NULL DOM columns.  ``sep``
+    stands between the text nodes of ``text`` (none by default, as the reproduced
+    tool glues neighbouring blocks, quirk K7); an element's text may begin with it.
     """
     keep = list(keep or ["url"])
     schema = _dom_schema(pages, keep, keep_html)
@@ -324,7 +329,7 @@ def parse_pages(pages: DataFrame, keep: list[str] | None = None, keep_html: bool
             htmls = batch.column(n_keep).to_pylist()
             for start in range(0, batch.num_rows, _OUTPUT_CHUNK_ROWS):
                 part = htmls[start : start + _OUTPUT_CHUNK_ROWS]
-                builder = _TreeBuilder()
+                builder = _TreeBuilder(sep)
                 texts, stexts, page_off, missing = [], [], [0], []
                 for h in part:
                     parsed = None if h is None else builder.page_or_none(h)

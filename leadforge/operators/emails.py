@@ -60,8 +60,8 @@ def _mailto_parts(anchors: Column) -> Column:
         ",")))
 
 
-def _text_matches(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(UI + params.EMAIL_TEXT_PATTERN), 0)
+def _text_matches(text: Column, pattern: str = params.EMAIL_TEXT_PATTERN) -> Column:
+    return F.regexp_extract_all(text, F.lit(UI + pattern), 0)
 
 
 def _unobfuscate(m: Column) -> Column:
@@ -86,17 +86,19 @@ def pattern_hits(html: Column) -> Column:
     )
 
 
-def candidate_exprs(pattern_col: str = "pattern_hits") -> list[Column]:
+def candidate_exprs(pattern_col: str = "pattern_hits", text_pattern: str = params.EMAIL_TEXT_PATTERN) -> list[Column]:
     """Stage 1 as columns of a DOM row; ``pattern_col`` holds ``pattern_hits``
-    computed before the parse (``with_pattern_hits``)."""
+    computed before the parse (``with_pattern_hits``).  ``text_pattern`` is what
+    E2 looks for in texts (``params.EMAIL_FLEXIBLE_PATTERN`` also takes dotted
+    local parts and domains of several labels, quirk K5)."""
     anchors = anchor_list()
     areas = select(CONTACT_AREA_SELECTORS)
     area_raw = F.flatten(F.transform(areas, lambda r: F.concat(
-        _text_matches(raw_text(r)), _mailto_parts(within(r, anchors)))))
+        _text_matches(raw_text(r), text_pattern), _mailto_parts(within(r, anchors)))))
     return [
         F.col("elems").isNotNull().alias("fetched"),
         _mailto_parts(anchors).alias("mailto"),
-        _text_matches(F.col("text")).alias("text_hits"),
+        _text_matches(F.col("text"), text_pattern).alias("text_hits"),
         area_raw.alias("area_hits"),
         F.col(pattern_col).alias("pattern_hits"),
     ]
@@ -107,32 +109,32 @@ def with_pattern_hits(pages: DataFrame, html_col: str = "html") -> DataFrame:
     return pages.withColumn("pattern_hits", pattern_hits(F.col(html_col)))
 
 
-def page_candidates(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
+def page_candidates(pages: DataFrame, keep: list[str] | None = None, text_pattern: str = params.EMAIL_TEXT_PATTERN, sep: str = "") -> DataFrame:
     """Stage 1 on crawl rows ``(keep..., html)``: raw-HTML patterns first,
-    then one parse and one projection."""
+    then one parse (``sep`` between text nodes, quirk K7) and one projection."""
     from leadforge.operators.dom import parse_pages
 
     keep = list(keep or ["url"])
-    dom = parse_pages(with_pattern_hits(pages), keep=[*keep, "pattern_hits"])
-    return dom.select(*keep, *candidate_exprs())
+    dom = parse_pages(with_pattern_hits(pages), keep=[*keep, "pattern_hits"], sep=sep)
+    return dom.select(*keep, *candidate_exprs(text_pattern=text_pattern))
 
 
-def _clean_all(arr: Column, custom: Column | None) -> Column:
-    return F.filter(F.transform(arr, lambda x: clean_email(x, custom)), lambda x: x.isNotNull())
+def _clean_all(arr: Column, custom: Column | None, match: str) -> Column:
+    return F.filter(F.transform(arr, lambda x: clean_email(x, custom, match=match)), lambda x: x.isNotNull())
 
 
-def page_email_array(custom: Column | None = None) -> Column:
+def page_email_array(custom: Column | None = None, match: str = "exact") -> Column:
     """E11 on a candidates row: cleaned, distinct, in discovery order."""
-    e1 = _clean_all(F.col("mailto"), custom)
-    e2 = F.when(F.size(e1) == 0, _clean_all(F.col("text_hits"), custom)).otherwise(F.array().cast("array<string>"))
-    rest = _clean_all(F.concat(F.col("area_hits"), F.col("pattern_hits")), custom)
+    e1 = _clean_all(F.col("mailto"), custom, match)
+    e2 = F.when(F.size(e1) == 0, _clean_all(F.col("text_hits"), custom, match)).otherwise(F.array().cast("array<string>"))
+    rest = _clean_all(F.concat(F.col("area_hits"), F.col("pattern_hits")), custom, match)
     return F.array_distinct(F.concat(e1, e2, rest))
 
 
-def page_emails(cands: DataFrame, keep: list[str], custom_col: str | None = None) -> DataFrame:
-    """Stage 2 as rows ``keep..., email``."""
+def page_emails(cands: DataFrame, keep: list[str], custom_col: str | None = None, match: str = "exact") -> DataFrame:
+    """Stage 2 as rows ``keep..., email``; ``match``: see ``is_business``."""
     custom = F.col(custom_col) if custom_col else None
-    return cands.select(*keep, F.explode(page_email_array(custom)).alias("email"))
+    return cands.select(*keep, F.explode(page_email_array(custom, match)).alias("email"))
 
 
 def site_emails(visits: DataFrame, key: list[str], stop_at: int | None = params.EARLY_STOP_EMAILS) -> DataFrame:

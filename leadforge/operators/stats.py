@@ -33,21 +33,25 @@ def run_stats(r) -> DataFrame:
 def scraping_stats(r) -> DataFrame:
     """A4: companies found; processed (their profile page was fetched); emails;
     errors (pages that could not be fetched: profiles, homepages, contact
-    pages to check, one for each company they belong to); success rate in
-    percent of the companies found."""
+    pages to check, one for each company they belong to); profiles that are
+    stored but that the parser rejected (among the errors); success rate in
+    percent of the companies found; seconds since the run began."""
     s = _per_sector(r)
     missing = (r.pages_to_check.join(r.page_cands.select("page_url", "fetched"), "page_url")
                .filter(~F.col("fetched")).groupBy(F.col("site_url").alias("website_url")).agg(F.count("*").alias("n_missing")))
     fetched = F.col("profile_fetched").cast("long")
     per_sector = r.enriched.join(missing, "website_url", "left").groupBy("sector").agg(
-        F.sum(fetched).alias("processed"), F.sum(1 - fetched + F.coalesce("n_missing", F.lit(0))).alias("errors"))
+        F.sum(fetched).alias("processed"), F.sum(1 - fetched + F.coalesce("n_missing", F.lit(0))).alias("errors"),
+        F.sum(F.col("profile_rejected").cast("long")).alias("rejected"))
     return s.join(per_sector, "sector").select(
         "sector",
         F.col("n_companies").alias("companies_found"),
         F.col("processed").alias("companies_processed"),
         F.col("total_emails").alias("emails_found"),
         "errors",
+        "rejected",
         (F.col("processed") / F.greatest("n_companies", F.lit(1)) * 100).alias("success_rate"),
+        F.lit(r.seconds()).alias("processing_time_seconds"),
     )
 
 

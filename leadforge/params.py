@@ -313,7 +313,6 @@ AUDIT_CONTAINERS = [
     '.search-results, .results, .listings',
     'main, #main, .main-content, .content',
 ]
-AUDIT_CONTAINER_SAMPLE = 2
 AUDIT_PAGINATION = [
     '.pagination', '.pager', '.page-nav',
     'a[href*="pg-"]', 'a[href*="page"]',

@@ -144,8 +144,9 @@ def run_stats(spark, sf_dir):
 
 
 def scraping_stats(spark, sf_dir):
-    """A4 per sector."""
-    return A.scraping_stats(fixture_run(spark, sf_dir))
+    """A4 per sector; the time only as what can be compared, that it is not
+    negative."""
+    return A.scraping_stats(fixture_run(spark, sf_dir)).withColumn("processing_time_seconds", F.col("processing_time_seconds") >= 0)
 
 
 def geo_distribution(spark, sf_dir):
@@ -182,7 +183,7 @@ def export_emails_with_websites(spark, sf_dir):
 
 def output_manifest(spark, sf_dir):
     """File labels and row counts per sector and dataset."""
-    return S.manifest(fixture_run(spark, sf_dir))
+    return S.manifest(fixture_run(spark, sf_dir)).withColumn("processing_time_seconds", F.col("processing_time_seconds") >= 0)
 
 
 QUERIES = {
@@ -303,7 +304,7 @@ ORACLES = {
     """, _RUN),
     "scraping_stats": with_base("""
         SELECT ds.sector, ds.n_companies AS companies_found, x.processed AS companies_processed,
-               coalesce(kept.total, 0) AS emails_found, x.errors AS errors,
+               coalesce(kept.total, 0) AS emails_found, x.errors AS errors, CAST(0 AS BIGINT) AS rejected, TRUE AS processing_time_seconds,
                x.processed / greatest(ds.n_companies, 1) * 100 AS success_rate
         FROM ds LEFT JOIN kept USING (sector)
         JOIN (SELECT d.sector, CAST(sum(CASE WHEN d.k % 40 <> 39 THEN 1 ELSE 0 END) AS BIGINT) AS processed,
@@ -350,10 +351,10 @@ err AS (SELECT k, count(*) AS n FROM pgs WHERE page_url NOT IN (SELECT u FROM ha
     """, SITE_EM_SECTOR),
     "output_manifest": with_base("""
         SELECT sector, 'links' AS dataset, 'links_' || sector || '_found_' || CAST(n_companies AS VARCHAR) || '.csv' AS label,
-               n_companies, n_companies AS n_rows FROM ds
+               n_companies, n_companies AS n_rows, TRUE AS processing_time_seconds FROM ds
         UNION ALL
         SELECT ds.sector, 'emails', 'emails_' || ds.sector || '_found_' || CAST(coalesce(dw.n_with, 0) AS VARCHAR) || '.csv',
-               coalesce(dw.n_with, 0), coalesce(kept.total, 0)
+               coalesce(dw.n_with, 0), coalesce(kept.total, 0), TRUE
         FROM ds LEFT JOIN dw USING (sector) LEFT JOIN kept USING (sector)
     """, _RUN),
 }

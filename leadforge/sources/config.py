@@ -43,6 +43,13 @@ def validate_config(cfg: DataFrame) -> DataFrame:
     ).filter(F.col("_ok")).drop("_ok")
 
 
-def read_config(spark: SparkSession, path: str) -> DataFrame:
+def shipped_keywords(cfg: DataFrame) -> DataFrame:
+    """The known sectors' keyword lists (E9) where the config has none."""
+    lists = F.create_map(*(x for name, words in params.SECTOR_KEYWORDS.items() for x in (F.lit(name), F.array(*(F.lit(w) for w in dict.fromkeys(words))))))
+    return cfg.withColumn("business_domain_keywords", F.coalesce("business_domain_keywords", lists[F.col("sector")]))
+
+
+def read_config(spark: SparkSession, path: str, shipped: bool = False) -> DataFrame:
     """JSON-lines config with an explicit schema (no inference)."""
-    return validate_config(spark.read.schema(CONFIG_SCHEMA).json(path))
+    cfg = spark.read.schema(CONFIG_SCHEMA).json(path)
+    return validate_config(shipped_keywords(cfg) if shipped else cfg)

@@ -1,7 +1,9 @@
 """The crawl snapshot.  ``pages(url, html)`` replaces the fetcher: a page
 that is missing (or whose fetch failed, NULL ``html``) yields no rows.
 
-Lookups match normalised URLs and give one page per URL."""
+Lookups match normalised URLs and give one page per URL.  The crawl is thinned
+to (nearly) the wanted pages where it is scanned, by a Bloom filter of their
+keys, so the HTML of other pages is never moved."""
 
 from __future__ import annotations
 
@@ -9,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from leadforge.functions import bloom
+
 PAGES_SCHEMA = T.StructType(
     [
         T.StructField("page_id", T.LongType()),
@@ -40,18 +44,21 @@ def url_key(url: Column) -> Column:
     return F.concat(F.lower(origin), F.substr(plain, F.length(origin) + 1))
 
 
-def lookup_pages(urls: DataFrame, pages: DataFrame, url_col: str = "url") -> DataFrame:
+def lookup_pages(urls: DataFrame, pages: DataFrame, url_col: str = "url", bloom_bits: int = bloom.BITS) -> DataFrame:
     """The snapshot page of every distinct wanted URL, ``(url_col, html)``;
     a URL missing from the snapshot gets a NULL ``html`` (the fetcher's ``None``).
 
     URLs match by ``url_key``.  If the crawl holds several pages of one key,
     the first of these counts: fetched before failed, the very URL before
-    others, then the smallest URL and HTML.  The planner and AQE choose the
-    join by the sizes they see.  Missing URLs come from an anti-join that
-    reads only the crawl's ``url`` column.
+    others, then the smallest URL and HTML.  Only crawl rows that pass a Bloom
+    filter of the wanted keys (``bloom_bits``: sixteen a key keep the others to
+    one in a hundred) go into a shuffle; the planner and AQE choose the join by
+    the sizes they see.  Missing URLs come from an anti-join that reads only
+    the crawl's ``url`` column.
     """
     wanted = urls.select(F.col(url_col).alias("url")).distinct().withColumn("_key", url_key(F.col("url")))
-    stored = pages.select(url_key(F.col("url")).alias("_key"), F.col("url").alias("_url"), "html")
+    able = bloom.maybe_in(bloom.bloom(wanted, "_key", bloom_bits), "_key", bloom_bits)
+    stored = pages.select(url_key(F.col("url")).alias("_key"), F.col("url").alias("_url"), "html").filter(able)
     found = (stored.join(wanted, "_key").groupBy("_key", "url")
              .agg(F.min(F.struct(F.col("html").isNull().alias("a"), (F.col("_url") != F.col("url")).alias("b"), "_url", "html")).alias("_p"))
              .select("url", "_p.html"))

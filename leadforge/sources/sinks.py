@@ -47,7 +47,8 @@ def emails_with_websites_rows(r) -> DataFrame:
 def manifest(r) -> DataFrame:
     """Per sector and dataset the file label and counts.  The emails label
     counts companies that had emails before cross-company dedup (they stay
-    listed even when dedup empties them)."""
+    listed even when dedup empties them).  Every row has the seconds since the
+    run began."""
     links = r.companies.groupBy("sector").agg(F.count("*").alias("n_companies"))
     withc = r.site_emails.select("sector", "company_url").distinct().groupBy("sector").agg(F.count("*").alias("n_with"))
     kept = r.contacts.groupBy("sector").agg(F.count("*").alias("n_rows"))
@@ -60,7 +61,7 @@ def manifest(r) -> DataFrame:
         F.concat(F.lit("emails_"), F.col("sector"), F.lit("_found_"),
                  F.coalesce("n_with", F.lit(0)).cast("string"), F.lit(".csv")).alias("label"),
         F.coalesce("n_with", F.lit(0)).alias("n_companies"), F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
-    return a.unionByName(e)
+    return a.unionByName(e).withColumn("processing_time_seconds", F.lit(r.seconds()))
 
 
 def write_csv(rows: DataFrame, path: str, mode: str = "overwrite") -> None:

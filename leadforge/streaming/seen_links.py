@@ -6,24 +6,30 @@ skipped.  Here listing pages arrive as files ``(sector, sector_ord, page_no,
 url, html)``; every micro-batch
 
 1. parses its pages and extracts company links (D1, D2),
-2. keeps the first occurrence of each URL inside the batch (order
-   ``sector_ord, page_no, link_pos``; partial aggregate, skew-safe),
-3. drops URLs already in the seen-URL history (``left_anti``), and
-4. writes the new links to the history as folder ``batch_id=<n>``.
-
-Step 4 overwrites its own folder, so a retried batch is idempotent; history
-reads skip the current batch id for the same reason.  The history lives in
-the shared checkpoint folder (executors can be lost at any time).
+2. keeps the first occurrence of each URL among the rows that a task holds at
+   once (order ``sector_ord, sector, page_no, link_pos``), so that a URL which
+   holds a third of all rows is shuffled as a few,
+3. asks the state store, keyed by URL, whether the URL has been seen; if not,
+   the batch's first occurrence is emitted and remembered, and
+4. writes the new links as folder ``batch_id=<n>``.
+
+A batch reads and writes the state of its own URLs alone: its time does not
+grow with the number of batches or URLs before it.  The state lives in RocksDB
+on the executors and, as changes, in the stream's checkpoint folder, from where
+a lost executor's part is restored.  Step 4 overwrites its own folder, so a
+retried batch is idempotent.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from leadforge.operators import directory as D
-from leadforge.operators.dedup import first_by
 from leadforge.operators.dom import parse_pages
 
 LISTING_SCHEMA = T.StructType([
@@ -33,43 +39,59 @@ LISTING_SCHEMA = T.StructType([
     T.StructField("url", T.StringType()),
     T.StructField("html", T.StringType()),
 ])
+#: The order in which links count as first.
+ORDER = ["sector_ord", "sector", "page_no", "link_pos"]
+LINKS = "sector string, sector_ord int, page_no int, link_pos int, name string, company_url string"
+NEW = "company_url string, sector string, page_no int, link_pos int, name string"
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _first(links: pd.DataFrame) -> pd.DataFrame:
+    return links.sort_values(ORDER, na_position="first", kind="stable").drop_duplicates("company_url")
 
 
-def _history(spark: SparkSession, path: str, before: int) -> DataFrame | None:
-    """Seen URLs of earlier batches, read through Spark (any file system the
-    cluster uses); ``None`` before the first batch has written anything."""
-    from pyspark.errors import AnalysisException
+def _firsts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for links in batches:
+        yield _first(links)
 
-    try:
-        hist = spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return None  # no batch has written anything yet
-    if "batch_id" not in hist.columns:
-        return None
-    return hist.filter(F.col("batch_id") < before).select("company_url")
 
+def _unseen(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """The URL's first row of this batch, if no batch before had one."""
+    best = None
+    for rows in batches:
+        if not state.exists:
+            best = _first(rows if best is None else pd.concat([best, rows]))
+    if not state.exists:
+        state.update((True,))
+        yield best[["company_url", "sector", "page_no", "link_pos", "name"]]
 
-def new_links(batch: DataFrame, history: DataFrame | None) -> DataFrame:
-    """Steps 1-3 on one batch of listing pages."""
-    dom = parse_pages(batch, keep=["sector", "sector_ord", "page_no", "url"])
+
+def new_links(pages: DataFrame) -> DataFrame:
+    """Steps 1-3 on a stream of listing pages."""
+    dom = parse_pages(pages, keep=["sector", "sector_ord", "page_no", "url"])
     links = D.company_links(dom, keep=["sector", "sector_ord", "page_no"])
-    first = first_by(links, ["company_url"], ["sector_ord", "page_no", "link_pos"],
-                     ["sector", "sector_ord", "page_no", "link_pos", "name"])
-    if history is not None:
-        first = first.join(history, "company_url", "left_anti")
-    return first
+    columns = [f.split()[0] for f in LINKS.split(", ")]
+    return (links.select(*columns).mapInPandas(_firsts, LINKS).groupBy("company_url")
+            .applyInPandasWithState(_unseen, NEW, "seen boolean", "append", GroupStateTimeout.NoTimeout))
 
 
 def start(spark: SparkSession, source_dir: str, history_dir: str, checkpoint_dir: str,
-          available_now: bool = True):
-    """Start the stream over ``source_dir``; returns the ``StreamingQuery``."""
+          available_now: bool = True, files_per_batch: int | None = None):
+    """Start the stream over ``source_dir``; returns the ``StreamingQuery``.
+
+    The state belongs to ``checkpoint_dir``: runs that share it skip each
+    other's links.  ``files_per_batch`` bounds a micro-batch.
+    """
+    if spark.conf.get(_PROVIDER, None) in (None, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"):
+        spark.conf.set(_PROVIDER, _ROCKSDB)  # the default keeps all keys on the heap
+
     def process(batch: DataFrame, batch_id: int) -> None:
-        fresh = new_links(batch, _history(spark, history_dir, batch_id))
-        fresh.write.mode("overwrite").parquet(f"{history_dir.rstrip('/')}/batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{history_dir.rstrip('/')}/batch_id={batch_id}")
 
-    stream = spark.readStream.schema(LISTING_SCHEMA).parquet(source_dir)
-    writer = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint_dir)
+    stream = spark.readStream.schema(LISTING_SCHEMA)
+    if files_per_batch:
+        stream = stream.option("maxFilesPerTrigger", files_per_batch)
+    writer = new_links(stream.parquet(source_dir)).writeStream.foreachBatch(process).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
