@@ -36,6 +36,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -93,16 +94,25 @@ class _Open:
         pos = np.flatnonzero(codes >= 0)
         words = [w.decode() for w, c in self.codes.items() if c >= 0]
         return {"block": block, "lang": lang, "n_words": len(pos), "words": words, "counts": np.bincount(codes[pos], minlength=len(words)),
-                "pos": _steps(pos), "code": codes[pos].tobytes()}
+                "pos": _steps(pos), "code": _packed(codes[pos])}
+
+
+def _packed(x: np.ndarray, kind: str = "<i4") -> bytes:
+    """A column of a block, compressed: a block's row stays a few MB."""
+    return zstandard.compress(x.astype(kind).tobytes(), 1)
+
+
+def _unpacked(data: bytes, kind: str = "<i4") -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(data), kind)
 
 
 def _steps(pos: np.ndarray) -> bytes:
     """Sorted positions as differences: nearly all 1, which compress well."""
-    return np.diff(pos, prepend=0).astype("<i4").tobytes()
+    return _packed(np.diff(pos, prepend=0))
 
 
 def _positions(data: bytes) -> np.ndarray:
-    return np.cumsum(np.frombuffer(data, "<i4"), dtype=np.int64)
+    return np.cumsum(_unpacked(data), dtype=np.int64)
 
 
 def parts(text: bytes, size: int = STEP_BYTES) -> Iterator[bytes]:
@@ -142,14 +152,14 @@ def _first(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks with their frequent words ``known`` -> R_1."""
     for b in slices(batches, 1):
         if b.num_rows:
-            pos, code = _positions(b.column("pos")[0].as_py()), np.frombuffer(b.column("code")[0].as_py(), "<i4")
+            pos, code = _positions(b.column("pos")[0].as_py()), _unpacked(b.column("code")[0].as_py())
             known = b.column("known").flatten()
             codes, ids = known.field("code").to_numpy(), known.field("id").to_numpy()
             new = np.full(int(max(code.max(initial=-1), codes.max(initial=-1))) + 1, -1, np.int32)
             new[codes] = np.arange(len(codes), dtype=np.int32)
             code = new[code]
-            row = {"block": b.column("block")[0].as_py(), "k": 1, "pos1": _steps(pos[code >= 0]), "code1": code[code >= 0].astype("<i4").tobytes(),
-                   "ids1": ids.astype("<i8").tobytes()}
+            row = {"block": b.column("block")[0].as_py(), "k": 1, "pos1": _steps(pos[code >= 0]), "code1": _packed(code[code >= 0]),
+                   "ids1": _packed(ids, "<i8")}
             yield pa.RecordBatch.from_pylist([row], schema=_RELATION)
 
 
@@ -176,12 +186,12 @@ class _Relation:
         get = lambda c: b.column(c)[0].as_py()
         self.own = {c: get(c) for c in ("block", "pos1", "code1", "ids1")}
         self.k = get("k")
-        pos1, code1, self.ids = _positions(self.own["pos1"]), np.frombuffer(self.own["code1"], "<i4"), np.frombuffer(self.own["ids1"], "<i8")
+        pos1, code1, self.ids = _positions(self.own["pos1"]), _unpacked(self.own["code1"]), _unpacked(self.own["ids1"], "<i8")
         many = max(1, len(self.ids))
         if self.k == 1:
             pos, code, groups = pos1, code1, np.arange(len(self.ids), dtype=np.int32).reshape(-1, 1)
         else:
-            pos, code, groups = _positions(get("pos")), np.frombuffer(get("code"), "<i4"), np.frombuffer(get("groups"), "<i4").reshape(-1, self.k)
+            pos, code, groups = _positions(get("pos")), _unpacked(get("code")), _unpacked(get("groups")).reshape(-1, self.k)
         at = np.searchsorted(pos1, pos + self.k)
         hit = at < len(pos1)
         hit[hit] = pos1[at[hit]] == pos[hit] + self.k
@@ -202,7 +212,7 @@ class _Relation:
             able &= (held[p >> np.uint64(6)] >> (p & np.uint64(63))) & np.uint64(1) == 1
         new = np.cumsum(able, dtype=np.int32) - 1
         keep = able[self.code]
-        row = {"k": self.k + 1, "pos": _steps(self.pos[keep]), "code": new[self.code[keep]].astype("<i4").tobytes(), "groups": self.groups[able].astype("<i4").tobytes()}
+        row = {"k": self.k + 1, "pos": _steps(self.pos[keep]), "code": _packed(new[self.code[keep]]), "groups": _packed(self.groups[able])}
         return pa.RecordBatch.from_pylist([self.own | row], schema=_RELATION)
 
 
