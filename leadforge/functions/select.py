@@ -230,6 +230,33 @@ def select(s: Selector) -> Column:
     return F.expr(select_sql(s))
 
 
+def _record_sql(v: str, r: str, b: _Bindings) -> str:
+    """SQL predicate: element ``v`` matches the simple selector *record* ``r`` (a
+    struct of ``sources.config.SELECTOR``): what ``pred_sql`` is for one that is
+    known when the plan is built."""
+    c, a = b.fresh("_c"), b.fresh("_t")
+    value = f"(CASE WHEN {a}.name = 'class' THEN {_attr_sql(v, 'class')} ELSE {v}.attrs[{a}.name] END)"
+    has = f"(CASE WHEN {a}.name = 'class' THEN size({v}.cls) > 0 ELSE map_contains_key({v}.attrs, {a}.name) END)"
+    some = f"coalesce({a}.value, '') <> ''"
+    test = (f"CASE coalesce({a}.op, 'has') WHEN 'has' THEN {has} WHEN '=' THEN {value} = {a}.value WHEN '*=' THEN {some} AND contains({value}, {a}.value) "
+            f"WHEN '^=' THEN {some} AND startswith({value}, {a}.value) WHEN '$=' THEN {some} AND endswith({value}, {a}.value) ELSE false END")
+    return (f"((coalesce({r}.tag, '') = '' OR {v}.tag = {r}.tag) AND (coalesce({r}.id, '') = '' OR coalesce({v}.attrs['id'] = {r}.id, false)) "
+            f"AND ({r}.classes IS NULL OR forall({r}.classes, {c} -> array_contains({v}.cls, {c}))) "
+            f"AND ({r}.attrs IS NULL OR forall({r}.attrs, {a} -> coalesce({test}, false))) "
+            f"AND ({r}.contains IS NULL OR contains(cast(substr({BYTES_COL}, {v}.tf + 1, {v}.tt - {v}.tf) AS string), {r}.contains)))")
+
+
+def select_by(record: str) -> Column:
+    """Elements matching the selector record in column ``record`` (one of
+    each row): the plan is the same however many records there are."""
+    b = _Bindings()
+    x, cov = b.fresh("_x"), b.fresh("_in")
+    cover = cover_sql(f"filter({ELEMS_COL}, {x} -> {_record_sql(x, f'{record}.inside', b)})", b)
+    inside = f"CASE WHEN {record}.inside IS NULL THEN CAST(array() AS array<boolean>) ELSE {cover} END"
+    hits = f"filter({ELEMS_COL}, _sel -> {_record_sql('_sel', record, b)} AND ({record}.inside IS NULL OR coalesce(get({cov}, _sel.id), false)))"
+    return F.expr(f"get(transform(array({inside}), {cov} -> {hits}), 0)")
+
+
 def select_one(s: Selector) -> Column:
     return F.get(select(s), 0)
 

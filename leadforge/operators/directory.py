@@ -18,11 +18,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadforge import params
-from leadforge.functions.select import Selector, sel, select, select_one, strip_text
+from leadforge.functions.select import Selector, sel, select, select_by, select_one, strip_text
 from leadforge.functions.text import pystrip, title_case
 from leadforge.functions.urls import urljoin
 from leadforge.operators.dedup import first_by
 from leadforge.session import cut_lineage
+from leadforge.sources.config import SELECTOR
 
 # Selector records for the config's CSS and the D5 fallbacks (in order).
 LINK_SELECTOR = sel("a", attrs=[("data-test", "=", "company-name")])
@@ -39,14 +40,12 @@ NEXT_FALLBACKS: list[Selector] = [
 _SEP = "\x01"  # between selectors and URL in a walk's node
 
 
-def selector_of(record) -> Selector | None:
-    """A selector record of the config (``sources.config.SELECTOR``) as ``Sel``."""
-    if record is None:
-        return None
-    r = record.asDict(recursive=False)
-    return sel(r["tag"], id=r["id"], cls=tuple(r["classes"] or ()),
-               attrs=[(a["name"],) if (a["op"] or "has") == "has" else (a["name"], a["op"], a["value"]) for a in r["attrs"] or ()],
-               contains=r["contains"], inside=selector_of(r.get("inside")))
+def default_link_selector() -> Column:
+    """``LINK_SELECTOR`` as a record, for sectors without one of their own."""
+    attrs = ", ".join(f"named_struct('name', '{a}', 'op', '{op}', 'value', '{v}')" for a, op, v in LINK_SELECTOR.attrs)
+    none = {f: "NULL" for f in ("id", "classes", "contains", "inside")}
+    fields = {"tag": f"'{LINK_SELECTOR.tag}'", "attrs": f"array({attrs})"} | none
+    return F.expr("named_struct(" + ", ".join(f"'{f}', {fields[f]}" for f in ("tag", "id", "classes", "attrs", "contains", "inside")) + ")").cast(SELECTOR)
 
 
 # -- D2 ------------------------------------------------------------------------------
@@ -212,27 +211,46 @@ def selector_key() -> Column:
     return F.to_json(F.struct("link_selector", "pagination_selector"))
 
 
+def _host(url: Column) -> Column:
+    return F.lower(F.coalesce(F.try_parse_url(url, F.lit("HOST")), F.lit("")))
+
+
+def _features(listing_dom: DataFrame, index: DataFrame) -> DataFrame:
+    """A page under the selector pairs that ``index(host, sel_key,
+    link_selector, pagination_selector)`` has for its host."""
+    dom = listing_dom.withColumn("_host", _host(F.col("url"))).join(index.withColumnRenamed("host", "_host"), "_host")
+    links = F.transform(F.filter(select_by("link_selector"), lambda a: F.coalesce(a["attrs"]["href"] != F.lit(""), F.lit(False))),
+                        lambda a: F.struct(a["attrs"]["href"].alias("href"), company_name(a).alias("name"), name_source(a).alias("name_source")))
+    hits = [F.get(select_by("pagination_selector"), 0), *map(select_one, NEXT_FALLBACKS)]
+    href = F.when(F.col("pagination_selector").isNotNull(), F.coalesce(*(F.when(h["attrs"]["href"] != F.lit(""), h["attrs"]["href"]) for h in hits)))
+    f = dom.select("sel_key", "url", href.alias("h"), links.alias("links"))
+    return cut_lineage(f.select("sel_key", "url", urljoin(F.col("url"), F.col("h")).alias("next_url"), "links"))
+
+
 def listing_features(listing_dom: DataFrame, config: DataFrame) -> DataFrame:
-    """One pass over the parsed listing pages: ``sel_key, url, next_url, links``
-    where ``links`` is the D1 array (href, name, name_source) in document
-    order, for every distinct selector pair of the config (a page does not
-    know its sector before the walk).  Materialised once, so the Python parse
-    runs once however many consumers (pagination, link extraction) follow."""
-    pairs = config.select(selector_key().alias("k"), "link_selector", "pagination_selector").dropDuplicates(["k"]).collect()  # config rows
-
-    def features(r) -> Column:
-        link = selector_of(r["link_selector"]) or LINK_SELECTOR
-        hits = F.filter(select(link), lambda a: F.coalesce(a["attrs"]["href"] != F.lit(""), F.lit(False)))
-        links = F.transform(hits, lambda a: F.struct(
-            a["attrs"]["href"].alias("href"), company_name(a).alias("name"), name_source(a).alias("name_source")))
-        return F.struct(F.lit(r["k"]).alias("sel_key"), next_href(selector_of(r["pagination_selector"])).alias("h"), links.alias("links"))
-
-    if not pairs:
-        return listing_dom.sparkSession.createDataFrame(
-            [], "sel_key string, url string, next_url string, links array<struct<href:string,name:string,name_source:string>>")
-    f = listing_dom.select("url", F.explode(F.array(*map(features, pairs))).alias("f"))
-    f = f.select("f.sel_key", "url", urljoin(F.col("url"), F.col("f.h")).alias("next_url"), "f.links")
-    return cut_lineage(f)
+    """The parsed listing pages under their selectors: ``sel_key, url, next_url,
+    links`` where ``links`` is the D1 array (href, name, name_source) in
+    document order.
+
+    A page does not know its sector before the walk, but its host: it meets the
+    selector pairs of the sectors that start there, as records joined to the
+    page, so neither the plan nor a page's cost grows with the number of pairs
+    elsewhere.  Where pagination leads a pair to another host, that host's
+    pages are read under it too, until no pair finds a new host.  Materialised,
+    so the Python parse runs once however many consumers follow.
+    """
+    pairs = config.select(selector_key().alias("sel_key"), F.coalesce("link_selector", default_link_selector()).alias("link_selector"), "pagination_selector", "url")
+    start = pairs.select(_host(F.col("url")).alias("host"), "sel_key", "link_selector", "pagination_selector").dropDuplicates(["host", "sel_key"])
+    features = _features(listing_dom, start)
+    known = start.select("host", "sel_key")
+    while True:
+        reached = features.filter("next_url IS NOT NULL").select(_host(F.col("next_url")).alias("host"), "sel_key").distinct()
+        fresh = cut_lineage(reached.join(known, ["host", "sel_key"], "left_anti"))
+        if fresh.isEmpty():
+            return features
+        by_key = pairs.dropDuplicates(["sel_key"]).drop("url")
+        features = features.unionByName(_features(listing_dom, fresh.join(by_key, "sel_key")))
+        known = known.unionByName(fresh)
 
 
 def feature_links(features: DataFrame) -> DataFrame:

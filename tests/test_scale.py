@@ -8,7 +8,8 @@ from leadforge.operators import country as C
 from leadforge.operators import directory as D
 from leadforge.operators import discovery as P
 from leadforge.operators.dom import parse_pages
-from leadforge.sources.config import read_config
+from leadforge.functions.select import sel, select, select_by
+from leadforge.sources.config import CONFIG_SCHEMA, SELECTOR, read_config
 from leadforge.sources.pages import lookup_pages, url_key
 
 
@@ -78,3 +79,40 @@ def test_no_pagination_selector_means_no_next_page(spark):
     dom = parse_pages(spark.createDataFrame([("https://a.test/", '<a href="/pg-2.html">Next</a>')], "url string, html string"))
     assert [r["next_url"] for r in D.next_pages(dom, None).collect()] == [None]
     assert [r["next_url"] for r in D.next_pages(dom).collect()] == ["https://a.test/pg-2.html"]
+
+
+def test_plan_and_page_cost_do_not_grow_with_the_selector_pairs(spark):
+    schema = CONFIG_SCHEMA
+    def cfg(n):  # noqa: E306
+        rows = [(f"s{i:04d}", i, f"https://h{i}.test/", 2, None, {"tag": "a", "id": None, "classes": [f"c{i}"], "attrs": None, "contains": None, "inside": None},
+                 {"tag": "a", "id": f"n{i}", "classes": None, "attrs": None, "contains": None, "inside": None}) for i in range(n)]
+        return spark.createDataFrame(rows, schema)
+
+    pages = spark.createDataFrame([(f"https://h{i}.test/", f'<a class="c{i}" href="/co{i}">Firm {i}</a><a class="c{i + 1}" href="/x">Other</a><a id="n{i}" href="https://h{i + 1}.test/p">x</a>')
+                                   for i in range(30)] + [(f"https://h{i + 1}.test/p", f'<a class="c{i}" href="/next{i}">More {i}</a>') for i in range(30)], "url string, html string").cache()
+    dom = parse_pages(pages)
+    plans = [len(D._features(dom, cfg(n).select(F.lit("h").alias("host"), D.selector_key().alias("sel_key"), "link_selector", "pagination_selector"))
+                 ._jdf.queryExecution().optimizedPlan().toString()) for n in (1, 1000)]
+    assert plans[1] < 1.5 * plans[0]
+    t0 = time.time()
+    got = D.directory_companies(D.listing_features(dom, cfg(1000)), cfg(1000))
+    urls = sorted((r["sector"], r["page_no"], r["company_url"]) for r in got.collect())
+    assert urls == sorted([(f"s{i:04d}", 1, f"https://h{i}.test/co{i}") for i in range(30)] + [(f"s{i:04d}", 2, f"https://h{i + 1}.test/next{i}") for i in range(30)])
+    assert time.time() - t0 < 120
+    pages.unpersist()
+
+
+def test_selector_records_match_as_selectors_do(spark):
+    html = ('<div id="m" class="x y"><a class="b" href="/p-1" data-k="v">Next one</a><span class="x">t</span></div><a href="">e</a>'
+            '<p class="x"><a class="b c" href="/q.html" rel="next">two</a></p><a class="">three</a>')
+    dom = parse_pages(spark.createDataFrame([("u", html)], "url string, html string"))
+    at = lambda n, o=None, v=None: {"name": n, "op": o, "value": v}
+    rec = lambda tag=None, id=None, classes=None, attrs=None, contains=None, inside=None: {"tag": tag, "id": id, "classes": classes, "attrs": attrs, "contains": contains, "inside": inside}
+    cases = [(rec("a"), sel("a")), (rec(id="m"), sel(id="m")), (rec(classes=["b", "c"]), sel(cls=("b", "c"))), (rec("a", attrs=[at("href")]), sel("a", attrs=[("href",)])),
+             (rec("a", attrs=[at("href", "*=", "-1")]), sel("a", attrs=[("href", "*=", "-1")])), (rec(attrs=[at("href", "$=", ".html"), at("rel", "=", "next")]), sel(attrs=[("href", "$=", ".html"), ("rel", "=", "next")])),
+             (rec(attrs=[at("href", "^=", "")]), sel(attrs=[("href", "^=", "")])), (rec(attrs=[at("class", "*=", "b")]), sel(attrs=[("class", "*=", "b")])), (rec(attrs=[at("class", "has")]), sel(attrs=[("class",)])),
+             (rec("a", contains="Next"), sel("a", contains="Next")), (rec("a", inside=rec(classes=["x"])), sel("a", inside=sel(cls="x"))), (rec("a", inside=rec("p", attrs=[at("class", "=", "x")])), sel("a", inside=sel("p", attrs=[("class", "=", "x")])))]
+    records = spark.createDataFrame([(i, r) for i, (r, _) in enumerate(cases)], f"i int, r {SELECTOR}")
+    got = {r["i"]: [e["id"] for e in r["hits"]] for r in dom.join(records).select("i", select_by("r").alias("hits")).collect()}
+    want = {i: [e["id"] for e in dom.select(select(s).alias("h")).first()["h"]] for i, (_, s) in enumerate(cases)}
+    assert got == want and sum(map(bool, want.values())) >= 10
