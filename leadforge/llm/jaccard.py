@@ -35,7 +35,9 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import slices, stored
+from leadforge.functions.bloom import bloom, maybe_in
+
+from .common import discard, slices, stored
 from .graph import components
 
 WORDS, PERCENT = 5, 80  # shingle size, least similarity
@@ -234,24 +236,31 @@ _SIGNATURES = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("check",
 _POSTINGS = pa.schema([("node", pa.int64()), ("tokens", pa.list_(pa.int64()))])
 
 
-def _filtered(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """``x, y, x_doc, y_doc, able`` of pairs of possible sizes; ``able``: they
-    share a prefix shingle under the other orders too."""
-    side = lambda c: nodes.select(F.col("node").alias(c), F.col("rep").alias(f"{c}_doc"), F.col("n").alias(f"{c}_n"),
+def _sizes(percent: int):
+    """The sizes of a pair (``x_n, y_n``) let it link."""
+    return 100 * F.least("x_n", "y_n") >= percent * F.greatest("x_n", "y_n")
+
+
+def _filtered(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``x, y, x_doc, y_doc, able`` of pairs (of possible sizes: most have
+    others, and go before any prefix is shipped); ``able``: they share a prefix
+    shingle under the other orders too."""
+    side = lambda c: nodes.select(F.col("node").alias(c), F.col("rep").alias(f"{c}_doc"),
                                   F.col("second").alias(f"{c}_second"), F.col("third").alias(f"{c}_third"))
     return (pairs.join(side("x"), "x").join(side("y"), "y")
-            .filter(100 * F.least("x_n", "y_n") >= percent * F.greatest("x_n", "y_n"))
             .withColumn("able", F.arrays_overlap("x_second", "y_second") & F.arrays_overlap("x_third", "y_third"))
-            .drop("x_n", "y_n", "x_second", "y_second", "x_third", "y_third"))
+            .drop("x_second", "y_second", "x_third", "y_third"))
 
 
 def _compare(pairs: DataFrame, docs: DataFrame, words: int, bits: bool) -> DataFrame:
     """``x, y, both`` (shared shingles) by the texts of the nodes' first
     documents, with ``bits`` also which shingles of x are in y."""
     # Both joins read one exchange of the texts; a pivot's many pairs are
-    # dealt over tasks by AQE's skew join.
-    text = docs.filter("doc_id IS NOT NULL")
-    full = (stored(pairs.select("x", "y", "x_doc", "y_doc"), "pairs")
+    # dealt over tasks by AQE's skew join.  Texts of no pair stay where they are.
+    pairs = stored(pairs.select("x", "y", "x_doc", "y_doc"), "pairs")
+    able = maybe_in(bloom(pairs.select(F.col("x_doc").alias("d")).union(pairs.select("y_doc")), "d"), "doc_id")
+    text = docs.filter("doc_id IS NOT NULL").filter(able)
+    full = (pairs
             .join(text.select(F.col("doc_id").alias("x_doc"), F.col("text").alias("x_text")), "x_doc")
             .join(text.select(F.col("doc_id").alias("y_doc"), F.col("text").alias("y_text")), "y_doc"))
 
@@ -326,11 +335,14 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
 
     # The pivot of a shingle is its node of the largest groups in sum: in a
     # family of near copies the one with the fewest shingles of its own.
-    weights = stored(members.groupBy("node").agg(F.sum("size").alias("weight"), F.sum(1 - F.col("hot")).alias("cold_shared")), "weights")
-    pivots = stored(members.join(weights, "node").groupBy("token").agg(F.max(F.struct("weight", "node")).alias("p"))
-                    .select("token", F.col("p.node").alias("x")), "pivots")
-    star = stored(members.join(pivots, "token").filter("x != node").groupBy("x", F.col("node").alias("y")).agg(F.max("hot").alias("hot")), "star")
-    compared = _compare(_filtered(star, nodes, percent).filter("able OR hot = 1"), docs, words, bits=True)
+    weights = stored(members.groupBy("node").agg(F.sum("size").alias("weight"), F.sum(1 - F.col("hot")).alias("cold_shared"))
+                     .join(nodes.select("node", "n"), "node"), "weights")
+    pivots = stored(members.join(weights, "node").groupBy("token").agg(F.max(F.struct("weight", "node", "n")).alias("p"))
+                    .select("token", F.col("p.node").alias("x"), F.col("p.n").alias("x_n")), "pivots")
+    pairs = members.join(pivots, "token").filter("x != node").groupBy("x", "x_n", F.col("node").alias("y")).agg(F.max("hot").alias("hot"))
+    star = stored(pairs.join(weights.select(F.col("node").alias("y"), F.col("n").alias("y_n")), "y"), "star")
+    discard(members), discard(pivots), discard(shared)
+    compared = _compare(_filtered(star.filter(_sizes(percent)).select("x", "y", "hot"), nodes).filter("able OR hot = 1"), docs, words, bits=True)
     links = stored(_linked(compared, nodes, percent), "links")
 
     # Members of a pivot by component, then those outside its largest one
@@ -341,7 +353,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     parts = components(links).withColumnsRenamed({"id": "node", "component": "part"})
     facts = stored(nodes.select("node", "n", "n_cold").join(weights.select("node", "cold_shared"), "node").join(parts, "node", "left")
                    .select("node", "n", F.coalesce("part", "node").alias("part"), (F.col("n_cold") - F.col("cold_shared")).alias("own")), "facts")
-    rows = (star.join(compared, ["x", "y"], "left").join(facts.withColumnRenamed("node", "y"), "y")
+    rows = (star.select("x", "y", "hot").join(compared, ["x", "y"], "left").join(facts.withColumnRenamed("node", "y"), "y")
             .select(F.col("x").alias("pivot"), F.col("y").alias("node"), "n", "part", "bits",
                     (F.col("n") - F.col("both")).alias("extra"), F.col("own").cast("long").alias("own"), (F.col("hot") == 1).alias("hot")))
     own = (star.select(F.col("x").alias("node")).distinct().join(facts, "node")
@@ -359,7 +371,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     rest = (a.filter("a_node != pivot").join(b, (a["pivot"] == b["pivot"]) & (F.col("a_part") != F.col("b_part")) & (~F.col("stray") | (F.col("a_node") < F.col("b_node")))
                    & (100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")) & able)
             .select(F.least("a_node", "b_node").alias("x"), F.greatest("a_node", "b_node").alias("y")).distinct())
-    again = _compare(_filtered(rest, nodes, percent).filter("able"), docs, words, bits=False)
+    again = _compare(_filtered(rest, nodes).filter("able"), docs, words, bits=False)
     links = links.unionByName(_linked(again, nodes, percent))
 
     named = stored(_named(links, nodes), "named")
