@@ -27,7 +27,7 @@ from .tokens import piece_encoder
 BLOCK_IDS = 1 << 18
 #: Blocks per group of the two-level prefix scan.
 SPAN = 1024
-FLAT = "file int, block long, ids binary, first_ordinal long, doc_ids array<long>"
+FLAT = "file int, block long, width int, ids binary, first_ordinal long, doc_ids array<long>"
 
 
 def flat_files(docs: DataFrame, vocab: str, end_id: int, block_ids: int = BLOCK_IDS,
@@ -49,11 +49,11 @@ def flat_files(docs: DataFrame, vocab: str, end_id: int, block_ids: int = BLOCK_
         def rows(blocks, names, first):
             n = len(blocks) + bool(names)
             return pa.RecordBatch.from_arrays([
-                pa.array([part] * n, pa.int32()), pa.array([b for b, _ in blocks] + [None] * bool(names), pa.int64()),
+                pa.array([part] * n, pa.int32()), pa.array([b for b, _ in blocks] + [None] * bool(names), pa.int64()), pa.array([width] * n, pa.int32()),
                 pa.array([x for _, x in blocks] + [None] * bool(names), pa.binary()),
                 pa.array([None] * len(blocks) + [first] * bool(names), pa.int64()),
                 pa.array([None] * len(blocks) + [names] * bool(names), pa.list_(pa.int64()))],
-                names=["file", "block", "ids", "first_ordinal", "doc_ids"])
+                names=["file", "block", "width", "ids", "first_ordinal", "doc_ids"])
 
         for batch in slices(batches):
             names, blocks = batch.column(0).to_pylist(), []
@@ -73,19 +73,22 @@ def flat_files(docs: DataFrame, vocab: str, end_id: int, block_ids: int = BLOCK_
 
 def scan_blocks(blocks: DataFrame, end_id: int, width: int = 2) -> DataFrame:
     """``file, block, n_ids, ends``: for each separator of the block, the
-    number of the block's ids up to and with it."""
+    number of the block's ids up to and with it.  Blocks say how many bytes an
+    id takes in ``width``; files from elsewhere without that column have ``width``."""
+    if "width" not in blocks.columns:
+        blocks = blocks.withColumn("width", F.lit(width))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n_ids, ends = [], []
-            for raw in b.column("ids"):
-                ids = np.frombuffer(raw.as_buffer(), f"<u{width}")
+            for raw, size in zip(b.column("ids"), b.column("width").to_pylist()):
+                ids = np.frombuffer(raw.as_buffer(), f"<u{size}")
                 n_ids.append(len(ids))
                 ends.append(np.flatnonzero(ids == end_id) + 1)
             yield pa.RecordBatch.from_arrays([b.column("file"), b.column("block"), pa.array(n_ids, pa.int64()),
                                               pa.array(ends, pa.list_(pa.int64()))], names=["file", "block", "n_ids", "ends"])
 
-    return blocks.select("file", "block", "ids").mapInArrow(run, "file int, block long, n_ids long, ends array<long>")
+    return blocks.select("file", "block", "ids", "width").mapInArrow(run, "file int, block long, n_ids long, ends array<long>")
 
 
 def count_tokens(blocks: DataFrame, end_id: int, width: int = 2) -> DataFrame:

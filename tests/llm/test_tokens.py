@@ -169,3 +169,12 @@ def test_token_counts(docs_of):
     assert sorted((r["doc_id"], r["n_tokens"]) for r in got) == want
     empty = stored(token_counts.flat_files(docs_of([]), default_vocab(), 50256), "flat")
     assert token_counts.count_tokens(empty.filter("ids IS NOT NULL"), 50256).count() == 0
+
+
+def test_width_is_read_from_the_blocks(spark, docs_of):
+    """Ids of four bytes, as an end id beyond 16 bits makes them."""
+    flat = stored(token_counts.flat_files(docs_of([(1, "the same"), (2, None), (3, "a b c")], 1), default_vocab(), 70_000, block_ids=3), "flat")
+    assert {r["width"] for r in flat.collect()} == {4}
+    got = token_counts.name_documents(token_counts.count_tokens(flat.filter("ids IS NOT NULL"), 70_000), flat).collect()
+    want = dict(zip((1, 2, 3), map(len, library_ids(["the same", "", "a b c"], special=False))))
+    assert {r["doc_id"]: r["n_tokens"] for r in got} == want
