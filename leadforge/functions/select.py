@@ -129,17 +129,17 @@ def _attr_test_sql(v: str, name: str, op: str, value: str | None) -> str:
 
 
 class _Bindings:
-    """Match lists of descendant-test selectors, bound once per page.
+    """Flags of descendant-test selectors, bound once per page.
 
-    A list may use other lists (``A B C``: the list for ``B`` needs the list
-    for ``A``); bindings are nested so that every list is bound outside all
-    lists and predicates that use it."""
+    One may use others (``A B C``: the flags for ``B`` need those for ``A``), so
+    each has a level: all of a level are fields of one struct, bound outside the
+    levels that use it.  The nesting follows the selectors' depth, not their
+    number."""
 
     def __init__(self) -> None:
-        self.lists: dict[str, str] = {}
-        self.deps: dict[str, set[str]] = {}
+        self.levels: dict[int, list[tuple[str, str]]] = {}
         self.by_sel: dict = {}
-        self.building: list[str] = []
+        self.below: list[int] = []  # of each list being built, the highest level it uses
         self.n = 0
 
     def fresh(self, prefix: str) -> str:
@@ -147,34 +147,22 @@ class _Bindings:
         return f"{prefix}{self.n}"
 
     def bind(self, inner: Selector) -> str:
-        var = self.by_sel.get(inner)
-        if var is None:
-            var = self.fresh("_in")
-            self.by_sel[inner] = var
-            self.deps[var] = set()
-            self.building.append(var)
+        if inner not in self.by_sel:
+            self.below.append(0)
             x = self.fresh("_x")
-            self.lists[var] = cover_sql(f"filter({ELEMS_COL}, {x} -> {pred_sql(inner, x, self)})", self)
-            self.building.pop()
-        if self.building:
-            self.deps[self.building[-1]].add(var)
-        return var
+            flags = cover_sql(f"filter({ELEMS_COL}, {x} -> {pred_sql(inner, x, self)})", self)
+            level, name = self.below.pop() + 1, self.fresh("_in")
+            self.levels.setdefault(level, []).append((name, flags))
+            self.by_sel[inner] = level, f"_level{level}.{name}"
+        level, ref = self.by_sel[inner]
+        if self.below:
+            self.below[-1] = max(self.below[-1], level)
+        return ref
 
     def wrap(self, expr: str) -> str:
-        order: list[str] = []  # every list after the lists it uses
-        seen: set[str] = set()
-
-        def visit(v: str) -> None:
-            if v not in seen:
-                seen.add(v)
-                for d in sorted(self.deps[v]):
-                    visit(d)
-                order.append(v)
-
-        for v in self.lists:
-            visit(v)
-        for v in reversed(order):  # innermost first; the first of ``order`` ends outermost
-            expr = f"get(transform(array({self.lists[v]}), {v} -> {expr}), 0)"
+        for level in sorted(self.levels, reverse=True):
+            fields = ", ".join(f"'{name}', {flags}" for name, flags in self.levels[level])
+            expr = f"get(transform(array(named_struct({fields})), _level{level} -> {expr}), 0)"
         return expr
 
 
@@ -230,6 +218,37 @@ def select(s: Selector) -> Column:
     return F.expr(select_sql(s))
 
 
+def _tag(s: Selector) -> str | None:
+    """The tag that every match of ``s`` has, if it names one."""
+    tags = {x.tag for x in (s if isinstance(s, tuple) else (s,))}
+    return tags.pop() if len(tags) == 1 else None
+
+
+def select_many(selectors: list[Selector]) -> Column:
+    """``select`` of each selector, as an array of match lists.
+
+    Selectors are bucketed by tag: the page is read once for the elements of
+    each tag that is named, and a selector reads those of its own tag alone.
+    Match lists of descendant tests are shared by all that use them, and a
+    selector whose ``contains`` text the page lacks reads nothing."""
+    b = _Bindings()
+    buckets = {tag: f"_tags.{tag}" for tag in map(_tag, selectors) if tag}
+    hits = []
+    for s in selectors:
+        source = buckets.get(_tag(s) or "", ELEMS_COL)
+        x = b.fresh("_sel")
+        own = f"filter({source}, {x} -> {pred_sql(s, x, b)})"
+        if isinstance(s, Sel) and s.contains is not None:
+            own = f"(CASE WHEN contains({TEXT_COL}, {_q(s.contains)}) THEN {own} ELSE slice({ELEMS_COL}, 1, 0) END)"
+        hits.append(own)
+    expr = b.wrap(f"array({', '.join(hits)})")
+    if buckets:
+        x = b.fresh("_x")
+        fields = ", ".join(f"'{tag}', filter({ELEMS_COL}, {x} -> {x}.tag = {_q(tag)})" for tag in buckets)
+        expr = f"get(transform(array(named_struct({fields})), _tags -> {expr}), 0)"
+    return F.expr(expr)
+
+
 def _record_sql(v: str, r: str, b: _Bindings) -> str:
     """SQL predicate: element ``v`` matches the simple selector *record* ``r`` (a
     struct of ``sources.config.SELECTOR``): what ``pred_sql`` is for one that is

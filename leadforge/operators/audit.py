@@ -1,8 +1,8 @@
 """Q1-Q7: selector coverage audit of listing pages, one projection per page.
 
-All 21 audit selectors are evaluated on the same DOM row (no per-selector
-pass over the table); results are unpivoted with ``posexplode`` so the
-selector order of the list is kept as ``sel_pos``.
+All 21 audit selectors are evaluated on the same DOM row, in buckets by tag
+(``select_many``): a page's elements are read once, its anchors by the selectors
+of anchors.  Results are unpivoted with their place in the list as ``sel_pos``.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadforge import params
-from leadforge.functions.select import Selector, css, sel, select, strip_text, within
+from leadforge.functions.select import Selector, css, sel, select, select_many, strip_text, within
 
 L = sel("a", attrs=[("href", "*=", "/companies/")])
 
@@ -88,12 +88,13 @@ def selector_results(dom: DataFrame, selectors=None, keep: list[str] | None = No
     selectors = AUDIT_SELECTORS if selectors is None else selectors
     keep = list(keep or ["url"])
     items = []
+    many = dom.select(*keep, *[c for c in ("bstext",) if c not in keep], select_many([s for _, s in selectors]).alias("_hits"))
     for pos, (name, s) in enumerate(selectors, start=1):
-        hits = select(s)
+        hits = F.get("_hits", F.lit(pos - 1))
         items.append(F.struct(F.lit(pos).alias("sel_pos"), F.lit(name).alias("selector_name"),
                               F.lit(css(s)).alias("selector"), F.size(hits).alias("n"),
                               _examples(hits).alias("examples")))
-    return dom.select(*keep, F.explode(F.array(*items)).alias("r")).select(*keep, "r.*")
+    return many.select(*keep, F.explode(F.array(*items)).alias("r")).select(*keep, "r.*")
 
 
 def best_selector(results: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -127,7 +128,7 @@ def pagination_analysis(dom: DataFrame, probes=None, keep: list[str] | None = No
     """Q6: pagination probes with at least one hit."""
     probes = PAGINATION_PROBES if probes is None else probes
     keep = list(keep or ["url"])
-    items = [F.struct(F.lit(i).alias("sel_pos"), F.lit(css(s)).alias("selector"), F.size(select(s)).alias("n"))
+    items = [F.struct(F.lit(i).alias("sel_pos"), F.lit(css(s)).alias("selector"), F.size(F.get("_hits", F.lit(i - 1))).alias("n"))
              for i, s in enumerate(probes, start=1)]
-    r = dom.select(*keep, F.explode(F.array(*items)).alias("r")).select(*keep, "r.*")
+    r = dom.select(*keep, select_many(probes).alias("_hits")).select(*keep, F.explode(F.array(*items)).alias("r")).select(*keep, "r.*")
     return r.filter(F.col("n") > 0)

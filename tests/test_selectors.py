@@ -77,3 +77,22 @@ def test_shared_inner_selector_in_comma_list(spark):
     card = sel(cls="card")
     s = (sel("a", inside=sel(cls="card-header")), sel("a", inside=sel("h3", inside=card)), sel("a", inside=sel("h2", inside=card)))
     assert texts(dom, s) == ["h3", "h2"]
+
+
+def test_many_selectors_at_once_equal_one_by_one(spark):
+    from leadforge.functions.select import select_many
+    from leadforge.operators.audit import AUDIT_SELECTORS, PAGINATION_PROBES
+
+    html = ('<main class="content"><div class="card"><h2><a href="/companies/x.html">X</a></h2><a class="card-title" href="/companies/pg-2.html">Next</a></div>'
+            '<ul class="listing"><li><a href="https://www.europages.co.uk/companies/y.html" data-company="1">Y</a></li></ul></main>'
+            '<div id="content"><a href="/companies/z.html">Z</a><span class="next">n</span></div><a rel="next" href="/page/3">3</a>')
+    dom = parse_pages(spark.createDataFrame([("u", html), ("v", ""), ("w", None)], "url string, html string"))
+    sels = [s for _, s in AUDIT_SELECTORS] + PAGINATION_PROBES + [sel("a", contains="Next"), sel("a", contains="none"), (sel("a"), sel("span"))]
+    ids = lambda hits: None if hits is None else [e["id"] for e in hits]
+    many = {r["url"]: r["h"] and [ids(x) for x in r["h"]] for r in dom.select("url", select_many(sels).alias("h")).collect()}
+    single = {r["url"]: [ids(x) for x in r[1:]] for r in dom.select("url", *(select(s) for s in sels)).collect()}
+    assert many["u"] == single["u"] and sum(map(bool, many["u"])) >= 15 and many["v"] == single["v"]
+    passes = lambda *cols: dom.select(*cols)._jdf.queryExecution().optimizedPlan().toString().count("filter(elems#")
+    audit = [s for _, s in AUDIT_SELECTORS]
+    # One list of anchors for 21 selectors; flags of enclosing matches stand once.
+    assert 2 * passes(select_many(audit).alias("h")) < passes(*(select(s).alias(f"s{i}") for i, s in enumerate(audit)))
