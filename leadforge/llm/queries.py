@@ -123,7 +123,7 @@ ORACLES: dict[str, str] = {
     "op12_collocations": """
         WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
         p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
-        w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), x -> x <> '') AS ws FROM p),
+        w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS ws FROM p),
         o AS (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, range(1, 5) AS s(k)),
         f AS (SELECT lang, list_slice(ws, i, i + k - 1) AS ids, count(*) AS f FROM o GROUP BY ALL),
         t AS (SELECT lang, sum(f) AS n FROM f WHERE len(ids) = 1 GROUP BY lang),
