@@ -179,6 +179,14 @@ def _bits(words: np.ndarray, bits: int) -> np.ndarray:
     return np.stack([h & np.uint64(bits - 1), (h >> np.uint64(32)) & np.uint64(bits - 1)])
 
 
+def _passes(held: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Which phrases the Bloom filter lets pass."""
+    able = np.ones(len(words), bool)
+    for p in _bits(words, len(held) * 64):
+        able &= (held[p >> np.uint64(6)] >> (p & np.uint64(63))) & np.uint64(1) == 1
+    return able
+
+
 class _Relation:
     """R_k of a block's row, merge-joined with R_1 on the position behind."""
 
@@ -199,27 +207,33 @@ class _Relation:
         found, self.code = np.unique(code[hit].astype(np.int64) * many + code1[at[hit]], return_inverse=True)
         self.groups = np.column_stack([groups[found // many], (found % many).astype(np.int32)])
 
-    def counted(self) -> pa.RecordBatch:
-        """The distinct groups, by their words' numbers, and their counts."""
+    def counted(self, held: np.ndarray | None) -> pa.RecordBatch:
+        """The distinct groups, by their words' numbers, and their counts; not
+        those whose last k words are infrequent (``held``: the filter of the
+        frequent phrases of k words), as they are themselves."""
         words = self.ids[self.groups]
-        cols = [*words.T, np.bincount(self.code, minlength=len(words))]
+        able = slice(None) if held is None else _passes(held, words[:, 1:])
+        cols = [*words[able].T, np.bincount(self.code, minlength=len(words))[able]]
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=[*(f"w{i}" for i in range(1, self.k + 2)), "n"])
 
     def semi_joined(self, held: np.ndarray) -> pa.RecordBatch:
         """R_(k+1): what the Bloom filter of the frequent groups lets pass."""
-        able = np.ones(len(self.groups), bool)
-        for p in _bits(self.ids[self.groups], len(held) * 64):
-            able &= (held[p >> np.uint64(6)] >> (p & np.uint64(63))) & np.uint64(1) == 1
+        able = _passes(held, self.ids[self.groups])
         new = np.cumsum(able, dtype=np.int32) - 1
         keep = able[self.code]
         row = {"k": self.k + 1, "pos": _steps(self.pos[keep]), "code": _packed(new[self.code[keep]]), "groups": _packed(self.groups[able])}
         return pa.RecordBatch.from_pylist([self.own | row], schema=_RELATION)
 
 
-def _counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in slices(batches, 1):
-        if b.num_rows:
-            yield _Relation(b).counted()
+def _counts(held):
+    """Relations -> counts of the phrases of one word more."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, 1):
+            if b.num_rows:
+                yield _Relation(b).counted(held and held.value)
+
+    return run
 
 
 def _filter(frequent: DataFrame, words: list[str]) -> np.ndarray:
@@ -254,10 +268,11 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     relation = stored(blocks.select("block", "pos", "code").join(known, "block").mapInArrow(_first, RELATION), "relation-1")
     discard(blocks)
     found = [words.select(F.array("id").alias("ids"), "f")]
+    held = None
     for k in range(2, longest + 1):
         columns = [f"w{i}" for i in range(1, k + 1)]
         schema = ", ".join(f"{c} long" for c in [*columns, "n"])
-        frequent = stored(relation.mapInArrow(_counts, schema).groupBy(*columns).agg(F.sum("n").alias("f")).filter(F.col("f") >= least), f"phrases-{k}")
+        frequent = stored(relation.mapInArrow(_counts(held), schema).groupBy(*columns).agg(F.sum("n").alias("f")).filter(F.col("f") >= least), f"phrases-{k}")
         found.append(frequent.select(F.array(*columns).alias("ids"), "f"))
         if k < longest:
             held = spark.sparkContext.broadcast(_filter(frequent, columns))
