@@ -291,7 +291,9 @@ def _compare(pairs: DataFrame, docs: DataFrame, words: int, bits: bool) -> DataF
                                                   pa.array(out[3], pa.list_(pa.int64()))], names=["x", "y", "both", "bits"])
 
     rows = full.select("x", "y", "x_text", "y_text").mapInArrow(run, "x long, y long, both long, bits array<long>")
-    return stored(rows.dropDuplicates(["x", "y"]), "compared")
+    out = stored(rows.dropDuplicates(["x", "y"]), "compared")
+    discard(pairs)
+    return out
 
 
 def _linked(compared: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -313,6 +315,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     docs = _texts(docs, text_col, id_col)
     orders = spark.sparkContext.broadcast(Orders(percent, *frequent(docs, words)))
     signatures = stored(_per_document(docs, words, orders, _signature, SIGNATURES, _SIGNATURES), "signatures")
+    brief = stored(signatures.select("doc_id", "node", "n"), "documents")
     real = signatures.filter("doc_id IS NOT NULL AND n > 0")
     classes = stored(real.groupBy("node").agg(F.min("doc_id").alias("rep"), F.min("check").alias("check"), F.max("check").alias("check2")), "classes")
     if not classes.filter("check != check2").isEmpty():
@@ -333,6 +336,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
             .filter("a != b").select("token", "node", "size", F.lit(0).alias("hot")).distinct())
     members = stored(hot.join(shared, "token").select("token", "node", "size", F.lit(1).alias("hot")).distinct().unionByName(cold), "members")
 
+    discard(signatures)
+
     # The pivot of a shingle is its node of the largest groups in sum: in a
     # family of near copies the one with the fewest shingles of its own.
     weights = stored(members.groupBy("node").agg(F.sum("size").alias("weight"), F.sum(1 - F.col("hot")).alias("cold_shared"))
@@ -358,10 +363,13 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
                     (F.col("n") - F.col("both")).alias("extra"), F.col("own").cast("long").alias("own"), (F.col("hot") == 1).alias("hot")))
     own = (star.select(F.col("x").alias("node")).distinct().join(facts, "node")
            .select(F.col("node").alias("pivot"), "node", "n", "part", F.lit(None).cast("array<long>").alias("bits"), F.lit(None).cast("long").alias("extra"), F.lit(0).cast("long").alias("own"), F.lit(False).alias("hot")))
-    rows = stored(rows.unionByName(own), "rows")
+    old, rows = (star, compared, facts, weights), stored(rows.unionByName(own), "rows")
+    for table in old:
+        discard(table)
     main = (rows.groupBy("pivot", "part").agg(F.count("*").alias("m")).groupBy("pivot")
             .agg(F.max(F.struct("m", "part")).alias("top"), F.count("*").alias("parts")).filter("parts > 1").select("pivot", F.col("top.part").alias("main")))
     open_rows = stored(rows.join(stored(main, "main"), "pivot").withColumn("stray", F.col("part") != F.col("main")).drop("main"), "open")
+    discard(rows)
     a = open_rows.filter("stray").select("pivot", *(F.col(c).alias(f"a_{c}") for c in ("node", "n", "part", "bits", "extra", "own", "hot")))
     b = open_rows.filter("node != pivot").select("pivot", "stray", *(F.col(c).alias(f"b_{c}") for c in ("node", "n", "part", "bits", "extra", "own", "hot")))
     total = F.col("a_n") + F.col("b_n")
@@ -379,6 +387,6 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     degree = named.select("x").union(named.select("y")).groupBy(F.col("x").alias("rep")).agg(F.count("*").alias("n_links"))
     of_node = stored(classes.select("node", "rep").join(final, "rep", "left").join(degree, "rep", "left")
                      .select("node", F.coalesce("component", "rep").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links")), "component")
-    return (signatures.select("doc_id", "node", "n").join(of_node, "node", "left")
+    return (brief.join(of_node, "node", "left")
             .select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
                     F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id")))
