@@ -6,13 +6,18 @@ skipped.  Here listing pages arrive as files ``(sector, sector_ord, page_no,
 url, html)``; every micro-batch
 
 1. parses its pages and extracts company links (D1, D2),
-2. keeps the first occurrence of each URL among the rows that a task holds at
-   once (order ``sector_ord, sector, page_no, link_pos``), so that a URL which
+2. keeps the first occurrence of each URL in a task (order ``sector_ord,
+   sector, page_no, link_pos``; a partial aggregate), so that a URL which
    holds a third of all rows is shuffled as a few,
-3. asks the state store, keyed by URL, whether the URL has been seen; if not,
-   the batch's first occurrence is emitted and remembered, and
+3. asks the state store, keyed by URL, whether the URL has been seen: the state
+   has the times of the first and the last batch with it, and its first link.
+   Where both times are the batch's own the URL is new, and its link is
+   emitted, and
 4. writes the new links as folder ``batch_id=<n>``.
 
+Steps 2 and 3 are one streaming aggregation: a URL costs no Python, and a task
+holds in memory what an aggregate of its rows holds.
+
 A batch reads and writes the state of its own URLs alone: its time does not
 grow with the number of batches or URLs before it.  The state lives in RocksDB
 on the executors and, as changes, in the stream's checkpoint folder, from where
@@ -22,12 +27,9 @@ retried batch is idempotent.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from leadforge.operators import directory as D
 from leadforge.operators.dom import parse_pages
@@ -41,39 +43,18 @@ LISTING_SCHEMA = T.StructType([
 ])
 #: The order in which links count as first.
 ORDER = ["sector_ord", "sector", "page_no", "link_pos"]
-LINKS = "sector string, sector_ord int, page_no int, link_pos int, name string, company_url string"
-NEW = "company_url string, sector string, page_no int, link_pos int, name string"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _first(links: pd.DataFrame) -> pd.DataFrame:
-    return links.sort_values(ORDER, na_position="first", kind="stable").drop_duplicates("company_url")
-
-
-def _firsts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for links in batches:
-        yield _first(links)
-
-
-def _unseen(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """The URL's first row of this batch, if no batch before had one."""
-    best = None
-    for rows in batches:
-        if not state.exists:
-            best = _first(rows if best is None else pd.concat([best, rows]))
-    if not state.exists:
-        state.update((True,))
-        yield best[["company_url", "sector", "page_no", "link_pos", "name"]]
-
-
 def new_links(pages: DataFrame) -> DataFrame:
     """Steps 1-3 on a stream of listing pages."""
     dom = parse_pages(pages, keep=["sector", "sector_ord", "page_no", "url"])
     links = D.company_links(dom, keep=["sector", "sector_ord", "page_no"])
-    columns = [f.split()[0] for f in LINKS.split(", ")]
-    return (links.select(*columns).mapInPandas(_firsts, LINKS).groupBy("company_url")
-            .applyInPandasWithState(_unseen, NEW, "seen boolean", "append", GroupStateTimeout.NoTimeout))
+    timed = links.withColumn("now", F.current_timestamp())  # the batch's own time, the same when it is repeated
+    seen = timed.groupBy("company_url").agg(
+        F.min("now").alias("since"), F.max("now").alias("last"), F.min(F.struct(*ORDER, "name")).alias("link"))
+    return seen.filter("since = last").select("company_url", "link.sector", "link.page_no", "link.link_pos", "link.name")
 
 
 def start(spark: SparkSession, source_dir: str, history_dir: str, checkpoint_dir: str,
@@ -92,6 +73,6 @@ def start(spark: SparkSession, source_dir: str, history_dir: str, checkpoint_dir
     stream = spark.readStream.schema(LISTING_SCHEMA)
     if files_per_batch:
         stream = stream.option("maxFilesPerTrigger", files_per_batch)
-    writer = new_links(stream.parquet(source_dir)).writeStream.foreachBatch(process).option("checkpointLocation", checkpoint_dir)
+    writer = new_links(stream.parquet(source_dir)).writeStream.outputMode("update").foreachBatch(process).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from leadforge.sources import fixtures as FX
-from leadforge.streaming.seen_links import LISTING_SCHEMA, start
+from leadforge.streaming.seen_links import LISTING_SCHEMA, new_links, start
 
 
 def test_stream_drops_links_seen_in_earlier_batches(spark):
@@ -75,3 +75,21 @@ def test_time_of_a_batch_does_not_grow(spark):
     assert median(took[-15:]) <= 1.5 * median(took[5:20])
     out = spark.read.parquet(hist)
     assert out.count() == out.select("company_url").distinct().count() == 24 * 40 + 80
+
+
+def test_a_url_costs_no_python(spark):
+    """A call of Python per URL held gigabytes in an executor's workers."""
+    root = tempfile.mkdtemp(prefix="leadforge-stream-")
+    plan = new_links(spark.readStream.schema(LISTING_SCHEMA).parquet(root))._jdf.queryExecution().analyzed().toString()
+    assert "MapInArrow" in plan and "Aggregate" in plan
+    assert "FlatMapGroups" not in plan and "MapInPandas" not in plan
+
+
+def test_null_and_repeated_links_count_once_across_batches(spark):
+    root = tempfile.mkdtemp(prefix="leadforge-stream-")
+    src, hist, ckpt = (os.path.join(root, d) for d in ("src", "hist", "ckpt"))
+    for rows in ([("b", None, 2, ["http://c/1", "http://c/1"])], [("a", 1, 1, ["http://c/1", "http://c/2"])], [("a", 1, 1, ["http://c/2", "http://c/1"])]):
+        _page(spark, rows).write.mode("append").parquet(src)
+        start(spark, src, hist, ckpt).awaitTermination()
+    got = spark.read.parquet(hist).select("batch_id", "company_url", "sector", "page_no", "link_pos").collect()
+    assert sorted(map(tuple, got)) == [(0, "http://c/1", "b", 2, 1), (1, "http://c/2", "a", 1, 2)]
