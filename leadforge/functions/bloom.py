@@ -16,9 +16,8 @@ from pyspark.sql import functions as F
 BITS = 1 << 23
 
 
-def _places(key: Column, bits: int) -> list[Column]:
+def _places(h: Column, bits: int) -> list[Column]:
     """Two bit numbers from the halves of one 64-bit hash."""
-    h = F.xxhash64(key)
     mask = F.lit(bits - 1)
     return [h.bitwiseAND(mask), F.shiftrightunsigned(h, 32).bitwiseAND(mask)]
 
@@ -27,7 +26,8 @@ def bloom(keys: DataFrame, key: str | Column, bits: int = BITS) -> DataFrame:
     """One row ``words``: ``bits`` (a power of two, 64 at least) over the keys;
     null keys are left out."""
     key = F.col(key) if isinstance(key, str) else key
-    places = keys.filter(key.isNotNull()).select(F.explode(F.array(*_places(key, bits))).alias("p"))
+    hashes = keys.select(F.explode(F.array(F.when(key.isNotNull(), F.xxhash64(key)))).alias("h")).filter("h IS NOT NULL")
+    places = hashes.select(F.explode(F.array(*_places(F.col("h"), bits))).alias("p"))
     held = places.select(F.shiftright("p", 6).alias("word"), F.expr("shiftleft(1L, CAST(p & 63 AS INT))").alias("v")).groupBy("word").agg(F.bit_or("v").alias("v"))
     every = keys.sparkSession.range(bits >> 6).withColumnRenamed("id", "word")
     filled = every.join(held, "word", "left").select("word", F.coalesce("v", F.lit(0).cast("long")).alias("v"))
@@ -38,5 +38,5 @@ def maybe_in(words: DataFrame, key: str | Column, bits: int = BITS) -> Column:
     """Whether the key may be in the filter (false for null keys)."""
     key = F.col(key) if isinstance(key, str) else key
     held = words.scalar()
-    tests = [F.getbit(F.get(held, F.shiftright(p, 6).cast("int")), p.bitwiseAND(F.lit(63)).cast("int")) == 1 for p in _places(key, bits)]
+    tests = [F.getbit(F.get(held, F.shiftright(p, 6).cast("int")), p.bitwiseAND(F.lit(63)).cast("int")) == 1 for p in _places(F.xxhash64(key), bits)]
     return key.isNotNull() & tests[0] & tests[1]

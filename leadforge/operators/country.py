@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from leadforge import params
 from leadforge.functions.country import dictionary_country, normalize_country
-from leadforge.functions.select import Selector, attr, raw_text, sel, select, strip_text
+from leadforge.functions.select import Selector, attr, raw_text, sel, select, select_many, strip_text
 from leadforge.functions.urls import country_from_url
 
 V = params.FLAG_SPAN_ATTR
@@ -95,7 +95,7 @@ def by_selectors(selectors: list[Selector] | None = None) -> Column:
     The candidate texts of all selectors are gathered into one array in
     (selector, document) order and the dictionary runs once over it."""
     selectors = LOCATION_SELECTORS if selectors is None else selectors
-    texts = F.concat(*[F.transform(select(s), lambda e: F.lower(strip_text(e))) for s in selectors])
+    texts = F.transform(F.flatten(select_many(selectors)), lambda e: F.lower(strip_text(e)))
     found = F.transform(texts, lambda t: F.when(F.length(t) <= params.COUNTRY_TEXT_MAX, dictionary_country(t)))
     return _first(found)
 

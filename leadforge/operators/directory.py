@@ -217,8 +217,10 @@ def _host(url: Column) -> Column:
 
 def _features(listing_dom: DataFrame, index: DataFrame) -> DataFrame:
     """A page under the selector pairs that ``index(host, sel_key,
-    link_selector, pagination_selector)`` has for its host."""
-    dom = listing_dom.withColumn("_host", _host(F.col("url"))).join(index.withColumnRenamed("host", "_host"), "_host")
+    link_selector, pagination_selector)`` has for its host.  The index, no larger
+    than the config, goes to the pages: joined by host, all pages of a directory
+    (one host) would meet in one task."""
+    dom = listing_dom.withColumn("_host", _host(F.col("url"))).join(F.broadcast(index.withColumnRenamed("host", "_host")), "_host")
     links = F.transform(F.filter(select_by("link_selector"), lambda a: F.coalesce(a["attrs"]["href"] != F.lit(""), F.lit(False))),
                         lambda a: F.struct(a["attrs"]["href"].alias("href"), company_name(a).alias("name"), name_source(a).alias("name_source")))
     hits = [F.get(select_by("pagination_selector"), 0), *map(select_one, NEXT_FALLBACKS)]

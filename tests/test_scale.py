@@ -10,6 +10,8 @@ from leadforge.operators import discovery as P
 from leadforge.operators.dom import parse_pages
 from leadforge.functions.select import sel, select, select_by
 from leadforge.sources.config import CONFIG_SCHEMA, SELECTOR, read_config
+from conftest import SF_SMALL
+from leadforge.sources.fixtures import fixture_sector_config
 from leadforge.sources.pages import lookup_pages, url_key
 
 
@@ -116,3 +118,34 @@ def test_selector_records_match_as_selectors_do(spark):
     got = {r["i"]: [e["id"] for e in r["hits"]] for r in dom.join(records).select("i", select_by("r").alias("hits")).collect()}
     want = {i: [e["id"] for e in dom.select(select(s).alias("h")).first()["h"]] for i, (_, s) in enumerate(cases)}
     assert got == want and sum(map(bool, want.values())) >= 10
+
+
+def test_pages_of_a_lookup_stay_dealt_over_all_parts(spark):
+    """AQE joins parts by their bytes; the parse behind a lookup must not run in one."""
+    pages = spark.createDataFrame([(f"http://x/{i}", "<p>x</p>") for i in range(400)], "url string, html string")
+    out = lookup_pages(spark.createDataFrame([(f"http://x/{i}",) for i in range(400)], "url string"), pages)
+    parts = out.groupBy(F.spark_partition_id().alias("p")).count().count()
+    assert parts == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_key_of_a_page_is_computed_once(spark):
+    pages = spark.createDataFrame([("http://x/1", "<p>x</p>")], "url string, html string")
+    out = lookup_pages(spark.createDataFrame([("http://x/1",)], "url string"), pages)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if "Filter" in line and "getbit" in line]
+    assert filters and not any("regexp_extract" in line for line in filters)
+
+
+def test_listing_pages_of_one_host_stay_where_they_are(spark):
+    """One directory is one host: a shuffle by host sends all its pages to a task."""
+    html = '<html><body><a data-test="company-name" href="/c">Company</a></body></html>'
+    listings = spark.createDataFrame([(f"http://dir/{i}", html) for i in range(64)], "url string, html string").repartition(8)
+    config = fixture_sector_config(spark, SF_SMALL).withColumn("url", F.lit("http://dir/0"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        features = D.listing_features(parse_pages(listings), config)
+        assert features.count() == 64 * config.select(D.selector_key()).distinct().count()
+        assert features.rdd.getNumPartitions() == 8
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
