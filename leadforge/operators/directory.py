@@ -207,8 +207,9 @@ def limit_per_group(df: DataFrame, group: list[str], order: list[str], n: int |
 
 
 def selector_key() -> Column:
-    """What a sector's selectors are known by in the feature tables."""
-    return F.to_json(F.struct("link_selector", "pagination_selector"))
+    """What a sector's selectors are known by in the feature tables and in every
+    node of the walks: a digest, a tenth of the records' length."""
+    return F.md5(F.to_json(F.struct("link_selector", "pagination_selector")).cast("binary"))
 
 
 def _host(url: Column) -> Column:

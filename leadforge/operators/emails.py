@@ -144,17 +144,18 @@ def site_emails(visits: DataFrame, key: list[str], stop_at: int | None = params.
 
     Page ``k`` is visited iff fewer than ``stop_at`` addresses were first seen
     on pages ``< k``.  Per key there are at most 7 ranks, so the window is tiny;
-    the per-(key, email) minimum is a partial aggregate.
+    the per-(key, email) minimum is a partial aggregate.  A rank keeps its
+    addresses, no more than its page holds, so the visits are computed once.
     """
     first = visits.groupBy(*key, "email").agg(F.min("rank").alias("first_rank"))
     if stop_at is None:  # every page is visited
         return first
-    per_rank = first.groupBy(*key, "first_rank").agg(F.count("*").alias("n_new"))
+    per_rank = first.groupBy(*key, "first_rank").agg(F.count("*").alias("n_new"), F.collect_list(F.struct("email")).alias("_new"))
     w = Window.partitionBy(*key).orderBy("first_rank").rowsBetween(Window.unboundedPreceding, -1)
     visited = per_rank.withColumn("held_before", F.coalesce(F.sum("n_new").over(w), F.lit(0))).filter(
         F.col("held_before") < stop_at
     )
-    return first.join(visited.select(*key, "first_rank"), [*key, "first_rank"], "left_semi")
+    return visited.select(*key, "first_rank", F.explode("_new").alias("_e")).select(*key, "_e.email", "first_rank")
 
 
 def dedup_emails(rows: DataFrame, group: list[str], order: list[str], payload: list[str]) -> DataFrame:

@@ -129,15 +129,19 @@ def run(config: DataFrame, listings: DataFrame, pages: DataFrame, limit: int | N
     all_cands = home_cands.unionByName(page_cands.join(home_cands.select("page_url"), "page_url", "left_anti"))
 
     # The keyword lists come from the sector config: one row per configured sector.
+    # They go to the visits: joined by sector, a sector's visits would meet in one task.
     keywords = config.select("sector", F.coalesce("business_domain_keywords", F.array().cast("array<string>"))
                              .alias("custom"))
     # E12 depends only on the site and the sector's keyword list, so it runs
     # once per (sector, site): a site shared by many companies is visited once.
     site_keys = with_site.select("sector", F.col("website_url").alias("site_url")).distinct()
+    # Dealt like the lookups, into a number of parts that AQE keeps: the cleaning
+    # behind the join costs far more than the few bytes of the candidates show.
+    parts = int(config.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     visits = (
-        site_keys.join(to_check, "site_url")
-        .join(all_cands, "page_url")
-        .join(keywords, "sector")
+        site_keys.join(to_check, "site_url").repartition(parts, "page_url")
+        .join(all_cands.repartition(parts, "page_url"), "page_url")
+        .join(F.broadcast(keywords), "sector")
     )
     emails = E.page_emails(visits, ["sector", "site_url", "rank"], custom_col="custom", match=match)
     per_site = E.site_emails(emails, ["sector", "site_url"], stop_at)
