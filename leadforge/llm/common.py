@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from leadforge.session import ensure_checkpoint_dir
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share: the session's
@@ -22,10 +24,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
     Cuts the lineage: a lost executor costs a re-read, never the work above.
+    Nothing reads the write's shuffles again, so they go with its end and not
+    when the driver collects garbage: the disk holds those of one write.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_path = path
     return out
