@@ -51,6 +51,8 @@ ABSORBED = 80
 SCALE = 2_000_000
 BLOCK_WORDS, STEP_BYTES = 1 << 21, 1 << 20
 BLOOM_BITS = 1 << 26
+#: Counts that a task sums over its blocks before they leave it.
+COUNT_ROWS = 1 << 19
 
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\n\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 10 + b" ")
 _BREAK = re.compile(rb"[.,;:!?\n\x0b\x0c\r]")
@@ -207,14 +209,13 @@ class _Relation:
         found, self.code = np.unique(code[hit].astype(np.int64) * many + code1[at[hit]], return_inverse=True)
         self.groups = np.column_stack([groups[found // many], (found % many).astype(np.int32)])
 
-    def counted(self, held: np.ndarray | None) -> pa.RecordBatch:
+    def counted(self, held: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
         """The distinct groups, by their words' numbers, and their counts; not
         those whose last k words are infrequent (``held``: the filter of the
         frequent phrases of k words), as they are themselves."""
         words = self.ids[self.groups]
         able = slice(None) if held is None else _passes(held, words[:, 1:])
-        cols = [*words[able].T, np.bincount(self.code, minlength=len(words))[able]]
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=[*(f"w{i}" for i in range(1, self.k + 2)), "n"])
+        return words[able], np.bincount(self.code, minlength=len(words))[able]
 
     def semi_joined(self, held: np.ndarray) -> pa.RecordBatch:
         """R_(k+1): what the Bloom filter of the frequent groups lets pass."""
@@ -225,13 +226,32 @@ class _Relation:
         return pa.RecordBatch.from_pylist([self.own | row], schema=_RELATION)
 
 
+def _summed(counts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """The counts of several blocks, equal phrases as one row (those that a
+    collision of hashes keeps apart are added up later, like other tasks')."""
+    words, n = (np.concatenate(c) for c in zip(*counts))
+    if len(counts) > 1 and len(n):
+        order = np.argsort(mix(words))
+        words, n = words[order], n[order]
+        new = np.flatnonzero(np.append(True, (words[1:] != words[:-1]).any(axis=1)))
+        words, n = words[new], np.add.reduceat(n, new)
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in [*words.T, n]], names=[*(f"w{i}" for i in range(1, words.shape[1] + 1)), "n"])
+
+
 def _counts(held):
     """Relations -> counts of the phrases of one word more."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, size = [], 0
         for b in slices(batches, 1):
             if b.num_rows:
-                yield _Relation(b).counted(held and held.value)
+                counts.append(_Relation(b).counted(held.value if held else None))
+                size += len(counts[-1][1])
+                if size >= COUNT_ROWS:
+                    yield _summed(counts)
+                    counts, size = [], 0
+        if counts:
+            yield _summed(counts)
 
     return run
 
