@@ -9,9 +9,11 @@ a semi-join with the frequent groups leaves R_(k+1).
 The relations are persisted as tables of blocks: a row holds the sorted columns
 of up to ``BLOCK_WORDS`` words of one language, and pieces never span blocks (a
 break takes a position of its own, so that words of two pieces never stand next
-to each other).  A merge join is thus local to a block.  What is shuffled are
-the *distinct* groups of a block with their counts, however often they occur in
-it.  Counts are exact: a word is known by the number that the table of frequent
+to each other).  A merge join is thus local to a block.  Blocks of one language
+lie together, some ``TOGETHER`` in a file, and what is shuffled are the
+*distinct* groups of a task's blocks with their counts, however often they occur
+in them: a task of blocks of every language would send the groups of each, and
+all tasks nearly the same ones.  Counts are exact: a word is known by the number that the table of frequent
 words gave it, a longer phrase by its words' numbers.  The semi-join of words is
 a join; that of phrases tests a Bloom filter of the frequent ones, of
 ``BLOOM_BITS`` bits whatever their number, so that R_k holds some infrequent
@@ -52,7 +54,10 @@ SCALE = 2_000_000
 BLOCK_WORDS, STEP_BYTES = 1 << 21, 1 << 20
 BLOOM_BITS = 1 << 26
 #: Counts that a task sums over its blocks before they leave it.
-COUNT_ROWS = 1 << 19
+COUNT_ROWS = 1 << 20
+#: Blocks of a language are put together from so many tasks (as a power of two),
+#: and of so many blocks in a row of each.
+TOGETHER = 2, 5
 
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\n\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 10 + b" ")
 _BREAK = re.compile(rb"[.,;:!?\n\x0b\x0c\r]")
@@ -151,16 +156,18 @@ def _block_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _first(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks with their frequent words ``known`` -> R_1."""
+    """Blocks, each behind the row of its frequent words ``known`` -> R_1."""
+    owner = known = None
     for b in slices(batches, 1):
-        if b.num_rows:
+        if b.num_rows and not b.column("code")[0].is_valid:
+            owner, known = b.column("block")[0].as_py(), b.column("known").flatten()
+        elif b.num_rows and b.column("block")[0].as_py() == owner:  # others have no frequent word
             pos, code = _positions(b.column("pos")[0].as_py()), _unpacked(b.column("code")[0].as_py())
-            known = b.column("known").flatten()
             codes, ids = known.field("code").to_numpy(), known.field("id").to_numpy()
             new = np.full(int(max(code.max(initial=-1), codes.max(initial=-1))) + 1, -1, np.int32)
             new[codes] = np.arange(len(codes), dtype=np.int32)
             code = new[code]
-            row = {"block": b.column("block")[0].as_py(), "k": 1, "pos1": _steps(pos[code >= 0]), "code1": _packed(code[code >= 0]),
+            row = {"block": owner, "k": 1, "pos1": _steps(pos[code >= 0]), "code1": _packed(code[code >= 0]),
                    "ids1": _packed(ids, "<i8")}
             yield pa.RecordBatch.from_pylist([row], schema=_RELATION)
 
@@ -226,7 +233,7 @@ class _Relation:
         return pa.RecordBatch.from_pylist([self.own | row], schema=_RELATION)
 
 
-def _summed(counts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+def _added(counts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """The counts of several blocks, equal phrases as one row (those that a
     collision of hashes keeps apart are added up later, like other tasks')."""
     words, n = (np.concatenate(c) for c in zip(*counts))
@@ -235,6 +242,11 @@ def _summed(counts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         words, n = words[order], n[order]
         new = np.flatnonzero(np.append(True, (words[1:] != words[:-1]).any(axis=1)))
         words, n = words[new], np.add.reduceat(n, new)
+    return words, n
+
+
+def _summed(counts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    words, n = _added(counts)
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in [*words.T, n]], names=[*(f"w{i}" for i in range(1, words.shape[1] + 1)), "n"])
 
 
@@ -248,8 +260,11 @@ def _counts(held):
                 counts.append(_Relation(b).counted(held.value if held else None))
                 size += len(counts[-1][1])
                 if size >= COUNT_ROWS:
-                    yield _summed(counts)
-                    counts, size = [], 0
+                    counts = [_added(counts)]
+                    size = len(counts[0][1])
+                    if 2 * size >= COUNT_ROWS:
+                        yield _summed(counts)
+                        counts, size = [], 0
         if counts:
             yield _summed(counts)
 
@@ -284,8 +299,13 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     # The semi-join: most of a block's words are infrequent, and stop here.
     key = F.xxhash64("lang", "word")
     known = (entries.filter(maybe_in(bloom(words, key), key)).join(words.select("lang", "word", "id"), ["lang", "word"])
-             .groupBy("block").agg(F.collect_list(F.struct("code", "id")).alias("known")))
-    relation = stored(blocks.select("block", "pos", "code").join(known, "block").mapInArrow(_first, RELATION), "relation-1")
+             .groupBy("lang", "block").agg(F.collect_list(F.struct("code", "id")).alias("known")))
+    # A block and its words meet where the blocks of its language do.
+    tasks, row = TOGETHER
+    rows = (blocks.select("lang", "block", "pos", "code").unionByName(known, allowMissingColumns=True)
+            .withColumns({"task": F.shiftright("block", 32 + tasks), "row": F.shiftright(F.col("block").bitwiseAND(F.lit((1 << 32) - 1)), row)}))
+    rows = rows.repartition("lang", "task", "row").sortWithinPartitions("lang", "block", F.col("code").isNotNull())
+    relation = stored(rows.select("block", "pos", "code", "known").mapInArrow(_first, RELATION), "relation-1")
     discard(blocks)
     found = [words.select(F.array("id").alias("ids"), "f")]
     held = None

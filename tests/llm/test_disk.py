@@ -31,3 +31,19 @@ def test_counts_of_several_blocks_are_one_row_a_phrase():
     got = collocations._summed([a, b]).to_pylist()
     assert sorted((r["w1"], r["w2"], r["n"]) for r in got) == [(1, 2, 5), (1, 3, 1), (3, 4, 16)]
     assert collocations._summed([(np.empty((0, 3), np.int64), np.empty(0, np.int64))]).num_rows == 0
+
+
+def test_blocks_of_a_language_are_counted_together(spark, monkeypatch):
+    kept = {}
+    monkeypatch.setattr(collocations, "stored", lambda df, name: kept.setdefault(name, stored(df, name)))
+    monkeypatch.setattr(collocations, "discard", lambda table: None)
+    rows = [(lang, f"{lang} a b c d e f g h {lang}. {lang} a b") for _ in range(10) for lang in ("de", "en", "fr", "it")]
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(4)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        collocations.frequent_phrases(docs, least=10, longest=2)
+        counted = kept["relation-1"].mapInArrow(collocations._counts(None), "w1 long, w2 long, n long").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert len(counted) == 4 * 9 and sum(r["n"] for r in counted) == 40 * 11
