@@ -14,10 +14,10 @@ texts are compared exactly.
 - Groups of near copies never become pairs.  Nodes that share a prefix shingle
   are compared with one pivot, the node whose shingles stand in the largest
   groups; the links make components.  Then only nodes outside a pivot's
-  largest component are held against the nodes of its other components, and
-  of those pairs only the ones are compared that the bits of the pivot's
-  shingles which both hold leave possible.  Every pair that may link is
-  compared, already connected, or excluded by a bound.
+  largest component are held against the nodes of its other components that
+  met it in the same shingle, and of those pairs only the ones are compared
+  that the bits of the pivot's shingles which both hold leave possible.  Every
+  pair that may link is compared, already connected, or excluded by a bound.
 
 Edge cases: null, empty and blank texts have no shingles and no links; a text
 of fewer than n words is one shingle; null ids get their count, but no
@@ -352,7 +352,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
                      .join(nodes.select("node", "n"), "node"), "weights")
     pivots = stored(members.join(weights, "node").groupBy("token").agg(F.max(F.struct("weight", "node", "n")).alias("p"))
                     .select("token", F.col("p.node").alias("x"), F.col("p.n").alias("x_n")), "pivots")
-    pairs = members.join(pivots, "token").filter("x != node").groupBy("x", "x_n", F.col("node").alias("y")).agg(F.max("hot").alias("hot"))
+    pairs = members.join(pivots, "token").filter("x != node").groupBy("x", "x_n", F.col("node").alias("y")).agg(F.max("hot").alias("hot"), F.collect_set(F.shiftright("token", 32).cast("int")).alias("tokens"))
     star = stored(pairs.join(weights.select(F.col("node").alias("y"), F.col("n").alias("y_n")), "y"), "star")
     discard(members), discard(pivots), discard(shared)
     compared = _compare(_filtered(star.filter(_sizes(percent)).select("x", "y", "hot"), nodes).filter("able OR hot = 1"), docs, words, bits=True)
@@ -366,11 +366,11 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     parts = components(links).withColumnsRenamed({"id": "node", "component": "part"})
     facts = stored(nodes.select("node", "n", "n_cold").join(weights.select("node", "cold_shared"), "node").join(parts, "node", "left")
                    .select("node", "n", F.coalesce("part", "node").alias("part"), (F.col("n_cold") - F.col("cold_shared")).alias("own")), "facts")
-    rows = (star.select("x", "y", "hot").join(compared, ["x", "y"], "left").join(facts.withColumnRenamed("node", "y"), "y")
-            .select(F.col("x").alias("pivot"), F.col("y").alias("node"), "n", "part", "bits",
+    rows = (star.select("x", "y", "hot", "tokens").join(compared, ["x", "y"], "left").join(facts.withColumnRenamed("node", "y"), "y")
+            .select(F.col("x").alias("pivot"), F.col("y").alias("node"), "n", "part", "bits", "tokens",
                     (F.col("n") - F.col("both")).alias("extra"), F.col("own").cast("long").alias("own"), (F.col("hot") == 1).alias("hot")))
     own = (star.select(F.col("x").alias("node")).distinct().join(facts, "node")
-           .select(F.col("node").alias("pivot"), "node", "n", "part", F.lit(None).cast("array<long>").alias("bits"), F.lit(None).cast("long").alias("extra"), F.lit(0).cast("long").alias("own"), F.lit(False).alias("hot")))
+           .select(F.col("node").alias("pivot"), "node", "n", "part", F.lit(None).cast("array<long>").alias("bits"), F.lit(None).cast("array<int>").alias("tokens"), F.lit(None).cast("long").alias("extra"), F.lit(0).cast("long").alias("own"), F.lit(False).alias("hot")))
     old, rows = (star, compared, facts, weights), stored(rows.unionByName(own), "rows")
     for table in old:
         discard(table)
@@ -378,14 +378,14 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
             .agg(F.max(F.struct("m", "part")).alias("top"), F.count("*").alias("parts")).filter("parts > 1").select("pivot", F.col("top.part").alias("main")))
     open_rows = stored(rows.join(stored(main, "main"), "pivot").withColumn("stray", F.col("part") != F.col("main")).drop("main"), "open")
     discard(rows)
-    a = open_rows.filter("stray").select("pivot", *(F.col(c).alias(f"a_{c}") for c in ("node", "n", "part", "bits", "extra", "own", "hot")))
-    b = open_rows.filter("node != pivot").select("pivot", "stray", *(F.col(c).alias(f"b_{c}") for c in ("node", "n", "part", "bits", "extra", "own", "hot")))
+    a = open_rows.filter("stray").select("pivot", *(F.col(c).alias(f"a_{c}") for c in ("node", "n", "part", "bits", "tokens", "extra", "own", "hot")))
+    b = open_rows.filter("node != pivot").select("pivot", "stray", *(F.col(c).alias(f"b_{c}") for c in ("node", "n", "part", "bits", "tokens", "extra", "own", "hot")))
     total = F.col("a_n") + F.col("b_n")
     common = F.aggregate(F.zip_with("a_bits", "b_bits", lambda v, w: F.bit_count(v.bitwiseAND(w))), F.lit(0), lambda acc, c: acc + c)
     beyond = lambda c: F.col(f"{c}_extra") - F.when(F.col("a_hot") & F.col("b_hot"), F.col(f"{c}_own")).otherwise(0)
     able = F.coalesce((100 + percent) * (common + F.least(beyond("a"), beyond("b"))) >= percent * total, F.lit(True))
     rest = (a.filter("a_node != pivot").join(b, (a["pivot"] == b["pivot"]) & (F.col("a_part") != F.col("b_part")) & (~F.col("stray") | (F.col("a_node") < F.col("b_node")))
-                   & (100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")) & able)
+                   & (100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")) & F.arrays_overlap("a_tokens", "b_tokens") & able)
             .select(F.least("a_node", "b_node").alias("x"), F.greatest("a_node", "b_node").alias("y")).distinct())
     rest = stored(rest, "rest")  # by itself: its joins' shuffles are gone when prefixes are shipped
     few = stored(_sharing(rest, nodes, "second"), "few")

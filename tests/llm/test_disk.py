@@ -47,3 +47,14 @@ def test_blocks_of_a_language_are_counted_together(spark, monkeypatch):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", before)
     assert len(counted) == 4 * 9 and sum(r["n"] for r in counted) == 40 * 11
+
+
+def test_nodes_that_meet_a_pivot_in_different_shingles_are_no_pair(docs_of, monkeypatch):
+    kept = {}
+    monkeypatch.setattr(jaccard, "stored", lambda df, name: kept.setdefault(name, stored(df, name)) if name in ("rest", "star") else stored(df, name))
+    monkeypatch.setattr(jaccard, "discard", lambda table: None)
+    parts = [[f"w{i}x{k}" for k in range(20)] for i in range(40)]
+    rows = [(0, " ".join(w for p in parts for w in p))] + [(1 + i, " ".join([*p, *(f"own{i}x{k}" for k in range(5))])) for i, p in enumerate(parts)]
+    got = jaccard.near_duplicates(docs_of(rows), 4, 85).collect()
+    assert all(r["component_id"] == r["doc_id"] for r in got)
+    assert kept["star"].count() >= 5 and kept["rest"].count() == 0
