@@ -47,6 +47,21 @@ def discard(table: DataFrame) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+_KEPT: dict[str, dict] = {}
+
+
+def worker_cache(operator: str) -> dict:
+    """What this Python worker keeps for an operator from task to task.
+
+    Workers outlive a query's stages and count to their executor's memory: what
+    was kept for the operator before goes when the next one asks.
+    """
+    if operator not in _KEPT:
+        _KEPT.clear()
+        _KEPT[operator] = {}
+    return _KEPT[operator]
+
+
 def slices(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
     """Arrow batches in smaller steps: what a worker makes of whole texts of
     one step is all that it holds."""

@@ -26,14 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .common import hash_sample
+from .common import hash_sample, worker_cache
 
 WINDOW = 64  # bytes
 HIDDEN = 12  # units a direction
 SAMPLE_BUCKETS, SAMPLE_CHARS = 768, 768
 STEPS, BATCH, RATE = 260, 384, 0.02
-#: Windows that are read at once in prediction.
-BLOCK = 4096
+#: Windows that are read at once in prediction: their states take 12 MB.
+BLOCK = 1024
 
 _LETTER = regex.compile(r"\p{L}")
 
@@ -238,6 +238,7 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> Dat
     out = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("language_id")
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 b = whole.slice(at, 512)

@@ -19,6 +19,8 @@ import pyarrow.compute as pc
 import regex
 from tokenizers import Tokenizer
 
+from .common import worker_cache
+
 #: Entries and characters of keys of the cache's young generation.
 CACHE_ENTRIES, CACHE_CHARS = 250_000, 4_000_000
 #: Texts and bytes that are encoded together.
@@ -197,15 +199,12 @@ class PieceEncoder:
         return b"".join(plan)
 
 
-_ENCODERS: dict[tuple, PieceEncoder] = {}
-
-
 def piece_encoder(path: str, special: bool = True) -> PieceEncoder:
     """This worker's encoder (a Python worker serves many tasks)."""
-    key = (path, special)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = PieceEncoder(path, special)
-    return _ENCODERS[key]
+    encoders, key = worker_cache("tokens"), (path, special)
+    if key not in encoders:
+        encoders[key] = PieceEncoder(path, special)
+    return encoders[key]
 
 
 def default_vocab() -> str:

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from leadforge.llm import collocations, jaccard
-from leadforge.llm.common import stored
+from leadforge.llm.common import stored, worker_cache
 
 
 def test_shuffles_of_a_stored_table_go_with_its_write(spark):
@@ -58,3 +58,10 @@ def test_nodes_that_meet_a_pivot_in_different_shingles_are_no_pair(docs_of, monk
     got = jaccard.near_duplicates(docs_of(rows), 4, 85).collect()
     assert all(r["component_id"] == r["doc_id"] for r in got)
     assert kept["star"].count() >= 5 and kept["rest"].count() == 0
+
+
+def test_a_worker_keeps_the_tables_of_one_operator():
+    worker_cache("tokens")["vocabulary"] = object()
+    assert worker_cache("tokens")
+    worker_cache("language_id")
+    assert not worker_cache("tokens")
