@@ -54,7 +54,7 @@ SCALE = 2_000_000
 BLOCK_WORDS, STEP_BYTES = 1 << 21, 1 << 20
 BLOOM_BITS = 1 << 26
 #: Counts that a task sums over its blocks before they leave it.
-COUNT_ROWS = 1 << 20
+COUNT_ROWS = 1 << 19
 #: Blocks of a language are put together from so many tasks (as a power of two),
 #: and of so many blocks in a row of each.
 TOGETHER = 2, 5
@@ -298,15 +298,15 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
                    .withColumn("id", F.monotonically_increasing_id()), "phrase-frequent")
     # The semi-join: most of a block's words are infrequent, and stop here.
     key = F.xxhash64("lang", "word")
-    known = (entries.filter(maybe_in(bloom(words, key), key)).join(words.select("lang", "word", "id"), ["lang", "word"])
-             .groupBy("lang", "block").agg(F.collect_list(F.struct("code", "id")).alias("known")))
+    known = stored(entries.filter(maybe_in(bloom(words, key), key)).join(words.select("lang", "word", "id"), ["lang", "word"])
+                   .groupBy("lang", "block").agg(F.collect_list(F.struct("code", "id")).alias("known")), "phrase-known")
     # A block and its words meet where the blocks of its language do.
     tasks, row = TOGETHER
     rows = (blocks.select("lang", "block", "pos", "code").unionByName(known, allowMissingColumns=True)
             .withColumns({"task": F.shiftright("block", 32 + tasks), "row": F.shiftright(F.col("block").bitwiseAND(F.lit((1 << 32) - 1)), row)}))
     rows = rows.repartition("lang", "task", "row").sortWithinPartitions("lang", "block", F.col("code").isNotNull())
     relation = stored(rows.select("block", "pos", "code", "known").mapInArrow(_first, RELATION), "relation-1")
-    discard(blocks)
+    discard(blocks), discard(known)
     found = [words.select(F.array("id").alias("ids"), "f")]
     held = None
     for k in range(2, longest + 1):
