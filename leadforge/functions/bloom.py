@@ -28,9 +28,9 @@ def bloom(keys: DataFrame, key: str | Column, bits: int = BITS) -> DataFrame:
     key = F.col(key) if isinstance(key, str) else key
     hashes = keys.select(F.explode(F.array(F.when(key.isNotNull(), F.xxhash64(key)))).alias("h")).filter("h IS NOT NULL")
     places = hashes.select(F.explode(F.array(*_places(F.col("h"), bits))).alias("p"))
-    held = places.select(F.shiftright("p", 6).alias("word"), F.expr("shiftleft(1L, CAST(p & 63 AS INT))").alias("v")).groupBy("word").agg(F.bit_or("v").alias("v"))
-    every = keys.sparkSession.range(bits >> 6).withColumnRenamed("id", "word")
-    filled = every.join(held, "word", "left").select("word", F.coalesce("v", F.lit(0).cast("long")).alias("v"))
+    held = places.select(F.shiftright("p", 6).alias("word"), F.expr("shiftleft(1L, CAST(p & 63 AS INT))").alias("v"))
+    every = keys.sparkSession.range(bits >> 6).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("v"))
+    filled = held.union(every).groupBy("word").agg(F.bit_or("v").alias("v"))
     return filled.agg(F.sort_array(F.collect_list(F.struct("word", "v")))["v"].alias("words"))
 
 

@@ -14,9 +14,11 @@ the same text.  Places may begin and end anywhere in a line.
    fingerprint.  Equal runs of ``min_words`` words select the same one.
 2. Only runs of ``min_words`` words around a fingerprint that stands in
    several places are looked at: each is a row, its hash's first place in the
-   corpus (id, then word) is a grouped minimum, and the others go.  No pairs
-   of places are made, and no place stands for another.  Texts equal to one of
-   smaller id go whole, before that.
+   corpus (id, then word) is a grouped minimum, and the others go.  A place is
+   one number, the document's in their order and the word's: the minimum is a
+   hash aggregate, and a row has two numbers.  No pairs of places are made, and
+   no place stands for another.  Texts equal to one of smaller id go whole,
+   before that.
 3. Overlapping runs are merged and cut out, each word with the white space
    behind it.  A deleted word stands at an earlier place, so the first
    occurrence of everything stays.
@@ -29,6 +31,9 @@ the first; an empty table stays empty; all columns of the input stay.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,8 +49,8 @@ _PLACE_BITS = 30
 #: (rarer ideographs beyond U+FFFF are cut off only from these).
 _SOLID = r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\x{20000}-\x{3134f}]"
 _AROUND = rf"(?<=\S)(?={_SOLID})|(?<={_SOLID})(?=\S)"
-#: Behind a word that ends a line or a sentence.
-_ENDS = r"\n|[.!?] "
+#: What a word that ends a line or a sentence holds, with the space behind it.
+_ENDS = ("\n", ". ", "! ", "? ")
 
 
 def _split(text: Column, cut: str) -> Column:
@@ -103,6 +108,18 @@ def fingerprints(arrays: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             .select("k_id", "k_tie", "words", at.alias("at")).select(F.xxhash64(F.slice("words", F.col("at") + 1, F.lit(gram))).alias("gram"), "k_id", "k_tie", "at"))
 
 
+def _numbered(keys: DataFrame) -> DataFrame:
+    """``k_id, k_tie, number`` of the documents, numbered in their order (with
+    gaps: behind a number of the sort's part stands the place in it)."""
+    rows = stored(keys.orderBy("k_id", "k_tie").withColumn("number", F.monotonically_increasing_id()), "line-numbers")
+    part, place = F.shiftright("number", 33), F.col("number").bitwiseAND(F.lit((1 << 33) - 1))
+    parts, places = rows.agg(F.max(part), F.max(place)).first()
+    bits = (places or 0).bit_length()
+    if (parts or 0).bit_length() + bits + _PLACE_BITS > 63:
+        raise ValueError("too many documents for places of 64 bits")
+    return rows.withColumn("number", F.shiftleft(part, bits) + place)
+
+
 def repeated_runs(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
     """``k_id, k_tie, runs``: the words (from ``first`` to before ``end``, from
     0) that repeat earlier ones.  The end may lie behind the last word."""
@@ -120,16 +137,18 @@ def repeated_runs(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id
     # All runs of min_words words that hold a fingerprint of several places.
     spare = min_words - min_words // 2
     starts = F.array_distinct(F.flatten(F.transform("at", lambda a: F.sequence(F.greatest(F.lit(0), a - spare), F.least(a, F.size("words") - min_words)))))
-    near = (_long(docs, text_col, id_col, min_words).filter(maybe_in(bloom(hits, _document()), _document()))
-            .join(hits.join(originals, key, "left_semi").hint("merge"), key)
-            .select(*key, "at", _words(F.col("text")).alias("words")).select(*key, starts.alias("starts"), F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
-            .select(*key, "hashes", F.explode_outer("starts").alias("start")).filter("start IS NOT NULL"))
-    windows = stored(near.select(F.xxhash64(F.slice("hashes", F.col("start") + 1, F.lit(min_words))).alias("run"), *key, "start"), "line-windows")
-    place = F.struct(*key, "start")
-    several = stored(windows.groupBy("run").agg(F.count("*").alias("n")).filter("n > 1").select("run"), "line-runs")
-    windows = stored(windows.filter(maybe_in(bloom(several, "run"), "run")).join(several, "run", "left_semi"), "line-repeats")
-    first = stored(windows.groupBy("run").agg(F.min(place).alias("source")), "line-sources")
-    later = windows.join(first, "run").filter(place > F.col("source")).groupBy(*key).agg(F.sort_array(F.collect_set("start")).alias("starts"))
+    numbers = _numbered(originals.select(*key))
+    near = (_long(docs, text_col, id_col, min_words).filter(maybe_in(bloom(numbers, _document()), _document()))
+            .join(hits.join(numbers, key).hint("merge"), key)
+            .select("number", "at", _words(F.col("text")).alias("words")).select("number", starts.alias("starts"), F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
+            .select("number", "hashes", F.explode_outer("starts").alias("start")).filter("start IS NOT NULL"))
+    windows = stored(near.select(F.xxhash64(F.slice("hashes", F.col("start") + 1, F.lit(min_words))).alias("run"),
+                                 (F.shiftleft("number", _PLACE_BITS) + F.col("start")).alias("place")), "line-windows")
+    first = stored(windows.groupBy("run").agg(F.min("place").alias("source"), F.count("*").alias("n")).filter("n > 1").select("run", "source"), "line-sources")
+    # Equal rows give equal places; those merge like overlapping runs.
+    start = F.col("place").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)).cast("int")
+    later = (windows.join(first, "run").filter("place > source").groupBy(F.shiftright("place", _PLACE_BITS).alias("number"))
+             .agg(F.sort_array(F.collect_list(start)).alias("starts")).join(numbers, "number"))
     # Runs that overlap or touch are one.
     far = lambda a, b: F.coalesce(F.get("starts", b) - F.get("starts", a) > min_words, F.lit(True))
     firsts = F.filter("starts", lambda s, i: far(i - 1, i))
@@ -163,7 +182,7 @@ def dedup_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     between = F.zip_with(F.concat(F.array(F.lit(0)), F.col("_runs.end")), F.concat(F.col("_runs.first"), F.array(F.size("_words"))),
                          lambda a, b: F.struct(a.alias("first"), b.alias("end")))
     kept = F.concat(ahead, F.array_join(F.flatten(F.transform(between, lambda r: F.slice("_words", r["first"] + 1, r["end"] - r["first"]))), ""))
-    broken = F.filter(F.flatten(F.transform("_runs", lambda r: F.slice("_words", r["first"] + 1, r["end"] - r["first"] - 1))), lambda w: w.rlike(_ENDS))
+    broken = F.filter(F.flatten(F.transform("_runs", lambda r: F.slice("_words", r["first"] + 1, r["end"] - r["first"] - 1))), lambda w: reduce(or_, (w.contains(e) for e in _ENDS)))
     gone = F.aggregate("_runs", F.lit(0), lambda a, r: a + r["end"] - r["first"])
     result = F.struct(F.when(cut, kept).otherwise(text).alias("text"), F.when(cut, F.size("_runs") + F.size(broken)).otherwise(0).alias("n_removed"),
                       F.when(cut, gone).otherwise(0).alias("words_removed"))

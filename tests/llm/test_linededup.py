@@ -152,3 +152,18 @@ def test_filter_on_the_output_cuts_no_text_again(spark):
     splits = lambda d: d._jdf.queryExecution().optimizedPlan().toString().count("split(")
     assert splits(kept) <= splits(out) + 1 and splits(kept.filter("words_removed < 5").select("doc_id")) <= splits(out) + 1
     assert kept.filter("words_removed > 0").count() == 5
+
+
+def test_places_are_one_number_in_the_order_of_id_and_word(spark, monkeypatch):
+    kept = {}
+    stored = linededup.stored
+    monkeypatch.setattr(linededup, "stored", lambda df, name: kept.setdefault(name, stored(df, name)))
+    rng = random.Random(5)
+    passage = " ".join(line(rng) for _ in range(9))
+    docs = [(i, line(rng, 30) + passage) for i in (None, -3, 0, 7, 1 << 40)] + [(7, passage + line(rng, 30))] * 2
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    got = {(r["doc_id"], r["text"]): r["words_removed"] for r in linededup.dedup_lines(df).collect()}
+    assert sum(v == 0 for v in got.values()) == 1 and next(k for k, v in got.items() if v == 0)[0] is None
+    assert kept["line-windows"].dtypes == [("run", "bigint"), ("place", "bigint")]
+    numbers = [tuple(r) for r in linededup._numbered(kept["line-originals"].select("k_id", "k_tie")).orderBy("number").collect()]
+    assert numbers == sorted(numbers) and len({r[2] for r in numbers}) == len(numbers) == 6
