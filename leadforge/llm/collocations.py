@@ -45,19 +45,27 @@ from pyspark.sql import functions as F
 
 from leadforge.functions.bloom import bloom, maybe_in
 
-from .common import discard, slices, stored
+from .common import discard, settings, slices, stored
 
 LEAST, LONGEST, FIRST = 30, 4, 2000
 #: A part that holds this share (percent) of a phrase's occurrences absorbs it.
 ABSORBED = 80
 SCALE = 2_000_000
-BLOCK_WORDS, STEP_BYTES = 1 << 21, 1 << 20
+BLOCK_WORDS, STEP_BYTES = 1 << 20, 1 << 20
 BLOOM_BITS = 1 << 26
 #: Counts that a task sums over its blocks before they leave it.
 COUNT_ROWS = 1 << 19
 #: Blocks of a language are put together from so many tasks (as a power of two),
 #: and of so many blocks in a row of each.
-TOGETHER = 2, 5
+TOGETHER = 2, 6
+#: Rows of counts that leave a task at once.
+SENT_ROWS = 1 << 16
+#: Blocks are rows of some MB: few are read and sent at once, and the writer
+#: looks at its pages' sizes after each (by default after 100), so that an
+#: executor holds some blocks and not a file's.  Texts are sent by hundreds.
+_FEW = ({"spark.sql.execution.arrow.maxRecordsPerBatch": "2", "spark.sql.parquet.columnarReaderBatchSize": "4"}
+        | {f"parquet.{of}.size.row.check.{end}": "1" for of in ("page", "block") for end in ("min", "max")})
+_FEW_TEXTS = _FEW | {"spark.sql.execution.arrow.maxRecordsPerBatch": "500", "spark.sql.parquet.columnarReaderBatchSize": "500"}
 
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\n\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 10 + b" ")
 _BREAK = re.compile(rb"[.,;:!?\n\x0b\x0c\r]")
@@ -263,10 +271,10 @@ def _counts(held):
                     counts = [_added(counts)]
                     size = len(counts[0][1])
                     if 2 * size >= COUNT_ROWS:
-                        yield _summed(counts)
+                        yield from slices([_summed(counts)], SENT_ROWS)
                         counts, size = [], 0
         if counts:
-            yield _summed(counts)
+            yield from slices([_summed(counts)], SENT_ROWS)
 
     return run
 
@@ -285,34 +293,40 @@ def _filter(frequent: DataFrame, words: list[str]) -> np.ndarray:
     return held
 
 
+def _stored_blocks(df: DataFrame, name: str, few: dict[str, str] = _FEW) -> DataFrame:
+    """``stored`` where blocks are read or written."""
+    with settings(df.sparkSession, few):
+        return stored(df, name)
+
+
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, text_col: str = "text", lang_col: str = "lang") -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(phrases: ids, f)`` of 1 to ``longest`` words, ``(words: id, lang,
     word, f)`` and ``(totals: lang, n)``."""
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("string").alias("text"))
-    blocks = stored(texts.mapInArrow(_block_rows, BLOCKS), "phrase-words")
+    blocks = _stored_blocks(texts.mapInArrow(_block_rows, BLOCKS), "phrase-words", _FEW_TEXTS)
     totals = stored(blocks.groupBy("lang").agg(F.sum("n_words").alias("n")), "phrase-totals")
     entries = (blocks.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("code", "e"))
                .select("block", "lang", "code", F.col("e.words").alias("word"), F.col("e.counts").alias("n")))
-    words = stored(entries.groupBy("lang", "word").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
+    words = _stored_blocks(entries.groupBy("lang", "word").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
                    .withColumn("id", F.monotonically_increasing_id()), "phrase-frequent")
     # The semi-join: most of a block's words are infrequent, and stop here.
     key = F.xxhash64("lang", "word")
-    known = stored(entries.filter(maybe_in(bloom(words, key), key)).join(words.select("lang", "word", "id"), ["lang", "word"])
+    known = _stored_blocks(entries.filter(maybe_in(bloom(words, key), key)).join(words.select("lang", "word", "id"), ["lang", "word"])
                    .groupBy("lang", "block").agg(F.collect_list(F.struct("code", "id")).alias("known")), "phrase-known")
     # A block and its words meet where the blocks of its language do.
     tasks, row = TOGETHER
     rows = (blocks.select("lang", "block", "pos", "code").unionByName(known, allowMissingColumns=True)
             .withColumns({"task": F.shiftright("block", 32 + tasks), "row": F.shiftright(F.col("block").bitwiseAND(F.lit((1 << 32) - 1)), row)}))
     rows = rows.repartition("lang", "task", "row").sortWithinPartitions("lang", "block", F.col("code").isNotNull())
-    relation = stored(rows.select("block", "pos", "code", "known").mapInArrow(_first, RELATION), "relation-1")
+    relation = _stored_blocks(rows.select("block", "pos", "code", "known").mapInArrow(_first, RELATION), "relation-1")
     discard(blocks), discard(known)
     found = [words.select(F.array("id").alias("ids"), "f")]
     held = None
     for k in range(2, longest + 1):
         columns = [f"w{i}" for i in range(1, k + 1)]
         schema = ", ".join(f"{c} long" for c in [*columns, "n"])
-        frequent = stored(relation.mapInArrow(_counts(held), schema).groupBy(*columns).agg(F.sum("n").alias("f")).filter(F.col("f") >= least), f"phrases-{k}")
+        frequent = _stored_blocks(relation.mapInArrow(_counts(held), schema).groupBy(*columns).agg(F.sum("n").alias("f")).filter(F.col("f") >= least), f"phrases-{k}")
         found.append(frequent.select(F.array(*columns).alias("ids"), "f"))
         if k < longest:
             held = spark.sparkContext.broadcast(_filter(frequent, columns))
@@ -322,7 +336,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
                     if b.num_rows:
                         yield _Relation(b).semi_joined(held.value)
 
-            old, relation = relation, stored(relation.mapInArrow(join, RELATION), f"relation-{k}")
+            old, relation = relation, _stored_blocks(relation.mapInArrow(join, RELATION), f"relation-{k}")
             discard(old)
     discard(relation)
     phrases = found[0]
