@@ -261,8 +261,8 @@ def _sharing(pairs: DataFrame, nodes: DataFrame, order: str) -> DataFrame:
 
 
 def _compare(pairs: DataFrame, docs: DataFrame, words: int, bits: bool) -> DataFrame:
-    """``x, y, both`` (shared shingles) by the texts of the nodes' first
-    documents, with ``bits`` also which shingles of x are in y."""
+    """``x, y, x_doc, y_doc, x_n, y_n, both`` (shared shingles) by the texts of
+    the nodes' first documents, with ``bits`` also which shingles of x are in y."""
     # Both joins read one exchange of the texts; a pivot's many pairs are
     # dealt over tasks by AQE's skew join.  Texts of no pair stay where they are.
     pairs = stored(pairs.select("x", "y", "x_doc", "y_doc"), "pairs")
@@ -285,35 +285,30 @@ def _compare(pairs: DataFrame, docs: DataFrame, words: int, bits: bool) -> DataF
 
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
-                b, out = whole.slice(at, 500), ([], [], [], [])
-                for x, y, xt, yt in zip(*(b.column(c).to_pylist() for c in ("x", "y", "x_text", "y_text"))):
+                b, out = whole.slice(at, 500), ([], [], [], [], [], [], [], [])
+                for x, y, xd, yd, xt, yt in zip(*(b.column(c).to_pylist() for c in ("x", "y", "x_doc", "y_doc", "x_text", "y_text"))):
                     (xn, xs), (yn, ys) = of(xt), of(yt)
                     if (xn, yn) != (x, y):  # another document of that id
                         continue
                     at_y = np.minimum(np.searchsorted(ys, xs), len(ys) - 1)
                     inside = ys[at_y] == xs
                     packed = np.packbits(inside, bitorder="little").tobytes() if bits else b""
-                    for col, v in zip(out, (x, y, int(inside.sum()), np.frombuffer(packed + b"\0" * (-len(packed) % 8), "<i8"))):
+                    for col, v in zip(out, (x, y, xd, yd, len(xs), len(ys), int(inside.sum()), np.frombuffer(packed + b"\0" * (-len(packed) % 8), "<i8"))):
                         col.append(v)
-                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()),
-                                                  pa.array(out[3], pa.list_(pa.int64()))], names=["x", "y", "both", "bits"])
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in out[:-1]), pa.array(out[-1], pa.list_(pa.int64()))],
+                                                 names=["x", "y", "x_doc", "y_doc", "x_n", "y_n", "both", "bits"])
 
-    rows = full.select("x", "y", "x_text", "y_text").mapInArrow(run, "x long, y long, both long, bits array<long>")
+    rows = (full.select("x", "y", "x_doc", "y_doc", "x_text", "y_text")
+            .mapInArrow(run, "x long, y long, x_doc long, y_doc long, x_n long, y_n long, both long, bits array<long>"))
     out = stored(rows.dropDuplicates(["x", "y"]), "compared")
     discard(pairs)
     return out
 
 
-def _linked(compared: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    size = lambda c: nodes.select(F.col("node").alias(c), F.col("n").alias(f"{c}_n"))
-    return (compared.select("x", "y", "both").join(size("x"), "x").join(size("y"), "y")
-            .filter(100 * F.col("both") >= percent * (F.col("x_n") + F.col("y_n") - F.col("both"))).select("x", "y"))
-
-
-def _named(links: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Links of nodes as links of their smallest ids."""
-    name = lambda c: nodes.select(F.col("node").alias(c), F.col("rep").alias(f"{c}_doc"))
-    return links.join(name("x"), "x").join(name("y"), "y").select(F.col("x_doc").alias("x"), F.col("y_doc").alias("y"))
+def _linked(compared: DataFrame, percent: int) -> DataFrame:
+    """The links among them, of nodes and (``x_doc, y_doc``) of their smallest ids."""
+    return (compared.filter(100 * F.col("both") >= percent * (F.col("x_n") + F.col("y_n") - F.col("both")))
+            .select("x", "y", "x_doc", "y_doc"))
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -345,6 +340,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     members = stored(hot.join(shared, "token").select("token", "node", "size", F.lit(1).alias("hot")).distinct().unionByName(cold), "members")
 
     discard(signatures)
+    orders.destroy()
 
     # The pivot of a shingle is its node of the largest groups in sum: in a
     # family of near copies the one with the fewest shingles of its own.
@@ -356,7 +352,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     star = stored(pairs.join(weights.select(F.col("node").alias("y"), F.col("n").alias("y_n")), "y"), "star")
     discard(members), discard(pivots), discard(shared)
     compared = _compare(_filtered(star.filter(_sizes(percent)).select("x", "y", "hot"), nodes).filter("able OR hot = 1"), docs, words, bits=True)
-    links = stored(_linked(compared, nodes, percent), "links")
+    links = stored(_linked(compared, percent), "links")
 
     # Members of a pivot by component, then those outside its largest one
     # against all others.  With a frequent shingle in a node's prefix all its
@@ -366,7 +362,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     parts = components(links).withColumnsRenamed({"id": "node", "component": "part"})
     facts = stored(nodes.select("node", "n", "n_cold").join(weights.select("node", "cold_shared"), "node").join(parts, "node", "left")
                    .select("node", "n", F.coalesce("part", "node").alias("part"), (F.col("n_cold") - F.col("cold_shared")).alias("own")), "facts")
-    rows = (star.select("x", "y", "hot", "tokens").join(compared, ["x", "y"], "left").join(facts.withColumnRenamed("node", "y"), "y")
+    rows = (star.select("x", "y", "hot", "tokens").join(compared.select("x", "y", "both", "bits"), ["x", "y"], "left").join(facts.withColumnRenamed("node", "y"), "y")
             .select(F.col("x").alias("pivot"), F.col("y").alias("node"), "n", "part", "bits", "tokens",
                     (F.col("n") - F.col("both")).alias("extra"), F.col("own").cast("long").alias("own"), (F.col("hot") == 1).alias("hot")))
     own = (star.select(F.col("x").alias("node")).distinct().join(facts, "node")
@@ -392,9 +388,9 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     discard(rest), discard(open_rows)
     again = _compare(_filtered(few, nodes).filter("able"), docs, words, bits=False)
     discard(few)
-    links = links.unionByName(_linked(again, nodes, percent))
+    links = links.unionByName(_linked(again, percent))
 
-    named = stored(_named(links, nodes), "named")
+    named = stored(links.select(F.col("x_doc").alias("x"), F.col("y_doc").alias("y")), "named")
     final = components(named).withColumnsRenamed({"id": "rep"})
     degree = named.select("x").union(named.select("y")).groupBy(F.col("x").alias("rep")).agg(F.count("*").alias("n_links"))
     of_node = stored(classes.select("node", "rep").join(final, "rep", "left").join(degree, "rep", "left")

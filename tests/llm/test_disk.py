@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from leadforge.llm import collocations, jaccard
@@ -65,3 +66,31 @@ def test_a_worker_keeps_the_tables_of_one_operator():
     assert worker_cache("tokens")
     worker_cache("language_id")
     assert not worker_cache("tokens")
+
+
+def test_blocks_are_read_and_sent_in_small_batches(spark, monkeypatch):
+    seen = {}
+
+    def kept(df, name):
+        seen[name] = [int(spark.conf.get(k)) for k in ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize")]
+        return stored(df, name)
+
+    monkeypatch.setattr(collocations, "stored", kept)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    collocations.mine(spark.createDataFrame([("en", "a b c d " * 40)], "lang string, text string"), least=3).collect()
+    assert all(max(seen[f"{t}"]) <= 4 for t in ("phrase-known", "relation-1", "phrases-2", "relation-2", "phrases-4")) and max(seen["phrase-words"]) <= 500
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before and spark.conf.get("parquet.page.size.row.check.min", None) is None
+
+
+def test_counts_leave_a_task_in_small_batches(monkeypatch):
+    monkeypatch.setattr(collocations, "SENT_ROWS", 100)
+    monkeypatch.setattr(collocations, "_Relation", lambda b: type("R", (), {"counted": lambda self, held: (np.arange(500).reshape(250, 2), np.ones(250, np.int64))})())
+    batches = list(collocations._counts(None)([pa.RecordBatch.from_pydict({"block": [1, 2]})]))
+    assert [b.num_rows for b in batches] == [100, 100, 50] and batches[0].column("n")[0].as_py() == 2
+
+
+def test_links_need_no_join_with_the_nodes(spark):
+    compared = spark.createDataFrame([(1, 2, 10, 20, 100, 100, 95), (1, 3, 10, 30, 100, 50, 50)], "x long, y long, x_doc long, y_doc long, x_n long, y_n long, both long")
+    linked = jaccard._linked(compared, 85)
+    assert [tuple(r) for r in linked.collect()] == [(1, 2, 10, 20)]
+    assert "Join" not in linked._jdf.queryExecution().optimizedPlan().toString()
